@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from loanbook.plans import q_balances, q_functions  # noqa: F401
+from loanbook.plans import q_balances, q_functions, q_interest  # noqa: F401
