@@ -1,7 +1,7 @@
 """Interest, amortization schedules and accruals.
 
-Money is decimal with explicit HALF_UP rounding at each step. A schedule is folded
-inside its loan row (an array of balances) and expanded once, so it needs no shuffle.
+Money is decimal with explicit HALF_UP rounding at each step. A schedule is computed
+inside its loan row (Arrow batches, see functions.plans) and expanded once: no shuffle.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanbook import config
+from loanbook.functions import plans
 from loanbook.functions.dates import add_six_day, effective_days
 from loanbook.functions.scalars import dec
 from loanbook.operators.balances import collected, day, invoice_open
@@ -16,12 +17,6 @@ from loanbook.operators.balances import collected, day, invoice_open
 RATE = "decimal(12,10)"
 D4 = "decimal(18,4)"
 
-# Search interval of the daily rate and tolerance on the interest.
-RATE_LOW, RATE_HIGH = "0.001", "0.020"
-RATE_TOLERANCE = 0.0001
-# The interval shrinks below the 10th digit after 28 halvings.
-RATE_STEPS = 40
-
 
 def count(n: Column) -> Column:
     return n.cast("decimal(6,0)")
@@ -43,11 +38,9 @@ def total_360(loans) -> DataFrame:
     )
 
 
-def _plan_interest(principal: Column, level: Column, n: Column, rate: Column) -> Column:
-    """Interest of a declining plan in closed form (doubles)."""
-    before_last = F.pow(1 + rate, n - 1)
-    balance = principal * before_last - level * (before_last - 1) / rate
-    return balance - principal + (n - 1) * level + rate * balance
+def _units(c: Column, unit: int) -> Column:
+    """A decimal column as a whole number of units."""
+    return (c * F.lit(unit)).cast("bigint")
 
 
 def hidden_rate(principal: Column, interest: Column, n: Column) -> Column:
@@ -56,89 +49,51 @@ def hidden_rate(principal: Column, interest: Column, n: Column) -> Column:
     The trial points and their 10-digit rounding are part of the result: the first point
     within tolerance is taken, and a root outside the interval pins to its edge.
     """
-    p, want, k = principal.cast("double"), interest.cast("double"), n.cast("double")
-    level = F.round((principal + interest) / count(n), 10).cast("double")
-
-    def middle(a, b):
-        return F.round((a + b) * dec("0.5", "decimal(2,1)"), 10).cast(RATE)
-
-    def trial(lo, hi, mid):
-        return F.struct(
-            lo.alias("lo"), hi.alias("hi"), mid.alias("mid"),
-            (_plan_interest(p, level, k, mid.cast("double")) - want).alias("miss"))
-
-    low, high = dec(RATE_LOW, RATE), dec(RATE_HIGH, RATE)
-
-    def step(acc, _):
-        hit = F.abs(acc.miss) < RATE_TOLERANCE
-        lo = F.when(~hit & (acc.miss < 0), acc.mid).otherwise(acc.lo)
-        hi = F.when(hit | (acc.miss < 0), acc.hi).otherwise(acc.mid)
-        return F.when(hit, acc).otherwise(trial(lo, hi, middle(lo, hi)))
-
-    searched = F.aggregate(
-        F.sequence(F.lit(1), F.lit(RATE_STEPS)), trial(low, high, middle(low, high)), step,
-        lambda acc: acc.mid)
-    usable = (principal > 0) & (interest > 0) & (n > 0)
-    return F.when(usable, searched).otherwise(dec("0", RATE))
+    level = F.round((principal + interest) / count(n), 10)
+    units = plans.rate_units(principal.cast("double"), level.cast("double"),
+                             interest.cast("double"), n.cast("double"))
+    return (units.cast("decimal(12,0)") * dec("0.0000000001", "decimal(10,10)")).cast(RATE)
 
 
 def with_hidden_rate(loans) -> DataFrame:
     """Loans with the rate and whether it sits at an edge of the search interval."""
     interest = (F.col("montototal") - F.col("monto")).cast(D4)
     edge = dec("0.00000001", RATE)
+    low = dec("0.001", RATE)
+    high = dec("0.020", RATE)
     return loans.withColumn(
         "tasa_oculta", hidden_rate(F.col("monto"), interest, F.col("dias_cre"))
     ).withColumn(
         "rate_clamped",
-        (F.col("tasa_oculta") >= dec(RATE_HIGH, RATE) - edge)
-        | (F.col("tasa_oculta") <= dec(RATE_LOW, RATE) + edge))
+        (F.col("tasa_oculta") >= high - edge)
+        | (F.col("tasa_oculta") <= low + edge))
 
 
 def plan_interests(principal: Column, rate: Column, level: Column, n: Column,
                    digits: int = 4, guarded: bool = True) -> Column:
-    """Array of (seq, interes, capital) of a declining plan.
+    """Array of (seq, interes, capital) of a declining plan, amounts in ten-thousandths.
 
     Guarded: interest never below 0 nor above the instalment, capital never above the
     balance, and the last row clears the balance. Unguarded: the plain recurrence.
     """
-    def raw(balance):
-        return F.round(balance * rate, digits).cast(D4)
-
-    def interest_of(balance):
-        if not guarded:
-            return raw(balance)
-        return F.least(F.greatest(raw(balance), dec("0", D4)), level)
-
-    def capital_of(balance):
-        c = (level - interest_of(balance)).cast(D4)
-        return F.least(c, balance) if guarded else c
-
-    start = F.array(principal.cast(D4))
-    balances = F.aggregate(
-        F.sequence(F.lit(1), n - 1), start,
-        lambda acc, _: F.concat(acc, F.array(
-            (F.element_at(acc, -1) - capital_of(F.element_at(acc, -1))).cast(D4))),
-    )
-    # sequence(1, 0) counts down in Spark, so one-row plans skip the fold.
-    balances = F.when(n > 1, balances).otherwise(start)
+    return plans.plan_function(digits, guarded)(
+        _units(principal.cast(D4), plans.MONEY_UNIT), _units(rate.cast(RATE), plans.RATE_UNIT),
+        _units(level.cast(D4), plans.MONEY_UNIT), n.cast("int"))
 
-    def row(balance, i):
-        last = i + 1 == n
-        interest = F.when(last, raw(balance)).otherwise(interest_of(balance)) if guarded else raw(balance)
-        capital = F.when(last, balance).otherwise(capital_of(balance)) if guarded else capital_of(balance)
-        return F.struct((i + 1).cast("int").alias("seq"), interest.cast(D4).alias("interes"),
-                        capital.cast(D4).alias("capital"))
 
-    return F.transform(balances, row)
+def _money(units: Column) -> Column:
+    return (units.cast("decimal(18,0)") * dec("0.0001", "decimal(4,4)")).cast(D4)
 
 
 def _expand(loans, plan: Column, first_offset: int = 0, skip_sundays: bool = True) -> DataFrame:
     rows = loans.select("legacy_cartera_id", "ad_org_id", "local_id", "fecha", F.inline(plan))
     start = F.date_add("fecha", first_offset) if first_offset else F.col("fecha")
     due = add_six_day(start, F.col("seq")) if skip_sundays else F.date_add("fecha", F.col("seq"))
+    amounts = [F.col("dueamt")] if "dueamt" in rows.columns else [
+        _money(F.col(c)).alias(c) for c in ("interes", "capital")]
     return rows.select(
         "legacy_cartera_id", "ad_org_id", F.col("local_id").alias("c_invoice_id"), "seq",
-        due.alias("duedate"), *[c for c in rows.columns if c in ("interes", "capital", "dueamt")])
+        due.alias("duedate"), *amounts)
 
 
 def schedule_declining(loans) -> DataFrame:
@@ -245,7 +200,7 @@ def recalc_schedule(schedule, loans, open_capital, process_date) -> DataFrame:
         "legacy_cartera_id", F.inline(F.arrays_zip("rows", "plan"))).select(
         "legacy_cartera_id", F.col("rows.legacy_schedule_id").alias("legacy_schedule_id"),
         F.col("rows.duedate").alias("duedate"), F.col("rows.dueamt").alias("dueamt_previo"),
-        F.col("plan.interes").alias("dueamt"))
+        _money(F.col("plan.interes")).alias("dueamt"))
 
 
 def due_on(schedule, process_date, limit: int | None = None) -> DataFrame:
