@@ -90,6 +90,27 @@ def due_sql(first_offset: int = 0, columns: str = "") -> str:
 
 
 LEVEL4 = div("montototal", "dias_cre", 4)
+
+
+def digest(rows):
+    """A schedule per loan: rows, totals, extremes, dates and a position-weighted sum."""
+    money = [c for c in ("interes", "capital", "dueamt") if c in rows.columns]
+    aggs = [F.count(F.lit(1)).alias("n"), F.min("duedate").alias("primero"),
+            F.max("duedate").alias("ultimo")]
+    for c in money:
+        aggs += [F.sum(c).alias(f"{c}_total"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
+                 F.sum(F.col(c) * F.col("seq")).alias(f"{c}_ponderado")]
+    return rows.groupBy("legacy_cartera_id").agg(*aggs)
+
+
+def digest_sql(rows: str, money: list) -> str:
+    parts = [f"{d4(f'sum({c})')} AS {c}_total, {d4(f'min({c})')} AS {c}_min, {d4(f'max({c})')} AS {c}_max,"
+             f" {d4(f'sum({c} * seq)')} AS {c}_ponderado" for c in money]
+    return (f"SELECT legacy_cartera_id, count(*) AS n, min(duedate) AS primero, max(duedate) AS ultimo,"
+            f" {', '.join(parts)} FROM ({rows}) GROUP BY 1")
+
+
+RAW_INT_CAP = "CAST(interes AS DECIMAL(24,4)) AS interes, CAST(capital AS DECIMAL(24,4)) AS capital"
 INT_CAP = f"{d4('interes')} AS interes, {d4('capital')} AS capital"
 
 
@@ -107,9 +128,9 @@ def int_schedule_declining(spark, d):
 WITH src AS (SELECT legacy_cartera_id AS k, monto AS principal, CAST(0.005 AS DECIMAL(12,10)) AS rate,
   CAST({LEVEL4} AS DECIMAL(18,4)) AS level, dias_cre AS n FROM loans),
  {fold_sql('src', False)}
-{due_sql(0, INT_CAP)}""", digits=4, recursive=True)
+{digest_sql(due_sql(0, RAW_INT_CAP), ['interes', 'capital'])}""", digits=4, recursive=True)
 def int_schedule_rate30(spark, d):
-    return I.schedule_rate30(T.loans(spark, d))
+    return digest(I.schedule_rate30(T.loans(spark, d)))
 
 
 PMT = """CAST(round(CAST(0.000125 * CAST(monto AS DOUBLE) * pow(1.000125, dias_cre::DOUBLE)
@@ -128,27 +149,25 @@ def int_pmt(spark, d):
 WITH src AS (SELECT legacy_cartera_id AS k, monto AS principal, CAST(0.005 AS DECIMAL(12,10)) AS rate,
   {PMT} AS level, dias_cre AS n FROM loans),
  {fold_sql('src', False, 2)}
-SELECT l.legacy_cartera_id, l.ad_org_id, l.local_id AS c_invoice_id, CAST(pl.seq AS INTEGER) AS seq,
- CAST(l.fecha + pl.seq AS DATE) AS duedate, {INT_CAP}
-FROM plan pl JOIN loans l ON l.legacy_cartera_id = pl.k""", digits=4, recursive=True)
+{digest_sql(f"SELECT l.legacy_cartera_id, pl.seq, CAST(l.fecha + pl.seq AS DATE) AS duedate, {RAW_INT_CAP} FROM plan pl JOIN loans l ON l.legacy_cartera_id = pl.k", ['interes', 'capital'])}""", digits=4, recursive=True)
 def int_schedule_pmt(spark, d):
-    return I.schedule_pmt(T.loans(spark, d))
+    return digest(I.schedule_pmt(T.loans(spark, d)))
 
 
 @query("int_schedule_flat", f"""
 WITH plan AS (SELECT legacy_cartera_id AS k, unnest(range(1, dias_cre + 1)) AS seq,
   {div('valorinteres', 'dias_cre', 4)} AS dueamt FROM loans)
-{due_sql(0, f"{d4('dueamt')} AS dueamt")}""", digits=4)
+{digest_sql(due_sql(0, "CAST(dueamt AS DECIMAL(24,4)) AS dueamt"), ['dueamt'])}""", digits=4)
 def int_schedule_flat(spark, d):
-    return I.schedule_flat(T.loans(spark, d))
+    return digest(I.schedule_flat(T.loans(spark, d)))
 
 
 @query("int_schedule_level_total", f"""
 WITH plan AS (SELECT legacy_cartera_id AS k, unnest(range(1, dias_cre + 1)) AS seq,
   {div('montototal', 'dias_cre', 10)} + {div('valorinteres', 'dias_cre', 10)} AS dueamt FROM loans)
-{due_sql(1, f"{d4('dueamt')} AS dueamt")}""", digits=4)
+{digest_sql(due_sql(1, "CAST(dueamt AS DECIMAL(28,10)) AS dueamt"), ['dueamt'])}""", digits=4)
 def int_schedule_level_total(spark, d):
-    return I.schedule_level_total(T.loans(spark, d))
+    return digest(I.schedule_level_total(T.loans(spark, d)))
 
 
 OPEN_CAP = f"""open_cap AS MATERIALIZED (SELECT i.c_invoice_id, grandtotal - coalesce(a, 0) AS open FROM invoices i

@@ -3,12 +3,10 @@
 Usage: python tests/compare.py [sf_dir] [name-pattern ...]
 """
 
-import math
 import os
 import re
 import sys
 import time
-from datetime import date, datetime
 
 import duckdb
 
@@ -18,24 +16,6 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "pages benchmark labels conversations").split()
 
 
-def norm(v):
-    if v is None or (isinstance(v, float) and math.isnan(v)):
-        return None
-    if isinstance(v, float):
-        return round(v, 6) + 0.0
-    if isinstance(v, datetime):
-        return v.replace(tzinfo=None).isoformat()
-    if isinstance(v, date):
-        return v.isoformat()
-    return v
-
-
-def rows(pdf_cols, data):
-    order = sorted(range(len(pdf_cols)), key=lambda i: pdf_cols[i])
-    out = [tuple(norm(r[i]) for i in order) for r in data]
-    return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x) for x in r))
-
-
 def connect(sf_dir):
     con = duckdb.connect()
     for t in TABLES:
@@ -43,28 +23,48 @@ def connect(sf_dir):
     return con
 
 
+def _plain(con, name, table):
+    """Register a result with floats rounded and everything else as text."""
+    con.register(f"{name}_raw", table)
+    cols = []
+    for f in sorted(table.schema, key=lambda f: f.name):
+        c = f'"{f.name}"'
+        if str(f.type) in ("double", "float"):
+            cols.append(f"CASE WHEN isnan({c}) THEN NULL ELSE round({c}, 6) + 0.0 END::DOUBLE AS {c}")
+        elif str(f.type).startswith("timestamp"):
+            cols.append(f"CAST({c} AS TIMESTAMP)::VARCHAR AS {c}")
+        else:
+            cols.append(f"{c}::VARCHAR AS {c}")
+    con.execute(f"CREATE OR REPLACE TEMP TABLE {name} AS SELECT {', '.join(cols)} FROM {name}_raw")
+
+
 def compare(spark, con, sf_dir, fn, sql):
+    """(message, ok) for one query: same columns and the same bag of rows."""
     df = fn(spark, sf_dir)
-    got = rows(df.columns, df.collect())
+    got = df.toArrow()
     if sql is None:
-        return f"rows-only {len(got)}", bool(got)
-    cur = con.execute(sql)
-    cols = [c[0] for c in cur.description]
-    types = [str(c[1]) for c in cur.description]
-    want = rows(cols, cur.fetchall())
-    if sorted(cols) != sorted(df.columns):
-        return f"columns differ: spark-only {set(df.columns) - set(cols)} sql-only {set(cols) - set(df.columns)}", False
-    bad = [f"{c}:{t}" for c, t in zip(cols, types) if "DECIMAL" in t or "HUGEINT" in t]
-    bad += [f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields
-            if f.dataType.typeName() == "decimal"]
-    if len(got) != len(want):
-        return f"rows differ: spark {len(got)} sql {len(want)}; {got[:2]} {want[:2]}", False
-    diff = [(a, b) for a, b in zip(got, want) if a != b]
-    if diff:
-        return f"{len(diff)}/{len(got)} rows differ, cols {sorted(cols)} e.g. spark {diff[0][0]} sql {diff[0][1]}", False
+        return f"rows-only {got.num_rows}", got.num_rows > 0
+    want = con.execute(sql).to_arrow_table()
+    a, b = sorted(got.column_names), sorted(want.column_names)
+    if a != b:
+        return f"columns differ: spark-only {set(a) - set(b)} sql-only {set(b) - set(a)}", False
+    bad = [f"{f.name}:{f.type}" for t in (got, want) for f in t.schema
+           if "decimal" in str(f.type)]
+    if got.num_rows != want.num_rows:
+        return f"rows differ: spark {got.num_rows} sql {want.num_rows}", False
+    _plain(con, "got", got)
+    _plain(con, "want", want)
+    extra = con.execute("SELECT * FROM got EXCEPT ALL SELECT * FROM want").fetchall()
+    if extra:
+        missing = con.execute("SELECT * FROM want EXCEPT ALL SELECT * FROM got").fetchall()
+        return (f"{len(extra)}/{got.num_rows} rows differ, cols {a} e.g. spark {sorted(map(str, extra))[0]}"
+                f" sql {sorted(map(str, missing))[0]}"), False
     if bad:
         return f"types {bad}", False
-    return f"ok {len(got)}" + (" EMPTY" if not got else ""), True
+    kinds = [f"{f.name} {f.type}/{want.schema.field(f.name).type}" for f in got.schema
+             if str(f.type) != str(want.schema.field(f.name).type)
+             and not {str(f.type), str(want.schema.field(f.name).type)} <= {"int32", "int64"}]
+    return f"ok {got.num_rows}" + (" EMPTY" if not got.num_rows else "") + (f" kinds {kinds}" if kinds else ""), True
 
 
 def main():
