@@ -1,3 +1,3 @@
 """Import every module that registers queries."""
 
-from loanbook.plans import q_balances, q_functions, q_interest, q_payments  # noqa: F401
+from loanbook.plans import q_balances, q_close, q_functions, q_interest, q_payments  # noqa: F401
