@@ -1,3 +1,4 @@
 """Import every module that registers queries."""
 
-from loanbook.plans import q_balances, q_close, q_functions, q_interest, q_payments  # noqa: F401
+from loanbook.plans import (  # noqa: F401
+    q_balances, q_close, q_functions, q_interest, q_payments, q_reports)
