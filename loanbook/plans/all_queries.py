@@ -1,4 +1,4 @@
 """Import every module that registers queries."""
 
 from loanbook.plans import (  # noqa: F401
-    q_balances, q_close, q_functions, q_interest, q_payments, q_reports)
+    q_balances, q_cash, q_close, q_functions, q_interest, q_payments, q_reports, q_statements, q_tax)
