@@ -51,20 +51,32 @@ def _hot_totals(marked, keys, aggs) -> DataFrame:
     return marked.filter(F.col(_B).isNotNull()).groupBy(*keys, _B).agg(*aggs)
 
 
-def running_total(df, keys, order, values: dict, fine, hot_rows=None, stats=None) -> DataFrame:
-    """Running sums in row order, current row included. ``values``: new name -> column."""
+def running_total(df, keys, order, values: dict, fine, hot_rows=None, stats=None,
+                  best: dict | None = None) -> DataFrame:
+    """Running sums in row order, current row included. ``values``: new name -> column.
+
+    ``best`` adds, as ``<name>_before``, the largest value of the rows before the current one.
+    """
+    best = best or {}
     marked = split_hot(df, keys, fine, hot_rows, stats)
-    w = W.partitionBy(*keys, _B).orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    rows = W.partitionBy(*keys, _B).orderBy(*order)
+    upto = rows.rowsBetween(W.unboundedPreceding, 0)
+    prior = rows.rowsBetween(W.unboundedPreceding, -1)
     before = W.partitionBy(*keys).orderBy(_B).rowsBetween(W.unboundedPreceding, -1)
-    totals = _hot_totals(marked, keys, [F.sum(c).alias(f"_t_{n}") for n, c in values.items()])
+    totals = _hot_totals(marked, keys, [
+        *[F.sum(c).alias(f"_t_{n}") for n, c in values.items()],
+        *[F.max(c).alias(f"_t_{n}") for n, c in best.items()]])
     offsets = totals.select(
-        *keys, _B, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in values])
+        *keys, _B, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in values],
+        *[F.max(f"_t_{n}").over(before).alias(f"_o_{n}") for n in best])
     out = marked.join(offsets, [*keys, _B], "left")
     for n, c in values.items():
         kind = "decimal(38,4)"
         out = out.withColumn(
-            n, (F.sum(c).over(w) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).cast(kind))
-    return out.drop(_B, *[f"_o_{n}" for n in values])
+            n, (F.sum(c).over(upto) + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).cast(kind))
+    for n, c in best.items():
+        out = out.withColumn(f"{n}_before", F.greatest(F.max(c).over(prior), F.col(f"_o_{n}")))
+    return out.drop(_B, *[f"_o_{n}" for n in (*values, *best)])
 
 
 def previous(df, keys, order, cols: dict, fine, hot_rows=None, stats=None) -> DataFrame:

@@ -139,9 +139,11 @@ CTES = {
  SELECT *, unnest(CASE WHEN substr(md5(c_payment_id),1,1) = '1' THEN [1,2] ELSE [1] END) AS line
  FROM receipts WHERE substr(md5(c_payment_id),1,1) IN ('1','2','3')""",
     "alloc": """
- SELECT c_payment_id, id_cartera * 10 + 1 AS c_invoice_id,
+ SELECT c_payment_id, CASE WHEN substr(md5(c_payment_id),1,1) = '3' THEN (id_cartera * 100 + 1) * 10 + 3
+   ELSE id_cartera * 10 + 1 END AS c_invoice_id,
   CAST(round(payamt * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS amount,
-  dateacct, 'Y' AS isactive, line, c_payment_id || '/' || line AS c_allocationline_id FROM alloc0""",
+  dateacct, 'Y' AS isactive, line, c_payment_id || '/' || line AS c_allocationline_id,
+  'H-' || c_payment_id AS c_allocationhdr_id FROM alloc0""",
 }
 
 ORDER = list(CTES)

@@ -286,19 +286,22 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Allocation lines already stored: part of the receipts pay their loan's capital.
+    """Allocation lines already stored, one header per receipt.
 
-    Receipts whose digest starts with 1-3 carry a line; 1 carries it twice.
+    Receipts whose digest starts with 1 or 2 pay their loan's capital (1 carries the line
+    twice); those with 3 pay the interest invoice of its first instalment.
     """
     rc = receipts(spark, sf_dir)
     digest = F.substring(F.md5("c_payment_id"), 1, 1)
     copies = F.when(digest == "1", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return rc.filter(digest.isin("1", "2", "3")).select(
-        "c_payment_id", (F.col("id_cartera") * 10 + 1).alias("c_invoice_id"),
+        "c_payment_id", F.when(digest == "3", (F.col("id_cartera") * 100 + 1) * 10 + 3)
+        .otherwise(F.col("id_cartera") * 10 + 1).alias("c_invoice_id"),
         F.round(F.col("payamt") * dec("0.5", "decimal(2,1)"), 2).cast("decimal(18,2)").alias("amount"),
         F.col("dateacct"), F.lit("Y").alias("isactive"), F.explode(copies).alias("line"),
     ).withColumn("c_allocationline_id",
-                 F.concat(F.col("c_payment_id"), F.lit("/"), F.col("line").cast("string")))
+                 F.concat(F.col("c_payment_id"), F.lit("/"), F.col("line").cast("string"))
+                 ).withColumn("c_allocationhdr_id", F.concat(F.lit("H-"), F.col("c_payment_id")))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
