@@ -86,18 +86,7 @@ def loan_renewal(spark, d):
     return B.loan_renewal(T.loans(spark, d))
 
 
-@query("loan_view_prior", f"""
-WITH best AS (SELECT a.legacy_cartera_id, arg_max(b.fecha + b.dias_cre,
-   (b.fecha::VARCHAR || md5(b.legacy_cartera_id::VARCHAR))) AS vence
- FROM loans a JOIN loans b ON a.c_bpartner_id = b.c_bpartner_id AND b.fecha < a.fecha GROUP BY 1)
-SELECT l.legacy_cartera_id, l.c_bpartner_id, l.fecha, {_label('l.fecha - best.vence')}
-FROM loans l LEFT JOIN best USING (legacy_cartera_id)""")
-def loan_view_prior(spark, d):
-    return B.loan_renewal_strict(T.loans(spark, d))
-
-
-@query("loan_view", f"""
-WITH rn AS ({RENEWAL})
+WIDE = f"""
 SELECT l.legacy_cartera_id, l.ad_org_id, l.dias_cre, l.c_bpartner_id, codigo, l.fecha,
  nombre AS nombrecliente, {m('monto')} AS monto, {m('tasa')} AS tasa, {m('monto * tasa')} AS interes,
  {m('montototal')} AS montototal, usuario, rubro AS grupotercero, l.synced AS sincronizado, cv_ruta_id,
@@ -107,11 +96,29 @@ SELECT l.legacy_cartera_id, l.ad_org_id, l.dias_cre, l.c_bpartner_id, codigo, l.
  u AS fecha_ultimo_pago, {m('montototal - coalesce(p, 0)')} AS saldo_calculado
 FROM loans l JOIN pwide USING (c_bpartner_id) JOIN users ON ad_user_id = l.createdby
 JOIN due6 USING (legacy_cartera_id) JOIN rn USING (legacy_cartera_id)
-LEFT JOIN ({PAID_ALL}) ON id_cartera = l.legacy_cartera_id""")
-def loan_view(spark, d):
+LEFT JOIN ({PAID_ALL}) ON id_cartera = l.legacy_cartera_id"""
+STRICT_RENEWAL = f"""
+ best AS (SELECT a.legacy_cartera_id, arg_max(b.fecha + b.dias_cre,
+   (b.fecha::VARCHAR || md5(b.legacy_cartera_id::VARCHAR))) AS vence
+  FROM loans a JOIN loans b ON a.c_bpartner_id = b.c_bpartner_id AND b.fecha < a.fecha GROUP BY 1),
+ rn AS (SELECT l.legacy_cartera_id, l.c_bpartner_id, l.fecha, {_label('l.fecha - best.vence')}
+  FROM loans l LEFT JOIN best USING (legacy_cartera_id))"""
+
+
+def _view(spark, d, classify):
     loans = T.loans(spark, d)
-    return B.loan_view(loans, T.collections(spark, d), T.partners_wide(spark, d),
-                       T.users(spark, d), B.loan_renewal(loans))
+    return B.loan_view(loans, T.collections(spark, d), T.partners_wide(spark, d), T.users(spark, d), classify(loans))
+
+
+@query("loan_view", f"WITH rn AS ({RENEWAL}) {WIDE}")
+def loan_view(spark, d):
+    return _view(spark, d, B.loan_renewal)
+
+
+@query("loan_view_prior", f"WITH {STRICT_RENEWAL} {WIDE}")
+def loan_view_prior(spark, d):
+    """The older form: previous loan of a strictly earlier day."""
+    return _view(spark, d, B.loan_renewal_strict)
 
 
 PARTNER_BALANCE = """SELECT c_bpartner_id, sum(montototal) - coalesce(sum(p), 0) AS saldo

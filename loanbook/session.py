@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -20,6 +21,12 @@ def session(app: str = "loanbook", cpus: str | None = None, partitions: int = 8)
     return spark
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder inside the shared checkpoint folder."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; only local runs get a folder of their own."""
     if spark.conf.get("spark.checkpoint.dir", None):

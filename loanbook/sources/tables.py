@@ -66,7 +66,11 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def collections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per collection; the key is (order, line, part, supplier)."""
-    li = read(spark, sf_dir, "lineitem")
+    return map_collections(read(spark, sf_dir, "lineitem"))
+
+
+def map_collections(li: DataFrame) -> DataFrame:
+    """Collections from line items, in a batch or in a stream."""
     key = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     return li.select(
         key.alias("legacy_cobro_id"),
