@@ -79,38 +79,48 @@ def running_total(df, keys, order, values: dict, fine, hot_rows=None, stats=None
     return out.drop(_B, *[f"_o_{n}" for n in (*values, *best)])
 
 
-def previous(df, keys, order, cols: dict, fine, hot_rows=None, stats=None) -> DataFrame:
-    """Values of the row before. ``cols``: new name -> column."""
+def neighbours(df, keys, order, before: dict, after: list, fine, hot_rows=None, stats=None) -> DataFrame:
+    """What the rows around a row hold, in one sort.
+
+    ``before``: new name -> column, its value in the row before. ``after``: columns replaced
+    by their first non-null value from the current row on.
+    """
     marked = split_hot(df, keys, fine, hot_rows, stats)
     w = W.partitionBy(*keys, _B).orderBy(*order)
+    onward = w.rowsBetween(0, W.unboundedFollowing)
     across = W.partitionBy(*keys).orderBy(_B)
-    packed = F.struct(*[F.col(c).alias(n) for n, c in cols.items()])
-    last = _hot_totals(marked, keys, [F.max_by(packed, F.struct(*order)).alias("_last")])
-    last = last.select(*keys, _B, F.lag("_last").over(across).alias("_before"))
+    later = across.rowsBetween(1, W.unboundedFollowing)
+    place = F.struct(*order)
+    packed = F.struct(*[F.col(c).alias(n) for n, c in before.items()]) if before else F.struct(F.lit(1).alias("_x"))
+    edges = _hot_totals(marked, keys, [
+        F.max_by(packed, place).alias("_last"),
+        *[F.min_by(c, F.when(F.col(c).isNotNull(), place)).alias(f"_f_{c}") for c in after]])
+    edges = edges.select(
+        *keys, _B, F.lag("_last").over(across).alias("_before"),
+        *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_n_{c}") for c in after])
     out = marked.withColumn("_inner", F.lag(packed).over(w)).withColumn("_rn", F.row_number().over(w))
-    out = out.join(last, [*keys, _B], "left")
+    for c in after:
+        out = out.withColumn(f"_a_{c}", F.first(c, ignorenulls=True).over(onward))
+    out = out.join(edges, [*keys, _B], "left")
     chosen = F.when(F.col(_B).isNotNull() & (F.col("_rn") == 1), F.col("_before")).otherwise(
         F.col("_inner"))
     out = out.withColumn("_chosen", chosen)
-    for n in cols:
+    for n in before:
         out = out.withColumn(n, F.col(f"_chosen.{n}"))
-    return out.drop(_B, "_inner", "_rn", "_before", "_chosen")
+    for c in after:
+        out = out.withColumn(c, F.coalesce(f"_a_{c}", F.col(f"_n_{c}")))
+    return out.drop(_B, "_inner", "_rn", "_before", "_chosen", *[f"_n_{c}" for c in after],
+                    *[f"_a_{c}" for c in after])
+
+
+def previous(df, keys, order, cols: dict, fine, hot_rows=None, stats=None) -> DataFrame:
+    """Values of the row before. ``cols``: new name -> column."""
+    return neighbours(df, keys, order, cols, [], fine, hot_rows, stats)
 
 
 def next_known(df, keys, order, cols: list, fine, hot_rows=None, stats=None) -> DataFrame:
     """Replace each column by its first non-null value from the current row on."""
-    marked = split_hot(df, keys, fine, hot_rows, stats)
-    w = W.partitionBy(*keys, _B).orderBy(*order).rowsBetween(0, W.unboundedFollowing)
-    later = W.partitionBy(*keys).orderBy(_B).rowsBetween(1, W.unboundedFollowing)
-    firsts = _hot_totals(marked, keys, [
-        F.min_by(c, F.when(F.col(c).isNotNull(), F.struct(*order))).alias(f"_f_{c}") for c in cols])
-    firsts = firsts.select(
-        *keys, _B, *[F.first(f"_f_{c}", ignorenulls=True).over(later).alias(f"_n_{c}") for c in cols])
-    out = marked.join(firsts, [*keys, _B], "left")
-    for c in cols:
-        out = out.withColumn(
-            c, F.coalesce(F.first(c, ignorenulls=True).over(w), F.col(f"_n_{c}")))
-    return out.drop(_B, *[f"_n_{c}" for c in cols])
+    return neighbours(df, keys, order, {}, cols, fine, hot_rows, stats)
 
 
 def day_running(df, keys, day, values: dict) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from loanbook import config
 from loanbook.operators.balances import day, invoice_open
 from loanbook.operators.ordered import (
-    day_buckets, day_running, next_known, previous, running_total, tie_key)
+    day_buckets, day_running, neighbours, running_total, tie_key)
+from loanbook.session import ensure_checkpoint_dir
 
 AMT = "decimal(18,4)"
 POS = "decimal(28,4)"
@@ -179,10 +180,17 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
     type. The ends of all intervals cut the line into pieces; each piece belongs to the
     payment and the debt whose ends come next. The number of pieces is at most the number of
     payments plus debts. Payments that tie on their date go in the order of tie_key.
+
+    Payments, debts and cut points are each read several times, so they are written once by
+    checkpoint().
     """
+    ensure_checkpoint_dir(payments.sparkSession)
     p = payments.select(
         "c_payment_id", "c_bpartner_id", F.col("dateacct").alias("dia"),
-        F.col("payamt").cast(AMT).alias("payamt"), tie_key("c_payment_id").alias("_tie"))
+        F.col("payamt").cast(AMT).alias("payamt"), tie_key("c_payment_id").alias("_tie")).checkpoint()
+    debts = debts.select(
+        "c_invoice_id", "c_bpartner_id", "c_doctype_id", "dateinvoiced", F.col("open").cast(AMT).alias("open")
+    ).checkpoint()
     per_day = _interest_by_day(p, debts.filter(_is_interest()))
     ran = running_total(
         p, ["c_bpartner_id", "dia"], [F.col("_tie"), F.col("c_payment_id")],
@@ -206,13 +214,12 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
         F.lit(None).cast("bigint").alias("c_invoice_id"), F.lit(0).alias("side")
     ).unionByName(debt_ends.select(
         "c_bpartner_id", "c_doctype_id", F.col("pos").cast(POS).alias("pos"),
-        F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side")))
+        F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side"))).checkpoint()
     keys, order = ["c_bpartner_id", "c_doctype_id"], [F.col("pos"), F.col("side")]
     # Equal stretches of money; a hot partner gets about one bucket per 100,000 points.
     fine = [F.floor(F.col("pos") * F.ceil(F.col("_n") / 100_000) / F.col("_max"))]
     stats = {"_max": F.max("pos")}
-    cut = previous(points, keys, order, {"prev": "pos"}, fine, hot_rows, stats)
-    owned = next_known(cut, keys, order, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
+    owned = neighbours(points, keys, order, {"prev": "pos"}, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
     amount = (F.col("pos") - F.coalesce("prev", F.lit(0).cast(POS))).cast(AMT)
     return owned.filter(F.col("c_payment_id").isNotNull() & F.col("c_invoice_id").isNotNull()
                         & (amount > 0)).select(
