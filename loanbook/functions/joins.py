@@ -1,0 +1,17 @@
+"""Broadcast with a check."""
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# A dimension row is some hundred bytes, so this stays within tens of megabytes.
+DIMENSION_ROWS = 100_000
+
+
+def small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Broadcast a dimension if it really is small; otherwise leave the join to Spark.
+
+    The check reads at most ``max_rows`` + 1 rows. A larger side is joined by shuffle, where
+    adaptive execution splits skewed partitions.
+    """
+    limit = DIMENSION_ROWS if max_rows is None else max_rows
+    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df

@@ -7,6 +7,7 @@ period; reference lists and route owners are fixed-size dimensions.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.dates import maturity
 from loanbook.functions.scalars import birthdate, dec, iif
@@ -103,14 +104,14 @@ def lookup(df, lists, list_name: str, code: str, out: str) -> DataFrame:
     """Description of a code in a reference list, as an integer; null when unknown."""
     one = lists.filter(F.col("lista") == list_name).select(
         F.col("kname").alias(code), F.col("kdesc").cast("int").alias(out))
-    return df.join(F.broadcast(one), code, "left")
+    return df.join(small(one), code, "left")
 
 
 def enriched_partners(partners, groups, route_codes, lists) -> DataFrame:
     """Partners with the codes the regulator asks for."""
-    p = partners.join(F.broadcast(groups), "rubro", "left").withColumn(
+    p = partners.join(small(groups), "rubro", "left").withColumn(
         "id_destino_credito", F.coalesce("grupo_desc", F.lit("7026101")).cast("int"))
-    p = p.join(F.broadcast(route_codes), "cv_ruta_id", "left")
+    p = p.join(small(route_codes), "cv_ruta_id", "left")
     for name, code, out in [("riesgo", "tipo_riesgo", "id_clasificacion_credito"),
                             ("zona", "tipo_localizacion", "id_tipo_zona"),
                             ("estadocivil", "civilstatus", "id_estado_civil"),
@@ -123,8 +124,8 @@ def analysts(owners, partners, lists) -> DataFrame:
     """Route owners with national id ('-' if unknown), name and gender code."""
     people = partners.select(F.col("c_bpartner_id").alias("owner_id"), "taxid", "nombre", "genero")
     # At most one row per route, so the owners are the small side of both joins.
-    known = people.join(F.broadcast(owners.select("owner_id").distinct()), "owner_id", "left_semi")
-    a = owners.join(F.broadcast(known), "owner_id", "left")
+    known = people.join(small(owners.select("owner_id").distinct()), "owner_id", "left_semi")
+    a = owners.join(small(known), "owner_id", "left")
     return lookup(a, lists, "genero", "genero", "genero_analista").select(
         "cv_ruta_id", F.coalesce("taxid", F.lit("-")).alias("id_analista"),
         F.col("nombre").alias("nombre_analista"), "genero_analista")
@@ -158,7 +159,7 @@ def credit_rows(loans, collections, people, owners, period_id: int, start, end,
     b = with_balances(active, start, end, variant, paid)
     p = people.select("c_bpartner_id", "cv_ruta_id", "id_clasificacion_credito", "id_destino_credito",
                       "id_municipio", "id_tipo_zona")
-    j = b.join(p, "c_bpartner_id").join(F.broadcast(owners), "cv_ruta_id", "left")
+    j = b.join(p, "c_bpartner_id").join(small(owners), "cv_ruta_id", "left")
     overdue = F.col("fecha_vencimiento") < day(end)
     total = F.col("saldo_principal") + F.col("saldo_interes")
     settled = total == 0 if variant == "loop" else total <= 0
@@ -212,7 +213,7 @@ def analyst_rows(active, people, owners, period_id: int) -> DataFrame:
     """One analyst row per national id; several routes of one owner collapse into one."""
     used = active.join(people.select("c_bpartner_id", "cv_ruta_id"), "c_bpartner_id").select(
         "cv_ruta_id").distinct()
-    rows = used.join(F.broadcast(owners), "cv_ruta_id")
+    rows = used.join(small(owners), "cv_ruta_id")
     return rows.groupBy("id_analista").agg(
         F.min_by(F.struct("nombre_analista", "genero_analista"), "cv_ruta_id").alias("a")).select(
         F.lit(period_id).alias("c_period_id"), "id_analista",

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loanbook.functions.joins import small
 from loanbook.functions.scalars import clean_id
 from loanbook.operators.balances import day, with_collected
 from loanbook.operators.ordered import number_rows
@@ -40,7 +41,7 @@ def migrate_loans(source, target) -> DataFrame:
 
 def migrate_partners(source, activities, target) -> DataFrame:
     """New legacy clients with the name of their activity."""
-    named = source.join(F.broadcast(activities), "id_actividad", "left")
+    named = source.join(small(activities), "id_actividad", "left")
     return new_rows(named, target, ["id_cliente", "ad_org_id"], "id_cliente", "legacy_cliente_id").withColumn(
         "origen", F.lit("migrated"))
 
@@ -138,7 +139,7 @@ def match_partners(clients, partners, routes) -> DataFrame:
     by_code = partners.groupBy(F.col("codigo").alias("_code")).agg(F.min("c_bpartner_id").alias("_by_code"))
     c = clients.withColumn("_code", F.concat_ws("-", "org_key", "codigo"))
     j = c.join(by_id, "cedula", "left").join(by_code, "_code", "left").join(
-        F.broadcast(routes.withColumnRenamed("id_territorio", "id_vendedor")), ["ad_org_id", "id_vendedor"], "left")
+        small(routes.withColumnRenamed("id_territorio", "id_vendedor")), ["ad_org_id", "id_vendedor"], "left")
     found = F.coalesce("_by_id", F.col("_by_code"))
     return j.select(
         "legacy_cliente_id", "cedula", F.col("_code").alias("codigo"), "cv_ruta_id",
@@ -157,7 +158,7 @@ def partners_from_csv(rows, partners, routes, cities) -> dict[str, DataFrame]:
         "_known", F.lit(True))
     first = rows.groupBy("cedula").agg(F.min("row_id").alias("_first"))
     j = rows.join(known, "cedula", "left").join(first, "cedula", "left").join(
-        F.broadcast(routes), "cv_ruta_id", "left").join(F.broadcast(cities), "ad_org_trx_id", "left")
+        small(routes), "cv_ruta_id", "left").join(small(cities), "ad_org_trx_id", "left")
     reason = (
         F.when(F.col("corrupt").isNotNull(), "fila no valida")
         .when(F.col("ad_org_trx_id").isNull(), "ruta no encontrada")
@@ -195,8 +196,8 @@ def approve_applications(applications, partners, branches, cities) -> dict[str,
         F.min("solicitud_id").alias("_first"))
     j = (
         a.join(known, "cedula", "left").join(first, "taxid", "left")
-        .join(F.broadcast(branches.select("ad_org_id", F.lit(True).alias("_org"))), "ad_org_id", "left")
-        .join(F.broadcast(cities.select(F.col("ad_org_trx_id").alias("ad_org_id"), "c_city_id", "city")), "ad_org_id", "left"))
+        .join(small(branches.select("ad_org_id", F.lit(True).alias("_org"))), "ad_org_id", "left")
+        .join(small(cities.select(F.col("ad_org_trx_id").alias("ad_org_id"), "c_city_id", "city")), "ad_org_id", "left"))
     reason = (
         F.when(F.col("_org").isNull(), "organizacion no valida")
         .when(F.col("c_city_id").isNull(), "sin ciudad")
@@ -220,7 +221,7 @@ def missing_locations(partners, locations, cities) -> DataFrame:
     """A location from the quick address for partners that have none."""
     p = partners.filter(F.length("quickaddress") > 0).join(
         locations.select("c_bpartner_id").distinct(), "c_bpartner_id", "left_anti")
-    return p.join(F.broadcast(cities), "ad_org_trx_id").select(
+    return p.join(small(cities), "ad_org_trx_id").select(
         "c_bpartner_id", "c_city_id", F.col("city").alias("name"),
         F.col("quickaddress").alias("address1"), F.col("quickphone").alias("phone"))
 

@@ -39,14 +39,16 @@ def split_principal_first(loans, collections, start=None, end=None) -> DataFrame
         F.col("operacion") if start is None else F.greatest("operacion", F.date_sub(day(start), 1))
     ).alias("dia"))
     running = day_running(stamped, ["id_cartera"], "dia", {"hasta": F.col("abono")}).drop("hasta_day")
+    # The loan amount joins the day totals, which are fewer than the payments.
+    terms = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "monto")
+    running = running.join(terms, "id_cartera")
     rows = c if start is None else c.filter(F.col("operacion") >= day(start))
     rows = rows.filter(F.col("abono") > 0).withColumn("dia", F.col("operacion"))
-    terms = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "monto")
     before = (F.col("hasta") - F.col("abono")).cast("decimal(28,2)")
     room = F.greatest(F.col("monto") - before, F.lit(0).cast("decimal(18,2)"))
     principal = F.least(F.col("abono"), room).cast("decimal(18,2)")
     return (
-        rows.join(running, ["id_cartera", "dia"]).join(terms, "id_cartera")
+        rows.join(running, ["id_cartera", "dia"])
         .select("legacy_cobro_id", "id_cartera", "operacion", "abono",
                 principal.alias("abono_principal"),
                 (F.col("abono") - principal).cast("decimal(18,2)").alias("abono_interes"),

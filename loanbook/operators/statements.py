@@ -7,6 +7,7 @@ computed on day totals (see ordered.day_running) and joined back to the movement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loanbook.functions.joins import small
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import zero_if_null
 from loanbook.operators.balances import collected, day
@@ -65,7 +66,7 @@ def partner_history(loans, collections, branches, partner=None, hot_rows=None) -
     agg = collected(collections).select("legacy_cartera_id", "paid", "last_positive")
     due = add_six_day(F.col("fecha"), F.col("dias_cre"))
     paid = zero_if_null(F.col("paid"))
-    rows = loans.join(agg, "legacy_cartera_id", "left").join(F.broadcast(branches), "ad_org_id").select(
+    rows = loans.join(agg, "legacy_cartera_id", "left").join(small(branches), "ad_org_id").select(
         "c_bpartner_id", F.col("legacy_cartera_id").alias("idcartera"),
         F.col("org_name").alias("codsucursal"), "fecha", "dias_cre", due.alias("fechavence"), "monto",
         F.round(F.col("tasa") * 100, 2).alias("tasainteres"), "montototal", paid.alias("abonos"),
@@ -175,6 +176,6 @@ def payment_review(payments, boxes, start, end, account=None) -> DataFrame:
     p = _signed(payments.filter(F.col("dateacct").between(day(start), day(end))))
     if account is not None:
         p = p.filter(F.col("c_bankaccount_id") == account)
-    return p.join(F.broadcast(boxes.select("c_bankaccount_id", "nombrecaja")), "c_bankaccount_id").select(
+    return p.join(small(boxes.select("c_bankaccount_id", "nombrecaja")), "c_bankaccount_id").select(
         "c_payment_id", "c_bpartner_id", "dateacct", "docbasetype", "c_doctype_id", "c_charge_id",
         "ingresos", "egresos", F.col("nombrecaja").alias("cuenta"), "docstatus")

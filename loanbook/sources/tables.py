@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import dec
@@ -119,7 +120,7 @@ def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
 def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Routes with their branch. Fixed size: one row per nation."""
     n, r = read(spark, sf_dir, "nation"), read(spark, sf_dir, "region")
-    return n.join(F.broadcast(r), n.n_regionkey == r.r_regionkey).select(
+    return n.join(r, n.n_regionkey == r.r_regionkey).select(
         F.col("n_nationkey").alias("cv_ruta_id"),
         F.col("n_name").alias("ruta"),
         F.col("r_regionkey").alias("ad_org_trx_id"),
@@ -152,7 +153,7 @@ def route_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partners_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partners with route and branch names (fixed-size dimension, broadcast)."""
-    return partners(spark, sf_dir).join(F.broadcast(routes(spark, sf_dir)), "cv_ruta_id")
+    return partners(spark, sf_dir).join(small(routes(spark, sf_dir)), "cv_ruta_id")
 
 
 def periods(spark: SparkSession, first: str = "1995-01-01", months: int = 84) -> DataFrame:
