@@ -14,6 +14,7 @@ from loanbook.functions.scalars import birthdate, dec, iif
 from loanbook.operators.balances import collected, day, with_collected
 from loanbook.operators.interest import _elapsed, linear_interest, period_interest
 from loanbook.operators.payments import split_principal_first
+from loanbook.session import ensure_checkpoint_dir
 from loanbook.sources.sinks import write_period
 
 CALC = "decimal(28,10)"
@@ -148,10 +149,9 @@ CREDIT_NULLS = ["id_garantia", "id_linea", "id_modalidad_credito", "id_sindicado
                 "fecha_ultima_prorroga", "plazo_prorroga", "fecha_estado", "id_credito_grupo"]
 
 
-def credit_rows(loans, collections, people, owners, period_id: int, start, end,
+def credit_rows(active, collections, people, owners, period_id: int, start, end,
                 variant: str = "loop") -> DataFrame:
     """The credit table of a period: one row of 75 columns per active loan."""
-    active = active_loans(loans, collections, start, end)
     paid = None
     if variant == "period":
         paid = collected(collections.filter(F.col("operacion") >= day(start)), end).select(
@@ -254,15 +254,21 @@ def fill_birthdays(partners) -> DataFrame:
 
 
 def close_tables(loans, collections, partners, groups, route_codes, lists, owners,
-                 period_id: int, start, end, variant: str = "loop") -> dict[str, DataFrame]:
-    """All tables of a period close, lazily."""
+                 period_id: int, start, end, variant: str = "loop", write_once: bool = False) -> dict[str, DataFrame]:
+    """All tables of a period close.
+
+    Four of them read the active loans; ``write_once`` writes those first by checkpoint().
+    """
     if not period_id:
         raise ValueError("a period id is required")
     people = enriched_partners(partners, groups, route_codes, lists)
     staff = analysts(owners, partners, lists)
     active = active_loans(loans, collections, start, end)
+    if write_once:
+        ensure_checkpoint_dir(loans.sparkSession)
+        active = active.checkpoint()
     return {
-        "credito": credit_rows(loans, collections, people, staff, period_id, start, end, variant),
+        "credito": credit_rows(active, collections, people, staff, period_id, start, end, variant),
         "persona": person_rows(active, people, period_id),
         "credito_persona": credit_person_rows(active, people, period_id),
         "analista": analyst_rows(active, people, staff, period_id),

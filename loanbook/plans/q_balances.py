@@ -1,7 +1,5 @@
 """As-of balances and loan life over the whole tables."""
 
-from pyspark.sql import functions as F
-
 from loanbook.operators import balances as B
 from loanbook.plans.registry import AS_OF, query
 from loanbook.plans.sqlviews import m

@@ -1,7 +1,5 @@
 """Month-end tables of one period over the whole loan book."""
 
-import os
-
 from pyspark.sql import functions as F
 
 from loanbook import config
@@ -137,7 +135,7 @@ FROM bal JOIN ppl USING (c_bpartner_id) LEFT JOIN staff USING (cv_ruta_id)"""
 
 
 def _credit(spark, d, variant):
-    return C.credit_rows(T.loans(spark, d), T.collections(spark, d), people(spark, d), staff(spark, d),
+    return C.credit_rows(active(spark, d), T.collections(spark, d), people(spark, d), staff(spark, d),
                          PID, START, END, variant)
 
 
@@ -255,7 +253,8 @@ CLOSE_COUNTS = " UNION ALL ".join([
 
 def close_frames(spark, d):
     return C.close_tables(T.loans(spark, d), T.collections(spark, d), T.partners(spark, d), groups(spark, d),
-                          route_codes(spark, d), lists(spark), T.route_owners(spark, d), PID, START, END)
+                          route_codes(spark, d), lists(spark), T.route_owners(spark, d), PID, START, END,
+                          write_once=True)
 
 
 @query("icc_close", f"""
@@ -290,6 +289,3 @@ def icc_ref_lookup(spark, d):
 def icc_fill_birthdays(spark, d):
     return C.fill_birthdays(T.partners(spark, d)).select("c_bpartner_id", "birthday")
 
-
-def close_to(spark, d, target: str) -> None:
-    C.period_close(close_frames(spark, d), os.path.join(target, "close"))
