@@ -7,6 +7,7 @@ from loanbook.functions.joins import small
 from loanbook.functions.scalars import clean_id
 from loanbook.operators.balances import day, with_collected
 from loanbook.operators.ordered import number_rows
+from loanbook.session import ensure_checkpoint_dir
 
 # Fixed value: first id when the target table is empty.
 FIRST_ID = 10_000_000
@@ -109,14 +110,21 @@ def nearest_partner(rows, partners, max_distance: int = 2) -> DataFrame:
     names = rows.select("name").distinct()
     same = names.join(base, names.name == base.bp_name).select(
         "name", "c_bpartner_id", F.lit(0).alias("distancia"))
-    rest = names.join(same.select("name"), "name", "left_anti")
-    left = rest.select("name", F.explode(_deletions(F.col("name"), max_distance)).alias("_piece"))
-    right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), max_distance)).alias("_piece"))
-    near = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
-        "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= max_distance)
-    best = near.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
-        "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia"))
-    return rows.join(same.unionByName(best), "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
+    found, rest = same, names.join(same.select("name"), "name", "left_anti")
+    # One distance after the other: what is settled near needs no wider search.
+    for most in range(1, max_distance + 1):
+        left = rest.select("name", F.explode(_deletions(F.col("name"), most)).alias("_piece"))
+        right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
+        near = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
+            "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= most)
+        best = near.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
+            "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia"))
+        if most < max_distance:
+            ensure_checkpoint_dir(rows.sparkSession)
+            best = best.checkpoint()
+            rest = rest.join(best.select("name"), "name", "left_anti")
+        found = found.unionByName(best)
+    return rows.join(found, "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
 
 
 def opening_payments(loans, collections, record_date, origin: str = "migrated") -> DataFrame:
