@@ -27,6 +27,16 @@ def day_buckets(day: str, ident: str) -> list[Column]:
     return [F.col(day), F.substring(tie_key(ident), 1, 2)]
 
 
+def stretch_buckets(position: str, hot_rows=None) -> tuple[list[Column], dict]:
+    """Buckets of equal stretches of a non-negative column, and the statistics they need.
+
+    A hot key gets about one bucket per tenth of ``hot_rows`` rows.
+    """
+    rows = max(1, (HOT_ROWS if hot_rows is None else hot_rows) // 10)
+    share = F.ceil(F.col("_n") / F.lit(rows)) / F.col("_max").cast("double")
+    return [F.floor(F.col(position).cast("double") * share)], {"_max": F.max(position)}
+
+
 def split_hot(df, keys, fine, hot_rows=None, stats=None) -> DataFrame:
     """Add the bucket of rows of hot keys; it is null for every other row.
 

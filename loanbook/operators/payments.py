@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loanbook import config
 from loanbook.operators.balances import day, invoice_open
 from loanbook.operators.ordered import (
-    day_buckets, day_running, neighbours, running_total, tie_key)
+    day_buckets, day_running, neighbours, running_total, stretch_buckets, tie_key)
 from loanbook.session import ensure_checkpoint_dir
 
 AMT = "decimal(18,4)"
@@ -218,9 +218,7 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
         "c_bpartner_id", "c_doctype_id", F.col("pos").cast(POS).alias("pos"),
         F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side"))).checkpoint()
     keys, order = ["c_bpartner_id", "c_doctype_id"], [F.col("pos"), F.col("side")]
-    # Equal stretches of money; a hot partner gets about one bucket per 100,000 points.
-    fine = [F.floor(F.col("pos") * F.ceil(F.col("_n") / 100_000) / F.col("_max"))]
-    stats = {"_max": F.max("pos")}
+    fine, stats = stretch_buckets("pos", hot_rows)
     owned = neighbours(points, keys, order, {"prev": "pos"}, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
     amount = (F.col("pos") - F.coalesce("prev", F.lit(0).cast(POS))).cast(AMT)
     return owned.filter(F.col("c_payment_id").isNotNull() & F.col("c_invoice_id").isNotNull()

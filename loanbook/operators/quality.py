@@ -7,7 +7,7 @@ from loanbook import config
 from loanbook.functions.scalars import pending
 from loanbook.operators.balances import day, synced_balance, with_collected
 from loanbook.operators.interest import count
-from loanbook.operators.ordered import day_buckets, next_known, running_total, tie_key
+from loanbook.operators.ordered import day_buckets, next_known, running_total, stretch_buckets, tie_key
 from loanbook.session import ensure_checkpoint_dir
 
 ZERO = "decimal(18,2)"
@@ -139,8 +139,7 @@ def _fold_rounds(spark, items, bins, hot_rows=None) -> DataFrame:
             *key, F.col("abono").alias("size"), F.lit(1).alias("side"),
             F.lit(None).cast("struct<bin:bigint,room:decimal(28,2)>").alias("target"),
             F.col("legacy_cobro_id").alias("item")))
-        stats = {"_max": F.max("size")}
-        buckets = [F.floor(F.col("size") * F.ceil(F.col("_n") / 100_000) / F.col("_max"))]
+        buckets, stats = stretch_buckets("size", hot_rows)
         named = next_known(points, key, [F.col("size"), F.col("side"), F.col("item")], ["target"],
                            buckets, hot_rows, stats)
         named = named.filter(F.col("item").isNotNull() & F.col("target").isNotNull()).select(
