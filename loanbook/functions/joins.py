@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 DIMENSION_ROWS = 100_000
 
 
+def fits(df: DataFrame, max_rows: int | None = None) -> bool:
+    """Whether a dimension stays within the limit; reads at most one row more than that."""
+    limit = DIMENSION_ROWS if max_rows is None else max_rows
+    return df.limit(limit + 1).count() <= limit
+
+
 def small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
     """Broadcast a dimension if it really is small; otherwise leave the join to Spark.
 
-    The check reads at most ``max_rows`` + 1 rows. A larger side is joined by shuffle, where
-    adaptive execution splits skewed partitions.
+    A larger side is joined by shuffle, where adaptive execution splits skewed partitions.
     """
-    limit = DIMENSION_ROWS if max_rows is None else max_rows
-    return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
+    return F.broadcast(df) if fits(df, max_rows) else df

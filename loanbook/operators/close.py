@@ -7,7 +7,7 @@ period; reference lists and route owners are fixed-size dimensions.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
+from loanbook.functions.joins import fits, small
 from loanbook import config
 from loanbook.functions.dates import maturity
 from loanbook.functions.scalars import birthdate, dec, iif
@@ -101,11 +101,14 @@ def disjoint_ageing(end) -> list[Column]:
     ]
 
 
-def lookup(df, lists, list_name: str, code: str, out: str) -> DataFrame:
-    """Description of a code in a reference list, as an integer; null when unknown."""
+def lookup(df, lists, list_name: str, code: str, out: str, hint: bool) -> DataFrame:
+    """Description of a code in a reference list, as an integer; null when unknown.
+
+    ``hint``: the lists were found to be small, so this one is broadcast.
+    """
     one = lists.filter(F.col("lista") == list_name).select(
         F.col("kname").alias(code), F.col("kdesc").cast("int").alias(out))
-    return df.join(small(one), code, "left")
+    return df.join(F.broadcast(one) if hint else one, code, "left")
 
 
 def enriched_partners(partners, groups, route_codes, lists) -> DataFrame:
@@ -113,23 +116,32 @@ def enriched_partners(partners, groups, route_codes, lists) -> DataFrame:
     p = partners.join(small(groups), "rubro", "left").withColumn(
         "id_destino_credito", F.coalesce("grupo_desc", F.lit("7026101")).cast("int"))
     p = p.join(small(route_codes), "cv_ruta_id", "left")
+    hint = fits(lists)
     for name, code, out in [("riesgo", "tipo_riesgo", "id_clasificacion_credito"),
                             ("zona", "tipo_localizacion", "id_tipo_zona"),
                             ("estadocivil", "civilstatus", "id_estado_civil"),
                             ("genero", "genero", "id_genero")]:
-        p = lookup(p, lists, name, code, out)
+        p = lookup(p, lists, name, code, out, hint)
     return p
 
 
 def analysts(owners, partners, lists) -> DataFrame:
-    """Route owners with national id ('-' if unknown), name and gender code."""
+    """Route owners with national id ('-' if unknown), name and gender code.
+
+    One row per route. When the owners are few, every side here has at most as many rows, and
+    the result carries the broadcast hint for the joins that follow.
+    """
+    few = fits(owners)
+
+    def hinted(df):
+        return F.broadcast(df) if few else df
+
     people = partners.select(F.col("c_bpartner_id").alias("owner_id"), "taxid", "nombre", "genero")
-    # At most one row per route, so the owners are the small side of both joins.
-    known = people.join(small(owners.select("owner_id").distinct()), "owner_id", "left_semi")
-    a = owners.join(small(known), "owner_id", "left")
-    return lookup(a, lists, "genero", "genero", "genero_analista").select(
+    known = people.join(hinted(owners.select("owner_id").distinct()), "owner_id", "left_semi")
+    a = owners.join(hinted(known), "owner_id", "left")
+    return hinted(lookup(a, lists, "genero", "genero", "genero_analista", fits(lists)).select(
         "cv_ruta_id", F.coalesce("taxid", F.lit("-")).alias("id_analista"),
-        F.col("nombre").alias("nombre_analista"), "genero_analista")
+        F.col("nombre").alias("nombre_analista"), "genero_analista"))
 
 
 # Fixed values of the credit table.
@@ -159,7 +171,7 @@ def credit_rows(active, collections, people, owners, period_id: int, start, end,
     b = with_balances(active, start, end, variant, paid)
     p = people.select("c_bpartner_id", "cv_ruta_id", "id_clasificacion_credito", "id_destino_credito",
                       "id_municipio", "id_tipo_zona")
-    j = b.join(p, "c_bpartner_id").join(small(owners), "cv_ruta_id", "left")
+    j = b.join(p, "c_bpartner_id").join(owners, "cv_ruta_id", "left")
     overdue = F.col("fecha_vencimiento") < day(end)
     total = F.col("saldo_principal") + F.col("saldo_interes")
     settled = total == 0 if variant == "loop" else total <= 0
@@ -213,7 +225,7 @@ def analyst_rows(active, people, owners, period_id: int) -> DataFrame:
     """One analyst row per national id; several routes of one owner collapse into one."""
     used = active.join(people.select("c_bpartner_id", "cv_ruta_id"), "c_bpartner_id").select(
         "cv_ruta_id").distinct()
-    rows = used.join(small(owners), "cv_ruta_id")
+    rows = used.join(owners, "cv_ruta_id")
     return rows.groupBy("id_analista").agg(
         F.min_by(F.struct("nombre_analista", "genero_analista"), "cv_ruta_id").alias("a")).select(
         F.lit(period_id).alias("c_period_id"), "id_analista",

@@ -19,7 +19,7 @@ def lists(spark):
     rows = [("riesgo", c, str(i + 1)) for i, c in enumerate("ABCDE")]
     rows += [("zona", "U", "1"), ("zona", "R", "2"), ("estadocivil", "S", "1"),
              ("estadocivil", "C", "2"), ("genero", "F", "1"), ("genero", "M", "2")]
-    return spark.createDataFrame(rows, "lista string, kname string, kdesc string")
+    return T.fixed_rows(spark, rows, "lista string, kname string, kdesc string")
 
 
 def groups(spark, d):

@@ -198,9 +198,11 @@ def cash_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _rows(spark, values, schema):
-    """A fixed-size dimension built from literals."""
-    return spark.createDataFrame(values, schema)
+def fixed_rows(spark: SparkSession, values: list[tuple], schema: str) -> DataFrame:
+    """A dimension of literals, kept in the plan. ``schema``: 'name type, name type'."""
+    fields = [f.split() for f in schema.split(", ")]
+    rows = [F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in values]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def boxes(spark: SparkSession) -> DataFrame:
@@ -217,7 +219,7 @@ def boxes(spark: SparkSession) -> DataFrame:
 
 def charges(spark: SparkSession) -> DataFrame:
     """Charges with the name and description of their type (fixed values)."""
-    return _rows(spark, [
+    return fixed_rows(spark, [
         (config.CHARGE_DISBURSEMENT, "Desembolso", "Cartera", "cartera"),
         (config.CHARGE_TRANSFER, "Transferencia", "Cajas", "Transferencia entre cajas"),
         (1000040, "Combustible", "Operativo", "gasto"),
