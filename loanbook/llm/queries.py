@@ -1,6 +1,8 @@
 """Queries of this subpackage: name -> (function of the session and the folder, SQL or None)."""
 
-from loanbook.llm import minhash
+from pyspark.sql import functions as F
+
+from loanbook.llm import decontaminate, minhash, oracles
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -13,6 +15,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op8_minhash_near_dedup")
+@query("op8_minhash_near_dedup", oracles.OP8)
 def near_dedup(spark, sf_dir):
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op10_benchmark_decontamination", oracles.OP10)
+def decontamination(spark, sf_dir):
+    found = decontaminate.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
+    return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        "items_sha256", "contaminated")
