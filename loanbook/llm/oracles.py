@@ -39,7 +39,7 @@ s AS (
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
 links AS (
   SELECT a, b FROM (SELECT p.doc_id AS a, q.doc_id AS b, count(*) AS c FROM s AS p JOIN s AS q USING (x)
-                    WHERE p.doc_id <> q.doc_id GROUP BY ALL) AS both
+                    WHERE p.doc_id <> q.doc_id GROUP BY ALL) AS pairs
   JOIN n AS na ON na.doc_id = a JOIN n AS nb ON nb.doc_id = b WHERE 100 * c >= 75 * (na.n + nb.n - c)),
 reach AS (SELECT DISTINCT a, a AS b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
 least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
@@ -47,3 +47,51 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, coalesce(component_id, doc_
        coalesce(component_id, doc_id) = doc_id AS kept
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN least USING (doc_id)
 """
+
+
+SYMBOLS = "#*$%&|<>"
+WHITE = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+
+def op2(measures: dict[str, int], least: int, spreads: int) -> str:
+    columns = {"symbols": "CASE WHEN word_chars > 0 THEN 10000 * n_symbols // word_chars ELSE 0 END",
+               "dup_lines": "CASE WHEN n_lines > 0 THEN 10000 * n_dup_lines // n_lines ELSE 0 END",
+               "repeats": "CASE WHEN n_words > 0 THEN 10000 * n_repeat_words // n_words ELSE 0 END",
+               "word_length": "CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END"}
+    floors = " ".join(f"WHEN '{m}' THEN {x}" for m, x in measures.items())
+    return f"""
+WITH t AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, {_split('text', SPACES)} AS w,
+             list_filter(string_split(text, chr(10)), lambda x: translate(x, {WHITE}, '') <> '') AS lines FROM t),
+places AS (SELECT r, k, array_to_string(w[k:k + 7], ' ') AS x FROM w, unnest(range(1, len(w) - 6)) AS u(k)),
+twice AS (SELECT r, k FROM (SELECT r, k, count(*) OVER (PARTITION BY r, x) AS c FROM places) AS p WHERE c > 1),
+rep AS (SELECT r, count(DISTINCT k + j) AS n FROM twice, unnest(range(0, 8)) AS u(j) GROUP BY r),
+c AS (
+  SELECT r, doc_id, lang, source, len(w)::BIGINT AS n_words, length(translate(text, {WHITE}, ''))::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '{SYMBOLS}', '')))::BIGINT AS n_symbols, len(lines)::BIGINT AS n_lines,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM w LEFT JOIN rep USING (r)),
+m AS (SELECT r, lang, source, unnest([{', '.join(f"'{m}'" for m in measures)}]) AS measure,
+             unnest([{', '.join(columns[m] for m in measures)}]) AS x FROM c),
+b AS (SELECT lang, source, measure, (x >> greatest(0, length(bin(x)) - 7)) << greatest(0, length(bin(x)) - 7) AS bucket,
+             count(*) AS n FROM m GROUP BY ALL),
+sk AS (SELECT 0 AS level, lang, source, measure, bucket, n FROM b
+       UNION ALL SELECT 1, lang, NULL, measure, bucket, sum(n) FROM b GROUP BY ALL
+       UNION ALL SELECT 2, NULL, NULL, measure, bucket, sum(n) FROM b GROUP BY ALL),
+up AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, measure ORDER BY bucket) AS upto,
+              sum(n) OVER (PARTITION BY level, lang, source, measure) AS total FROM sk),
+q AS (SELECT level, lang, source, measure, max(total) AS total, min(bucket) FILTER (4 * upto >= total) AS q1,
+             min(bucket) FILTER (4 * upto >= 3 * total) AS q3 FROM up GROUP BY ALL),
+h AS (SELECT level, lang, source, measure, total,
+             q3 + {spreads} * greatest(q3 - q1, CASE measure {floors} END) AS high FROM q),
+f AS (SELECT o.lang, o.source, o.measure,
+             CASE WHEN o.total >= {least} THEN o.high WHEN l.total >= {least} THEN l.high ELSE a.high END AS high
+      FROM h AS o JOIN h AS l ON o.lang IS NOT DISTINCT FROM l.lang AND o.measure = l.measure
+      JOIN h AS a ON a.measure = o.measure WHERE o.level = 0 AND l.level = 1 AND a.level = 2),
+bad AS (SELECT DISTINCT r FROM m JOIN f ON m.lang IS NOT DISTINCT FROM f.lang AND m.source IS NOT DISTINCT FROM f.source
+        AND m.measure = f.measure WHERE x > high)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND bad.r IS NULL AS kept
+FROM c LEFT JOIN bad USING (r)
+"""

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, minhash, oracles
+from loanbook.llm import decontaminate, minhash, oracles, quality_rules
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -26,3 +26,10 @@ def decontamination(spark, sf_dir):
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), carry=["doc_id"])
     return found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         "items_sha256", "contaminated")
+
+
+@query("op2_quality_rules", oracles.op2(quality_rules.MEASURES, quality_rules.LEAST, quality_rules.SPREADS))
+def rules(spark, sf_dir):
+    found = quality_rules.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
+    return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                        "base_failed", "kept")
