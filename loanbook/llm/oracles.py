@@ -95,3 +95,22 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND bad.r IS NULL AS kept
 FROM c LEFT JOIN bad USING (r)
 """
+
+
+def op1(rarity: int) -> str:
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, md5(text) AS t, string_split(text, chr(10)) AS lines FROM documents),
+h AS (SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
+e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda k:
+               k = len(lines) OR xor(CASE WHEN k > 1 THEN h[k - 1] ELSE 0 END << 1, h[k]) % {rarity} = 0) AS ends FROM h),
+c AS (SELECT r, doc_id, t, no, CASE WHEN no > 1 THEN ends[no - 1] ELSE 0 END AS b, ends[no] AS e, lines
+      FROM e, unnest(range(1, len(ends) + 1)) AS u(no)),
+x AS (SELECT r, doc_id, no, b, e, lines[b + 1:e] AS own, e - b >= 2
+             AND len(list_filter(lines[b + 1:e], lambda y: translate(y, {WHITE}, '') <> '')) >= 2 AS long FROM c),
+o AS (SELECT *, row_number() OVER (PARTITION BY long, array_to_string(own, chr(10)) ORDER BY doc_id, no) AS place FROM x),
+k AS (SELECT r, list(own ORDER BY no) FILTER (NOT long OR place = 1) AS stays,
+             sum(CASE WHEN long AND place > 1 THEN e - b ELSE 0 END) AS gone FROM o GROUP BY r)
+SELECT doc_id, CASE WHEN gone > 0 THEN coalesce(array_to_string(flatten(stays), chr(10)), '') ELSE text END AS text,
+       coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(gone, 0)::BIGINT AS n_removed
+FROM d LEFT JOIN k USING (r)
+"""

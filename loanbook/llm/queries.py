@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, minhash, oracles, quality_rules
+from loanbook.llm import decontaminate, line_dedup, minhash, oracles, quality_rules
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -33,3 +33,9 @@ def rules(spark, sf_dir):
     found = quality_rules.judged(table(spark, sf_dir, "documents"), carry=["doc_id"])
     return found.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                         "base_failed", "kept")
+
+
+@query("op1_line_dedup", oracles.op1(line_dedup.RARITY))
+def lines(spark, sf_dir):
+    found = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "text", "n_lines", "n_removed")
