@@ -31,7 +31,7 @@ from loanbook.llm.words import NOT_SPACE, Words, blocks, windows
 SLOTS, ORDERS, HEAD, KEY_SLOTS, NEAR = 64, 21, 3, 8, 3
 DEEP = 6
 #: Members that share one copy of their hub's text.
-HUB_MEMBERS = 256
+HUB_MEMBERS = 64
 
 _RNG = np.random.RandomState(75)
 _XOR = _RNG.randint(0, 2**32, SLOTS, dtype=np.uint64).astype(np.uint32)

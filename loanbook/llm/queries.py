@@ -1,8 +1,9 @@
 """Queries of this subpackage: name -> (function of the session and the folder, SQL or None)."""
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, line_dedup, minhash, oracles, quality_rules
+from loanbook.llm import decontaminate, line_dedup, minhash, oracles, packing, quality_rules
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -39,3 +40,8 @@ def rules(spark, sf_dir):
 def lines(spark, sf_dir):
     found = line_dedup.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("row.doc_id", "text", "n_lines", "n_removed")
+
+
+@query("op5_best_fit_packing")
+def pack(spark, sf_dir):
+    return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
