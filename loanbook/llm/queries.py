@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, line_dedup, minhash, oracles, packing, quality_rules
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -45,3 +45,8 @@ def lines(spark, sf_dir):
 @query("op5_best_fit_packing")
 def pack(spark, sf_dir):
     return packing.packed(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query("op4_lm_scoring")
+def scores(spark, sf_dir):
+    return language_model.scored(table(spark, sf_dir, "documents"))
