@@ -114,3 +114,13 @@ SELECT doc_id, CASE WHEN gone > 0 THEN coalesce(array_to_string(flatten(stays),
        coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(gone, 0)::BIGINT AS n_removed
 FROM d LEFT JOIN k USING (r)
 """
+
+
+OP6 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+s AS (SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, sha256(payload) AS payload_digest FROM p),
+f AS (SELECT payload_digest, min(page_id) AS first FROM s WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM s LEFT JOIN f USING (payload_digest)
+"""

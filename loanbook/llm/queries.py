@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -50,3 +50,9 @@ def pack(spark, sf_dir):
 @query("op4_lm_scoring")
 def scores(spark, sf_dir):
     return language_model.scored(table(spark, sf_dir, "documents"))
+
+
+@query("op6_warc", oracles.OP6)
+def archives(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
