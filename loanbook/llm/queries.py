@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -56,3 +56,8 @@ def scores(spark, sf_dir):
 def archives(spark, sf_dir):
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op7_substring_dedup")
+def passages(spark, sf_dir):
+    return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
