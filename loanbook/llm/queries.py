@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, quality_rules, substring_dedup, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, preference, quality_rules, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -61,3 +61,8 @@ def archives(spark, sf_dir):
 @query("op7_substring_dedup")
 def passages(spark, sf_dir):
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def classifier(spark, sf_dir):
+    return preference.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
