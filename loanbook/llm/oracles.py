@@ -124,3 +124,21 @@ SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id <> first THEN '
        CASE WHEN page_id <> first THEN first END AS refers_to
 FROM s LEFT JOIN f USING (payload_digest)
 """
+
+
+OP9 = """
+WITH t AS (SELECT row_number() OVER () AS r, conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
+                  replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
+p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
+v AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'
+                               ELSE 'user' END AS role
+      FROM t JOIN p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
+h AS (SELECT *, '<|im_start|>' || role || CASE WHEN role = 'user' THEN ' name=' || speaker ELSE '' END || chr(10) AS head FROM v),
+s AS (SELECT *, head || text || '<|im_end|>' || chr(10) AS segment FROM h),
+o AS (SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, text, r
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM s)
+SELECT conv_id, perspective, turn, speaker, role, segment, start, length(segment)::BIGINT AS length,
+       CASE WHEN role = 'assistant' THEN start + length(head) ELSE start END::BIGINT AS train_start,
+       CASE WHEN role = 'assistant' THEN length(text) + 10 ELSE 0 END::BIGINT AS train_length
+FROM o
+"""

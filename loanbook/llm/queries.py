@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, preference, quality_rules, substring_dedup, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, perspectives, preference, quality_rules, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -66,3 +66,8 @@ def passages(spark, sf_dir):
 @query("op3_quality_classifier")
 def classifier(spark, sf_dir):
     return preference.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_chat_formatting", oracles.OP9)
+def chat(spark, sf_dir):
+    return perspectives.rotated(table(spark, sf_dir, "conversations"))
