@@ -15,12 +15,10 @@ RARITY = 3
 _SPACES = " \t\n\u000b\f\r"
 
 
-def _chunked(docs: DataFrame, id_col: str, text_col: str, extra: list[Column]) -> DataFrame:
-    """extra, doc_id, text, text_hash, lines, ends: ends are the line numbers after which a chunk ends."""
-    df = docs.select(*extra, F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
-                     F.xxhash64(text_col).alias("text_hash"), F.split(text_col, "\n").alias("lines"))
-    line = F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long"))
-    df = df.withColumn("hashes", line)
+def _chunked(df: DataFrame) -> DataFrame:
+    """df, which has a column text, with lines and ends: the line numbers after which a chunk ends."""
+    df = df.withColumn("lines", F.split("text", "\n"))
+    df = df.withColumn("hashes", F.transform("lines", lambda x: F.conv(F.substring(F.md5(x), 1, 8), 16, 10).cast("long")))
 
     def ends_here(h: Column, k: Column) -> Column:
         before = F.coalesce(F.get("hashes", k - 1), F.lit(0).cast("long"))
@@ -51,7 +49,8 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text stays null and has no lines; an empty one has one empty line. Rows with null id come
     first in the order of ids. Columns of docs stay inside `row` and cannot clash.
     """
-    parts = _chunked(docs, id_col, text_col, []).select("doc_id", "text_hash", F.explode(_chunks()).alias("c"))
+    key = [F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash")]
+    parts = _chunked(docs.select(*key, F.col(text_col).alias("text"))).select("doc_id", "text_hash", F.explode(_chunks()).alias("c"))
     # Grouping by the text itself compares bytes; the digest only names the group afterwards.
     found = (parts.groupBy("c.text").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "text_hash", "c.no")).alias("first"))
@@ -62,9 +61,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     later = here.join(repeated, "digest").where(~place.eqNullSafe(F.col("first")))
     removed = keep(later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("no", "n")).alias("gone"))
                    .select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), "gone"), "removed")
-    row = F.struct(*docs.columns).alias("row")
-    whole = _chunked(docs, id_col, text_col, [row]).join(
+    # Texts pass this join once, inside their rows; lines are cut again behind it.
+    whole = docs.select(*key, F.struct(*docs.columns).alias("row")).join(
         removed, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left")
+    whole = _chunked(whole.select("row", "gone", F.col("row")[text_col].alias("text")))
 
     def stays(end: Column, k: Column) -> Column:
         begin = F.coalesce(F.get("ends", k - 1), F.lit(0))
