@@ -11,6 +11,7 @@
    its number up.
 """
 
+import array
 import bisect
 import os
 import re
@@ -22,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from loanbook.llm.shared import keep
+from loanbook.llm.words import blocks, span_hashes
 
 CAPACITY = 2048
 #: Part of the scarcest length of a configuration that one step of the program covers.
@@ -31,61 +33,85 @@ ROUNDS = 1000
 RATE = 20
 #: Pieces that best fit places one by one; larger histograms are packed by parts.
 AT_ONCE = 200_000
-#: Words whose ids a task remembers.
+#: Pieces whose ids a task remembers.
 REMEMBERED = 1_000_000
-#: Texts encoded together, as characters.
-TOGETHER = 2_000_000
-#: White space other than a single blank between words.
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+#: Blank and line feed; all other white space (\\s of Unicode and a few controls) as UTF-8; ASCII letters.
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, 0x0A]] = True
+_OTHER_SPACE = re.compile(
+    b"[\t\x0b-\r\x1c-\x1f]|\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
 
 
 class Encoder:
-    """Ids of texts by a tokenizer file, as little-endian 32-bit numbers.
+    """Ids of texts by a tokenizer file.
 
-    Between two words a single blank always begins a new piece of byte-level pre-tokenization,
-    so a text may be cut there and each distinct piece encoded once. Texts with other white
-    space beside a blank are encoded whole.
+    In byte-level pre-tokenization a single blank between words begins a piece, a single line
+    feed is one, and so is a comma or stop between a letter and white space. Texts are cut there,
+    equal pieces are found by hash, and each distinct piece is encoded once. A text with white space at an
+    end, other white space, or several together is encoded whole.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # tasks are the parallelism
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[int, bytes] = {}
 
     def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def ids(self, texts: list[str]) -> list[bytes]:
-        cut = [None if "  " in t or " \n" in t or "\n " in t or t[:1] == " " or t[-1:] == " " or "\0" in t
-               or _OTHER_SPACE.search(t) else t.replace(" ", "\0 ").split("\0") if t else () for t in texts]
-        new = list({w for words in cut if words for w in words if w not in self.known})
-        found = dict(zip(new, self.whole(new)))
-        if len(self.known) + len(found) <= REMEMBERED:
-            self.known.update(found)
-            found = self.known
-        else:
-            for words in cut:  # the memory is full: what is frequent is in it
-                found.update((w, self.known[w]) for w in words or () if w not in found)
-        other = iter(self.whole([t for t, words in zip(texts, cut) if words is None]))
-        return [next(other) if words is None else b"".join([found[w] for w in words]) for words in cut]
+        return [array.array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _distinct(self, hashes: list[int], raw: bytes, begin: list[int], end: list[int]) -> list[bytes]:
+        known = self.known
+        found = [known.get(h) for h in hashes]
+        new = [k for k, ids in enumerate(found) if ids is None]
+        for k, ids in zip(new, self.whole([raw[begin[k]:end[k]].decode() for k in new])):
+            found[k] = ids
+            if len(known) < REMEMBERED:
+                known[hashes[k]] = ids
+        return found
+
+    def ids(self, data: np.ndarray, bounds: np.ndarray) -> list[np.ndarray]:
+        """Ids of each text of a block."""
+        n = len(data)
+        first = np.zeros(n + 1, bool)
+        first[bounds] = True
+        space = _SPACE[data]
+        meets = np.zeros(n, bool)  # white space after white space or at an end of its text
+        meets[1:] = space[1:] & space[:-1]
+        meets |= space & (first[:-1] | first[1:])
+        raw = data.tobytes()
+        odd = np.unique(np.searchsorted(bounds, np.concatenate(
+            [np.flatnonzero(meets), np.array([m.start() for m in _OTHER_SPACE.finditer(raw)], np.int64)]), "right") - 1)
+        cut = first[:-1] | space
+        cut[1:] |= data[:-1] == 0x0A
+        alone = np.zeros(n, bool)
+        alone[1:] = ((data[1:] == 0x2C) | (data[1:] == 0x2E)) & _LETTER[data[:-1]]
+        alone[:-1] &= space[1:] | first[1:-1]
+        begin = np.flatnonzero(cut | alone)
+        if not len(begin):
+            return [np.zeros(0, np.uint32)] * (len(bounds) - 1)
+        end = np.append(begin[1:], n)
+        hashes, example, of = np.unique(span_hashes(data, begin, end), return_index=True, return_inverse=True)
+        found = self._distinct(hashes.tolist(), raw, begin[example].tolist(), end[example].tolist())
+        store = np.frombuffer(b"".join(found), np.uint32)
+        size = np.array([len(x) for x in found], np.int64) // 4
+        at = (np.cumsum(size) - size)[of]
+        size = size[of]
+        upto = np.cumsum(size)
+        flat = store[np.arange(upto[-1]) + np.repeat(at - upto + size, size)]
+        edges = np.append(0, upto)[np.searchsorted(begin, bounds)]
+        out = [flat[a:b] for a, b in zip(edges[:-1], edges[1:])]
+        texts = [raw[bounds[d]:bounds[d + 1]].decode() for d in odd]
+        for d, own in zip(odd, self.whole(texts)):
+            out[d] = np.frombuffer(own, np.uint32)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
 
 
-def encoded(encoder: Encoder, texts: pa.Array):
-    """Ids of each text, a bounded number of characters at a time."""
-    waiting, size = [], 0
-    for text in texts:
-        waiting.append(text.as_py() or "")
-        size += len(waiting[-1])
-        if size >= TOGETHER:
-            yield from encoder.ids(waiting)
-            waiting, size = [], 0
-    yield from encoder.ids(waiting)
-
-
 def _pieces(path: str, capacity: int, end: int, with_ids: bool):
     def run(batches):
         encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
@@ -94,8 +120,9 @@ def _pieces(path: str, capacity: int, end: int, with_ids: bool):
         tail = np.array([end], "<u4").tobytes()
         for batch in batches:
             out = [[] for _ in range(7)]
-            for row, ids in enumerate(encoded(encoder, batch.column(1))):
-                ids += tail
+            texts = (ids for _, _, data, bounds in blocks(batch.column(1)) for ids in encoder.ids(data, bounds))
+            for row, ids in enumerate(texts):
+                ids = ids.astype("<u4").tobytes() + tail
                 n = len(ids) // 4
                 at, piece = 0, 0
                 while at < n:

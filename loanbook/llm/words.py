@@ -58,6 +58,20 @@ def blocks(texts: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int,
         at = to
 
 
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the bytes start:end of each span; spans are in order and do not overlap."""
+    out = np.empty(len(start), np.uint64)
+    cuts = np.unique(np.searchsorted(start, np.arange(0, len(data) + _WINDOW, _WINDOW)))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        lo, hi = start[a], end[b - 1]
+        _grow(hi - lo + 1)
+        sums = np.zeros(hi - lo + 1, np.uint64)
+        np.cumsum(_BYTE[data[lo:hi]] * _powers[0][:hi - lo], out=sums[1:])
+        s, e = start[a:b] - lo, end[a:b] - lo
+        out[a:b] = mix((sums[e] - sums[s]) * _powers[1][s] + (e - s).astype(np.uint64))
+    return out
+
+
 class Words:
     """Words of a block: hash, start and end byte of each, and first[d]:first[d + 1] of text d."""
 
@@ -76,19 +90,7 @@ class Words:
         self.start = np.flatnonzero(inside & ~before)
         self.end = np.flatnonzero(inside & ~after) + 1
         self.first = np.searchsorted(self.start, bounds)
-        self.hash = self._hash()
-
-    def _hash(self) -> np.ndarray:
-        out = np.empty(len(self.start), np.uint64)
-        cuts = np.unique(np.searchsorted(self.start, np.arange(0, len(self.data) + _WINDOW, _WINDOW)))
-        for a, b in zip(cuts[:-1], cuts[1:]):
-            lo, hi = self.start[a], self.end[b - 1]
-            _grow(hi - lo + 1)
-            sums = np.zeros(hi - lo + 1, np.uint64)
-            np.cumsum(_BYTE[self.data[lo:hi]] * _powers[0][:hi - lo], out=sums[1:])
-            s, e = self.start[a:b] - lo, self.end[a:b] - lo
-            out[a:b] = mix((sums[e] - sums[s]) * _powers[1][s] + (e - s).astype(np.uint64))
-        return out
+        self.hash = span_hashes(self.data, self.start, self.end)
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
