@@ -27,8 +27,8 @@ from loanbook.llm.shared import keep
 from loanbook.llm.words import NOT_SPACE, Words, blocks, mix
 
 #: Tokens of a chunk, and entries that one group of questions holds on average.
-CHUNK_TOKENS = 2_000_000
-GROUP_ENTRIES = 500_000
+CHUNK_TOKENS = 500_000
+GROUP_ENTRIES = 250_000
 #: Context buckets: never seen, 1, 2-3, 4-7, ... occurrences.
 BUCKETS = 24
 FOLDS, TEST_FOLD, TUNING = 7, 2, 10
