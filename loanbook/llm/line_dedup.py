@@ -62,8 +62,9 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     removed = keep(later.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("no", "n")).alias("gone"))
                    .select(F.col("doc_id").alias("i"), F.col("text_hash").alias("t"), "gone"), "removed")
     # Texts pass this join once, inside their rows; lines are cut again behind it.
+    # The list of removed chunks grows with the corpus: a merge join at every size, no broadcast.
     whole = docs.select(*key, F.struct(*docs.columns).alias("row")).join(
-        removed, F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left")
+        removed.hint("merge"), F.col("doc_id").eqNullSafe(F.col("i")) & (F.col("text_hash") == F.col("t")), "left")
     whole = _chunked(whole.select("row", "gone", F.col("row")[text_col].alias("text")))
 
     def stays(end: Column, k: Column) -> Column:
