@@ -234,17 +234,12 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return [(list(k), n) for k, n in out.items()]
 
 
-def rounded(counts: np.ndarray, plan, capacity: int) -> list[tuple[list[int], int]]:
-    """[(lengths of a sequence, longest first, number of such sequences)] that hold every piece once.
-
-    Configurations without waste are used a whole number of times; what is left, at most one
-    sequence for each of them and the pieces of wasteful ones, is placed best fit.
-    """
+def _rounded(counts: np.ndarray, plan, capacity: int, scale: float, wasteful: bool) -> list[tuple[list[int], int]]:
     left = counts.astype(np.int64).copy()
     merged: dict[bytes, list] = {}
     for used, times in plan:
-        if int((used * np.arange(len(used))).sum()) == capacity:
-            merged.setdefault(used.tobytes(), [used, 0.0])[1] += times
+        if wasteful or int((used * np.arange(len(used))).sum()) == capacity:
+            merged.setdefault(used.tobytes(), [used, 0.0])[1] += times * scale
     out = []
     for used, times in sorted(merged.values(), key=lambda x: -x[1]):
         own = np.flatnonzero(used)
@@ -255,6 +250,17 @@ def rounded(counts: np.ndarray, plan, capacity: int) -> list[tuple[list[int], in
     return out + best_fit(left, capacity)
 
 
+def rounded(counts: np.ndarray, plan, capacity: int) -> list[tuple[list[int], int]]:
+    """[(lengths of a sequence, longest first, number of such sequences)] that hold every piece once.
+
+    Configurations are used a whole number of times; the pieces left are placed best fit. Where
+    few lengths complement each other, scaling the program's solution down leaves best fit a fairer
+    mix, so several scales are rounded and the one with fewest sequences is kept.
+    """
+    tries = [_rounded(counts, plan, capacity, *how) for how in ((1, False), (1, True), (0.5, True), (0.25, True), (0.1, True))]
+    return min(tries, key=lambda x: sum(n for _, n in x))
+
+
 def ranges(sequences) -> dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """For each length: first numbers, first sequences and offsets of its ranges."""
     found: dict[int, list] = {}
