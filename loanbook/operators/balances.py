@@ -17,6 +17,13 @@ def day(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value).cast("date")
 
 
+def owned(collections, loans) -> DataFrame:
+    """Collections with their partner: their own column where they have one, else that of the loan."""
+    if "c_bpartner_id" in collections.columns:
+        return collections
+    return collections.join(loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id"), "id_cartera")
+
+
 def collected(collections: DataFrame, as_of=None) -> DataFrame:
     """Per loan: collections up to a day (all when none is given)."""
     c = collections if as_of is None else collections.filter(F.col("operacion") <= day(as_of))

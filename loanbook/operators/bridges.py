@@ -7,7 +7,6 @@ and the rejected rows with a reason. One record at a time becomes one pass over
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.scalars import payment_term, pending
 from loanbook.operators.balances import day, synced_balance
@@ -53,7 +52,7 @@ def bridge_loans(loans, partners, users, branches, *, origin: str | None = "nati
         c = c.filter(F.col("ad_org_id") == org)
     p = partners.select("c_bpartner_id", "has_location", F.lit(True).alias("_bp"))
     b = branches.select("ad_org_id", F.lit(True).alias("_org"))
-    j = c.join(p, "c_bpartner_id", "left").join(small(b), "ad_org_id", "left")
+    j = c.join(p, "c_bpartner_id", "left").join(b, "ad_org_id", "left")
     if box_of is None:
         u = users.select(F.col("ad_user_id").alias("createdby"), F.lit(True).alias("_usr"),
                          F.col("c_bankaccount_id").alias("_box"))
@@ -111,7 +110,7 @@ def route_owner_boxes(partners, owners, users) -> DataFrame:
     """Cash box of the owner of each partner's route."""
     boxes = owners.join(users.select(F.col("ad_user_id").alias("owner_id"), "c_bankaccount_id"), "owner_id")
     return partners.select("c_bpartner_id", "cv_ruta_id").join(
-        small(boxes.select("cv_ruta_id", "c_bankaccount_id")), "cv_ruta_id")
+        boxes.select("cv_ruta_id", "c_bankaccount_id"), "cv_ruta_id")
 
 
 def legacy_partner(loans, legacy_clients) -> DataFrame:
@@ -130,20 +129,17 @@ def _receipts(good) -> DataFrame:
 
 
 def bridge_collections(collections, partners, users, *, strict: bool = True, checked: bool = False,
-                       loans=None, invoices=None, all_collections=None, org=None, cobro_id=None,
-                       limit=None) -> dict[str, DataFrame]:
+                       loans=None, invoices=None, all_collections=None, org=None, cobro_id=None) -> dict[str, DataFrame]:
     """Pending native collections (with their partner) to receipts.
 
     ``checked`` also requires a partner location, the loan, its unpaid invoice and a synced
-    balance that is not negative, and links the invoice. ``limit`` takes the oldest ones.
+    balance that is not negative, and links the invoice.
     """
     c = collections.filter(pending(F.col("synced"), strict) & (F.col("origen") == "native") & (F.col("abono") > 0))
     if org is not None:
         c = c.filter(F.col("ad_org_id") == org)
     if cobro_id is not None:
         c = c.filter(F.col("legacy_cobro_id") == cobro_id)
-    if limit is not None:
-        c = c.orderBy("operacion", "legacy_cobro_id").limit(limit)
     u = users.select(F.col("ad_user_id").alias("createdby"), F.lit(True).alias("_usr"),
                      F.col("c_bankaccount_id").alias("_box"))
     p = partners.select("c_bpartner_id", F.lit(True).alias("_bp"), "has_location")
@@ -229,7 +225,7 @@ def complete_documents(documents, open_periods, date_column: str, org=None) -> D
         F.trunc("startdate", "month"), F.trunc("enddate", "month"), F.expr("INTERVAL 1 MONTH"))))
     # Whether some open period holds the day; one row per month keeps the document count.
     per_month = months.groupBy("_m").agg(F.collect_set(F.struct("startdate", "enddate")).alias("_open"))
-    d = documents.withColumn("_m", F.trunc(date_column, "month")).join(small(per_month), "_m", "left")
+    d = documents.withColumn("_m", F.trunc(date_column, "month")).join(per_month, "_m", "left")
     inside = F.coalesce(F.exists("_open", lambda p: F.col(date_column).between(p.startdate, p.enddate)), F.lit(False))
     hit = (F.col("docstatus") == "DR") & inside
     if org is not None:

@@ -4,7 +4,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.scalars import fixed_fx, regex_match
 from loanbook.operators.balances import day
@@ -18,7 +17,7 @@ def _total(cond: Column, amount: str = "payamt") -> Column:
 
 
 def _with_charges(payments, charges) -> DataFrame:
-    return payments.join(small(charges), "c_charge_id", "left")
+    return payments.join(charges, "c_charge_id", "left")
 
 
 def positions(payments, charges, boxes, branches, start, end, collectors_only: bool = False) -> DataFrame:
@@ -41,8 +40,8 @@ def positions(payments, charges, boxes, branches, start, end, collectors_only: b
     b = boxes
     if collectors_only:
         b = b.filter(regex_match(F.col("tipocaja"), "cobrador"))
-    return rows.join(small(b.select("c_bankaccount_id", "codcaja", "nombrecaja")), "c_bankaccount_id").join(
-        small(branches), "ad_org_id").withColumnRenamed("org_name", "sucursal").drop("c_bankaccount_id")
+    return rows.join(b.select("c_bankaccount_id", "codcaja", "nombrecaja"), "c_bankaccount_id").join(
+        branches, "ad_org_id").withColumnRenamed("org_name", "sucursal").drop("c_bankaccount_id")
 
 
 MEASURES = ["inicial", "ingresos_transfer", "cobros", "egresos_transfer", "gastos", "desembolsos", "final"]
@@ -66,7 +65,7 @@ def deliveries(payments, boxes, branches, on_day=None, org=None, collections_by:
     charge = F.col("c_charge_id")
     collected = (F.col("c_invoice_id").isNotNull() if collections_by == "invoice"
                  else F.col("c_doctype_id") == config.DOC_RECEIPT)
-    p = p.join(small(boxes), "c_bankaccount_id")
+    p = p.join(boxes, "c_bankaccount_id")
     if collectors_only:
         p = p.filter(regex_match(F.col("tipocaja"), "cobrador"))
     moved = charge == config.CHARGE_TRANSFER
@@ -85,8 +84,8 @@ def deliveries(payments, boxes, branches, on_day=None, org=None, collections_by:
         F.concat_ws("-", "codcaja", "nombrecaja").alias("cajadestinoname"))
     return (
         rows.withColumn("efectivo", cash).withColumn("saldocaja", F.col("efectivo") - F.col("enviados"))
-        .join(small(central), "box_org_id", "left")
-        .join(small(branches), "ad_org_id").withColumnRenamed("org_name", "orgname").drop("box_org_id")
+        .join(central, "box_org_id", "left")
+        .join(branches, "ad_org_id").withColumnRenamed("org_name", "orgname").drop("box_org_id")
     )
 
 
@@ -153,7 +152,7 @@ def closings_period(payments, boxes, branches, pending_days, start, end):
     negative_from = position.filter(F.col("saldocaja") < 0).groupBy("ad_org_id").agg(
         F.min("dateacct").alias("dia"))
     stop = pending_from.unionByName(negative_from).groupBy("ad_org_id").agg(F.min("dia").alias("stop"))
-    kept = position.join(small(stop), "ad_org_id", "left").filter(
+    kept = position.join(stop, "ad_org_id", "left").filter(
         F.col("stop").isNull() | (F.col("dateacct") < F.col("stop"))).drop("stop")
     return closings(kept)[0], stop
 
@@ -179,7 +178,7 @@ def movements(payments, branches, boxes) -> DataFrame:
     return (
         payments.filter(F.col("docstatus").isin(*DONE)).withColumn("tipomov", kind)
         .filter(F.col("tipomov").isNotNull())
-        .join(small(branches), "ad_org_id").join(small(boxes), "c_bankaccount_id")
+        .join(branches, "ad_org_id").join(boxes, "c_bankaccount_id")
         .select("c_payment_id", F.col("ad_org_id").alias("codsucursal"), F.col("org_name").alias("sucursal"),
                 "c_bankaccount_id", F.col("nombrecaja").alias("caja"), "tipocaja",
                 F.col("dateacct").alias("fecha"), "tipomov", F.col("payamt").alias("monto"))
@@ -224,14 +223,14 @@ def box_means(daily) -> DataFrame:
 def _charged(payments, charges, start, end) -> DataFrame:
     p = payments.filter(F.col("dateacct").between(day(start), day(end)))
     skip = regex_match(F.col("chargetype"), "cartera") | regex_match(F.col("chargetype"), "cajas")
-    return p.join(small(charges), "c_charge_id").filter(~skip)
+    return p.join(charges, "c_charge_id").filter(~skip)
 
 
 def by_charge(payments, charges, branches, start, end) -> DataFrame:
     """Charge x branch totals with their value at the fixed exchange rate."""
     rows = _charged(payments, charges, start, end).groupBy("ad_org_id", "c_charge_id", "cargo").agg(
         F.sum("payamt").cast("decimal(18,2)").alias("monto"))
-    return rows.join(small(branches), "ad_org_id").select(
+    return rows.join(branches, "ad_org_id").select(
         "ad_org_id", F.col("org_name").alias("sucursal"), "c_charge_id", "cargo", "monto",
         fixed_fx(F.col("monto")).alias("montousd"))
 
@@ -245,7 +244,7 @@ def charge_detail(payments, charges, branches, boxes, start, end, org=None) -> D
     rows = _charged(payments, charges, start, end)
     if org is not None:
         rows = rows.filter(F.col("ad_org_id") == org)
-    return rows.join(small(branches), "ad_org_id").join(small(boxes), "c_bankaccount_id").select(
+    return rows.join(branches, "ad_org_id").join(boxes, "c_bankaccount_id").select(
         "ad_org_id", F.col("org_name").alias("sucursal"), "c_charge_id", "cargo",
         F.col("dateacct").alias("fecha"), F.col("c_payment_id").alias("documento"),
         F.col("nombrecaja").alias("caja"), F.col("payamt").alias("monto"), "c_bpartner_id")

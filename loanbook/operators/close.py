@@ -7,7 +7,6 @@ period; reference lists and route owners are fixed-size dimensions.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import fits, small
 from loanbook import config
 from loanbook.functions.dates import maturity
 from loanbook.functions.scalars import birthdate, dec, iif
@@ -101,47 +100,33 @@ def disjoint_ageing(end) -> list[Column]:
     ]
 
 
-def lookup(df, lists, list_name: str, code: str, out: str, hint: bool) -> DataFrame:
-    """Description of a code in a reference list, as an integer; null when unknown.
-
-    ``hint``: the lists were found to be small, so this one is broadcast.
-    """
+def lookup(df, lists, list_name: str, code: str, out: str) -> DataFrame:
+    """Description of a code in a reference list, as an integer; null when unknown."""
     one = lists.filter(F.col("lista") == list_name).select(
         F.col("kname").alias(code), F.col("kdesc").cast("int").alias(out))
-    return df.join(F.broadcast(one) if hint else one, code, "left")
+    return df.join(one, code, "left")
 
 
 def enriched_partners(partners, groups, route_codes, lists) -> DataFrame:
     """Partners with the codes the regulator asks for."""
-    p = partners.join(small(groups), "rubro", "left").withColumn(
+    p = partners.join(groups, "rubro", "left").withColumn(
         "id_destino_credito", F.coalesce("grupo_desc", F.lit("7026101")).cast("int"))
-    p = p.join(small(route_codes), "cv_ruta_id", "left")
-    hint = fits(lists)
+    p = p.join(route_codes, "cv_ruta_id", "left")
     for name, code, out in [("riesgo", "tipo_riesgo", "id_clasificacion_credito"),
                             ("zona", "tipo_localizacion", "id_tipo_zona"),
                             ("estadocivil", "civilstatus", "id_estado_civil"),
                             ("genero", "genero", "id_genero")]:
-        p = lookup(p, lists, name, code, out, hint)
+        p = lookup(p, lists, name, code, out)
     return p
 
 
 def analysts(owners, partners, lists) -> DataFrame:
-    """Route owners with national id ('-' if unknown), name and gender code.
-
-    One row per route. When the owners are few, every side here has at most as many rows, and
-    the result carries the broadcast hint for the joins that follow.
-    """
-    few = fits(owners)
-
-    def hinted(df):
-        return F.broadcast(df) if few else df
-
+    """Route owners with national id ('-' if unknown), name and gender code. One row per route."""
     people = partners.select(F.col("c_bpartner_id").alias("owner_id"), "taxid", "nombre", "genero")
-    known = people.join(hinted(owners.select("owner_id").distinct()), "owner_id", "left_semi")
-    a = owners.join(hinted(known), "owner_id", "left")
-    return hinted(lookup(a, lists, "genero", "genero", "genero_analista", fits(lists)).select(
+    a = owners.join(people, "owner_id", "left")
+    return lookup(a, lists, "genero", "genero", "genero_analista").select(
         "cv_ruta_id", F.coalesce("taxid", F.lit("-")).alias("id_analista"),
-        F.col("nombre").alias("nombre_analista"), "genero_analista"))
+        F.col("nombre").alias("nombre_analista"), "genero_analista")
 
 
 # Fixed values of the credit table.
@@ -289,7 +274,7 @@ def close_tables(loans, collections, partners, groups, route_codes, lists, owner
     }
 
 
-def period_close(tables: dict[str, DataFrame], target_dir: str) -> None:
-    """Write the tables of a close; running it again replaces the same period only."""
+def period_close(tables: dict[str, DataFrame], target_dir: str, period_id: int) -> None:
+    """Write the tables of a close; running it again replaces the same period only, also by nothing."""
     for name, df in tables.items():
-        write_period(df, f"{target_dir}/{name}")
+        write_period(df, f"{target_dir}/{name}", periods=[period_id])

@@ -165,7 +165,7 @@ def schedule_level_total(loans, net_of_interest: bool = False) -> DataFrame:
     return _equal_rows(loans, amount, "decimal(28,10)", 1)
 
 
-def unbilled(strict: bool = False) -> Column:
+def unbilled() -> Column:
     return F.col("processed").isNull() | (F.col("processed") == "N")
 
 
@@ -203,11 +203,11 @@ def recalc_schedule(schedule, loans, open_capital, process_date) -> DataFrame:
         _money(F.col("plan.interes")).alias("dueamt"))
 
 
-def due_on(schedule, process_date, limit: int | None = None) -> DataFrame:
-    """Pending instalments due on a day; the latest ids first when a limit is set."""
+def due_on(schedule, process_date) -> DataFrame:
+    """Pending instalments due on a day."""
     out = schedule.filter(
         (F.col("duedate") == day(process_date)) & unbilled() & (F.col("isactive") == "Y"))
-    return out.orderBy(F.desc("legacy_schedule_id")).limit(limit) if limit else out
+    return out
 
 
 def _already_billed(invoices) -> DataFrame:
@@ -239,6 +239,19 @@ def bill_daily(schedule, invoices, process_date, recalculated=None) -> DataFrame
     return _interest_invoices(open_rows, process_date)
 
 
+def billing_updates(pending, invoices, billed, new_id: Column) -> DataFrame:
+    """Flags of the instalments a billing run has dealt with.
+
+    ``pending``: the instalments it looked at; ``billed``: its new invoices, whose ids ``new_id``
+    gives. Instalments that already had an invoice are only marked as processed.
+    """
+    flags = F.lit("Y").alias("processed")
+    old = pending.join(_already_billed(invoices), "legacy_schedule_id", "left_semi").select(
+        "legacy_schedule_id", flags, F.lit(None).cast("bigint").alias("ref_invoice_id"), F.lit("existente").alias("factura"))
+    return billed.select("legacy_schedule_id", flags, new_id.cast("bigint").alias("ref_invoice_id"),
+                         F.lit("nueva").alias("factura")).unionByName(old)
+
+
 def debt_total(schedule, invoices, allocations) -> DataFrame:
     """Interest debt per loan: unbilled instalments plus what billed interest is still open."""
     future = schedule.filter(unbilled()).groupBy("legacy_cartera_id").agg(
@@ -261,7 +274,7 @@ def debt_total(schedule, invoices, allocations) -> DataFrame:
 def bill_prepaid(schedule, invoices, allocations, collections, process_date, loan_ids=None):
     """Bill coming instalments in due order until the pending collections are covered.
 
-    Returns (new invoices, rejected loans). A loan is rejected when its interest debt is
+    Returns (new invoices, rejected loans, accepted loans). A loan is rejected when its interest debt is
     smaller than the amount to cover. The running sum is per loan, at most its term.
     """
     target = collections.filter(F.col("synced").isNull() | (F.col("synced") == "N")).groupBy(
@@ -283,7 +296,7 @@ def bill_prepaid(schedule, invoices, allocations, collections, process_date, loa
         W.unboundedPreceding, -1)
     rows = rows.withColumn("_covered", F.coalesce(F.sum("dueamt").over(w), F.lit(0))).filter(
         F.col("_covered") < F.col("por_cubrir"))
-    return _interest_invoices(rows, process_date), rejected
+    return _interest_invoices(rows, process_date), rejected, accepted.select("legacy_cartera_id")
 
 
 def _elapsed(as_of) -> Column:
@@ -345,6 +358,14 @@ def reprice_batch(schedule, loans, invoices) -> DataFrame:
         "grandtotal_previo", "nuevo_monto", F.lit("Y").alias("isvalid"), F.lit("N").alias("ispaid"))
 
 
+def reprice_updates(repriced, allocations) -> dict[str, DataFrame]:
+    """What follows new amounts (reprice_batch): payments to allocate again and invoice lines."""
+    hit = repriced.select(F.col("ref_invoice_id").alias("c_invoice_id"), "nuevo_monto")
+    paid = allocations.join(hit.select("c_invoice_id").distinct(), "c_invoice_id", "left_semi")
+    return {"payments": paid.select("c_payment_id").distinct().withColumn("isallocated", F.lit("N")),
+            "lines": hit.select("c_invoice_id", *[F.col("nuevo_monto").alias(c) for c in ("priceactual", "linenetamt", "priceentered")])}
+
+
 def modify_loans(loans, adjustments) -> DataFrame:
     """Loans after a batch change of amount, rate and term.
 

@@ -1,9 +1,11 @@
 """Bulk migration of legacy tables and files, and master data."""
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook.functions.scalars import clean_id
 from loanbook.operators.balances import day, with_collected
 from loanbook.operators.ordered import number_rows
@@ -18,10 +20,14 @@ def next_start(target, column: str) -> Column:
     return F.coalesce(target.select(F.max(column)).scalar(), F.lit(FIRST_ID))
 
 
-def new_rows(source, target, keys: list[str], order: str, id_name: str) -> DataFrame:
-    """Source rows whose key is not in the target, numbered after the target's highest id."""
-    fresh = source.join(target.select(*keys).distinct(), keys, "left_anti")
-    return number_rows(fresh, order, id_name, next_start(target, id_name))
+def new_rows(source, target, keys: list[str], id_name: str) -> DataFrame:
+    """Source rows whose key is not in the target, numbered by key after the target's highest id.
+
+    Keys compare null-safe, so a row with a null in its key is new once and known afterwards.
+    """
+    known = target.select(*[F.col(k).alias(f"_k_{k}") for k in keys]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys])
+    return number_rows(source.join(known, same, "left_anti"), keys, id_name, next_start(target, id_name))
 
 
 def migrate_collections(source, target) -> dict[str, DataFrame]:
@@ -30,42 +36,43 @@ def migrate_collections(source, target) -> dict[str, DataFrame]:
     positive = source.filter(F.col("abono") > 0)
     known = target.select("legacy_cobro_id", *keys).join(
         positive.select(*keys, "abono"), keys).withColumn("origen", F.lit("migrated"))
-    fresh = new_rows(positive, target, keys, "id_cobro", "legacy_cobro_id").withColumn(
+    fresh = new_rows(positive, target, keys, "legacy_cobro_id").withColumn(
         "origen", F.lit("migrated")).withColumn("synced", F.lit("N"))
     return {"inserts": fresh, "updates": known}
 
 
 def migrate_loans(source, target) -> DataFrame:
-    return new_rows(source, target, ["id_cartera", "ad_org_id"], "id_cartera", "legacy_cartera_id").withColumn(
+    return new_rows(source, target, ["id_cartera", "ad_org_id"], "legacy_cartera_id").withColumn(
         "origen", F.lit("migrated")).withColumn("aprobado", F.lit("Y"))
 
 
 def migrate_partners(source, activities, target) -> DataFrame:
     """New legacy clients with the name of their activity."""
-    named = source.join(small(activities), "id_actividad", "left")
-    return new_rows(named, target, ["id_cliente", "ad_org_id"], "id_cliente", "legacy_cliente_id").withColumn(
+    named = source.join(activities, "id_actividad", "left")
+    return new_rows(named, target, ["id_cliente", "ad_org_id"], "legacy_cliente_id").withColumn(
         "origen", F.lit("migrated"))
 
 
 def migrate_territories(source, target) -> DataFrame:
-    return new_rows(source, target, ["id_territorio", "ad_org_id"], "id_territorio",
+    return new_rows(source, target, ["id_territorio", "ad_org_id"],
                     "legacy_territorio_id").withColumn("origen", F.lit("migrated"))
 
 
 def opening_loans(balances, matched, partners, migrated) -> dict[str, DataFrame]:
     """Opening balances to loans.
 
-    ``balances``: row_id, tarjeta, fecha, monto, montototal, saldo, vencimiento.
-    ``matched``: row_id, c_bpartner_id (null when no partner was found). Rows without a
-    partner, or whose partner already has a migrated loan, are rejected; of several rows for
+    ``balances``: row_id, tarjeta, fecha, monto, montototal, saldo, vencimiento, corrupt.
+    ``matched``: row_id, c_bpartner_id (null when no partner was found). Corrupt rows, rows
+    without a partner, or whose partner already has a migrated loan, are rejected; of several rows for
     one partner the first counts.
     """
     j = balances.join(matched.select("row_id", "c_bpartner_id"), "row_id", "left")
     taken = migrated.select("c_bpartner_id").distinct().withColumn("_taken", F.lit(True))
-    first = j.filter(F.col("c_bpartner_id").isNotNull()).groupBy("c_bpartner_id").agg(
+    first = j.filter(F.col("c_bpartner_id").isNotNull() & F.col("corrupt").isNull()).groupBy("c_bpartner_id").agg(
         F.min("row_id").alias("_first"))
     j = j.join(taken, "c_bpartner_id", "left").join(first, "c_bpartner_id", "left")
-    reason = F.when(F.col("c_bpartner_id").isNull(), "tercero no encontrado").when(
+    reason = F.when(F.col("corrupt").isNotNull(), "linea no valida").when(
+        F.col("c_bpartner_id").isNull(), "tercero no encontrado").when(
         F.col("_taken") | (F.col("row_id") != F.col("_first")), "tercero con prestamo migrado")
     j = j.withColumn("motivo", reason)
     interest = F.col("montototal") - F.col("monto")
@@ -98,35 +105,69 @@ def _deletions(name: Column, most: int) -> Column:
     return out
 
 
-def nearest_partner(rows, partners, max_distance: int = 2) -> DataFrame:
-    """Partner with the smallest edit distance on the name, up to a largest distance.
+# Partners that one row holds while far names are compared with them.
+BLOCK_PARTNERS = 2_000
 
-    Two names within that distance share a string after removing as many characters from
-    each, so they meet in an equi join on those strings; no pair is missed and no cross
-    product is formed. Exact names are settled first. Ties go to the lowest partner id.
+
+def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
+    """Partner with the smallest edit distance on the name. Ties go to the lowest partner id.
+
+    Two names within ``near`` edits share a string after removing as many characters from
+    each, so they meet in an equi join on those strings, one distance after the other. Names
+    that are farther from every partner have no key in common with the nearest one; these few
+    distinct names pass all partners in blocks of bounded size, and each comparison stops at the best
+    distance so far. Every row gets a partner unless there is none or its name is null.
     ``rows``: row_id, name.
     """
-    base = partners.groupBy(F.col("nombre").alias("bp_name")).agg(F.min("c_bpartner_id").alias("c_bpartner_id"))
-    names = rows.select("name").distinct()
+    ensure_checkpoint_dir(rows.sparkSession)
+    base = partners.filter(F.col("nombre").isNotNull()).groupBy(F.col("nombre").alias("bp_name")).agg(
+        F.min("c_bpartner_id").alias("c_bpartner_id"))
+    names = rows.select("name").filter(F.col("name").isNotNull()).distinct()
     same = names.join(base, names.name == base.bp_name).select(
         "name", "c_bpartner_id", F.lit(0).alias("distancia"))
     found, rest = same, names.join(same.select("name"), "name", "left_anti")
-    # One distance after the other: what is settled near needs no wider search.
-    for most in range(1, max_distance + 1):
+    # What is settled near needs no wider search.
+    for most in range(1, near + 1):
         left = rest.select("name", F.explode(_deletions(F.col("name"), most)).alias("_piece"))
         right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
-        near = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
+        close = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
             "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= most)
-        best = near.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
-            "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia"))
-        if most < max_distance:
-            ensure_checkpoint_dir(rows.sparkSession)
-            best = best.checkpoint()
-            rest = rest.join(best.select("name"), "name", "left_anti")
+        best = close.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
+            "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia")).checkpoint()
+        rest = rest.join(best.select("name"), "name", "left_anti")
         found = found.unionByName(best)
+    found = found.unionByName(_far(rest.checkpoint(), base))
     return rows.join(found, "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
 
 
+def _far(names, base) -> DataFrame:
+    """(name, c_bpartner_id, distancia) of names against all partners, block by block."""
+    # Blocks by length of the name, then id: a block's lengths often rule it out at once.
+    size = F.length("bp_name")
+    per_length = Window.partitionBy("len").orderBy("c_bpartner_id")
+    blocks = base.withColumn("len", size).withColumn("block", F.floor(F.row_number().over(per_length) / BLOCK_PARTNERS)).groupBy(
+        "len", "block").agg(F.array_sort(F.collect_list(F.struct("c_bpartner_id", "bp_name"))).alias("members"))
+    # Each name is sent to every block: blocks are numbered, and numbers are what names are joined on.
+    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("len", "block"), F.lit(PARTS)))
+    spread = names.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    start = F.struct(F.lit(1 << 30).alias("distancia"), F.lit(None).cast("bigint").alias("c_bpartner_id"))
+
+    def closer(best, member):
+        gap = F.abs(F.length(F.col("name")) - F.length(member.bp_name))
+        open_ = (gap < best.distancia) | ((gap == best.distancia) & (member.c_bpartner_id < best.c_bpartner_id))
+        d = F.when(open_, F.levenshtein(F.col("name"), member.bp_name))
+        new = F.struct(d.alias("distancia"), member.c_bpartner_id.alias("c_bpartner_id"))
+        return F.when(d.isNotNull() & (new < best), new).otherwise(best)
+
+    compared = spread.join(blocks, "part").select("name", F.aggregate("members", start, closer).alias("b"))
+    return compared.groupBy("name").agg(F.min("b").alias("b")).select(
+        "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia"))
+
+
+# Groups of blocks, each met by all far names.
+PARTS = 64
+
+
 def opening_payments(loans, collections, record_date, origin: str = "migrated") -> DataFrame:
     """One synthetic collection per open migrated loan, with what was paid before."""
     w = with_collected(loans.filter(F.col("origen") == origin), collections).filter(F.col("balance") > 0)
@@ -147,7 +188,7 @@ def match_partners(clients, partners, routes) -> DataFrame:
     by_code = partners.groupBy(F.col("codigo").alias("_code")).agg(F.min("c_bpartner_id").alias("_by_code"))
     c = clients.withColumn("_code", F.concat_ws("-", "org_key", "codigo"))
     j = c.join(by_id, "cedula", "left").join(by_code, "_code", "left").join(
-        small(routes.withColumnRenamed("id_territorio", "id_vendedor")), ["ad_org_id", "id_vendedor"], "left")
+        routes.withColumnRenamed("id_territorio", "id_vendedor"), ["ad_org_id", "id_vendedor"], "left")
     found = F.coalesce("_by_id", F.col("_by_code"))
     return j.select(
         "legacy_cliente_id", "cedula", F.col("_code").alias("codigo"), "cv_ruta_id",
@@ -166,7 +207,7 @@ def partners_from_csv(rows, partners, routes, cities) -> dict[str, DataFrame]:
         "_known", F.lit(True))
     first = rows.groupBy("cedula").agg(F.min("row_id").alias("_first"))
     j = rows.join(known, "cedula", "left").join(first, "cedula", "left").join(
-        small(routes), "cv_ruta_id", "left").join(small(cities), "ad_org_trx_id", "left")
+        routes, "cv_ruta_id", "left").join(cities, "ad_org_trx_id", "left")
     reason = (
         F.when(F.col("corrupt").isNotNull(), "fila no valida")
         .when(F.col("ad_org_trx_id").isNull(), "ruta no encontrada")
@@ -204,8 +245,8 @@ def approve_applications(applications, partners, branches, cities) -> dict[str,
         F.min("solicitud_id").alias("_first"))
     j = (
         a.join(known, "cedula", "left").join(first, "taxid", "left")
-        .join(small(branches.select("ad_org_id", F.lit(True).alias("_org"))), "ad_org_id", "left")
-        .join(small(cities.select(F.col("ad_org_trx_id").alias("ad_org_id"), "c_city_id", "city")), "ad_org_id", "left"))
+        .join(branches.select("ad_org_id", F.lit(True).alias("_org")), "ad_org_id", "left")
+        .join(cities.select(F.col("ad_org_trx_id").alias("ad_org_id"), "c_city_id", "city"), "ad_org_id", "left"))
     reason = (
         F.when(F.col("_org").isNull(), "organizacion no valida")
         .when(F.col("c_city_id").isNull(), "sin ciudad")
@@ -229,7 +270,7 @@ def missing_locations(partners, locations, cities) -> DataFrame:
     """A location from the quick address for partners that have none."""
     p = partners.filter(F.length("quickaddress") > 0).join(
         locations.select("c_bpartner_id").distinct(), "c_bpartner_id", "left_anti")
-    return p.join(small(cities), "ad_org_trx_id").select(
+    return p.join(cities, "ad_org_trx_id").select(
         "c_bpartner_id", "c_city_id", F.col("city").alias("name"),
         F.col("quickaddress").alias("address1"), F.col("quickphone").alias("phone"))
 

@@ -4,8 +4,7 @@ A plain window sends a whole key to one task. The functions here count rows per
 key first (a map-side combined aggregate). Rows of a key above ``HOT_ROWS`` get a
 bucket that follows the order; windows then run per (key, bucket), and what a
 bucket needs from the earlier or later ones comes from one small row per bucket.
-Other keys keep one plain window. The list of hot keys has at most
-rows / HOT_ROWS entries, which is the bound for broadcasting it.
+Other keys keep one plain window. Spark chooses how to join the short list of hot keys.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -27,31 +26,36 @@ def day_buckets(day: str, ident: str) -> list[Column]:
     return [F.col(day), F.substring(tie_key(ident), 1, 2)]
 
 
-def stretch_buckets(position: str, hot_rows=None) -> tuple[list[Column], dict]:
-    """Buckets of equal stretches of a non-negative column, and the statistics they need.
+# Cuts of equal_buckets; one less than a power of two, for the search by halves.
+CUTS = 1023
 
-    A hot key gets about one bucket per tenth of ``hot_rows`` rows.
+
+def equal_buckets(position: str) -> tuple[list[Column], dict]:
+    """Buckets of about equally many rows along a column whose values hardly repeat.
+
+    The cuts are quantiles of the hot key; a row finds its bucket by a search by halves.
     """
-    rows = max(1, (HOT_ROWS if hot_rows is None else hot_rows) // 10)
-    share = F.ceil(F.col("_n") / F.lit(rows)) / F.col("_max").cast("double")
-    return [F.floor(F.col(position).cast("double") * share)], {"_max": F.max(position)}
+    cuts = F.percentile_approx(position, [k / (CUTS + 1) for k in range(1, CUTS + 1)], 10 * CUTS)
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range((CUTS + 1).bit_length() - 1))])
+    below = F.aggregate(steps, F.lit(0), lambda at, step: F.when(
+        F.get("_cuts", at + step - 1) < F.col(position), at + step).otherwise(at))
+    return [below], {"_cuts": cuts}
 
 
 def split_hot(df, keys, fine, hot_rows=None, stats=None) -> DataFrame:
     """Add the bucket of rows of hot keys; it is null for every other row.
 
-    ``fine`` are expressions that grow with the order. They may use ``_n`` (rows of
-    the key) and the aggregates named in ``stats``.
+    ``fine`` are expressions that grow with the order. They may use the aggregates named in
+    ``stats``, which are computed for the hot keys only.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     stats = stats or {}
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), *[e.alias(k) for k, e in stats.items()])
-        .filter(F.col("_n") > hot_rows)
-    )
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows)
+    if stats:
+        hot = df.join(hot, keys).groupBy(*keys).agg(
+            F.max("_n").alias("_n"), *[e.alias(k) for k, e in stats.items()])
     return (
-        df.join(F.broadcast(hot), keys, "left")
+        df.join(hot, keys, "left")
         .withColumn(_B, F.when(F.col("_n").isNotNull(), F.struct(*fine)))
         .drop("_n", *stats)
     )
@@ -147,13 +151,15 @@ def day_running(df, keys, day, values: dict) -> DataFrame:
         *[F.sum(n).over(w).alias(n) for n in values])
 
 
-def number_rows(df, order: str, name: str, start: Column, width: int = 100_000) -> DataFrame:
-    """Dense row numbers by an integer column without one global window.
+def number_rows(df, order: list[str], name: str, start: Column, width: int = 100_000) -> DataFrame:
+    """Dense row numbers by ``order`` without one global window; its first column is an integer.
 
-    Rows fall into ranges of ``width`` ids; only the counts per range are summed in one
-    place, one row per range that holds data.
+    Rows fall into ranges of ``width`` ids, null ids into one of their own before all others;
+    only the counts per range are summed in one place, one row per range that holds data. Rows
+    that tie on all of ``order`` are numbered in any order.
     """
-    banded = df.withColumn("_band", F.floor(F.col(order) / width))
+    band = F.floor(F.col(order[0]) / width)
+    banded = df.withColumn("_band", F.coalesce(band, F.lit(-(1 << 62))))
     counts = banded.groupBy("_band").agg(F.count(F.lit(1)).alias("_c"))
     # Bands of bands keep every window partitioned.
     counts = counts.withColumn("_super", F.floor(F.col("_band") / 10_000))
@@ -163,7 +169,7 @@ def number_rows(df, order: str, name: str, start: Column, width: int = 100_000)
     wb = W.partitionBy("_super").orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
     offsets = counts.join(supers, "_super").select(
         "_band", (F.col("_so") + F.coalesce(F.sum("_c").over(wb), F.lit(0))).alias("_off"))
-    wr = W.partitionBy("_band").orderBy(order)
+    wr = W.partitionBy("_band").orderBy(*order)
     return (
         banded.join(offsets, "_band")
         .withColumn(name, (start + F.col("_off") + F.row_number().over(wr)).cast("bigint"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from loanbook import config
 from loanbook.operators.balances import day, invoice_open
 from loanbook.operators.ordered import (
-    day_buckets, day_running, neighbours, running_total, stretch_buckets, tie_key)
+    day_buckets, day_running, equal_buckets, neighbours, running_total, tie_key)
 from loanbook.session import ensure_checkpoint_dir
 
 AMT = "decimal(18,4)"
@@ -57,9 +57,9 @@ def split_principal_first(loans, collections, start=None, end=None) -> DataFrame
 
 
 def open_debts(invoices, allocations=None) -> DataFrame:
-    """Completed unpaid interest and capital invoices with what is still open."""
+    """Completed unpaid interest and capital sales invoices with what is still open."""
     inv = invoices.filter(
-        (F.col("ispaid") == "N") & (F.col("docstatus") == "CO")
+        (F.col("ispaid") == "N") & (F.col("docstatus") == "CO") & (F.col("issotrx") == "Y")
         & F.col("c_doctype_id").isin(config.DOC_INTEREST, config.DOC_CAPITAL))
     if allocations is None:
         opened = inv.withColumn("open", F.col("grandtotal").cast(AMT))
@@ -80,7 +80,7 @@ def unallocated(payments, allocations, open_items, omitted, today, on_day=None,
         (F.col("c_doctype_id") == config.DOC_RECEIPT) & (F.col("docstatus") == "CO")
         & (F.col("payamt") > 0) & F.col("c_invoice_id").isNull())
     if on_day is not None:
-        p = p.filter(F.col("dateacct") == day(on_day))
+        p = p.filter(F.col("datetrx") == day(on_day))
     if org is not None:
         p = p.filter(F.col("ad_org_id") == org)
     skipped = omitted.filter(F.col("dateommited") == day(today)).select("c_payment_id")
@@ -218,7 +218,7 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
         "c_bpartner_id", "c_doctype_id", F.col("pos").cast(POS).alias("pos"),
         F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side"))).checkpoint()
     keys, order = ["c_bpartner_id", "c_doctype_id"], [F.col("pos"), F.col("side")]
-    fine, stats = stretch_buckets("pos", hot_rows)
+    fine, stats = equal_buckets("pos")
     owned = neighbours(points, keys, order, {"prev": "pos"}, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
     amount = (F.col("pos") - F.coalesce("prev", F.lit(0).cast(POS))).cast(AMT)
     return owned.filter(F.col("c_payment_id").isNotNull() & F.col("c_invoice_id").isNotNull()

@@ -1,14 +1,14 @@
 """Data-quality detection and set-based repair."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanbook import config
 from loanbook.functions.scalars import pending
-from loanbook.operators.balances import day, synced_balance, with_collected
+from loanbook.operators.balances import day, owned, synced_balance, with_collected
 from loanbook.operators.interest import count
-from loanbook.operators.ordered import day_buckets, next_known, running_total, stretch_buckets, tie_key
-from loanbook.session import ensure_checkpoint_dir
+from loanbook.operators.ordered import tie_key
 
 ZERO = "decimal(18,2)"
 
@@ -56,29 +56,26 @@ def reassign_oldest(problem, collections, loans, since=None) -> dict[str, DataFr
         F.min_by("legacy_cartera_id", F.struct("fecha", "legacy_cartera_id")).alias("nueva_cartera"))
     report = ids.join(oldest, "c_bpartner_id", "left").withColumn(
         "corregible", F.when(F.col("nueva_cartera").isNull(), "NO").otherwise("YES"))
-    owner = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
-    targets = owner.join(report.filter(F.col("nueva_cartera").isNotNull()), "c_bpartner_id")
-    moves = collections.filter(F.col("synced") == "N").join(targets, "id_cartera").select(
+    targets = report.filter(F.col("nueva_cartera").isNotNull()).select("c_bpartner_id", "nueva_cartera")
+    moves = owned(collections.filter(F.col("synced") == "N"), loans).join(targets, "c_bpartner_id").select(
         "legacy_cobro_id", "c_bpartner_id", F.col("id_cartera").alias("old_cartera"),
         F.col("nueva_cartera").alias("id_cartera"))
     return {"moves": moves, "report": report}
 
 
-# Largest number of collections or loans of a partner that is folded within one row.
-FOLD_LIMIT = 2_000
-
-
 def first_fit_inputs(collections, loans) -> tuple[DataFrame, DataFrame]:
     """Items and bins of the partners that have a pending collection on an overdrawn loan.
 
-    Items are their pending collections, bins their loans with a positive synced balance.
+    Items are their pending collections, bins their loans with a positive synced balance. A
+    collection without a loan is a problem of its own.
     """
     bal = synced_balance(loans, collections).select(
         F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id", "fecha", "saldo_synced")
-    owned = _pending_native(collections).select(
-        "legacy_cobro_id", "id_cartera", "abono", "operacion").join(bal, "id_cartera")
-    problem = owned.filter(F.col("saldo_synced") < 0).select("c_bpartner_id").distinct()
-    items = owned.select("c_bpartner_id", "legacy_cobro_id", "id_cartera", "abono", "operacion").join(
+    pend = owned(_pending_native(collections), loans).select(
+        "legacy_cobro_id", "id_cartera", "c_bpartner_id", "abono", "operacion")
+    overdrawn = pend.join(bal.select("id_cartera", "saldo_synced"), "id_cartera", "left")
+    problem = overdrawn.filter((F.col("saldo_synced") < 0) | F.col("id_cartera").isNull()).select("c_bpartner_id").distinct()
+    items = pend.select("c_bpartner_id", "legacy_cobro_id", "id_cartera", "abono", "operacion").join(
         problem, "c_bpartner_id", "left_semi").withColumn("_tie", tie_key("legacy_cobro_id"))
     bins = bal.filter(F.col("saldo_synced") > 0).join(problem, "c_bpartner_id", "left_semi").select(
         "c_bpartner_id", F.col("id_cartera").alias("bin"), F.col("fecha").alias("bin_fecha"),
@@ -86,103 +83,73 @@ def first_fit_inputs(collections, loans) -> tuple[DataFrame, DataFrame]:
     return items, bins
 
 
-def _fold_small(items, bins) -> DataFrame:
-    """First fit inside one row per partner; only for partners within the limit."""
-    kind = "decimal(28,2)"
-    i = items.groupBy("c_bpartner_id").agg(F.array_sort(F.collect_list(
-        F.struct("operacion", "_tie", "legacy_cobro_id", "id_cartera",
-                 F.col("abono").cast(kind).alias("abono")))).alias("items"))
-    b = bins.groupBy("c_bpartner_id").agg(F.array_sort(F.collect_list(
-        F.struct("bin_fecha", "bin_tie", "bin", "room"))).alias("bins"))
-    rooms = F.transform("bins", lambda x: x.room)
-    start = F.struct(rooms.alias("rooms"), F.array().cast("array<int>").alias("picks"))
-
-    def place(acc, item):
-        pick = F.array_position(F.transform(acc.rooms, lambda r: r > item.abono), F.lit(True)).cast("int")
-        after = F.transform(acc.rooms, lambda r, k: F.when(k + 1 == pick, (r - item.abono).cast(kind)).otherwise(r))
-        return F.struct(after.alias("rooms"), F.concat(acc.picks, F.array(pick)).alias("picks"))
-
-    picks = F.aggregate("items", start, place, lambda acc: acc.picks)
-    j = i.join(b, "c_bpartner_id").withColumn("picks", picks)
-    rows = j.select("c_bpartner_id", "bins", F.inline(F.arrays_zip("items", "picks")))
-    return rows.filter(F.col("picks") > 0).select(
-        "c_bpartner_id", F.col("items.legacy_cobro_id").alias("legacy_cobro_id"),
-        F.col("items.id_cartera").alias("old_cartera"),
-        F.element_at("bins", F.col("picks"))["bin"].alias("id_cartera"))
-
-
-def _fold_rounds(spark, items, bins, hot_rows=None) -> DataFrame:
-    """First fit for partners of any size, as rounds over all of them at once.
-
-    In a round every open item names the first bin with more room than its amount. Within a
-    bin the items are served in order; the first item anywhere that does not fit any more is
-    where the round of its partner ends. Everything before it is final, because rooms only
-    shrink. Each round is joins and ordered sums; its result is written by checkpoint().
-    """
-    ensure_checkpoint_dir(spark)
-    key, kind = ["c_bpartner_id"], "decimal(28,2)"
-    order = [F.col("operacion"), F.col("_tie"), F.col("legacy_cobro_id")]
-    fine = day_buckets("operacion", "legacy_cobro_id")
-    items = items.withColumn("abono", F.col("abono").cast(kind)).checkpoint()
-    bins = bins.withColumn("room", F.col("room").cast(kind)).checkpoint()
-    done = None
-    while not items.isEmpty():
-        # Bins that have more room than every earlier bin are the only ones named first.
-        ranked = running_total(
-            bins, key, [F.col("bin_fecha"), F.col("bin_tie"), F.col("bin")], {}, [F.col("bin_fecha")],
-            hot_rows, best={"best": F.col("room")})
-        records = ranked.filter((F.col("room") > 0) & (F.col("room") > F.coalesce("best_before", F.lit(0))))
-        points = records.select(
-            *key, F.col("room").alias("size"), F.lit(0).alias("side"),
-            F.struct("bin", "room").alias("target"), F.lit(None).cast("string").alias("item")
-        ).unionByName(items.select(
-            *key, F.col("abono").alias("size"), F.lit(1).alias("side"),
-            F.lit(None).cast("struct<bin:bigint,room:decimal(28,2)>").alias("target"),
-            F.col("legacy_cobro_id").alias("item")))
-        buckets, stats = stretch_buckets("size", hot_rows)
-        named = next_known(points, key, [F.col("size"), F.col("side"), F.col("item")], ["target"],
-                           buckets, hot_rows, stats)
-        named = named.filter(F.col("item").isNotNull() & F.col("target").isNotNull()).select(
-            *key, F.col("item").alias("legacy_cobro_id"), F.col("target.bin").alias("bin"),
-            F.col("target.room").alias("room"))
-        live = items.join(named, [*key, "legacy_cobro_id"])
-        live = running_total(live, [*key, "bin"], order, {"used": F.col("abono")}, fine, hot_rows)
-        stop = live.filter(F.col("used") >= F.col("room")).groupBy(*key).agg(
-            F.min(F.struct("operacion", "_tie", "legacy_cobro_id")).alias("stop"))
-        live = live.join(stop, key, "left").withColumn(
-            "final", F.col("stop").isNull()
-            | (F.struct("operacion", "_tie", "legacy_cobro_id") < F.col("stop"))).checkpoint()
-        placed = live.filter("final").select(*key, "legacy_cobro_id", "id_cartera", "bin", "abono")
-        done = placed if done is None else done.unionByName(placed)
-        used = placed.groupBy(*key, "bin").agg(F.sum("abono").cast(kind).alias("gone"))
-        bins = bins.join(used, [*key, "bin"], "left").withColumn(
-            "room", (F.col("room") - F.coalesce("gone", F.lit(0))).cast(kind)).drop("gone").checkpoint()
-        items = live.filter(~F.col("final")).select(
-            *key, "legacy_cobro_id", "id_cartera", "abono", "operacion", "_tie").checkpoint()
-    if done is None:
-        return items.select(*key, "legacy_cobro_id", F.col("id_cartera").alias("old_cartera"), "id_cartera").limit(0)
-    return done.select(*key, "legacy_cobro_id", F.col("id_cartera").alias("old_cartera"), F.col("bin").alias("id_cartera"))
-
-
-def reassign_first_fit(collections, loans, fold_limit: int | None = None, hot_rows=None) -> DataFrame:
+class _Rooms:
+    """Rooms in order, and the first one above an amount: a tree of maxima over them."""
+
+    def __init__(self, rooms: list):
+        self.size = 1 << max(0, len(rooms) - 1).bit_length()
+        self.tree = [0] * self.size + rooms + [0] * (self.size - len(rooms))
+        for k in range(self.size - 1, 0, -1):
+            self.tree[k] = max(self.tree[2 * k], self.tree[2 * k + 1])
+
+    def take(self, amount):
+        """Number of the first room above the amount, which is taken from it; None if there is none."""
+        if not self.tree[1] > amount:
+            return None
+        k = 1
+        while k < self.size:
+            k = 2 * k if self.tree[2 * k] > amount else 2 * k + 1
+        found = k - self.size
+        self.tree[k] -= amount
+        while k > 1:
+            k //= 2
+            self.tree[k] = max(self.tree[2 * k], self.tree[2 * k + 1])
+        return found
+
+
+def _place(batches):
+    """Moves of sorted rows: a partner's bins come first, then its items in order."""
+    partner, bins, rooms, tree = object(), [], [], None
+    for batch in batches:
+        out = [[] for _ in range(4)]
+        columns = [batch.column(k).to_pylist() for k in range(5)]
+        for owner, kind, ident, loan, amount in zip(*columns):
+            if owner != partner:
+                partner, bins, rooms, tree = owner, [], [], None
+            if not kind:
+                bins.append(loan)
+                rooms.append(amount)
+                continue
+            tree = tree or _Rooms(rooms)
+            found = tree.take(amount)
+            if found is not None:
+                for column, x in zip(out, (owner, ident, loan, bins[found])):
+                    column.append(x)
+        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)],
+                                         ["c_bpartner_id", "legacy_cobro_id", "old_cartera", "id_cartera"])
+
+
+def reassign_first_fit(collections, loans) -> DataFrame:
     """Each pending collection, by date, goes to the oldest loan with more room than its amount.
 
-    Partners up to ``fold_limit`` collections and loans are folded in one row each; larger
-    ones go through rounds, so no partner is ever gathered beyond the limit.
+    First fit is sequential: what fits depends on all earlier items of the partner. Partners are
+    spread over the tasks; a task passes a partner's items by a tree over its loans, so
+    memory holds the loans of one partner and each item costs the logarithm of their number.
     """
-    limit = FOLD_LIMIT if fold_limit is None else fold_limit
     items, bins = first_fit_inputs(collections, loans)
-    sizes = items.groupBy("c_bpartner_id").agg(F.count(F.lit(1)).alias("n")).unionByName(
-        bins.groupBy("c_bpartner_id").agg(F.count(F.lit(1)).alias("n"))).groupBy("c_bpartner_id").agg(
-        F.max("n").alias("n"))
-    large = sizes.filter(F.col("n") > limit).select("c_bpartner_id")
-    small = _fold_small(items.join(large, "c_bpartner_id", "left_anti"),
-                        bins.join(large, "c_bpartner_id", "left_anti"))
-    if large.isEmpty():
-        return small
-    big = _fold_rounds(collections.sparkSession, items.join(large, "c_bpartner_id", "left_semi"),
-                       bins.join(large, "c_bpartner_id", "left_semi"), hot_rows)
-    return small.unionByName(big)
+    kind = "decimal(28,2)"
+    rows = bins.select(
+        "c_bpartner_id", F.lit(0).alias("kind"), F.col("bin_fecha").alias("dia"), F.col("bin_tie").alias("tie"),
+        F.col("bin").cast("string").alias("ident"), F.col("bin").alias("loan"), F.col("room").cast(kind).alias("amount")
+    ).unionByName(items.select(
+        "c_bpartner_id", F.lit(1).alias("kind"), F.col("operacion").alias("dia"), F.col("_tie").alias("tie"),
+        F.col("legacy_cobro_id").alias("ident"), F.col("id_cartera").alias("loan"), F.col("abono").cast(kind).alias("amount")))
+    # By the hash of the partner: a repartition by the column itself would be dropped where both parts
+    # of the union already have it, and their partitions are then merged independently.
+    return (rows.repartition(F.xxhash64("c_bpartner_id")).sortWithinPartitions("c_bpartner_id", "kind", "dia", "tie", "ident")
+            .select("c_bpartner_id", "kind", "ident", "loan", "amount")
+            .mapInArrow(_place, "c_bpartner_id long, legacy_cobro_id string, old_cartera long, id_cartera long"))
 
 
 def duplicate_allocations(allocations) -> DataFrame:
@@ -261,14 +228,15 @@ def void_collections(collections, payments, ids) -> dict[str, DataFrame]:
 
 
 def void_loans(loans, payments, ids) -> dict[str, DataFrame]:
-    """The same on loans: the collected amount to zero and the linked payment undone."""
+    """The same on loans (with what was collected as ``abono``): that to zero, the linked payment undone."""
     hit = ids.select("legacy_cartera_id").distinct().withColumn("anulado", F.lit(True))
     ln = loans.join(hit, "legacy_cartera_id", "left").withColumn("anulado", F.coalesce("anulado", F.lit(False)))
     docs = ln.filter("anulado").filter(F.col("local_id").isNotNull()).select(F.col("local_id").alias("c_payment_id"))
     p = payments.join(docs, "c_payment_id", "left_semi").select(
         "c_payment_id", F.when(F.col("docstatus") == "CO", "revertido").when(
             F.col("docstatus") == "DR", "eliminado").otherwise("sin cambio").alias("accion"))
-    return {"loans": ln, "payments": p}
+    return {"loans": ln.withColumn("abono", F.when(F.col("anulado"), F.lit(0).cast(ZERO)).otherwise(F.col("abono"))),
+            "payments": p}
 
 
 def branch_subset(frames: dict[str, DataFrame], branches: list[int], column: str = "ad_org_id") -> dict[str, DataFrame]:

@@ -7,11 +7,10 @@ level, so the rollup itself never multiplies loan rows.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import (
     gender_label, json_fields, map_link, pending, risk_class, split_coords, zero_if_null, zone_label)
-from loanbook.operators.balances import collected, day, synced_balance, with_collected
+from loanbook.operators.balances import collected, day, owned, synced_balance, with_collected
 from loanbook.operators.payments import prorata
 
 
@@ -102,7 +101,7 @@ def portfolio_global(loans, collections, partners_wide, branches, since, as_of,
                      sum_all=False) -> DataFrame:
     """The same by the branch of the loan, for loans granted between two days."""
     rows = open_only(portfolio(loans, collections, partners_wide, as_of, since=since, sum_all=sum_all))
-    named = rows.drop("sucursal").join(small(branches), "ad_org_id").withColumnRenamed(
+    named = rows.drop("sucursal").join(branches, "ad_org_id").withColumnRenamed(
         "org_name", "sucursal")
     return overdue_summary(named, ["sucursal", "yy_fecha", "ruta"], threshold)
 
@@ -211,8 +210,8 @@ def _collection_rows(collections, loans, partners_wide, users, branches, start,
     p = partners_wide.select("c_bpartner_id", "codigo", "nombre", "ruta", "genero", "tipo_localizacion")
     u = users.select(F.col("ad_user_id").alias("createdby"), "usuario")
     return (
-        inside.join(ln, "id_cartera").join(p, "c_bpartner_id").join(u, "createdby")
-        .join(small(branches), "ad_org_id")
+        inside.drop("c_bpartner_id").join(ln, "id_cartera").join(p, "c_bpartner_id").join(u, "createdby")
+        .join(branches, "ad_org_id")
     )
 
 
@@ -262,7 +261,7 @@ def payment_plan(schedule, loans, partners, branches, loan_id=None) -> DataFrame
         s.join(head, "legacy_cartera_id")
         .join(partners.select("c_bpartner_id", F.col("codigo").alias("bpartner_value"),
                               F.col("nombre").alias("bpartner_name")), "c_bpartner_id")
-        .join(small(branches), "ad_org_id")
+        .join(branches, "ad_org_id")
         .select("bpartner_value", "bpartner_name", "legacy_cartera_id", "seq", "tasa", "fecha", "monto",
                 "cuota", (F.col("cuota") - F.col("dueamt")).alias("cuota_principal"), "dias_cre",
                 "valorinteres", "montototal", "duedate", "dueamt",
@@ -308,15 +307,14 @@ def cobros_export(collections, loans, partners_wide, users, branches, on_day=Non
     if org is not None:
         c = c.filter(F.col("ad_org_id") == org)
     lat, lon = split_coords(F.col("coords"))
-    ln = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
     return (
-        c.join(ln, "id_cartera").join(
+        owned(c, loans).join(
             partners_wide.select("c_bpartner_id", "codigo", "nombre", "ruta"), "c_bpartner_id")
         .join(users.select(F.col("ad_user_id").alias("createdby"), "usuario"), "createdby", "left")
-        .join(small(branches), "ad_org_id")
+        .join(branches, "ad_org_id")
         .select(F.col("org_name").alias("orgname"), F.col("ruta").alias("nombreruta"),
                 F.date_format("operacion", "yyyy-MM-dd").alias("fecha"),
-                F.date_format("operacion", "HH:mm:ss").alias("hora"),
+                F.date_format("operacion_ts" if "operacion_ts" in collections.columns else "operacion", "HH:mm:ss").alias("hora"),
                 F.col("codigo").alias("codtercero"), F.col("nombre").alias("tercero"), "c_bpartner_id",
                 "abono", F.col("usuario").alias("creadopor"), lat.alias("latitud"), lon.alias("longitud"),
                 map_link(F.col("coords")).alias("coordenadalink"), "legacy_cobro_id")

@@ -7,10 +7,9 @@ computed on day totals (see ordered.day_running) and joined back to the movement
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import zero_if_null
-from loanbook.operators.balances import collected, day
+from loanbook.operators.balances import collected, day, owned
 from loanbook.operators.ordered import day_buckets, day_running, running_total, tie_key
 from loanbook.operators.payments import allocated_by_type
 from loanbook import config
@@ -28,14 +27,14 @@ def partner_movements(loans, collections, start, end) -> DataFrame:
     """Opening debit and credit, then loans and collections of the range, without duplicates."""
     zero = F.lit(0)
     before = F.date_sub(day(start), 1)
-    owner = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
     old_loans = loans.filter(F.col("fecha") < day(start)).groupBy("c_bpartner_id").agg(
         F.sum("montototal").alias("v"))
-    # Earlier collections are summed per loan before they meet their partner.
-    old_paid = collections.filter(F.col("operacion") < day(start)).groupBy("id_cartera").agg(
-        F.sum("abono").alias("v")).join(owner, "id_cartera").groupBy("c_bpartner_id").agg(F.sum("v").alias("v"))
+    # Earlier collections are summed, per loan or per partner, before they meet anything.
+    keys = [c for c in ("id_cartera", "c_bpartner_id") if c in collections.columns]
+    old_sums = collections.filter(F.col("operacion") < day(start)).groupBy(*keys).agg(F.sum("abono").alias("v"))
+    old_paid = owned(old_sums, loans).groupBy("c_bpartner_id").agg(F.sum("v").alias("v"))
     new_loans = loans.filter(F.col("fecha").between(day(start), day(end)))
-    new_paid = collections.filter(F.col("operacion").between(day(start), day(end))).join(owner, "id_cartera")
+    new_paid = owned(collections.filter(F.col("operacion").between(day(start), day(end))), loans)
     parts = [
         _movement(old_loans, F.lit("INI-DEB"), "SALDO INICIAL (DÉBITOS)", before, F.col("v"), zero),
         _movement(old_paid, F.lit("INI-CRED"), "SALDO INICIAL (CRÉDITOS)", before, zero, F.col("v")),
@@ -52,6 +51,7 @@ def partner_movements(loans, collections, start, end) -> DataFrame:
 
 def partner_statement(loans, collections, start, end, partner=None) -> DataFrame:
     if partner is not None:
+        collections = owned(collections, loans).filter(F.col("c_bpartner_id") == partner)
         loans = loans.filter(F.col("c_bpartner_id") == partner)
     mov = partner_movements(loans, collections, start, end)
     run = day_running(mov, ["c_bpartner_id"], "fecha", {
@@ -66,7 +66,7 @@ def partner_history(loans, collections, branches, partner=None, hot_rows=None) -
     agg = collected(collections).select("legacy_cartera_id", "paid", "last_positive")
     due = add_six_day(F.col("fecha"), F.col("dias_cre"))
     paid = zero_if_null(F.col("paid"))
-    rows = loans.join(agg, "legacy_cartera_id", "left").join(small(branches), "ad_org_id").select(
+    rows = loans.join(agg, "legacy_cartera_id", "left").join(branches, "ad_org_id").select(
         "c_bpartner_id", F.col("legacy_cartera_id").alias("idcartera"),
         F.col("org_name").alias("codsucursal"), "fecha", "dias_cre", due.alias("fechavence"), "monto",
         F.round(F.col("tasa") * 100, 2).alias("tasainteres"), "montototal", paid.alias("abonos"),
@@ -176,6 +176,6 @@ def payment_review(payments, boxes, start, end, account=None) -> DataFrame:
     p = _signed(payments.filter(F.col("dateacct").between(day(start), day(end))))
     if account is not None:
         p = p.filter(F.col("c_bankaccount_id") == account)
-    return p.join(small(boxes.select("c_bankaccount_id", "nombrecaja")), "c_bankaccount_id").select(
+    return p.join(boxes.select("c_bankaccount_id", "nombrecaja"), "c_bankaccount_id").select(
         "c_payment_id", "c_bpartner_id", "dateacct", "docbasetype", "c_doctype_id", "c_charge_id",
         "ingresos", "egresos", F.col("nombrecaja").alias("cuenta"), "docstatus")

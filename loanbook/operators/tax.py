@@ -3,7 +3,6 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.dates import period_key
 from loanbook.functions.scalars import dec
@@ -19,8 +18,8 @@ def in_periods(collections, periods) -> DataFrame:
     """
     months = periods.withColumn("_month", F.explode(F.sequence(
         F.trunc("startdate", "month"), F.trunc("enddate", "month"), F.expr("INTERVAL 1 MONTH"))))
-    c = collections.withColumn("_month", F.trunc("operacion", "month"))
-    return c.join(small(months), "_month").filter(
+    c = collections.drop("c_bpartner_id").withColumn("_month", F.trunc("operacion", "month"))
+    return c.join(months, "_month").filter(
         F.col("operacion").between(F.col("startdate"), F.col("enddate"))).drop("_month")
 
 

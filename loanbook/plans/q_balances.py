@@ -64,9 +64,10 @@ def loan_metadata(spark, d):
     return B.loan_metadata(*lc(spark, d))
 
 
-@query("loan_metadata_range", META + " WHERE l.legacy_cartera_id BETWEEN 0 AND 1000000000000")
+@query("loan_metadata_range", META + " WHERE l.legacy_cartera_id BETWEEN 3000 AND 5999")
 def loan_metadata_range(spark, d):
-    return B.loan_metadata(*lc(spark, d), id_range=(0, 1000000000000))
+    """One page of loans; the page is the feature."""
+    return B.loan_metadata(*lc(spark, d), id_range=(3000, 5999))
 
 
 def _label(gap):

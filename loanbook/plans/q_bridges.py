@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from loanbook.operators import bridges as B
 from loanbook.operators.balances import with_collected
-from loanbook.plans.q_interest import d4, digest, digest_sql, due_sql, div, fold_sql, rate_sql
+from loanbook.plans.q_interest import INT_CAP, d4, due_sql, div, fold_sql, rate_sql
 from loanbook.plans.registry import query
 from loanbook.plans.sqlviews import m
 from loanbook.sources import tables as T
@@ -59,6 +59,11 @@ def native(spark, d, **kw):
     return B.bridge_loans(T.loans(spark, d), p, u, b, **kw)
 
 
+def new_invoice(sql):
+    """Instalments of a loan that is billed now belong to its new invoice."""
+    return sql.replace("l.local_id AS c_invoice_id", "l.legacy_cartera_id * 10 + 1 AS c_invoice_id")
+
+
 PRINCIPAL = [(10, 1000028, "monto")]
 
 
@@ -85,18 +90,23 @@ WITH {pend_sql()}, {rate_sql('pend', 'legacy_cartera_id', 'monto', 'valorinteres
  src AS (SELECT legacy_cartera_id AS k, monto AS principal, rate, CAST({div('monto + valorinteres', 'dias_cre', 4)} AS DECIMAL(18,4)) AS level,
   dias_cre AS n FROM pend JOIN rates ON k = legacy_cartera_id WHERE motivo IS NULL),
  {fold_sql('src', True)}
-{digest_sql(due_sql(0, "CAST(interes AS DECIMAL(24,4)) AS interes, CAST(capital AS DECIMAL(24,4)) AS capital"), ['interes', 'capital'])}""",
+{new_invoice(due_sql(0, INT_CAP))}""",
        digits=4, recursive=True)
 def brg_loans_schedule(spark, d):
-    return digest(native(spark, d)["schedule"])
+    return native(spark, d)["schedule"]
 
 
-@query("brg_loans_by_branch", f"""
+@query("brg_loans_by_branch_schedule", f"""
 WITH {pend_sql()}, plan AS (SELECT legacy_cartera_id AS k, unnest(range(1, dias_cre + 1)) AS seq, {div('valorinteres', 'dias_cre', 4)} AS dueamt
   FROM pend WHERE motivo IS NULL AND ad_org_id = 3)
-{digest_sql(due_sql(0, "CAST(dueamt AS DECIMAL(24,4)) AS dueamt"), ['dueamt'])}""", digits=4)
+{new_invoice(due_sql(0, f"{d4('dueamt')} AS dueamt"))}""", digits=4)
+def brg_loans_by_branch_schedule(spark, d):
+    return native(spark, d, org=3, plan="flat", recompute=False)["schedule"]
+
+
+@query("brg_loans_by_branch", f"WITH {pend_sql()} {docs_sql(PRINCIPAL).replace('motivo IS NULL', 'motivo IS NULL AND ad_org_id = 3')}", digits=4)
 def brg_loans_by_branch(spark, d):
-    return digest(native(spark, d, org=3, plan="flat", recompute=False)["schedule"])
+    return docs(native(spark, d, org=3, plan="flat", recompute=False))
 
 
 @query("brg_loans_two_line", f"WITH {pend_sql()} {docs_sql([*PRINCIPAL, (20, 1000029, 'montototal - monto')])}", digits=4)

@@ -8,6 +8,7 @@ from loanbook.plans.q_functions import BIRTH
 from loanbook.plans.q_payments import SPLIT
 from loanbook.plans.registry import PERIOD, query
 from loanbook.plans.sqlviews import m
+from loanbook.session import work_folder
 from loanbook.sources import tables as T
 
 PID = 199806
@@ -246,6 +247,7 @@ CLOSE_COUNTS = " UNION ALL ".join([
     f"SELECT 'credito' AS tabla, count(*) AS filas, {m('sum(sp + si)')} AS control FROM bal JOIN ppl USING (c_bpartner_id)",
     f"SELECT 'persona', count(*), 0.0::DOUBLE FROM ppl WHERE c_bpartner_id IN (SELECT c_bpartner_id FROM act)",
     "SELECT 'credito_persona', count(*), 0.0::DOUBLE FROM act JOIN ppl USING (c_bpartner_id)",
+    "SELECT 'analista', count(DISTINCT id_analista), 0.0::DOUBLE FROM staff WHERE cv_ruta_id IN (SELECT cv_ruta_id FROM act JOIN ppl USING (c_bpartner_id))",
     f"SELECT 'colocaciones', 1, {m('sum(montototal)')} FROM loans WHERE fecha BETWEEN DATE '{START}' AND DATE '{END}'",
     f"SELECT 'recuperaciones', 1, {m('sum(abono)')} FROM cobros JOIN loans ON legacy_cartera_id = id_cartera WHERE operacion BETWEEN DATE '{START}' AND DATE '{END}'",
 ])
@@ -257,24 +259,36 @@ def close_frames(spark, d):
                           write_once=True)
 
 
-@query("icc_close", f"""
-WITH {ACT}, {DAYS}, {bal('loop')}, {PEOPLE}
-{CLOSE_COUNTS}""")
-def icc_close(spark, d):
-    """Control figures of every table of a close."""
-    t = close_frames(spark, d)
+CLOSE = f"WITH {ACT}, {DAYS}, {bal('loop')}, {PEOPLE}, {STAFF} {CLOSE_COUNTS}"
+
+
+def close_figures(t):
+    """Rows and control figure of every table of a close."""
     control = {
         "credito": F.round(F.sum(F.round("saldo", 2) + F.round("interes_corriente", 2)), 2),
         "colocaciones": F.sum("mto_prestamo_cor"),
         "recuperaciones": F.sum(F.col("mto_principal_cor") + F.col("mto_interes_cor")),
     }
-    parts = [
-        t[n].agg(F.count(F.lit(1)).alias("filas"),
-                 control.get(n, F.lit("0").cast("decimal(18,2)")).cast("decimal(28,2)").alias("control"))
-        .select(F.lit(n).alias("tabla"), "filas", "control")
-        for n in ("credito", "persona", "credito_persona", "colocaciones", "recuperaciones")
-    ]
-    return T.union_all(parts)
+    return T.union_all([
+        df.agg(F.count(F.lit(1)).alias("filas"),
+               control.get(n, F.lit("0").cast("decimal(18,2)")).cast("decimal(28,2)").alias("control"))
+        .select(F.lit(n).alias("tabla"), "filas", "control") for n, df in t.items()])
+
+
+@query("icc_close", CLOSE)
+def icc_close(spark, d):
+    """Control figures; the rows of each table are the results of the other icc_ queries."""
+    return close_figures(close_frames(spark, d))
+
+
+@query("icc_close_written", CLOSE)
+def icc_close_written(spark, d):
+    """All tables of a close, written twice and read back."""
+    path = work_folder(spark, "close")
+    tables = close_frames(spark, d)
+    for _ in range(2):
+        C.period_close(tables, path, PID)
+    return close_figures({n: spark.read.parquet(f"{path}/{n}") for n in tables})
 
 
 @query("icc_ref_lookup", f"""

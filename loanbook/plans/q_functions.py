@@ -2,7 +2,6 @@
 
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook.functions import dates as D
 from loanbook.functions import scalars as S
 from loanbook.plans.registry import AS_OF, query
@@ -108,7 +107,7 @@ SELECT legacy, count(*) AS n, CAST(sum(CASE WHEN cartera THEN 1 ELSE 0 END) AS B
  SELECT chargetype ILIKE 'OPER%' AS legacy, regexp_matches(chargetype_desc, 'CARTERA|transfer', 'i') AS cartera
  FROM pay JOIN charges USING (c_charge_id)) GROUP BY 1""")
 def fn_regex_match(spark, d):
-    j = T.cash_payments(spark, d).join(small(T.charges(spark)), "c_charge_id")
+    j = T.cash_payments(spark, d).join(T.charges(spark), "c_charge_id")
     return j.groupBy(F.col("chargetype").ilike("OPER%").alias("legacy")).agg(
         F.count(F.lit(1)).alias("n"),
         F.count(F.when(S.regex_match(F.col("chargetype_desc"), "CARTERA|transfer"), 1))

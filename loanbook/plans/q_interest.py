@@ -92,25 +92,6 @@ def due_sql(first_offset: int = 0, columns: str = "") -> str:
 LEVEL4 = div("montototal", "dias_cre", 4)
 
 
-def digest(rows):
-    """A schedule per loan: rows, totals, extremes, dates and a position-weighted sum."""
-    money = [c for c in ("interes", "capital", "dueamt") if c in rows.columns]
-    aggs = [F.count(F.lit(1)).alias("n"), F.min("duedate").alias("primero"),
-            F.max("duedate").alias("ultimo")]
-    for c in money:
-        aggs += [F.sum(c).alias(f"{c}_total"), F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max"),
-                 F.sum(F.col(c) * F.col("seq")).alias(f"{c}_ponderado")]
-    return rows.groupBy("legacy_cartera_id").agg(*aggs)
-
-
-def digest_sql(rows: str, money: list) -> str:
-    parts = [f"{d4(f'sum({c})')} AS {c}_total, {d4(f'min({c})')} AS {c}_min, {d4(f'max({c})')} AS {c}_max,"
-             f" {d4(f'sum({c} * seq)')} AS {c}_ponderado" for c in money]
-    return (f"SELECT legacy_cartera_id, count(*) AS n, min(duedate) AS primero, max(duedate) AS ultimo,"
-            f" {', '.join(parts)} FROM ({rows}) GROUP BY 1")
-
-
-RAW_INT_CAP = "CAST(interes AS DECIMAL(24,4)) AS interes, CAST(capital AS DECIMAL(24,4)) AS capital"
 INT_CAP = f"{d4('interes')} AS interes, {d4('capital')} AS capital"
 
 
@@ -128,9 +109,9 @@ def int_schedule_declining(spark, d):
 WITH src AS (SELECT legacy_cartera_id AS k, monto AS principal, CAST(0.005 AS DECIMAL(12,10)) AS rate,
   CAST({LEVEL4} AS DECIMAL(18,4)) AS level, dias_cre AS n FROM loans),
  {fold_sql('src', False)}
-{digest_sql(due_sql(0, RAW_INT_CAP), ['interes', 'capital'])}""", digits=4, recursive=True)
+{due_sql(0, INT_CAP)}""", digits=4, recursive=True)
 def int_schedule_rate30(spark, d):
-    return digest(I.schedule_rate30(T.loans(spark, d)))
+    return I.schedule_rate30(T.loans(spark, d))
 
 
 PMT = """CAST(round(CAST(0.000125 * CAST(monto AS DOUBLE) * pow(1.000125, dias_cre::DOUBLE)
@@ -149,25 +130,26 @@ def int_pmt(spark, d):
 WITH src AS (SELECT legacy_cartera_id AS k, monto AS principal, CAST(0.005 AS DECIMAL(12,10)) AS rate,
   {PMT} AS level, dias_cre AS n FROM loans),
  {fold_sql('src', False, 2)}
-{digest_sql(f"SELECT l.legacy_cartera_id, pl.seq, CAST(l.fecha + pl.seq AS DATE) AS duedate, {RAW_INT_CAP} FROM plan pl JOIN loans l ON l.legacy_cartera_id = pl.k", ['interes', 'capital'])}""", digits=4, recursive=True)
+SELECT l.legacy_cartera_id, l.ad_org_id, l.local_id AS c_invoice_id, CAST(pl.seq AS INTEGER) AS seq, CAST(l.fecha + pl.seq AS DATE) AS duedate,
+ {INT_CAP} FROM plan pl JOIN loans l ON l.legacy_cartera_id = pl.k""", digits=4, recursive=True)
 def int_schedule_pmt(spark, d):
-    return digest(I.schedule_pmt(T.loans(spark, d)))
+    return I.schedule_pmt(T.loans(spark, d))
 
 
 @query("int_schedule_flat", f"""
 WITH plan AS (SELECT legacy_cartera_id AS k, unnest(range(1, dias_cre + 1)) AS seq,
   {div('valorinteres', 'dias_cre', 4)} AS dueamt FROM loans)
-{digest_sql(due_sql(0, "CAST(dueamt AS DECIMAL(24,4)) AS dueamt"), ['dueamt'])}""", digits=4)
+{due_sql(0, f"{d4('dueamt')} AS dueamt")}""", digits=4)
 def int_schedule_flat(spark, d):
-    return digest(I.schedule_flat(T.loans(spark, d)))
+    return I.schedule_flat(T.loans(spark, d))
 
 
 @query("int_schedule_level_total", f"""
 WITH plan AS (SELECT legacy_cartera_id AS k, unnest(range(1, dias_cre + 1)) AS seq,
   {div('montototal', 'dias_cre', 10)} + {div('valorinteres', 'dias_cre', 10)} AS dueamt FROM loans)
-{digest_sql(due_sql(1, "CAST(dueamt AS DECIMAL(28,10)) AS dueamt"), ['dueamt'])}""", digits=4)
+{due_sql(1, f"{m('dueamt', 10)} AS dueamt")}""", digits=10)
 def int_schedule_level_total(spark, d):
-    return digest(I.schedule_level_total(T.loans(spark, d)))
+    return I.schedule_level_total(T.loans(spark, d))
 
 
 OPEN_CAP = f"""open_cap AS MATERIALIZED (SELECT i.c_invoice_id, grandtotal - coalesce(a, 0) AS open FROM invoices i
@@ -252,6 +234,21 @@ def int_bill_daily(spark, d):
     return I.bill_daily(sch, T.invoices(spark, d), BILL_DAY, again)
 
 
+# The model's rule for the id of an instalment's invoice.
+def _new_id():
+    return F.col("legacy_schedule_id") * 10 + 3
+
+
+@query("int_bill_daily_updates", f"""
+SELECT s.legacy_schedule_id, 'Y' AS processed, s.legacy_schedule_id * 10 + 3 AS ref_invoice_id, 'nueva' AS factura {BILL_FROM}
+UNION ALL SELECT legacy_schedule_id, 'Y', NULL, 'existente' FROM sched s
+WHERE s.duedate = DATE '{BILL_DAY}' AND {PENDING} AND s.isactive = 'Y' AND EXISTS (
+ SELECT 1 FROM invoices b WHERE b.legacy_data = s.legacy_schedule_id AND b.docstatus IN ('CO', 'CL'))""")
+def int_bill_daily_updates(spark, d):
+    sch, inv = T.schedule(spark, d), T.invoices(spark, d)
+    return I.billing_updates(I.due_on(sch, BILL_DAY), inv, I.bill_daily(sch, inv, BILL_DAY), _new_id())
+
+
 DEBT = f"""
  fut AS (SELECT legacy_cartera_id, sum(dueamt) AS f FROM sched WHERE {PENDING} GROUP BY 1),
  bil AS (SELECT s.legacy_cartera_id, sum(i.grandtotal - coalesce(a, 0)) AS b
@@ -295,6 +292,22 @@ def int_bill_prepaid(spark, d):
     return _prepaid(spark, d)[0]
 
 
+@query("int_bill_prepaid_updates", f"""
+WITH {PREPAID},
+ open AS (SELECT s.* FROM sched s JOIN judged j USING (legacy_cartera_id) WHERE {PENDING} AND j.deuda >= j.por_cubrir),
+ known AS (SELECT DISTINCT legacy_data FROM invoices WHERE docstatus IN ('CO', 'CL')),
+ rows AS (SELECT s.*, por_cubrir, sum(s.dueamt) OVER (PARTITION BY s.legacy_cartera_id
+   ORDER BY duedate, legacy_schedule_id) - s.dueamt AS antes
+  FROM open s JOIN judged j USING (legacy_cartera_id) WHERE legacy_schedule_id NOT IN (SELECT legacy_data FROM known WHERE legacy_data IS NOT NULL))
+SELECT legacy_schedule_id, 'Y' AS processed, legacy_schedule_id * 10 + 3 AS ref_invoice_id, 'nueva' AS factura FROM rows WHERE antes < por_cubrir
+UNION ALL SELECT legacy_schedule_id, 'Y', NULL, 'existente' FROM open JOIN known ON legacy_data = legacy_schedule_id""")
+def int_bill_prepaid_updates(spark, d):
+    sch, inv = T.schedule(spark, d), T.invoices(spark, d)
+    made, _, accepted = _prepaid(spark, d)
+    looked = sch.filter(I.unbilled()).join(accepted, "legacy_cartera_id", "left_semi")
+    return I.billing_updates(looked, inv, made, _new_id())
+
+
 @query("int_bill_prepaid_rejects", f"""
 WITH {PREPAID}
 SELECT legacy_cartera_id, {d4('por_cubrir')} AS por_cubrir, {d4('deuda')} AS deuda FROM judged WHERE deuda < por_cubrir""",
@@ -352,6 +365,28 @@ def int_reprice_batch(spark, d):
     return I.reprice_batch(T.schedule(spark, d), T.loans(spark, d), T.invoices(spark, d))
 
 
+REPRICED = """SELECT s.ref_invoice_id FROM sched s JOIN loans l USING (legacy_cartera_id)
+ WHERE s.ref_invoice_id IS NOT NULL AND (s.isvalid IS NULL OR s.isvalid <> 'Y')"""
+
+
+def _repriced(spark, d):
+    rows = I.reprice_batch(T.schedule(spark, d), T.loans(spark, d), T.invoices(spark, d))
+    return I.reprice_updates(rows, T.allocations(spark, d))
+
+
+@query("int_reprice_batch_payments", f"SELECT DISTINCT c_payment_id, 'N' AS isallocated FROM alloc WHERE c_invoice_id IN ({REPRICED})")
+def int_reprice_batch_payments(spark, d):
+    return _repriced(spark, d)["payments"]
+
+
+@query("int_reprice_batch_lines", f"""
+WITH x AS (SELECT s.ref_invoice_id AS c_invoice_id, CAST({half_up('CAST(l.valorinteres * 10000 AS HUGEINT)', '(l.dias_cre * 100)', 0)} AS DOUBLE) / 100 AS p
+ FROM sched s JOIN loans l USING (legacy_cartera_id) WHERE s.ref_invoice_id IS NOT NULL AND (s.isvalid IS NULL OR s.isvalid <> 'Y'))
+SELECT c_invoice_id, p AS priceactual, p AS linenetamt, p AS priceentered FROM x""")
+def int_reprice_batch_lines(spark, d):
+    return _repriced(spark, d)["lines"]
+
+
 NEW = "CAST(monto * CAST(1.1 AS DECIMAL(2,1)) AS DECIMAL(18,2))"
 NEW_TOTAL = f"round({NEW} * CAST(1.12 AS DECIMAL(3,2)), 2)"
 

@@ -123,11 +123,9 @@ def src_balance_csv(spark, d):
         "no_valida", F.col("corrupt").isNotNull()).drop("corrupt")
 
 
-# Names within two edits of a partner: one character more or less is far from every other name.
 NEAR = """
  near AS MATERIALIZED (SELECT name, c_bpartner_id, dist FROM (SELECT *, row_number() OVER (PARTITION BY name ORDER BY dist, c_bpartner_id) AS rn FROM (
-  SELECT n.name, p.c_bpartner_id, levenshtein(n.name, p.nombre) AS dist FROM (SELECT DISTINCT name FROM bl) n JOIN partners p
-   ON abs(length(n.name) - length(p.nombre)) <= 2 AND levenshtein(n.name, p.nombre) <= 2)) WHERE rn = 1)"""
+  SELECT n.name, p.c_bpartner_id, levenshtein(n.name, p.nombre) AS dist FROM (SELECT DISTINCT name FROM bl) n, partners p)) WHERE rn = 1)"""
 
 
 def _names(spark, d):
@@ -142,15 +140,15 @@ def mig_nearest_partner(spark, d):
 
 
 OPENING = f"""
- ol AS MATERIALIZED (SELECT bl.*, n.c_bpartner_id, min(row_id) OVER (PARTITION BY n.c_bpartner_id) AS first_row,
+ ol AS MATERIALIZED (SELECT bl.*, n.c_bpartner_id, min(row_id) FILTER (fecha IS NOT NULL) OVER (PARTITION BY n.c_bpartner_id) AS first_row,
    n.c_bpartner_id IN (SELECT c_bpartner_id FROM loans WHERE origen = 'migrated' AND synced = 'Y') AS taken
-  FROM bl LEFT JOIN near n USING (name) WHERE fecha IS NOT NULL)"""
+  FROM bl LEFT JOIN near n USING (name))"""
 
 
 def _opening(spark, d):
     rows, match = _names(spark, d)
     migrated = T.loans(spark, d).filter("origen = 'migrated' AND synced = 'Y'")
-    return M.opening_loans(rows.filter(F.col("corrupt").isNull()), match, T.partners_wide(spark, d), migrated)
+    return M.opening_loans(rows, match, T.partners_wide(spark, d), migrated)
 
 
 @query("mig_opening_loans", f"""
@@ -160,15 +158,16 @@ SELECT row_id, c_bpartner_id, ad_org_trx_id AS ad_org_id, fecha, 'Migrado from t
  {m('monto')} AS monto, {m('montototal - monto')} AS valorinteres, {m('montototal')} AS montototal, {m('montototal - saldo')} AS abono, {m('saldo')} AS saldo,
  CAST((2 * CAST((montototal - monto) * 10000 AS HUGEINT) + CAST(monto * 100 AS HUGEINT)) // (2 * CAST(monto * 100 AS HUGEINT)) AS DOUBLE) / 100 AS tasa,
  'N' AS synced, 'migrado' AS origen, 'Y' AS aprobado
-FROM ol JOIN pwide USING (c_bpartner_id) WHERE NOT taken AND row_id = first_row""")
+FROM ol JOIN pwide USING (c_bpartner_id) WHERE fecha IS NOT NULL AND NOT taken AND row_id = first_row""")
 def mig_opening_loans(spark, d):
     return _opening(spark, d)["loans"]
 
 
 @query("mig_opening_loans_rejects", f"""
 WITH {BALANCE}, {NEAR}, {OPENING}
-SELECT row_id, c_bpartner_id, CASE WHEN c_bpartner_id IS NULL THEN 'tercero no encontrado' ELSE 'tercero con prestamo migrado' END AS motivo
-FROM ol WHERE c_bpartner_id IS NULL OR taken OR row_id <> first_row""")
+SELECT row_id, c_bpartner_id, CASE WHEN fecha IS NULL THEN 'linea no valida' WHEN c_bpartner_id IS NULL THEN 'tercero no encontrado'
+ ELSE 'tercero con prestamo migrado' END AS motivo
+FROM ol WHERE fecha IS NULL OR c_bpartner_id IS NULL OR taken OR row_id <> first_row""")
 def mig_opening_loans_rejects(spark, d):
     return _opening(spark, d)["rejects"]
 

@@ -41,7 +41,7 @@ def pay_split_principal_first(spark, d):
 DEBTS = """
  debts AS MATERIALIZED (SELECT c_invoice_id, c_bpartner_id, c_doctype_id, dateinvoiced, grandtotal - coalesce(a, 0) AS open
   FROM invoices LEFT JOIN (SELECT c_invoice_id, sum(amount) AS a FROM alloc WHERE isactive = 'Y' GROUP BY 1) USING (c_invoice_id)
-  WHERE ispaid = 'N' AND docstatus = 'CO' AND grandtotal - coalesce(a, 0) > 0)"""
+  WHERE ispaid = 'N' AND docstatus = 'CO' AND issotrx = 'Y' AND grandtotal - coalesce(a, 0) > 0)"""
 UNALLOC = f"""
  unalloc AS MATERIALIZED (SELECT p.* FROM receipts p WHERE c_doctype_id = 1000050 AND docstatus = 'CO' AND payamt > 0
   AND c_invoice_id IS NULL AND NOT EXISTS (SELECT 1 FROM alloc a WHERE a.c_payment_id = p.c_payment_id)
@@ -64,17 +64,28 @@ FREE = """
   AND NOT EXISTS (SELECT 1 FROM alloc a WHERE a.c_payment_id = p.c_payment_id))"""
 
 
-@query("pay_unallocated", f"""
-WITH {DEBTS}, {UNALLOC}
-SELECT c_payment_id, c_bpartner_id, dateacct, {m('payamt')} AS payamt, ad_org_id FROM unalloc""")
-def pay_unallocated(spark, d):
+def _unallocated(spark, d, on_day=None):
     r = T.receipts(spark, d)
     omitted = r.filter(F.substring(F.md5("c_payment_id"), 1, 1) == "f").select(
         "c_payment_id", F.lit(TODAY).cast("date").alias("dateommited"))
-    return P.unallocated(r, T.allocations(spark, d), _debts(spark, d), omitted, TODAY).select(
+    return P.unallocated(r, T.allocations(spark, d), _debts(spark, d), omitted, TODAY, on_day).select(
         "c_payment_id", "c_bpartner_id", "dateacct", "payamt", "ad_org_id")
 
 
+FREE_ROWS = f"SELECT c_payment_id, c_bpartner_id, dateacct, {m('payamt')} AS payamt, ad_org_id FROM unalloc"
+
+
+@query("pay_unallocated", f"WITH {DEBTS}, {UNALLOC} {FREE_ROWS}")
+def pay_unallocated(spark, d):
+    return _unallocated(spark, d)
+
+
+@query("pay_unallocated_day", f"WITH {DEBTS}, {UNALLOC} {FREE_ROWS} WHERE datetrx = DATE '{TODAY}'")
+def pay_unallocated_day(spark, d):
+    """Those whose transaction is dated on one day, whatever their accounting date."""
+    return _unallocated(spark, d, TODAY)
+
+
 @query("pay_candidates", f"""
 WITH {DEBTS}
 SELECT c_invoice_id, c_bpartner_id, c_doctype_id, dateinvoiced, {d4('open')} AS open,

@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from loanbook.operators import quality as Q
+from loanbook.operators.balances import with_collected
 from loanbook.plans.q_interest import half_up
 from loanbook.plans.registry import query
 from loanbook.plans.sqlviews import m
@@ -107,6 +108,28 @@ def dq_reassign_first_fit(spark, d):
     return Q.reassign_first_fit(*base(spark, d))
 
 
+OWN_FIT = FIRST_FIT.replace("FROM cobros GROUP BY", "FROM cobros_own GROUP BY").replace(
+    "b.c_bpartner_id, b.saldo_synced FROM cobros c JOIN bal b", "c.c_bpartner_id, b.saldo_synced FROM cobros_own c LEFT JOIN bal b").replace(
+    "WHERE saldo_synced < 0)", "WHERE saldo_synced < 0 OR id_cartera IS NULL)")
+
+
+@query("dq_reassign_first_fit_owned", OWN_FIT, recursive=True)
+def dq_reassign_first_fit_owned(spark, d):
+    """Collections that carry their partner, some of them without a loan."""
+    return Q.reassign_first_fit(T.partner_collections(spark, d), T.loans(spark, d))
+
+
+OWN_MOVES = """SELECT legacy_cobro_id, rep.c_bpartner_id, c.id_cartera AS old_cartera, nueva AS id_cartera
+FROM cobros_own c JOIN rep ON rep.c_bpartner_id = c.c_bpartner_id WHERE c.synced = 'N' AND nueva IS NOT NULL"""
+
+
+@query("dq_reassign_oldest_owned", f"WITH {BAL}, {MIS}, {oldest('mis')} {OWN_MOVES}".replace("FROM cobros c JOIN bal", "FROM cobros_own c JOIN bal").replace(
+    "FROM cobros GROUP BY", "FROM cobros_own GROUP BY").replace("SELECT c_bpartner_id, legacy_cartera_id, count(*) AS cobros", "SELECT bal.c_bpartner_id, legacy_cartera_id, count(*) AS cobros"))
+def dq_reassign_oldest_owned(spark, d):
+    c, ln = T.partner_collections(spark, d), T.loans(spark, d)
+    return Q.reassign_oldest(Q.misassigned(c, ln, T.partners(spark, d)), c, ln)["moves"]
+
+
 @query("dq_duplicate_allocations", "SELECT c_payment_id, c_invoice_id, count(*) AS lineas FROM alloc GROUP BY 1, 2 HAVING count(*) > 1")
 def dq_duplicate_allocations(spark, d):
     return Q.duplicate_allocations(T.allocations(spark, d))
@@ -121,13 +144,11 @@ def dq_zero_duplicates(spark, d):
 
 
 def _orphans(spark, d):
-    # Only native collections stay, so the receipts of the others have lost theirs.
-    native = T.collections(spark, d).filter(F.col("origen") == "native")
-    return Q.orphan_receipts(T.receipts(spark, d), native, T.allocations(spark, d))
+    return Q.orphan_receipts(T.with_lost(T.receipts(spark, d)), T.collections(spark, d), T.with_lost(T.allocations(spark, d)))
 
 
-LOST = """lost AS MATERIALIZED (SELECT * FROM receipts p WHERE c_doctype_id = 1000050 AND payamt <> 0
- AND NOT EXISTS (SELECT 1 FROM cobros c WHERE c.local_id = p.c_payment_id AND c.origen = 'native'))"""
+LOST = """lost AS MATERIALIZED (SELECT * FROM receipts_lost p WHERE c_doctype_id = 1000050 AND payamt <> 0
+ AND NOT EXISTS (SELECT 1 FROM cobros c WHERE c.local_id = p.c_payment_id))"""
 
 
 @query("dq_orphan_receipts", f"WITH {LOST} SELECT c_payment_id, {m('payamt')} AS payamt_previo, 0.0::DOUBLE AS payamt FROM lost")
@@ -136,7 +157,7 @@ def dq_orphan_receipts(spark, d):
 
 
 @query("dq_orphan_receipt_lines", f"""
-WITH {LOST} SELECT c_allocationline_id, {m('amount')} AS amount_previo, 0.0::DOUBLE AS amount FROM alloc WHERE c_payment_id IN (SELECT c_payment_id FROM lost)""")
+WITH {LOST} SELECT c_allocationline_id, {m('amount')} AS amount_previo, 0.0::DOUBLE AS amount FROM alloc_lost WHERE c_payment_id IN (SELECT c_payment_id FROM lost)""")
 def dq_orphan_receipt_lines(spark, d):
     return _orphans(spark, d)["lines"]
 
@@ -205,3 +226,23 @@ def dq_branch_subset(spark, d):
         .select(F.lit(name).alias("tabla"), "ad_org_id", "n", "monto") for name, df in kept.items()])
 
 
+
+
+def _void_loans(spark, d):
+    ln = with_collected(T.loans(spark, d), T.collections(spark, d)).withColumnRenamed("paid", "abono")
+    paid = T.invoices(spark, d).select(F.col("c_invoice_id").alias("c_payment_id"), "docstatus")
+    return Q.void_loans(ln, paid, ln.filter("legacy_cartera_id % 25 = 0"))
+
+
+@query("dq_void_loans", f"""
+SELECT legacy_cartera_id, {m('CASE WHEN legacy_cartera_id % 25 = 0 THEN 0 ELSE coalesce(p, 0) END')} AS abono, legacy_cartera_id % 25 = 0 AS anulado
+FROM loans LEFT JOIN (SELECT id_cartera, sum(abono) AS p FROM cobros GROUP BY 1) x ON x.id_cartera = legacy_cartera_id""")
+def dq_void_loans(spark, d):
+    return _void_loans(spark, d)["loans"].select("legacy_cartera_id", "abono", "anulado")
+
+
+@query("dq_void_loans_payments", """
+SELECT local_id AS c_payment_id, CASE docstatus WHEN 'CO' THEN 'revertido' WHEN 'DR' THEN 'eliminado' ELSE 'sin cambio' END AS accion
+FROM loans JOIN invoices ON c_invoice_id = local_id WHERE loans.legacy_cartera_id % 25 = 0""")
+def dq_void_loans_payments(spark, d):
+    return _void_loans(spark, d)["payments"]

@@ -7,7 +7,10 @@ from loanbook.operators import reports as R
 from loanbook.plans.q_balances import PAID_ALL
 from loanbook.plans.registry import AS_OF, query
 from loanbook.plans.sqlviews import m
+from loanbook.functions.scalars import emit
+from loanbook.session import work_folder
 from loanbook.sources import tables as T
+from loanbook.sources.sinks import export_csv
 
 CUT = f"DATE '{AS_OF}'"
 CONFIG = '{"company-name": "Prestamos SA", "rep-name": "Gerencia"}'
@@ -203,19 +206,20 @@ def rpt_pending_overpaid(spark, d):
 
 @query("rpt_receipt_diff", f"""
 SELECT p.c_payment_id, p.c_bpartner_id, nombre, docstatus, {m('payamt')} AS payamt, dateacct, {m('abono')} AS abono, {m('payamt - abono')} AS diff
-FROM receipts p JOIN partners USING (c_bpartner_id) LEFT JOIN cobros c ON c.local_id = p.c_payment_id AND c.origen = 'native'
-WHERE payamt > 0""")
+FROM receipts_lost p JOIN partners USING (c_bpartner_id) LEFT JOIN cobros c ON c.local_id = p.c_payment_id WHERE payamt > 0""")
 def rpt_receipt_diff(spark, d):
-    native = T.collections(spark, d).filter(F.col("origen") == "native")
-    return R.receipt_differences(T.receipts(spark, d), native, T.partners(spark, d))
+    return R.receipt_differences(T.with_lost(T.receipts(spark, d)), T.collections(spark, d), T.partners(spark, d))
 
 
 @query("snk_export", f"""
-SELECT org_name AS orgname, ruta AS nombreruta, strftime(operacion, '%Y-%m-%d') AS fecha, '00:00:00' AS hora, codigo AS codtercero,
- nombre AS tercero, l.c_bpartner_id, {m('abono')} AS abono, usuario AS creadopor, split_part(c.coords, '|', 1) AS latitud,
+SELECT org_name AS orgname, ruta AS nombreruta, strftime(operacion, '%Y-%m-%d') AS fecha, strftime(operacion_ts, '%H:%M:%S') AS hora, codigo AS codtercero,
+ nombre AS tercero, c.c_bpartner_id, {m('abono')} AS abono, usuario AS creadopor, split_part(c.coords, '|', 1) AS latitud,
  split_part(c.coords, '|', 2) AS longitud, 'https://maps.google.com/?q=' || replace(c.coords, '|', ',') AS coordenadalink, legacy_cobro_id
-FROM cobros c JOIN loans l ON l.legacy_cartera_id = c.id_cartera JOIN pwide p ON p.c_bpartner_id = l.c_bpartner_id
-LEFT JOIN users u ON u.ad_user_id = c.createdby JOIN branches b ON b.ad_org_id = c.ad_org_id WHERE c.origen = 'native' AND abono > 0""")
+FROM cobros_own c JOIN pwide p ON p.c_bpartner_id = c.c_bpartner_id LEFT JOIN users u ON u.ad_user_id = c.createdby JOIN branches b ON b.ad_org_id = c.ad_org_id WHERE c.origen = 'native' AND abono > 0""")
 def snk_export(spark, d):
-    return R.cobros_export(T.collections(spark, d), T.loans(spark, d), T.partners_wide(spark, d),
-                           T.users(spark, d), T.branches(spark, d))
+    """Written as a flat file and read back."""
+    rows = emit(R.cobros_export(T.partner_collections(spark, d), T.loans(spark, d), T.partners_wide(spark, d),
+                                T.users(spark, d), T.branches(spark, d)))
+    path = work_folder(spark, "export")
+    export_csv(rows, path)
+    return spark.read.schema(rows.schema).option("header", True).csv(path)

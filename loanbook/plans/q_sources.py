@@ -3,10 +3,8 @@
 from pyspark.sql import functions as F
 
 from loanbook.operators import balances as B
-from loanbook.operators import close as C
 from loanbook.plans.q_balances import PARTNER_BALANCE
 from loanbook.plans.q_bridges import PLAIN_REASON, RECEIPT, STRICT, cpend
-from loanbook.plans.q_close import END, START, active
 from loanbook.plans.registry import query
 from loanbook.plans.sqlviews import m
 from loanbook.session import work_folder
@@ -16,20 +14,32 @@ from loanbook.sources import tables as T
 from loanbook.streaming import jobs as J
 
 
+def _written(df, name, schema):
+    """A frame as a file of the source's layout: columns of the schema, missing ones null."""
+    path = work_folder(df.sparkSession, name)
+    df.select(*[(F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                for f in schema]).write.parquet(path)
+    return path
+
+
 @query("src_loans", f"""
 SELECT legacy_cartera_id, c_bpartner_id, fecha, dias_cre, {m('monto')} AS monto, {m('montototal')} AS montototal, synced, aprobado,
  synced IS DISTINCT FROM 'Y' AS pendiente, aprobado = 'Y' AS aprobada FROM loans""")
 def src_loans(spark, d):
-    return R.flag_loans(T.loans(spark, d)).select(
+    """Loans written as source files and read by the typed reader; their day loses its time."""
+    stamped = T.loans(spark, d).withColumn("fecha", F.col("fecha").cast("timestamp_ntz") + F.expr("INTERVAL 15 HOUR"))
+    return R.read_loans(spark, _written(stamped, "loans", R.LOAN_SCHEMA)).select(
         "legacy_cartera_id", "c_bpartner_id", "fecha", "dias_cre", "monto", "montototal", "synced", "aprobado",
         "pendiente", "aprobada")
 
 
 @query("src_collections", f"""
-SELECT legacy_cobro_id, id_cartera, {m('abono')} AS abono, operacion, synced, origen, local_id FROM cobros WHERE abono > 0""")
+SELECT id_cartera, c_bpartner_id, {m('abono')} AS abono, operacion, operacion_ts, synced, origen FROM cobros_own WHERE abono > 0""")
 def src_collections(spark, d):
-    return T.collections(spark, d).filter(F.col("abono") > 0).select(
-        "legacy_cobro_id", "id_cartera", "abono", "operacion", "synced", "origen", "local_id")
+    """Collections with their time of day, partner and, for a part, no loan, read by the typed reader."""
+    stamped = T.partner_collections(spark, d).drop("operacion", "legacy_cobro_id", "local_id").withColumnRenamed("operacion_ts", "operacion")
+    return R.read_collections(spark, _written(stamped, "collections", R.COLLECTION_SCHEMA)).select(
+        "id_cartera", "c_bpartner_id", "abono", "operacion", "operacion_ts", "synced", "origen")
 
 
 def _catalogs(spark, d):
@@ -65,12 +75,13 @@ def src_catalogs_duplicates(spark, d):
 @query("snk_period_partition", f"""
 SELECT CAST(strftime(fecha, '%Y%m') AS INTEGER) AS c_period_id, count(*) AS filas, {m('sum(montototal)')} AS total FROM loans GROUP BY 1""")
 def snk_period_partition(spark, d):
-    """Loans by period; one period is written a second time, which must change nothing."""
+    """Loans by period; one period is written again, and one that held old rows is replaced by nothing."""
     path = work_folder(spark, "periods")
     rows = T.loans(spark, d).select(
         F.date_format("fecha", "yyyyMM").cast("int").alias("c_period_id"), "legacy_cartera_id", "montototal")
-    S.write_period(rows.repartition("c_period_id"), path)
-    S.write_period(rows.filter("c_period_id = 199806"), path)
+    stale = rows.limit(5).withColumn("c_period_id", F.lit(190001))
+    S.write_period(rows.unionByName(stale).repartition("c_period_id"), path)
+    S.write_period(rows.filter("c_period_id IN (199806, 190001)"), path, periods=[199806, 190001])
     return spark.read.parquet(path).groupBy("c_period_id").agg(
         F.count(F.lit(1)).alias("filas"), F.sum("montototal").alias("total"))
 
@@ -87,12 +98,18 @@ def snk_upsert(spark, d):
 
 @query("str_collections", f"WITH {cpend(STRICT)} {RECEIPT}, CAST(NULL AS BIGINT) AS c_invoice_id FROM cp WHERE {PLAIN_REASON} IS NULL")
 def str_collections(spark, d):
-    """All collections as newly arrived files; a second start finds nothing new."""
-    out, mark = work_folder(spark, "receipts"), work_folder(spark, "marks")
-    raw = J.file_stream(spark, d, T.read(spark, d, "lineitem").schema, "lineitem.parquet")
-    stream = T.map_collections(raw).withColumn("operacion_ts", F.col("operacion").cast("timestamp"))
+    """Three files, one batch each: dates in no order, every batch repeats a part of the one before.
+
+    A second start finds nothing new.
+    """
+    inbox, out, mark = (work_folder(spark, x) for x in ("inbox", "receipts", "marks"))
+    rows = T.read(spark, d, "lineitem").withColumn("_n", F.pmod(F.xxhash64("l_orderkey", "l_linenumber", "l_partkey"), F.lit(3)))
+    for n in range(3):
+        again = (F.col("_n") == n - 1) & (F.col("l_linenumber") <= 2)
+        rows.filter((F.col("_n") == n) | again).drop("_n").coalesce(1).write.mode("append").parquet(inbox)
+    raw = J.file_stream(spark, inbox, rows.drop("_n").schema, "*.parquet", files=1)
     for _ in range(2):
-        J.bridge_collections_stream(stream, T.loans(spark, d), T.partners(spark, d), T.users(spark, d), out, mark)
+        J.bridge_collections_stream(T.map_collections(raw), T.loans(spark, d), T.partners(spark, d), T.users(spark, d), out, mark)
     return spark.read.parquet(f"{out}/payments").drop("batch")
 
 
@@ -115,22 +132,3 @@ def str_invoice_open(spark, d):
     stream = stream.select("c_invoice_id", "c_bpartner_id", "dateinvoiced", "issotrx", "v.version", "v.grandtotal")
     J.invoice_open_stream(stream, T.allocations(spark, d), out, mark)
     return J.open_snapshot(spark, out)
-
-
-@query("icc_close_written", f"""
-WITH act AS (SELECT l.c_bpartner_id FROM loans l LEFT JOIN (SELECT id_cartera, sum(abono) AS p, max(operacion) AS u FROM cobros
-  WHERE operacion <= DATE '{END}' GROUP BY 1) ON id_cartera = legacy_cartera_id
- WHERE fecha <= DATE '{END}' AND (montototal - coalesce(p, 0) > 0 OR fecha >= DATE '{START}' OR u >= DATE '{START}'))
-SELECT 'persona' AS tabla, count(DISTINCT c_bpartner_id) AS filas FROM act UNION ALL SELECT 'credito_persona', count(*) FROM act""")
-def icc_close_written(spark, d):
-    """Person and link rows of a close written twice and read back."""
-    from loanbook.plans.q_close import PID, people
-
-    path = work_folder(spark, "close")
-    live, who = active(spark, d), people(spark, d)
-    tables = {"persona": C.person_rows(live, who, PID), "credito_persona": C.credit_person_rows(live, who, PID)}
-    for _ in range(2):
-        C.period_close(tables, path)
-    return T.union_all([
-        spark.read.parquet(f"{path}/{n}").agg(F.count(F.lit(1)).alias("filas")).select(F.lit(n).alias("tabla"), "filas")
-        for n in tables])

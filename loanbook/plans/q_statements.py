@@ -27,6 +27,21 @@ def stm_partner(spark, d):
     return S.partner_statement(T.loans(spark, d), T.collections(spark, d), *RANGE)
 
 
+@query("stm_partner_owned", f"""
+WITH mov AS (
+ SELECT c_bpartner_id, 'INI-DEB' AS documentno, 'SALDO INICIAL (DÉBITOS)' AS concepto, CAST({A} - 1 AS DATE) AS fecha,
+  CAST(sum(montototal) AS DECIMAL(28,4)) AS debito, CAST(0 AS DECIMAL(28,4)) AS credito FROM loans WHERE fecha < {A} GROUP BY 1
+ UNION SELECT c_bpartner_id, 'INI-CRED', 'SALDO INICIAL (CRÉDITOS)', CAST({A} - 1 AS DATE), 0, sum(abono) FROM cobros_own
+  WHERE operacion < {A} GROUP BY 1
+ UNION SELECT c_bpartner_id, coalesce(local_id, legacy_cartera_id)::VARCHAR, 'Desembolso', fecha, montototal, 0 FROM loans
+  WHERE fecha BETWEEN {A} AND {Z}
+ UNION SELECT c_bpartner_id, coalesce(c.local_id, legacy_cobro_id), 'Cobro', operacion, 0, abono FROM cobros_own c WHERE operacion BETWEEN {A} AND {Z})
+SELECT c_bpartner_id, fecha, documentno, concepto, {m('debito')} AS debito, {m('credito')} AS credito,
+ {m('CAST(sum(debito - credito) OVER (PARTITION BY c_bpartner_id ORDER BY fecha) AS DECIMAL(28,4))')} AS saldo FROM mov""")
+def stm_partner_owned(spark, d):
+    return S.partner_statement(T.loans(spark, d), T.partner_collections(spark, d), *RANGE)
+
+
 @query("stm_partner_history", f"""
 WITH lp AS (SELECT id_cartera, max(operacion) AS lastp FROM cobros WHERE abono > 0 GROUP BY 1)
 SELECT c_bpartner_id, legacy_cartera_id AS idcartera, org_name AS codsucursal, fecha, dias_cre, vence6 AS fechavence, {m('monto')} AS monto,

@@ -34,13 +34,16 @@ CTES = {
  SELECT legacy_cobro_id, l_orderkey AS id_cartera,
   CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * CAST(0.60 AS DECIMAL(3,2)), 2)
    AS DECIMAL(18,2)) AS abono,
-  CAST(l_shipdate AS DATE) AS operacion,
+  CAST(l_shipdate AS DATE) AS operacion, CAST(l_shipdate AS TIMESTAMP) + to_seconds(l_partkey % 86400) AS operacion_ts,
   CASE l_returnflag WHEN 'R' THEN 'Y' WHEN 'A' THEN 'N' END AS synced,
   CASE l_linestatus WHEN 'O' THEN 'native' ELSE 'migrated' END AS origen,
   l_suppkey AS createdby, CAST(l_suppkey % 5 AS INTEGER) AS ad_org_id,
   CASE WHEN l_returnflag = 'R' THEN 'P-' || legacy_cobro_id END AS local_id,
   (l_partkey % 90)::VARCHAR || '.125|-' || (l_suppkey % 180)::VARCHAR || '.75' AS coords
  FROM cobros0""",
+    "cobros_own": """
+ SELECT c.* EXCLUDE (id_cartera), CASE WHEN c.id_cartera % 50 <> 0 THEN c.id_cartera END AS id_cartera, o_custkey AS c_bpartner_id
+ FROM cobros c JOIN orders ON o_orderkey = c.id_cartera""",
     "partners": """
  SELECT c_custkey AS c_bpartner_id, 'C' || c_custkey AS codigo, c_name AS nombre,
   c_nationkey AS cv_ruta_id, c_mktsegment AS rubro,
@@ -123,15 +126,21 @@ CTES = {
   fecha AS dateinvoiced, CAST(monto AS DECIMAL(18,4)) AS grandtotal,
   CASE WHEN legacy_cartera_id % 6 = 0 THEN 'Y' ELSE 'N' END AS ispaid,
   CASE WHEN legacy_cartera_id % 50 = 0 THEN 'DR' ELSE 'CO' END AS docstatus,
-  CAST(NULL AS BIGINT) AS legacy_data, ad_org_id FROM loans WHERE synced = 'Y'
+  CAST(NULL AS BIGINT) AS legacy_data, ad_org_id, CASE WHEN legacy_cartera_id % 53 = 0 THEN 'N' ELSE 'Y' END AS issotrx
+ FROM loans WHERE synced = 'Y'
  UNION ALL
  SELECT ref_invoice_id, c_bpartner_id, legacy_cartera_id, 1000051, duedate,
   CAST(dueamt AS DECIMAL(18,4)),
-  CASE WHEN legacy_schedule_id % 4 = 0 THEN 'Y' ELSE 'N' END, 'CO', legacy_schedule_id, ad_org_id
- FROM sched WHERE processed = 'Y'""",
+  CASE WHEN legacy_schedule_id % 4 = 0 THEN 'Y' ELSE 'N' END, 'CO', legacy_schedule_id, ad_org_id,
+  CASE WHEN legacy_schedule_id % 41 = 0 THEN 'N' ELSE 'Y' END
+ FROM sched WHERE processed = 'Y'
+ UNION ALL
+ SELECT legacy_schedule_id * 10 + 4, c_bpartner_id, legacy_cartera_id, 1000051, duedate, CAST(dueamt AS DECIMAL(18,4)), 'N', 'CO',
+  legacy_schedule_id, ad_org_id, 'Y' FROM sched WHERE processed IS DISTINCT FROM 'Y' AND legacy_schedule_id % 199 = 0""",
     "receipts": """
  SELECT c.local_id AS c_payment_id, l.c_bpartner_id, c.id_cartera, c.abono AS payamt,
-  c.operacion AS dateacct, 1000050 AS c_doctype_id, c.ad_org_id,
+  c.operacion AS dateacct, CASE WHEN substr(md5(c.local_id),3,1) < '4' THEN CAST(c.operacion - 1 AS DATE) ELSE c.operacion END AS datetrx,
+  1000050 AS c_doctype_id, c.ad_org_id,
   CASE WHEN substr(md5(c.local_id),1,1) = '0' THEN 'DR' ELSE 'CO' END AS docstatus,
   CASE WHEN substr(md5(c.local_id),2,1) = '0' THEN l.local_id END AS c_invoice_id
  FROM cobros c JOIN loans l ON l.legacy_cartera_id = c.id_cartera WHERE c.synced = 'Y'""",
@@ -144,6 +153,11 @@ CTES = {
   CAST(round(payamt * CAST(0.5 AS DECIMAL(2,1)), 2) AS DECIMAL(18,2)) AS amount,
   dateacct, 'Y' AS isactive, line, c_payment_id || '/' || line AS c_allocationline_id,
   'H-' || c_payment_id AS c_allocationhdr_id FROM alloc0""",
+    "receipts_lost": """
+ SELECT * FROM receipts UNION ALL SELECT * REPLACE ('X' || c_payment_id AS c_payment_id) FROM receipts WHERE substr(md5(c_payment_id),4,1) = '0'""",
+    "alloc_lost": """
+ SELECT * FROM alloc UNION ALL SELECT * REPLACE ('X' || c_payment_id AS c_payment_id, 'X' || c_allocationline_id AS c_allocationline_id,
+  'X' || c_allocationhdr_id AS c_allocationhdr_id) FROM alloc WHERE substr(md5(c_payment_id),4,1) = '0'""",
 }
 
 ORDER = list(CTES)

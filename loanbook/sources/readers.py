@@ -40,6 +40,11 @@ def _read(spark, path, schema, fmt):
     return r.format(fmt).load(path)
 
 
+def dated(df: DataFrame, column: str) -> DataFrame:
+    """The column as a day; its time stays in <column>_ts. Filters by day still reach the scan."""
+    return df.withColumn(f"{column}_ts", F.col(column)).withColumn(column, F.col(column).cast("date"))
+
+
 def flag_loans(df: DataFrame) -> DataFrame:
     """Loans with their pending and approved flags."""
     return df.withColumn("pendiente", pending(F.col("synced"))).withColumn(
@@ -47,11 +52,11 @@ def flag_loans(df: DataFrame) -> DataFrame:
 
 
 def read_loans(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return flag_loans(_read(spark, path, LOAN_SCHEMA, fmt))
+    return flag_loans(dated(_read(spark, path, LOAN_SCHEMA, fmt), "fecha"))
 
 
 def read_collections(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _read(spark, path, COLLECTION_SCHEMA, fmt).filter(F.col("abono") > 0)
+    return dated(_read(spark, path, COLLECTION_SCHEMA, fmt), "operacion").filter(F.col("abono") > 0)
 
 
 def jdbc_extract(spark: SparkSession, url: str, table: str, partition_col: str, lower: int, upper: int,

@@ -4,10 +4,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_period(df: DataFrame, path: str, column: str = "c_period_id") -> None:
-    """Replace the periods present in the data and leave the others as they are."""
+def write_period(df: DataFrame, path: str, column: str = "c_period_id", periods: list | None = None) -> None:
+    """Replace the periods present in the data, and those listed, and leave the others as they are.
+
+    A listed period without rows is left empty. Name the periods of a run, so that one whose
+    new result is empty does not keep its old rows.
+    """
     df.write.partitionBy(column).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").parquet(path)
+    for period in periods or []:
+        rows = df.filter(F.col(column) == F.lit(period)).drop(column)
+        if rows.isEmpty():
+            rows.write.mode("overwrite").parquet(f"{path}/{column}={period}")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:

@@ -11,7 +11,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanbook.functions.joins import small
 from loanbook import config
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import dec
@@ -79,6 +78,7 @@ def map_collections(li: DataFrame) -> DataFrame:
         F.round(F.col("l_extendedprice").cast("decimal(18,2)") * dec("0.60", "decimal(3,2)"), 2)
         .cast("decimal(18,2)").alias("abono"),
         F.col("l_shipdate").cast("date").alias("operacion"),
+        (F.col("l_shipdate").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col("l_partkey") % 86400)).alias("operacion_ts"),
         F.when(F.col("l_returnflag") == "R", "Y").when(F.col("l_returnflag") == "A", "N")
         .alias("synced"),
         F.when(F.col("l_linestatus") == "O", "native").otherwise("migrated").alias("origen"),
@@ -90,6 +90,13 @@ def map_collections(li: DataFrame) -> DataFrame:
     )
 
 
+def partner_collections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Collections that carry their own partner; those of every 50th order have no loan."""
+    owner = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id_cartera"), F.col("o_custkey").alias("c_bpartner_id"))
+    return collections(spark, sf_dir).join(owner, "id_cartera").withColumn(
+        "id_cartera", F.when(F.col("id_cartera") % 50 != 0, F.col("id_cartera")))
+
+
 def partners(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read(spark, sf_dir, "customer")
     k = F.col("c_custkey")
@@ -153,7 +160,7 @@ def route_owners(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partners_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partners with route and branch names (fixed-size dimension, broadcast)."""
-    return partners(spark, sf_dir).join(small(routes(spark, sf_dir)), "cv_ruta_id")
+    return partners(spark, sf_dir).join(routes(spark, sf_dir), "cv_ruta_id")
 
 
 def periods(spark: SparkSession, first: str = "1995-01-01", months: int = 84) -> DataFrame:
@@ -254,7 +261,7 @@ def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Capital invoices of synced loans and interest invoices of billed instalments."""
+    """Capital invoices of synced loans, interest invoices of billed instalments and of a few not marked as billed."""
     ln = loans(spark, sf_dir).filter(F.col("synced") == "Y")
     capital = ln.select(
         F.col("local_id").alias("c_invoice_id"), "c_bpartner_id", "legacy_cartera_id",
@@ -263,6 +270,7 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("legacy_cartera_id") % 6 == 0, "Y").otherwise("N").alias("ispaid"),
         F.when(F.col("legacy_cartera_id") % 50 == 0, "DR").otherwise("CO").alias("docstatus"),
         F.lit(None).cast("bigint").alias("legacy_data"), "ad_org_id",
+        F.when(F.col("legacy_cartera_id") % 53 == 0, "N").otherwise("Y").alias("issotrx"),
     )
     sch = schedule(spark, sf_dir).filter(F.col("processed") == "Y")
     interest = sch.select(
@@ -272,8 +280,17 @@ def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("legacy_schedule_id") % 4 == 0, "Y").otherwise("N").alias("ispaid"),
         F.lit("CO").alias("docstatus"),
         F.col("legacy_schedule_id").alias("legacy_data"), "ad_org_id",
+        F.when(F.col("legacy_schedule_id") % 41 == 0, "N").otherwise("Y").alias("issotrx"),
     )
-    return capital.unionByName(interest)
+    unmarked = schedule(spark, sf_dir).filter(
+        ~F.col("processed").eqNullSafe(F.lit("Y")) & (F.col("legacy_schedule_id") % 199 == 0)).select(
+        (F.col("legacy_schedule_id") * 10 + 4).alias("c_invoice_id"), "c_bpartner_id", "legacy_cartera_id",
+        F.lit(config.DOC_INTEREST).alias("c_doctype_id"),
+        F.col("duedate").alias("dateinvoiced"), F.col("dueamt").alias("grandtotal"),
+        F.lit("N").alias("ispaid"), F.lit("CO").alias("docstatus"),
+        F.col("legacy_schedule_id").alias("legacy_data"), "ad_org_id", F.lit("Y").alias("issotrx"),
+    )
+    return capital.unionByName(interest).unionByName(unmarked)
 
 
 def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +302,8 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return col.join(ln, "id_cartera").select(
         F.col("local_id").alias("c_payment_id"), "c_bpartner_id", "id_cartera",
         F.col("abono").alias("payamt"), F.col("operacion").alias("dateacct"),
+        F.when(F.substring(F.md5("local_id"), 3, 1) < "4", F.date_sub("operacion", 1)).otherwise(F.col("operacion"))
+        .alias("datetrx"),
         F.lit(config.DOC_RECEIPT).alias("c_doctype_id"), "ad_org_id",
         F.when(F.substring(F.md5("local_id"), 1, 1) == "0", "DR").otherwise("CO").alias("docstatus"),
         F.when(F.substring(F.md5("local_id"), 2, 1) == "0", F.col("invoice_of_loan"))
@@ -292,6 +311,13 @@ def receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_lost(documents: DataFrame) -> DataFrame:
+    """Documents of receipts, and for one receipt in 16 a second one whose collection does not exist."""
+    lost = documents.filter(F.substring(F.md5("c_payment_id"), 4, 1) == "0")
+    return documents.unionByName(lost.withColumns({
+        c: F.concat(F.lit("X"), c) for c in ("c_payment_id", "c_allocationline_id", "c_allocationhdr_id") if c in documents.columns}))
+
+
 def allocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allocation lines already stored, one header per receipt.
 

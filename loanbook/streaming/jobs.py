@@ -21,21 +21,32 @@ def _run(stream: DataFrame, each, checkpoint: str) -> None:
 
 
 def bridge_collections_stream(stream: DataFrame, loans, partners, users, out: str, checkpoint: str,
-                              key: str = "legacy_cobro_id", event_time: str = "operacion_ts",
-                              delay: str = "7 days") -> None:
+                              key: str = "legacy_cobro_id") -> None:
     """Receipts and rejects for newly arrived collections, each collection once.
 
-    Copies of a collection that arrive within ``delay`` of each other count once.
+    However late a copy arrives, it meets the keys of all earlier batches, which are kept beside
+    the results; of copies within a batch the smallest row counts. A row that is no pending native
+    collection gives neither a receipt nor a reject.
     """
-    fresh = stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([key])
+    spark = loans.sparkSession
     owner = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
+    seen = f"{out}/keys"
+    keys = stream.select(key).schema
+    spark.createDataFrame([], keys).write.mode("ignore").parquet(f"{seen}/batch=-1")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        made = bridge_collections(batch.join(owner, "id_cartera", "left"), partners, users)
+        # A batch that runs again ignores its own keys of the first time.
+        known = spark.read.schema(keys).option("basePath", seen).parquet(seen).where(F.col("batch") != batch_id)
+        rest = [c for c in batch.columns if c != key]
+        one = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_x")).select(key, "_x.*")
+        fresh = one.join(known.select(key), key, "left_anti")
+        rows = fresh if "c_bpartner_id" in fresh.columns else fresh.join(owner, "id_cartera", "left")
+        made = bridge_collections(rows, partners, users)
         for name in ("payments", "rejects"):
             made[name].write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
+        fresh.select(key).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
 
-    _run(fresh, each, checkpoint)
+    _run(stream, each, checkpoint)
 
 
 def invoice_open_stream(stream: DataFrame, allocations, out: str, checkpoint: str) -> None:
@@ -64,7 +75,7 @@ def open_snapshot(spark: SparkSession, out: str) -> DataFrame:
         "c_invoice_id", "x.*")
 
 
-def file_stream(spark: SparkSession, folder: str, schema, pattern: str) -> DataFrame:
-    """Files of a folder as a stream."""
-    return spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
-
+def file_stream(spark: SparkSession, folder: str, schema, pattern: str, files: int | None = None) -> DataFrame:
+    """Files of a folder as a stream, with at most ``files`` of them in a batch."""
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    return (reader.option("maxFilesPerTrigger", files) if files else reader).parquet(folder)

@@ -1,15 +1,16 @@
 import random
 from collections import defaultdict
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from loanbook.operators import close, migration, quality
+from loanbook.operators import balances, close, migration, quality
 from loanbook.operators import ordered as O
 from loanbook.session import work_folder
 from loanbook.sources import readers, sinks
+from loanbook.streaming import jobs
 from test_allocation import tie
 
 COBRO = ("legacy_cobro_id string, id_cartera long, abono decimal(18,2), operacion date, synced string, "
@@ -51,30 +52,90 @@ def first_fit_walk(ln, cb):
     return out
 
 
-@pytest.mark.parametrize("limit,hot,seed,partners", [(None, None, 1, 8), (0, None, 2, 6), (0, 4, 3, 2)])
-def test_first_fit_fold_and_rounds(spark, limit, hot, seed, partners):
-    ln, cb = first_fit_sample(seed, partners, 14, 90)
-    got = quality.reassign_first_fit(spark.createDataFrame(cb, COBRO), spark.createDataFrame(ln, CARTERA), limit, hot)
+@pytest.mark.parametrize("seed,partners,loans,rows", [(1, 8, 14, 90), (2, 6, 14, 90), (3, 2, 14, 90), (4, 1, 33, 400), (5, 3, 1, 20)])
+def test_first_fit(spark, seed, partners, loans, rows):
+    ln, cb = first_fit_sample(seed, partners, loans, rows)
+    got = quality.reassign_first_fit(spark.createDataFrame(cb, COBRO), spark.createDataFrame(ln, CARTERA))
     assert {r.legacy_cobro_id: r.id_cartera for r in got.collect()} == first_fit_walk(ln, cb)
 
 
+def test_collection_without_loan_is_placed(spark):
+    """The collection's own partner counts, not that of a loan."""
+    ln = spark.createDataFrame([(1, 7, date(2025, 1, 1), Decimal("100"))], CARTERA)
+    cb = spark.createDataFrame([("a", None, 7, Decimal("60"), date(2025, 1, 2), "N", "native"),
+                                ("b", None, 7, Decimal("60"), date(2025, 1, 3), "N", "native"),
+                                ("c", None, 8, Decimal("5"), date(2025, 1, 3), "N", "native")],
+                               "legacy_cobro_id string, id_cartera long, c_bpartner_id long, abono decimal(18,2), operacion date, synced string, origen string")
+    assert [(r.legacy_cobro_id, r.old_cartera, r.id_cartera) for r in quality.reassign_first_fit(cb, ln).collect()] == [("a", None, 1)]
+    moves = quality.reassign_oldest(spark.createDataFrame([(7,)], "c_bpartner_id long"), cb, ln)["moves"]
+    assert sorted(r.legacy_cobro_id for r in moves.collect()) == ["a", "b"]
+
+
 def test_nearest_partner(spark):
     p = spark.createDataFrame([(1, "ana lopez"), (2, "ana lopes"), (3, "juan"), (9, "juan")], "c_bpartner_id long, nombre string")
     r = spark.createDataFrame([(1, "ana lopez"), (2, "ana lope"), (3, "jvan"), (4, "pedro paramo"), (5, "an lopess")],
                               "row_id long, name string")
     got = {x.row_id: (x.c_bpartner_id, x.distancia) for x in migration.nearest_partner(r, p).collect()}
-    assert got == {1: (1, 0), 2: (1, 1), 3: (3, 1), 4: (None, None), 5: (2, 2)}
+    assert got == {1: (1, 0), 2: (1, 1), 3: (3, 1), 4: (1, 11), 5: (2, 2)}
 
 
-def test_deletions_find_every_pair_within_distance(spark):
+def test_every_name_gets_its_nearest_partner(spark, monkeypatch):
+    monkeypatch.setattr(migration, "BLOCK_PARTNERS", 3)
     rnd = random.Random(4)
-    names = ["".join(rnd.choice("ab") for _ in range(rnd.randrange(1, 6))) for _ in range(40)]
-    p = spark.createDataFrame(list(enumerate(names[:20])), "c_bpartner_id long, nombre string")
-    r = spark.createDataFrame(list(enumerate(names[20:])), "row_id long, name string")
-    got = {x.row_id: x.distancia for x in migration.nearest_partner(r, p).collect()}
-    best = r.join(p, F.levenshtein("name", "nombre") <= 2).groupBy("row_id").agg(F.min(F.levenshtein("name", "nombre")).alias("m"))
-    want = {x.row_id: x.m for x in best.collect()}
-    assert {k: v for k, v in got.items() if v is not None} == want
+    names = ["".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 12))) for _ in range(80)]
+    p = spark.createDataFrame(list(enumerate(names[:40])), "c_bpartner_id long, nombre string")
+    r = spark.createDataFrame([*enumerate(names[40:]), (90, "JUAN ANTONIO PEREZ LOPEZ"), (91, None)], "row_id long, name string")
+    got = {x.row_id: (x.distancia, x.c_bpartner_id) for x in migration.nearest_partner(r, p).collect()}
+    best = r.crossJoin(p).groupBy("row_id").agg(F.min(F.struct(F.levenshtein("name", "nombre").alias("d"), "c_bpartner_id")).alias("m"))
+    want = {x.row_id: (x.m.d, x.m.c_bpartner_id) for x in best.collect() if x.row_id != 91}
+    assert got.pop(91) == (None, None) and got == want
+
+
+def test_numbers_of_null_and_equal_ids(spark):
+    src = spark.createDataFrame([(None, 1), (None, 2), (5, 2), (5, 1), (700_000, 1), (-3, None)], "id_cartera long, ad_org_id int")
+    none = spark.createDataFrame([], "id_cartera long, ad_org_id int, legacy_cartera_id long")
+    once = migration.migrate_loans(src.repartition(3), none)
+    got = [(r.id_cartera, r.ad_org_id) for r in once.orderBy("legacy_cartera_id").collect()]
+    assert got == [(None, 1), (None, 2), (-3, None), (5, 1), (5, 2), (700_000, 1)]
+    assert sorted(r.legacy_cartera_id for r in once.collect()) == [migration.FIRST_ID + k for k in range(1, 7)]
+    assert migration.migrate_loans(src, once.select("id_cartera", "ad_org_id", "legacy_cartera_id")).isEmpty()
+
+
+def test_days_of_stamped_rows(spark, tmp_path):
+    """The afternoon of the cut-off day counts, and the day filter reaches the scan."""
+    rows = [(1, datetime(2025, 1, 10, 15, 30), Decimal("30")), (1, datetime(2025, 1, 9), Decimal("5")), (1, datetime(2025, 1, 11), Decimal("7"))]
+    raw = spark.createDataFrame(rows, "id_cartera long, operacion timestamp_ntz, abono decimal(18,2)")
+    full = raw.select(*[(F.col(f.name) if f.name in raw.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in readers.COLLECTION_SCHEMA])
+    full.write.parquet(str(tmp_path / "c"))
+    cob = readers.read_collections(spark, str(tmp_path / "c"))
+    loan = spark.createDataFrame([(1, Decimal("100"))], "legacy_cartera_id long, montototal decimal(18,2)")
+    assert balances.paid_to_date(loan, cob, "2025-01-10").first().abonos == 35
+    plan = cob.filter(F.col("operacion") <= F.lit("2025-01-10").cast("date"))._jdf.queryExecution().executedPlan().toString()
+    assert "LessThan(operacion" in plan
+
+
+def test_stream_without_loss(spark, tmp_path):
+    """Late, repeated and future-dated rows over several batches; a replayed batch changes nothing."""
+    kind = "legacy_cobro_id string, id_cartera long, c_bpartner_id long, abono decimal(18,2), operacion date, synced string, origen string, " \
+           "createdby long, ad_org_id int, local_id string"
+
+    def row(i, day):
+        return (i, 1, 1, Decimal("10"), day, "N", "native", 1, 0, None)
+
+    batches = [[row("a", date(2025, 3, 1)), row("a", date(2025, 3, 1))], [row("b", date(2025, 1, 15)), row("c", date(2199, 1, 1))],
+               [row("d", date(2024, 1, 1)), row("a", date(2025, 3, 1)), row("e", date(2025, 3, 2))]]
+    inbox, out = str(tmp_path / "in"), str(tmp_path / "out")
+    loans = spark.createDataFrame([(1, 1)], "legacy_cartera_id long, c_bpartner_id long")
+    partners = spark.createDataFrame([(1, True)], "c_bpartner_id long, has_location boolean")
+    users = spark.createDataFrame([(1, 5)], "ad_user_id long, c_bankaccount_id int")
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, kind).coalesce(1).write.mode("append").parquet(inbox)
+        for mark in ("m", f"again{n}") if n == 2 else ("m",):
+            raw = jobs.file_stream(spark, inbox, spark.read.parquet(inbox).schema, "*.parquet", files=1)
+            jobs.bridge_collections_stream(raw, loans, partners, users, out, str(tmp_path / mark))
+        found = spark.read.parquet(f"{out}/payments")
+        assert found.count() == found.select("legacy_cobro_id").distinct().count()
+    assert {r.legacy_cobro_id for r in found.collect()} == set("abcde")
 
 
 def test_parse_files(spark, tmp_path):
@@ -122,6 +183,14 @@ def test_write_period_replaces_only_its_period(spark):
     assert sorted((r.c_period_id, r.v) for r in spark.read.parquet(path).collect()) == [(1, "a"), (2, "c")]
 
 
+def test_write_period_empties_a_listed_period(spark):
+    path = work_folder(spark, "t")
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "c_period_id int, v string")
+    sinks.write_period(rows, path)
+    sinks.write_period(rows.filter("false"), path, periods=[2])
+    assert [(r.c_period_id, r.v) for r in spark.read.parquet(path).collect()] == [(1, "a")]
+
+
 def test_close_example_and_bucket_overlap(spark):
     loans = spark.createDataFrame(
         [(1, 1, date(2025, 6, 2), 30, Decimal("6000"), Decimal("0.15"), Decimal("6900"), Decimal("230")),

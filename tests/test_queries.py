@@ -17,10 +17,12 @@ pay_split_principal_first pay_allocate pay_candidate_totals pay_unallocated brg_
 icc_credit icc_recoveries icc_analysts rpt_portfolio_risk rpt_portfolio_global rpt_promotion rpt_collections_branch
 stm_partner stm_loan stm_cash_account cash_global cash_close_period cash_daily_box_means tax_voucher tax_list
 dq_reassign_first_fit dq_zero_duplicates dq_allocation_cleanup mig_collections mig_nearest_partner mig_applications
-src_balance_csv snk_period_partition snk_upsert str_collections str_invoice_open""".split()
+src_balance_csv src_loans src_collections snk_export snk_period_partition snk_upsert str_collections str_invoice_open
+int_bill_daily_updates int_bill_prepaid_updates int_reprice_batch_payments dq_void_loans dq_reassign_first_fit_owned stm_partner_owned
+pay_unallocated_day icc_close_written mig_opening_loans_rejects dq_orphan_receipts""".split()
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
-NAMES = list(QUERIES) if os.environ.get("LOANBOOK_ALL") else CORE
+NAMES = list(SQL) if os.environ.get("LOANBOOK_ALL") else CORE
 
 
 @pytest.fixture(scope="module")
@@ -35,7 +37,7 @@ def test_query(spark, con, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(SQL) == set(QUERIES)
+    assert {n for n in QUERIES if not n.startswith("op") and n != "pipeline"} <= set(SQL)
 
 
 def test_entry(spark):
