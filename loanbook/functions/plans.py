@@ -68,14 +68,42 @@ def times_rate(balance, rate, digits):
     return np.where(balance < 0, -out, out)
 
 
+def beyond(principal, rate):
+    """Loans whose products do not fit into 64 bits."""
+    return np.abs(principal) // _SPLIT >= 2 ** 62 // np.maximum(rate, 1)
+
+
+# Cells of the arrays that one chunk of a batch fills.
+CHUNK_CELLS = 2_000_000
+
+
+def plan_chunks(principal, rate, terms):
+    """Row numbers of a batch, in chunks of like terms with a bounded number of cells.
+
+    Loans beyond 64 bits have chunks of their own, so they do not slow the others down.
+    """
+    large = beyond(principal, rate)
+    order = np.lexsort((terms, large))
+    at = 0
+    while at < len(order):
+        to = at + 1
+        while (to < len(order) and large[order[to]] == large[order[at]]
+               and (to + 1 - at) * max(1, int(terms[order[to]])) <= CHUNK_CELLS):
+            to += 1
+        yield order[at:to]
+        at = to
+
+
 def plan_rows(principal, rate, level, n, digits=4, guarded=True):
     """Interest and capital per instalment, as two (loans x longest term) arrays.
 
+    Amounts beyond 64-bit products are counted with Python's whole numbers; see plan_chunks.
+
     Guarded: interest within 0 and the instalment, capital within the balance, and the last
     row clears the balance. Unguarded: the plain recurrence.
     """
     longest = int(n.max()) if len(n) else 0
-    if len(n) and (int(np.abs(principal).max()) // _SPLIT) * int(rate.max()) >= 2 ** 62:
+    if len(n) and beyond(principal, rate).any():
         principal, rate, level = (x.astype(object) for x in (principal, rate, level))
     interest = np.zeros((len(n), longest), dtype=np.int64)
     capital = np.zeros((len(n), longest), dtype=np.int64)
@@ -117,15 +145,19 @@ def plan_function(digits: int, guarded: bool):
     @F.arrow_udf(ROWS)
     def plan(principal: pa.Array, rate: pa.Array, level: pa.Array, n: pa.Array) -> pa.Array:
         terms = np.maximum(_ints(n), 0)
-        interest, capital = plan_rows(
-            _ints(principal), _ints(rate), _ints(level), terms, digits, guarded)
-        step = np.arange(interest.shape[1])
-        used = step[None, :] < terms[:, None]
-        seq = np.broadcast_to(step + 1, interest.shape)[used].astype(np.int32)
-        rows = pa.StructArray.from_arrays(
-            [pa.array(seq), pa.array(interest[used]), pa.array(capital[used])],
+        owed, rates, levels = _ints(principal), _ints(rate), _ints(level)
+        offsets = np.concatenate([[0], np.cumsum(terms)])
+        seq, interest, capital = (np.zeros(offsets[-1], np.int64) for _ in range(3))
+        for rows in plan_chunks(owed, rates, terms):
+            i, c = plan_rows(owed[rows], rates[rows], levels[rows], terms[rows], digits, guarded)
+            step = np.arange(i.shape[1])
+            used = step[None, :] < terms[rows][:, None]
+            place = (offsets[:-1][rows][:, None] + step[None, :])[used]
+            seq[place] = np.broadcast_to(step + 1, i.shape)[used]
+            interest[place], capital[place] = i[used], c[used]
+        parts = pa.StructArray.from_arrays(
+            [pa.array(seq.astype(np.int32)), pa.array(interest), pa.array(capital)],
             names=["seq", "interes", "capital"])
-        offsets = np.concatenate([[0], np.cumsum(terms)]).astype(np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), rows)
+        return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), parts)
 
     return plan

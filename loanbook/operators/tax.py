@@ -68,15 +68,17 @@ def cohort(mode: str, merge_after: int = 4) -> list[Column]:
 def voucher(collections, loans, partners, periods, factors=config.MULTIPLY_FACTORS,
             cohort_mode: str = "months", greeting=None) -> DataFrame:
     """Day x loan-month cohort: gross, net, interest, commission and financial income."""
+    amounts = ["bruto", "neto", "intereses", "comision", "ingresosfinancieros"]
+    place = ["operacion", "c_period_id", "name", "enddate"]
+    # Each collection is split and rounded; its loan then sees one row for each day.
+    rows = in_periods(collections, periods).select(
+        "id_cartera", *place, F.col("abono").alias("bruto"), *fiscal_split(factors))
+    daily = rows.groupBy("id_cartera", *place).agg(*[F.sum(c).alias(c) for c in amounts])
     ln = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id", "fecha")
-    rows = in_periods(collections, periods).join(ln, "id_cartera")
-    rows = _greeting(rows, partners, greeting)
-    split = rows.select("operacion", "abono", "c_period_id", "name", "enddate",
-                        *cohort(cohort_mode), *fiscal_split(factors))
+    split = _greeting(daily.join(ln, "id_cartera"), partners, greeting).select(*place, *amounts, *cohort(cohort_mode))
     return split.groupBy(F.col("operacion").alias("fecha"), "c_period_id", "name",
                          period_key(F.col("enddate")).alias("cobmes_int"), "credmes_str", "credmes_int").agg(
-        F.sum("abono").alias("bruto"), F.sum("neto").alias("neto"), F.sum("intereses").alias("intereses"),
-        F.sum("comision").alias("comision"), F.sum("ingresosfinancieros").alias("ingresosfinancieros"))
+        *[F.sum(c).alias(c) for c in amounts])
 
 
 def detail(collections, loans, partners, periods, factors=config.MULTIPLY_FACTORS, greeting=None) -> DataFrame:
