@@ -11,7 +11,11 @@
 4. In a dense region a row and the text it was copied from can be far apart, so each region
    also has a leader, the row that lies in the most populous regions (a text is closer to its
    copies than these are to each other). All rows of the region meet its leader, at two depths.
-5. Candidates are confirmed on the full sets, hub by hub: first the best one of each
+5. Two copies can resemble each other by shared edits alone, more than either resembles the
+   leader. So in dense regions a second forest orders what distinguishes each row from its
+   leader: for a common leader, the symmetric difference of two sets is that of their
+   differences from it, so rows that are close share much of these small sets.
+6. Candidates are confirmed on the full sets, hub by hub: first the best one of each
    document; then, of the rest, those that still join different components.
 
 A pair of similarity 0.75 shares no order's first three slots with probability
@@ -41,6 +45,17 @@ _ORDER = [
      *np.random.RandomState(t).permutation([k for k in range(SLOTS) if k // HEAD != t])[:KEY_SLOTS - HEAD]]
     for t in range(ORDERS)
 ]
+_OWN_ORDER = [
+    [t, *np.random.RandomState(1000 + t).permutation([k for k in range(SLOTS) if k != t])[:KEY_SLOTS - 1]]
+    for t in range(SLOTS)
+]
+
+
+def _minima(shingles: np.ndarray) -> np.ndarray:
+    """Signature of one set."""
+    low = (shingles >> np.uint64(32)).astype(np.uint32)
+    v = (low[None, :] ^ _XOR[:, None]) * _TIMES[:, None]
+    return (v ^ (v >> np.uint32(15))).min(axis=1)
 
 
 def _sketch(size: int):
@@ -97,9 +112,12 @@ def _orders(keys: bool):
     return run
 
 
-def _neighbours(batches):
-    """Pairs of near rows with a common head (edge false); first and last rows as they are (edge true)."""
-    head = 1 + 4 * HEAD
+def _neighbours(head: int):
+    """Pairs of near rows whose keys share `head` bytes (edge false); first and last rows as they are (edge true)."""
+    return lambda batches: _near_rows(batches, head)
+
+
+def _near_rows(batches, head: int):
     last_keys, last_ids, seen = [], [], 0
     schema = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.binary())])
     for batch in batches:
@@ -131,16 +149,20 @@ def _neighbours(batches):
              pa.array([None] * len(last_ids), pa.int64()), pa.array(last_keys, pa.binary())], schema=schema)
 
 
-def candidates(reps: DataFrame) -> DataFrame:
-    """Distinct pairs a < b of representatives (doc, signature), with the number of times met."""
+def _near_pairs(keyed: DataFrame, head: int) -> DataFrame:
+    """Pairs a < b of rows (key, doc) that are near in the order of their keys and share its head."""
     kind = "edge boolean, a long, b long, key binary"
-    sort = reps.mapInArrow(_orders(True), "key binary, doc long").repartitionByRange("key", "doc")
-    near = keep(sort.sortWithinPartitions("key", "doc").mapInArrow(_neighbours, kind), "near")
+    sort = keyed.repartitionByRange("key", "doc").sortWithinPartitions("key", "doc")
+    near = keep(sort.mapInArrow(_neighbours(head), kind), "near")
     # A few rows of each partition: pairs that the cut between two partitions separates.
     cut = near.where("edge").select("key", F.col("a").alias("doc")).distinct().coalesce(1)
-    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours, kind)
-    pairs = near.where("not edge").select("a", "b").unionAll(across.where("not edge").select("a", "b"))
+    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours(head), kind)
+    return near.where("not edge").select("a", "b").unionAll(across.where("not edge").select("a", "b"))
 
+
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, met) of representatives (doc, signature), and (doc, hub): the most famous leader of a row's dense regions."""
+    pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long"), 1 + 4 * HEAD)
     regions = reps.mapInArrow(_orders(False), "region long, depth int, doc long")
     # A region of up to NEAR + 1 rows has all its pairs already.
     dense = keep(regions.groupBy("region").agg(F.count("*").alias("n"), F.first("depth").alias("depth"))
@@ -148,60 +170,102 @@ def candidates(reps: DataFrame) -> DataFrame:
     rows = keep(regions.select("region", "doc").join(dense, "region"), "rows")
     fame = keep(rows.where(F.col("depth") == HEAD).groupBy("doc").agg(F.sum("n").alias("fame")), "fame")
     ranked = rows.select("region", "doc").join(fame, "doc")
-    leader = keep(ranked.groupBy("region").agg(F.max(F.struct("fame", (-F.col("doc")).alias("m"))).alias("x"))
-                  .select("region", (-F.col("x.m")).alias("leader")), "leader")
-    led = (rows.select("region", "doc").join(leader, "region").where("doc != leader")
-           .select(F.least("doc", "leader").alias("a"), F.greatest("doc", "leader").alias("b")))
-    return pairs.unionAll(led).groupBy("a", "b").agg(F.count("*").alias("met"))
+    leader = keep(ranked.groupBy("region").agg(F.max(F.struct("fame", (-F.col("doc")).alias("m"))).alias("leader")), "leader")
+    led = keep(rows.select("region", "doc").join(leader, "region").where("doc != -leader.m"), "led")
+    pairs = pairs.unionAll(led.select(
+        F.least("doc", -F.col("leader.m")).alias("a"), F.greatest("doc", -F.col("leader.m")).alias("b")))
+    hubs = led.groupBy("doc").agg(F.max("leader").alias("x")).select("doc", (-F.col("x.m")).alias("hub"))
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")), hubs
 
 
-def _confirm(size: int, percent: int):
-    def sets(texts):
-        for _, _, data, bounds in blocks(texts):
-            w = Words(data, bounds, NOT_SPACE)
-            s, first = windows(w.hash, w.first, size)
-            for d in range(len(bounds) - 1):
-                yield np.unique(s[first[d]:first[d + 1]])
+def _own_orders(batches):
+    """Sort keys of what distinguishes a row from its hub, within the hub."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u4").reshape(n, SLOTS)
+        for t in range(SLOTS):
+            rows = np.zeros((n, 9 + 4 * KEY_SLOTS), np.uint8)
+            rows[:, :8] = batch.column(0).to_numpy().astype(">i8").view(np.uint8).reshape(n, 8)
+            rows[:, 8] = t
+            rows[:, 9:] = np.ascontiguousarray(sig[:, _OWN_ORDER[t]]).view(np.uint8).reshape(n, -1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x.tobytes() for x in rows], pa.binary()), batch.column(1)], ["key", "doc"])
+
+
+def _sets(texts, size: int):
+    for _, _, data, bounds in blocks(texts):
+        w = Words(data, bounds, NOT_SPACE)
+        s, first = windows(w.hash, w.first, size)
+        for d in range(len(bounds) - 1):
+            yield np.unique(s[first[d]:first[d + 1]])
+
 
+def _beside(size: int):
+    """(hub, its set, member, its set) of sorted rows (hub, member, doc, text): the hub's text comes first."""
     def run(batches):
         hub, whole = None, None
         for batch in batches:
-            a, b = [], []
+            found = []
             columns = [batch.column(k).to_pylist() for k in range(3)]
-            for h, member, doc, u in zip(*columns, sets(batch.column(3))):
+            for h, member, doc, u in zip(*columns, _sets(batch.column(3), size)):
                 if not member:
                     hub, whole = h, u
                 elif h == hub:
-                    common = len(np.intersect1d(whole, u, assume_unique=True))
-                    if 100 * common >= percent * (len(whole) + len(u) - common):
-                        a.append(h)
-                        b.append(doc)
+                    found.append((h, whole, doc, u))
+            yield found
+    return run
+
+
+def _confirm(size: int, percent: int):
+    def run(batches):
+        for found in _beside(size)(batches):
+            a, b = [], []
+            for hub, whole, doc, u in found:
+                common = len(np.intersect1d(whole, u, assume_unique=True))
+                if 100 * common >= percent * (len(whole) + len(u) - common):
+                    a.append(hub)
+                    b.append(doc)
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (a, b) of a written table whose full sets are similar enough, from texts (doc, text).
+def _differences(size: int):
+    def run(batches):
+        for found in _beside(size)(batches):
+            rows = [(h, doc, x) for h, whole, doc, u in found if len(x := np.setxor1d(whole, u, assume_unique=True))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                 pa.array([_minima(r[2]).astype(">u4").tobytes() for r in rows], pa.binary())], ["hub", "doc", "signature"])
+    return run
+
 
-    The end with more pairs is the hub. Its text goes once to each group of its members, which
-    then pass by it one after another: memory holds one hub's set and one batch of rows.
+def _hub_by_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Sorted rows (hub, member, doc, text) for pairs (hub, doc) of a written table and texts (doc, text).
+
+    A hub's text goes once to each group of its members, which then pass by it one after
+    another: memory holds one hub's set and one batch of rows.
     """
+    degree = keep(pairs.groupBy("hub").agg(F.ceil(F.count("*") / F.lit(HUB_MEMBERS)).cast("long").alias("groups")), "degree")
+    work = keep(pairs.join(degree, "hub").select(
+        "hub", F.pmod(F.xxhash64("doc"), F.col("groups")).alias("part"), F.lit(True).alias("member"), "doc"), "work")
+    hubs = work.select("hub", "part").distinct().select("hub", "part", F.lit(False).alias("member"), F.col("hub").alias("doc"))
+    need = keep(work.unionAll(hubs), "need")
+    return (need.join(texts, "doc").repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
+            .select("hub", "member", "doc", "text"))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The pairs (a, b) of a written table whose full sets are similar enough; the end with more pairs is the hub."""
     both = pairs.select(F.col("a").alias("node")).unionAll(pairs.select(F.col("b").alias("node")))
     degree = keep(both.groupBy("node").agg(F.count("*").alias("n")), "degree")
     sides = (pairs.join(degree.select(F.col("node").alias("a"), F.col("n").alias("na")), "a")
              .join(degree.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b"))
     swap = F.col("na") < F.col("nb")
-    groups = F.ceil(F.greatest("na", "nb") / F.lit(HUB_MEMBERS)).cast("long")
-    work = keep(
-        sides.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("hub"),
-                     F.when(swap, F.col("a")).otherwise(F.col("b")).alias("doc"), groups.alias("groups"))
-        .select("hub", F.pmod(F.xxhash64("doc"), F.col("groups")).alias("part"), F.lit(True).alias("member"), "doc"),
-        "work")
-    hubs = work.select("hub", "part").distinct().select("hub", "part", F.lit(False).alias("member"), F.col("hub").alias("doc"))
-    need = keep(work.unionAll(hubs), "need")
-    return (need.join(texts, "doc").repartition("hub", "part").sortWithinPartitions("hub", "part", "member")
-            .select("hub", "member", "doc", "text")
-            .mapInArrow(_confirm(size, percent), "a long, b long"))
+    oriented = keep(sides.select(F.when(swap, F.col("b")).otherwise(F.col("a")).alias("hub"),
+                                 F.when(swap, F.col("a")).otherwise(F.col("b")).alias("doc")), "oriented")
+    return _hub_by_hub(oriented, texts).mapInArrow(_confirm(size, percent), "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
@@ -221,7 +285,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
                     "sketches")
     reps = keep(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
                 .agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature")), "reps")
-    met = keep(candidates(reps.select("doc", "signature")), "met")
+    met, hubs = candidates(reps.select("doc", "signature"))
+    met, hubs = keep(met, "met"), keep(hubs, "hubs")
     nodes = keep(met.select(F.col("a").alias("doc")).unionAll(met.select(F.col("b").alias("doc"))).distinct(), "nodes")
     texts = keep(source.join(nodes, source.doc_id == nodes.doc, "left_semi")
                  .select(F.col("doc_id").alias("doc"), "text"), "texts")
@@ -237,7 +302,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
     def of(end: str) -> DataFrame:
         return whole.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
 
-    rest = keep(met.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
+    own = _hub_by_hub(hubs, texts).mapInArrow(_differences(size), "hub long, doc long, signature binary")
+    alike = _near_pairs(own.mapInArrow(_own_orders, "key binary, doc long"), 9 + 4)
+    rest = met.select("a", "b").unionAll(alike).distinct()
+    rest = keep(rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
                 .join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
