@@ -45,9 +45,11 @@ _ORDER = [
      *np.random.RandomState(t).permutation([k for k in range(SLOTS) if k // HEAD != t])[:KEY_SLOTS - HEAD]]
     for t in range(ORDERS)
 ]
+#: The second forest: its orders, slots of a key, and deviations of the estimate by which a pair may fall short.
+OWN_ORDERS, OWN_SLOTS, DEVIATIONS = 24, 6, 3.5
 _OWN_ORDER = [
-    [t, *np.random.RandomState(1000 + t).permutation([k for k in range(SLOTS) if k != t])[:KEY_SLOTS - 1]]
-    for t in range(SLOTS)
+    [t, *np.random.RandomState(1000 + t).permutation([k for k in range(SLOTS) if k != t])[:OWN_SLOTS - 1]]
+    for t in range(OWN_ORDERS)
 ]
 
 
@@ -100,7 +102,8 @@ def _orders(keys: bool):
                 rows[:, 1:] = np.ascontiguousarray(sig[:, _ORDER[t]]).view(np.uint8).reshape(n, -1)
                 if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(ids)], ["key", "doc"])
+                        [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(ids), pa.nulls(n, pa.binary())],
+                        ["key", "doc", "note"])
                     continue
                 for depth in (HEAD, DEEP):
                     part = np.ascontiguousarray(rows[:, :1 + 4 * depth])
@@ -112,57 +115,78 @@ def _orders(keys: bool):
     return run
 
 
-def _neighbours(head: int):
-    """Pairs of near rows whose keys share `head` bytes (edge false); first and last rows as they are (edge true)."""
-    return lambda batches: _near_rows(batches, head)
+def _neighbours(head: int, fits=None):
+    """Pairs of near rows whose keys share `head` bytes (edge false); first and last rows as they are (edge true).
 
+    Rows are (key, doc, note); fits(note, note) may rule a pair out.
+    """
+    schema = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.binary()), ("note", pa.binary())])
 
-def _near_rows(batches, head: int):
-    last_keys, last_ids, seen = [], [], 0
-    schema = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.binary())])
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        keys = last_keys + batch.column(0).to_pylist()
-        ids = last_ids + batch.column(1).to_pylist()
-        old = len(last_ids)
-        a, b = [], []
-        for i in range(old, len(ids)):
-            mine = keys[i][:head]
-            for j in range(i - 1, max(-1, i - 1 - NEAR), -1):
-                if keys[j][:head] != mine:
-                    break
-                if ids[j] != ids[i]:
-                    a.append(min(ids[i], ids[j]))
-                    b.append(max(ids[i], ids[j]))
-        begin = list(range(old, min(len(ids), old + max(0, NEAR - seen))))
-        seen += n
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([False] * len(a) + [True] * len(begin)), pa.array(a + [ids[i] for i in begin], pa.int64()),
-             pa.array(b + [None] * len(begin), pa.int64()),
-             pa.array([None] * len(a) + [keys[i] for i in begin], pa.binary())], schema=schema)
-        last_keys, last_ids = keys[-NEAR:], ids[-NEAR:]
-    if last_ids:
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([True] * len(last_ids)), pa.array(last_ids, pa.int64()),
-             pa.array([None] * len(last_ids), pa.int64()), pa.array(last_keys, pa.binary())], schema=schema)
-
-
-def _near_pairs(keyed: DataFrame, head: int) -> DataFrame:
-    """Pairs a < b of rows (key, doc) that are near in the order of their keys and share its head."""
-    kind = "edge boolean, a long, b long, key binary"
+    def batch_of(a, b, edges):
+        keys, ids, notes = zip(*edges) if edges else ((), (), ())
+        n = len(a)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([False] * n + [True] * len(ids)), pa.array([*a, *ids], pa.int64()), pa.array([*b, *[None] * len(ids)], pa.int64()),
+             pa.array([None] * n + list(keys), pa.binary()), pa.array([None] * n + list(notes), pa.binary())], schema=schema)
+
+    def run(batches):
+        last, seen = [], 0
+        for batch in batches:
+            rows = last + list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+            old = len(last)
+            a, b = [], []
+            for i in range(old, len(rows)):
+                key, doc, note = rows[i]
+                mine = key[:head]
+                for j in range(i - 1, max(-1, i - 1 - NEAR), -1):
+                    other, friend, its = rows[j]
+                    if other[:head] != mine:
+                        break
+                    if friend != doc and (fits is None or fits(note, its)):
+                        a.append(min(doc, friend))
+                        b.append(max(doc, friend))
+            yield batch_of(a, b, rows[old:old + max(0, NEAR - seen)])
+            seen += len(rows) - old
+            last = rows[-NEAR:]
+        if last:
+            yield batch_of([], [], last)
+    return run
+
+
+def _plausible(percent: int):
+    """Whether two rows beside one hub can be similar enough, by sizes and the estimate of what they share.
+
+    A note holds a set's size, the size of its difference from the hub, and the difference's signature.
+    """
+    part = (100 - percent) / (100 + percent)
+
+    def fits(x: bytes, y: bytes) -> bool:
+        (n, d), (m, e) = np.frombuffer(x[:16], np.int64).tolist(), np.frombuffer(y[:16], np.int64).tolist()
+        need = (d + e - part * (n + m)) / 2
+        if need <= 0:
+            return True
+        least = need / (d + e - need)
+        if least > 1:
+            return False
+        same = int((np.frombuffer(x, np.uint16, offset=16) == np.frombuffer(y, np.uint16, offset=16)).sum())
+        return (same + 1) / SLOTS + DEVIATIONS * (least * (1 - least) / SLOTS) ** 0.5 >= least
+    return fits
+
+
+def _near_pairs(keyed: DataFrame, head: int, fits=None) -> DataFrame:
+    """Pairs a < b of rows (key, doc, note) that are near in the order of their keys and share its head."""
+    kind = "edge boolean, a long, b long, key binary, note binary"
     sort = keyed.repartitionByRange("key", "doc").sortWithinPartitions("key", "doc")
-    near = keep(sort.mapInArrow(_neighbours(head), kind), "near")
+    near = keep(sort.mapInArrow(_neighbours(head, fits), kind), "near")
     # A few rows of each partition: pairs that the cut between two partitions separates.
-    cut = near.where("edge").select("key", F.col("a").alias("doc")).distinct().coalesce(1)
-    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours(head), kind)
+    cut = near.where("edge").select("key", F.col("a").alias("doc"), "note").distinct().coalesce(1)
+    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours(head, fits), kind)
     return near.where("not edge").select("a", "b").unionAll(across.where("not edge").select("a", "b"))
 
 
 def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b, met) of representatives (doc, signature), and (doc, hub): the most famous leader of a row's dense regions."""
-    pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long"), 1 + 4 * HEAD)
+    pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long, note binary"), 1 + 4 * HEAD)
     regions = reps.mapInArrow(_orders(False), "region long, depth int, doc long")
     # A region of up to NEAR + 1 rows has all its pairs already.
     dense = keep(regions.groupBy("region").agg(F.count("*").alias("n"), F.first("depth").alias("depth"))
@@ -179,19 +203,22 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _own_orders(batches):
-    """Sort keys of what distinguishes a row from its hub, within the hub."""
+    """Sort keys of what distinguishes a row from its hub, within the hub, and its note."""
     for batch in batches:
         n = batch.num_rows
         if not n:
             continue
         sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u4").reshape(n, SLOTS)
-        for t in range(SLOTS):
-            rows = np.zeros((n, 9 + 4 * KEY_SLOTS), np.uint8)
+        sizes = np.stack([batch.column(k).to_numpy() for k in (3, 4)], axis=1).astype(np.int64)
+        short = np.ascontiguousarray((sig & 0xFFFF).astype(np.uint16))
+        notes = pa.array([x.tobytes() + y.tobytes() for x, y in zip(sizes, short)], pa.binary())
+        for t in range(OWN_ORDERS):
+            rows = np.zeros((n, 9 + 4 * OWN_SLOTS), np.uint8)
             rows[:, :8] = batch.column(0).to_numpy().astype(">i8").view(np.uint8).reshape(n, 8)
             rows[:, 8] = t
             rows[:, 9:] = np.ascontiguousarray(sig[:, _OWN_ORDER[t]]).view(np.uint8).reshape(n, -1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes() for x in rows], pa.binary()), batch.column(1)], ["key", "doc"])
+                [pa.array([x.tobytes() for x in rows], pa.binary()), batch.column(1), notes], ["key", "doc", "note"])
 
 
 def _sets(texts, size: int):
@@ -234,10 +261,12 @@ def _confirm(size: int, percent: int):
 def _differences(size: int):
     def run(batches):
         for found in _beside(size)(batches):
-            rows = [(h, doc, x) for h, whole, doc, u in found if len(x := np.setxor1d(whole, u, assume_unique=True))]
+            rows = [(h, doc, x, len(u)) for h, whole, doc, u in found if len(x := np.setxor1d(whole, u, assume_unique=True))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([_minima(r[2]).astype(">u4").tobytes() for r in rows], pa.binary())], ["hub", "doc", "signature"])
+                 pa.array([_minima(r[2]).astype(">u4").tobytes() for r in rows], pa.binary()),
+                 pa.array([r[3] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64())],
+                ["hub", "doc", "signature", "n", "d"])
     return run
 
 
@@ -302,8 +331,9 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
     def of(end: str) -> DataFrame:
         return whole.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
 
-    own = _hub_by_hub(hubs, texts).mapInArrow(_differences(size), "hub long, doc long, signature binary")
-    alike = _near_pairs(own.mapInArrow(_own_orders, "key binary, doc long"), 9 + 4)
+    own = keep(_hub_by_hub(hubs, texts).mapInArrow(
+        _differences(size), "hub long, doc long, signature binary, n long, d long"), "own")
+    alike = _near_pairs(own.mapInArrow(_own_orders, "key binary, doc long, note binary"), 9 + 4, _plausible(percent))
     rest = met.select("a", "b").unionAll(alike).distinct()
     rest = keep(rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
