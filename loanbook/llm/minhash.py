@@ -17,6 +17,9 @@
    differences from it, so rows that are close share much of these small sets.
 6. Candidates are confirmed on the full sets, hub by hub: first the best one of each
    document; then, of the rest, those that still join different components.
+7. What neighbours leave out in a dense region is found by an exact join: rows of a region that are
+   not in the component of its leader meet all other rows of the region by the rare part of
+   their differences from the leader (see `_beyond`).
 
 A pair of similarity 0.75 shares no order's first three slots with probability
 (1 - 0.75**3) ** 21 = 0.00001.
@@ -184,8 +187,9 @@ def _near_pairs(keyed: DataFrame, head: int, fits=None) -> DataFrame:
     return near.where("not edge").select("a", "b").unionAll(across.where("not edge").select("a", "b"))
 
 
-def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs (a, b, met) of representatives (doc, signature), and (doc, hub): the most famous leader of a row's dense regions."""
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Pairs (a, b, met) of representatives (doc, signature); (doc, hub): the most famous leader of a row's dense regions;
+    (hub, doc): the leaders of all its dense regions."""
     pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long, note binary"), 1 + 4 * HEAD)
     regions = reps.mapInArrow(_orders(False), "region long, depth int, doc long")
     # A region of up to NEAR + 1 rows has all its pairs already.
@@ -199,7 +203,9 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
     pairs = pairs.unionAll(led.select(
         F.least("doc", -F.col("leader.m")).alias("a"), F.greatest("doc", -F.col("leader.m")).alias("b")))
     hubs = led.groupBy("doc").agg(F.max("leader").alias("x")).select("doc", (-F.col("x.m")).alias("hub"))
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")), hubs
+    every = led.join(dense.where(F.col("depth") == HEAD).select("region"), "region", "left_semi")
+    every = every.select((-F.col("leader.m")).alias("hub"), "doc").distinct()
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")), hubs, every
 
 
 def _own_orders(batches):
@@ -297,6 +303,65 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
     return _hub_by_hub(oriented, texts).mapInArrow(_confirm(size, percent), "a long, b long")
 
 
+def _apart(size: int):
+    """The difference of each member's set from its hub's, and the sizes of the two sets."""
+    def run(batches):
+        for found in _beside(size)(batches):
+            rows = [(h, doc, len(whole), len(u), np.setxor1d(whole, u, assume_unique=True).view(np.int64)) for h, whole, doc, u in found]
+            first = np.cumsum([0, *(len(r[4]) for r in rows)])
+            tokens = np.concatenate([np.zeros(0, np.int64), *(r[4] for r in rows)])
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(4)),
+                 pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(tokens))], ["hub", "doc", "nh", "n", "tokens"])
+    return run
+
+
+def _beyond(every: DataFrame, whole: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of different components and a common hub: all that are similar enough, and few others.
+
+    every has (hub, doc), whole the components once all of these pairs are decided. Of two rows x, y in
+    different components one, x, is not in the hub's, so it is not similar to the hub. With d
+    the size of the difference from the hub, n that of the set, and s = d - part * n, two rows are similar
+    if their differences share at least (s(x) + s(y)) / 2 tokens. This is over 0, since s(x) > part * nh and
+    s(y) >= -part * nh. Tokens are in one order for the hub, rare ones first; if the first common one
+    is the i-th of d, no more than 1 + d - i are shared. So y needs only tokens with
+    1 + d - i >= (s(y) + part * nh) / 2, about the rarer half, which are seldom common. x needs those with
+    1 + d - i >= s(x) - part * n(y), since y's difference holds what is shared. Everything is in whole
+    numbers, times 100 + percent.
+    """
+    up, down = 100 + percent, 100 - percent
+
+    def of(end: str) -> DataFrame:
+        return whole.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+
+    sides = (every.join(of("doc"), "doc", "left").join(of("hub"), "hub", "left").select(
+        "hub", "doc", F.coalesce("cdoc", "doc").alias("c"),
+        (F.coalesce("cdoc", "doc") != F.coalesce("chub", "hub")).alias("stray")))
+    sides = keep(sides, "sides")
+    # Something is left to find where a stray has company of another component.
+    open_ = sides.groupBy("hub").agg(F.min("c").alias("x"), F.max("c").alias("y")).where("x != y").select("hub")
+    sides = keep(sides.join(open_, "hub", "left_semi"), "open")
+    apart = keep(_hub_by_hub(sides.select("hub", "doc"), texts).mapInArrow(
+        _apart(size), "hub long, doc long, nh long, n long, tokens array<long>"), "apart")
+    one = apart.select("hub", "doc", F.explode("tokens").alias("token"))
+    usual = keep(one.groupBy("hub", "token").agg(F.count("*").alias("f")).where("f > 1"), "usual")
+    shared = one.join(usual, ["hub", "token"]).groupBy("hub", "doc").agg(
+        F.sort_array(F.collect_list(F.struct("f", "token"))).alias("shared"))
+    d = F.size("tokens").cast("long")
+    # Tokens of one row only come first and meet nothing.
+    placed = keep(apart.join(shared, ["hub", "doc"]).join(sides, ["hub", "doc"]).select(
+        "hub", "doc", "c", "stray", "nh", "n", (up * d - down * F.col("n")).alias("s"), F.size("shared").cast("long").alias("k"),
+        F.posexplode("shared")).select(
+        "hub", "doc", "c", "stray", "nh", "n", "s", F.col("col.token").alias("token"), (F.col("k") - F.col("pos")).alias("room"))
+        .where(f"2 * {up} * room >= s + {down} * nh or (stray and {up} * room >= s - {down} * (100 * n div {percent}))"), "placed")
+    x = placed.where("stray").select("hub", "token", *[F.col(k).alias(f"x_{k}") for k in ("doc", "c", "n", "s", "room")])
+    y = placed.where(f"2 * {up} * room >= s + {down} * nh").select(
+        "hub", "token", "stray", *[F.col(k).alias(f"y_{k}") for k in ("doc", "c", "n", "s", "room")])
+    meet = x.join(y, ["hub", "token"]).where(
+        f"x_c != y_c and x_s + y_s <= 2 * {up} * least(x_room, y_room) and {percent} * x_n <= 100 * y_n and {percent} * y_n <= 100 * x_n")
+    return meet.select(F.least("x_doc", "y_doc").alias("a"), F.greatest("x_doc", "y_doc").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row of docs.
@@ -314,8 +379,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
                     "sketches")
     reps = keep(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
                 .agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature")), "reps")
-    met, hubs = candidates(reps.select("doc", "signature"))
-    met, hubs = keep(met, "met"), keep(hubs, "hubs")
+    met, hubs, every = candidates(reps.select("doc", "signature"))
+    met, hubs, every = keep(met, "met"), keep(hubs, "hubs"), keep(every, "every")
     nodes = keep(met.select(F.col("a").alias("doc")).unionAll(met.select(F.col("b").alias("doc"))).distinct(), "nodes")
     texts = keep(source.join(nodes, source.doc_id == nodes.doc, "left_semi")
                  .select(F.col("doc_id").alias("doc"), "text"), "texts")
@@ -340,6 +405,12 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
                 .join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
         more = keep(confirmed(rest, texts, size, percent), "links")
+        if not more.isEmpty():
+            links = links.unionAll(more)
+            whole = keep(components(links), "components")
+    beyond = keep(_beyond(every, whole, texts, size, percent), "beyond")
+    if not beyond.isEmpty():
+        more = keep(confirmed(beyond, texts, size, percent), "links")
         if not more.isEmpty():
             whole = keep(components(links.unionAll(more)), "components")
     rows = sketches.select("doc_id", "n_shingles", "digest").join(

@@ -3,6 +3,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 from common import awkward
 
 from loanbook.llm import minhash, substring_dedup
@@ -60,6 +61,40 @@ def test_stars_chains_and_strangers(spark):
     assert got == _truth(texts)
 
 
+def test_template_group(spark):
+    """A form of 30 fields with two values each besides the usual one: rows are below the threshold to the form, some just over it to each other."""
+    rng = random.Random(11)
+    form = _words(rng, 190)
+    places = range(5, 185, 6)
+    texts = [form]
+
+    def filled(values):
+        return [f"value{k}x{values[k]}" if k in values else w for k, w in enumerate(form)]
+
+    for k in range(2000):
+        values = {p: rng.randrange(2) for p in rng.sample(places, 8)}
+        texts.append(filled(values))
+        if k < 600:  # another row with five of the values, one field changed, and two others
+            keys = rng.sample(sorted(values), 6)
+            more = rng.sample([p for p in places if p not in values], 2)
+            texts.append(filled({p: values[p] for p in keys[1:]} | {keys[0]: 1 - values[keys[0]]} | {p: rng.randrange(2) for p in more}))
+    rng.shuffle(texts)
+    sets = [{tuple(w[k:k + 5]) for k in range(len(w) - 4)} for w in texts]
+    number = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    has = np.zeros((len(sets), len(number)), np.float32)
+    for k, own in enumerate(sets):
+        has[k, [number[x] for x in own]] = 1
+    common, size = has @ has.T, has.sum(axis=1)
+    linked = 100 * common >= 75 * (size[:, None] + size[None, :] - common)
+    least = np.arange(len(sets))
+    while (now := np.where(linked, least[None, :], len(sets)).min(axis=1)).tolist() != least.tolist():
+        least = now
+    df = spark.createDataFrame([(k, " ".join(w)) for k, w in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(df).collect()}
+    wrong = [k for k in got if got[k] != least[k]]
+    assert not wrong, f"{len(wrong)} of {len(texts)}, {(least != np.arange(len(sets))).sum()} linked to a smaller one"
+
+
 def test_components(spark):
     rng = random.Random(1)
     links = [(i, i + 1) for i in range(0, 200)] + [(1000, 1000 + k) for k in range(1, 300)] + [(5, 5), (None, 7), (9000, 8000), (8000, 9000)]
