@@ -11,13 +11,9 @@
 4. In a dense region a row and the text it was copied from can be far apart, so each region
    also has a leader, the row that lies in the most populous regions (a text is closer to its
    copies than these are to each other). All rows of the region meet its leader, at two depths.
-5. Two copies can resemble each other by shared edits alone, more than either resembles the
-   leader. So in dense regions a second forest orders what distinguishes each row from its
-   leader: for a common leader, the symmetric difference of two sets is that of their
-   differences from it, so rows that are close share much of these small sets.
-6. Candidates are confirmed on the full sets, hub by hub: first the best one of each
+5. Candidates are confirmed on the full sets, hub by hub: first the best one of each
    document; then, of the rest, those that still join different components.
-7. What neighbours leave out in a dense region is found by an exact join: rows of a region that are
+6. What neighbours leave out in a dense region is found by an exact join: rows of a region that are
    not in the component of its leader meet all other rows of the region by the rare part of
    their differences from the leader (see `_beyond`).
 
@@ -48,19 +44,6 @@ _ORDER = [
      *np.random.RandomState(t).permutation([k for k in range(SLOTS) if k // HEAD != t])[:KEY_SLOTS - HEAD]]
     for t in range(ORDERS)
 ]
-#: The second forest: its orders, slots of a key, and deviations of the estimate by which a pair may fall short.
-OWN_ORDERS, OWN_SLOTS, DEVIATIONS = 24, 6, 3.5
-_OWN_ORDER = [
-    [t, *np.random.RandomState(1000 + t).permutation([k for k in range(SLOTS) if k != t])[:OWN_SLOTS - 1]]
-    for t in range(OWN_ORDERS)
-]
-
-
-def _minima(shingles: np.ndarray) -> np.ndarray:
-    """Signature of one set."""
-    low = (shingles >> np.uint64(32)).astype(np.uint32)
-    v = (low[None, :] ^ _XOR[:, None]) * _TIMES[:, None]
-    return (v ^ (v >> np.uint32(15))).min(axis=1)
 
 
 def _sketch(size: int):
@@ -105,8 +88,7 @@ def _orders(keys: bool):
                 rows[:, 1:] = np.ascontiguousarray(sig[:, _ORDER[t]]).view(np.uint8).reshape(n, -1)
                 if keys:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(ids), pa.nulls(n, pa.binary())],
-                        ["key", "doc", "note"])
+                        [pa.array([x.tobytes() for x in rows], pa.binary()), pa.array(ids)], ["key", "doc"])
                     continue
                 for depth in (HEAD, DEEP):
                     part = np.ascontiguousarray(rows[:, :1 + 4 * depth])
@@ -118,34 +100,34 @@ def _orders(keys: bool):
     return run
 
 
-def _neighbours(head: int, fits=None):
+def _neighbours(head: int):
     """Pairs of near rows whose keys share `head` bytes (edge false); first and last rows as they are (edge true).
 
-    Rows are (key, doc, note); fits(note, note) may rule a pair out.
+    Rows are (key, doc).
     """
-    schema = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.binary()), ("note", pa.binary())])
+    schema = pa.schema([("edge", pa.bool_()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.binary())])
 
     def batch_of(a, b, edges):
-        keys, ids, notes = zip(*edges) if edges else ((), (), ())
+        keys, ids = zip(*edges) if edges else ((), ())
         n = len(a)
         return pa.RecordBatch.from_arrays(
             [pa.array([False] * n + [True] * len(ids)), pa.array([*a, *ids], pa.int64()), pa.array([*b, *[None] * len(ids)], pa.int64()),
-             pa.array([None] * n + list(keys), pa.binary()), pa.array([None] * n + list(notes), pa.binary())], schema=schema)
+             pa.array([None] * n + list(keys), pa.binary())], schema=schema)
 
     def run(batches):
         last, seen = [], 0
         for batch in batches:
-            rows = last + list(zip(*(batch.column(k).to_pylist() for k in range(3))))
+            rows = last + list(zip(*(batch.column(k).to_pylist() for k in range(2))))
             old = len(last)
             a, b = [], []
             for i in range(old, len(rows)):
-                key, doc, note = rows[i]
+                key, doc = rows[i]
                 mine = key[:head]
                 for j in range(i - 1, max(-1, i - 1 - NEAR), -1):
-                    other, friend, its = rows[j]
+                    other, friend = rows[j]
                     if other[:head] != mine:
                         break
-                    if friend != doc and (fits is None or fits(note, its)):
+                    if friend != doc:
                         a.append(min(doc, friend))
                         b.append(max(doc, friend))
             yield batch_of(a, b, rows[old:old + max(0, NEAR - seen)])
@@ -156,41 +138,20 @@ def _neighbours(head: int, fits=None):
     return run
 
 
-def _plausible(percent: int):
-    """Whether two rows beside one hub can be similar enough, by sizes and the estimate of what they share.
-
-    A note holds a set's size, the size of its difference from the hub, and the difference's signature.
-    """
-    part = (100 - percent) / (100 + percent)
-
-    def fits(x: bytes, y: bytes) -> bool:
-        (n, d), (m, e) = np.frombuffer(x[:16], np.int64).tolist(), np.frombuffer(y[:16], np.int64).tolist()
-        need = (d + e - part * (n + m)) / 2
-        if need <= 0:
-            return True
-        least = need / (d + e - need)
-        if least > 1:
-            return False
-        same = int((np.frombuffer(x, np.uint16, offset=16) == np.frombuffer(y, np.uint16, offset=16)).sum())
-        return (same + 1) / SLOTS + DEVIATIONS * (least * (1 - least) / SLOTS) ** 0.5 >= least
-    return fits
-
-
-def _near_pairs(keyed: DataFrame, head: int, fits=None) -> DataFrame:
-    """Pairs a < b of rows (key, doc, note) that are near in the order of their keys and share its head."""
-    kind = "edge boolean, a long, b long, key binary, note binary"
+def _near_pairs(keyed: DataFrame, head: int) -> DataFrame:
+    """Pairs a < b of rows (key, doc) that are near in the order of their keys and share its head."""
+    kind = "edge boolean, a long, b long, key binary"
     sort = keyed.repartitionByRange("key", "doc").sortWithinPartitions("key", "doc")
-    near = keep(sort.mapInArrow(_neighbours(head, fits), kind), "near")
+    near = keep(sort.mapInArrow(_neighbours(head), kind), "near")
     # A few rows of each partition: pairs that the cut between two partitions separates.
-    cut = near.where("edge").select("key", F.col("a").alias("doc"), "note").distinct().coalesce(1)
-    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours(head, fits), kind)
+    cut = near.where("edge").select("key", F.col("a").alias("doc")).distinct().coalesce(1)
+    across = cut.sortWithinPartitions("key", "doc").mapInArrow(_neighbours(head), kind)
     return near.where("not edge").select("a", "b").unionAll(across.where("not edge").select("a", "b"))
 
 
-def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Pairs (a, b, met) of representatives (doc, signature); (doc, hub): the most famous leader of a row's dense regions;
-    (hub, doc): the leaders of all its dense regions."""
-    pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long, note binary"), 1 + 4 * HEAD)
+def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs (a, b, met) of representatives (doc, signature), and (hub, doc): the leaders of a row's dense regions."""
+    pairs = _near_pairs(reps.mapInArrow(_orders(True), "key binary, doc long"), 1 + 4 * HEAD)
     regions = reps.mapInArrow(_orders(False), "region long, depth int, doc long")
     # A region of up to NEAR + 1 rows has all its pairs already.
     dense = keep(regions.groupBy("region").agg(F.count("*").alias("n"), F.first("depth").alias("depth"))
@@ -202,29 +163,9 @@ def candidates(reps: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     led = keep(rows.select("region", "doc").join(leader, "region").where("doc != -leader.m"), "led")
     pairs = pairs.unionAll(led.select(
         F.least("doc", -F.col("leader.m")).alias("a"), F.greatest("doc", -F.col("leader.m")).alias("b")))
-    hubs = led.groupBy("doc").agg(F.max("leader").alias("x")).select("doc", (-F.col("x.m")).alias("hub"))
     every = led.join(dense.where(F.col("depth") == HEAD).select("region"), "region", "left_semi")
     every = every.select((-F.col("leader.m")).alias("hub"), "doc").distinct()
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")), hubs, every
-
-
-def _own_orders(batches):
-    """Sort keys of what distinguishes a row from its hub, within the hub, and its note."""
-    for batch in batches:
-        n = batch.num_rows
-        if not n:
-            continue
-        sig = np.frombuffer(b"".join(batch.column(2).to_pylist()), ">u4").reshape(n, SLOTS)
-        sizes = np.stack([batch.column(k).to_numpy() for k in (3, 4)], axis=1).astype(np.int64)
-        short = np.ascontiguousarray((sig & 0xFFFF).astype(np.uint16))
-        notes = pa.array([x.tobytes() + y.tobytes() for x, y in zip(sizes, short)], pa.binary())
-        for t in range(OWN_ORDERS):
-            rows = np.zeros((n, 9 + 4 * OWN_SLOTS), np.uint8)
-            rows[:, :8] = batch.column(0).to_numpy().astype(">i8").view(np.uint8).reshape(n, 8)
-            rows[:, 8] = t
-            rows[:, 9:] = np.ascontiguousarray(sig[:, _OWN_ORDER[t]]).view(np.uint8).reshape(n, -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x.tobytes() for x in rows], pa.binary()), batch.column(1), notes], ["key", "doc", "note"])
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("met")), every
 
 
 def _sets(texts, size: int):
@@ -264,18 +205,6 @@ def _confirm(size: int, percent: int):
     return run
 
 
-def _differences(size: int):
-    def run(batches):
-        for found in _beside(size)(batches):
-            rows = [(h, doc, x, len(u)) for h, whole, doc, u in found if len(x := np.setxor1d(whole, u, assume_unique=True))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
-                 pa.array([_minima(r[2]).astype(">u4").tobytes() for r in rows], pa.binary()),
-                 pa.array([r[3] for r in rows], pa.int64()), pa.array([len(r[2]) for r in rows], pa.int64())],
-                ["hub", "doc", "signature", "n", "d"])
-    return run
-
-
 def _hub_by_hub(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Sorted rows (hub, member, doc, text) for pairs (hub, doc) of a written table and texts (doc, text).
 
@@ -379,8 +308,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
                     "sketches")
     reps = keep(sketches.where("n_shingles > 0 and doc_id is not null").groupBy("digest")
                 .agg(F.min("doc_id").alias("doc"), F.first("signature").alias("signature")), "reps")
-    met, hubs, every = candidates(reps.select("doc", "signature"))
-    met, hubs, every = keep(met, "met"), keep(hubs, "hubs"), keep(every, "every")
+    met, every = candidates(reps.select("doc", "signature"))
+    met, every = keep(met, "met"), keep(every, "every")
     nodes = keep(met.select(F.col("a").alias("doc")).unionAll(met.select(F.col("b").alias("doc"))).distinct(), "nodes")
     texts = keep(source.join(nodes, source.doc_id == nodes.doc, "left_semi")
                  .select(F.col("doc_id").alias("doc"), "text"), "texts")
@@ -396,11 +325,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
     def of(end: str) -> DataFrame:
         return whole.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
 
-    own = keep(_hub_by_hub(hubs, texts).mapInArrow(
-        _differences(size), "hub long, doc long, signature binary, n long, d long"), "own")
-    alike = _near_pairs(own.mapInArrow(_own_orders, "key binary, doc long, note binary"), 9 + 4, _plausible(percent))
-    rest = met.select("a", "b").unionAll(alike).distinct()
-    rest = keep(rest.join(of("a"), "a", "left").join(of("b"), "b", "left")
+    rest = keep(met.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
                 .join(first, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
