@@ -3,7 +3,7 @@
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loanbook.functions.scalars import clean_id
@@ -140,13 +140,19 @@ def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
     return rows.join(found, "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
 
 
+def _blocks(base) -> DataFrame:
+    """(len, block, members): partners in blocks of one length of the name, of about BLOCK_PARTNERS each."""
+    # By length, since a block's length often rules it out at once; by hash within it, so no task numbers a whole length.
+    sized = base.withColumn("len", F.length("bp_name"))
+    # One row per length.
+    counts = sized.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PARTNERS).alias("blocks"))
+    return sized.join(F.broadcast(counts), "len").withColumn("block", F.pmod(F.xxhash64("bp_name"), F.col("blocks"))).groupBy(
+        "len", "block").agg(F.array_sort(F.collect_list(F.struct("c_bpartner_id", "bp_name"))).alias("members"))
+
+
 def _far(names, base) -> DataFrame:
     """(name, c_bpartner_id, distancia) of names against all partners, block by block."""
-    # Blocks by length of the name, then id: a block's lengths often rule it out at once.
-    size = F.length("bp_name")
-    per_length = Window.partitionBy("len").orderBy("c_bpartner_id")
-    blocks = base.withColumn("len", size).withColumn("block", F.floor(F.row_number().over(per_length) / BLOCK_PARTNERS)).groupBy(
-        "len", "block").agg(F.array_sort(F.collect_list(F.struct("c_bpartner_id", "bp_name"))).alias("members"))
+    blocks = _blocks(base)
     # Each name is sent to every block: blocks are numbered, and numbers are what names are joined on.
     blocks = blocks.withColumn("part", F.pmod(F.xxhash64("len", "block"), F.lit(PARTS)))
     spread = names.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
