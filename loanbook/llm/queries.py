@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, perspectives, preference, quality_rules, substring_dedup, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, perspectives, pieces, preference, quality_rules, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -71,3 +71,8 @@ def classifier(spark, sf_dir):
 @query("op9_chat_formatting", oracles.OP9)
 def chat(spark, sf_dir):
     return perspectives.rotated(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_sentencepiece")
+def encoding(spark, sf_dir):
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
