@@ -1,5 +1,7 @@
 """DuckDB SQL for the queries of this subpackage that SQL can express."""
 
+import zlib
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 
@@ -142,3 +144,63 @@ SELECT conv_id, perspective, turn, speaker, role, segment, start, length(segment
        CASE WHEN role = 'assistant' THEN length(text) + 10 ELSE 0 END::BIGINT AS train_length
 FROM o
 """
+
+
+def _crc_table() -> list[int]:
+    """What one byte makes of the register 0; the register is complemented before and after."""
+    return [zlib.crc32(bytes([b]), 0xFFFFFFFF) ^ 0xFFFFFFFF for b in range(256)]
+
+
+def crc32(ascii_text: str) -> str:
+    """Unsigned crc32 of a text of ASCII characters; needs a column crc_table."""
+    codes = f"list_transform(string_split({ascii_text}, ''), lambda x: ascii(x)::BIGINT)"
+    step = "lambda c, b: xor(crc_table[(xor(c, b) & 255) + 1], c >> 8)"
+    return f"xor(list_reduce(list_concat([4294967295::BIGINT], {codes}), {step}), 4294967295)"
+
+
+CRC_TABLE = f"(SELECT {_crc_table()}::BIGINT[] AS crc_table)"
+
+
+def _field(x: str) -> str:
+    return f"CASE WHEN {x} IS NULL THEN '-' ELSE strlen({x}::VARCHAR) || ':' || {x} END"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(x) for x in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels {name}0, {name}1, ... of nodes (t, pos, h, n), and {name}run0, ... of the runs of each."""
+    parts = []
+    for k in range(levels):
+        parts.append(f"""{name}run{k} AS (SELECT t, pos // 16 AS p, n, string_agg(h, '' ORDER BY pos) AS run FROM {name}{k} GROUP BY t, pos // 16, n),
+{name}{k + 1} AS (SELECT t, p AS pos, CASE WHEN n > 1 THEN sha256(run) ELSE run END AS h, (n + 15) // 16 AS n FROM {name}run{k})""")
+    return ",\n".join(parts)
+
+
+def op12(levels: int = 6, upper: int = 4) -> str:
+    """Trees of up to 16^levels leaves and 16^upper sources."""
+    joins, siblings, folds = [], [], []
+    for k, (name, level, t, pos) in enumerate([("a", k, "l.t", "l.pos") for k in range(levels)] + [("b", k, "0", "o.pos") for k in range(upper)]):
+        joins.append(f"JOIN {name}run{level} AS r{k} ON r{k}.t IS NOT DISTINCT FROM {t} AND r{k}.p = {pos} // {16 ** (level + 1)}")
+        place = f"({pos} // {16 ** level} % 16)"
+        siblings.append(f"CASE WHEN r{k}.n > 1 THEN substr(r{k}.run, 1, 64 * {place}) || substr(r{k}.run, 64 * {place} + 65) ELSE '' END")
+        folds.append(f"r{k}.n AS n{k}, substr(r{k}.run, 1, 64 * {place}) AS x{k}, substr(r{k}.run, 64 * {place} + 65) AS y{k}")
+    steps = [f"w{k + 1} AS (SELECT * REPLACE (CASE WHEN n{k} > 1 THEN sha256(x{k} || f || y{k}) ELSE f END AS f) FROM w{k})"
+             for k in range(levels + upper)]
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source AS t, {_leaf('text')} AS leaf,
+                  CASE WHEN {crc32('doc_id::VARCHAR')} % 5 = 0 AND text IS NOT NULL
+                       THEN {_leaf(LOWER.replace("coalesce(text, '')", 'text'))} END AS changed
+           FROM documents, {CRC_TABLE} AS c),
+l AS (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS pos, count(*) OVER (PARTITION BY t) AS n FROM d),
+a0 AS (SELECT t, pos, leaf AS h, n FROM l),
+{_tree('a', levels)},
+o AS (SELECT t, h, row_number() OVER (ORDER BY encode(t) NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM a{levels}),
+b0 AS (SELECT 0 AS t, pos, h, n FROM o),
+{_tree('b', upper)},
+w0 AS (SELECT l.doc_id, l.leaf, o.h AS subroot, coalesce(l.changed, l.leaf) AS f, sha256({' || '.join(siblings)}) AS proof_sha256, {', '.join(folds)}
+       FROM l JOIN o ON l.t IS NOT DISTINCT FROM o.t {' '.join(joins)}),
+{', '.join(steps)}
+SELECT doc_id, leaf, subroot, b{upper}.h AS root, proof_sha256, f AS folded_root, f = b{upper}.h AS verified FROM w{levels + upper}, b{upper}
+"""

@@ -1,9 +1,11 @@
 """Queries of this subpackage: name -> (function of the session and the folder, SQL or None)."""
 
+import string
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, minhash, oracles, packing, perspectives, pieces, preference, quality_rules, substring_dedup, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, merkle, minhash, oracles, packing, perspectives, pieces, preference, quality_rules, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -76,3 +78,11 @@ def chat(spark, sf_dir):
 @query("op13_sentencepiece")
 def encoding(spark, sf_dir):
     return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_merkle_manifest", oracles.op12())
+def witnesses(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    leaves = merkle.document_leaves(docs, F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lower))
+    return merkle.manifest(leaves).withColumnRenamed("id", "doc_id")
