@@ -204,3 +204,81 @@ w0 AS (SELECT l.doc_id, l.leaf, o.h AS subroot, coalesce(l.changed, l.leaf) AS f
 {', '.join(steps)}
 SELECT doc_id, leaf, subroot, b{upper}.h AS root, proof_sha256, f AS folded_root, f = b{upper}.h AS verified FROM w{levels + upper}, b{upper}
 """
+
+
+def _op11() -> str:
+    """Strings of 12 digits and an audit compare like (cost, audit); four of them are the states."""
+    def add(x: str, cost: str, letter: str) -> str:
+        return f"(lpad((substr({x}, 1, 12)::BIGINT + {cost})::VARCHAR, 12, '0') || substr({x}, 13) || '{letter}')"
+
+    def put(x: str) -> str:
+        return add(x, "2", "I")
+
+    def kept(initial: str, *states: str) -> list[str]:
+        return [f"CASE WHEN NOT gone AND initial = '{initial}' THEN {add(x, 'extra', 'K')} END" for x in states]
+
+    def changed(*states: str) -> list[str]:
+        return [f"CASE WHEN NOT gone THEN {add(x, '2 + extra', 'R')} END" for x in states]
+
+    inserted = (f"e0 AS i0, e1 AS i1, least(e2, {put('e0')}, {put('e1')}, {put('e3')}) AS i2, "
+                f"least(e3, {put('e2')}, {put(put('e0'))}, {put(put('e1'))}) AS i3")
+    steps = ", ".join([
+        f"{add('i0', '3', 'D')} AS e0",
+        f"least({', '.join([add('i1', '3', 'D'), *kept('s', 'i0')])}) AS e1",
+        f"least({', '.join([add('i2', '3', 'D'), *kept('u', 'i0', 'i1', 'i3'), *changed('i0', 'i1', 'i3')])}) AS e2",
+        f"least({', '.join([add('i3', '3', 'D'), *kept('a', 'i2'), *changed('i2')])}) AS e3"])
+    blank = "translate(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), '')"
+    tail = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""
+WITH RECURSIVE o AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         {crc32("(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '))")} % 20 AS way
+  FROM conversations, {CRC_TABLE} AS c),
+d AS (
+  SELECT conv_id, turn, CASE WHEN way = 4 THEN 'user' ELSE role END AS role,
+         CASE way WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM o, (SELECT unnest([1, 2]) AS copy) AS u WHERE way <> 0 AND (copy = 1 OR way = 3)),
+k AS (
+  SELECT *, coalesce(conv_id::VARCHAR, 'null') AS g, left(role, 1) AS initial, {blank} = '' AS blank,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(strlen(role) || ':' || role || text)) AS rn FROM d),
+f AS (
+  SELECT *, NOT blank AND row_number() OVER (PARTITION BY g, role, text ORDER BY rn) > 1 AS duplicate,
+         right(rtrim(text, {tail}), 1) NOT IN ('.', '!', '?') AS open_, lag(initial) OVER (PARTITION BY g ORDER BY rn) AS before FROM k),
+r AS (
+  SELECT *, blank OR duplicate AS gone, open_ AND NOT blank AND NOT duplicate AS truncated,
+         CASE WHEN open_ AND NOT blank AND NOT duplicate THEN 1 ELSE 0 END AS extra FROM f),
+w AS (
+  SELECT g, 0::BIGINT AS rn, lpad('', 12, '0') AS e0, NULL::VARCHAR AS e1, NULL::VARCHAR AS e2, NULL::VARCHAR AS e3
+  FROM (SELECT DISTINCT g FROM r) AS x
+  UNION ALL
+  SELECT g, rn, {steps} FROM (
+    SELECT r.g, r.rn, initial, gone, extra, {inserted} FROM w JOIN r ON w.g = r.g AND r.rn = w.rn + 1) AS x),
+z AS (
+  SELECT g, least(e0, {put('e2')}, e3, {put(put('e1'))}) AS best
+  FROM w JOIN (SELECT g, max(rn) AS rn FROM r GROUP BY g) AS x USING (g, rn)),
+b AS (SELECT g, substr(best, 1, 12)::BIGINT AS cost, substr(best, 13) AS audit FROM z),
+l AS (
+  SELECT g, i, substr(audit, i, 1) AS letter, i - strlen(replace(substr(audit, 1, i), 'D', '')) AS gone_so_far,
+         strlen(replace(substr(audit, 1, i), 'I', '')) AS rn, audit
+  FROM b, unnest(range(1, strlen(audit) + 1)) AS u(i)),
+p AS (
+  SELECT l.g, i, letter, role, text, i - gone_so_far AS place,
+         CASE WHEN first_value(CASE WHEN letter = 'K' THEN left(role, 1) END) OVER (PARTITION BY l.g ORDER BY i) = 's' THEN 1 ELSE 0 END AS system
+  FROM l LEFT JOIN r ON r.g = l.g AND r.rn = l.rn WHERE letter <> 'D'),
+t AS (
+  SELECT g, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - system) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                       || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY i) AS whole
+  FROM p GROUP BY g),
+c AS (
+  SELECT g, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps, count(*) FILTER (blank) AS blank,
+         count(*) FILTER (duplicate) AS duplicate, count(*) FILTER (truncated) AS truncated,
+         count(*) FILTER (before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(cost, 0)::BIGINT AS cost,
+       coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, coalesce(conv_id::VARCHAR, 'null') AS g FROM conversations) AS x
+LEFT JOIN c USING (g) LEFT JOIN b USING (g) LEFT JOIN t USING (g)
+"""
+
+
+OP11 = _op11()

@@ -5,7 +5,7 @@ import string
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from loanbook.llm import decontaminate, language_model, line_dedup, merkle, minhash, oracles, packing, perspectives, pieces, preference, quality_rules, substring_dedup, warc
+from loanbook.llm import decontaminate, language_model, line_dedup, merkle, minhash, oracles, packing, perspectives, pieces, preference, quality_rules, repair, substring_dedup, warc
 from loanbook.llm.shared import table
 
 QUERIES: dict = {}
@@ -86,3 +86,19 @@ def witnesses(spark, sf_dir):
     lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
     leaves = merkle.document_leaves(docs, F.when(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, lower))
     return merkle.manifest(leaves).withColumnRenamed("id", "doc_id")
+
+
+@query("op11_structure_repair", oracles.OP11)
+def structure(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations")
+    return repair.audited(damaged(turns), turns)
+
+
+def damaged(turns):
+    """The faults that the query repairs: what happens to a row follows from its key."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text, role, way = F.coalesce("text", F.lit(" ")), F.coalesce("role", F.lit(" ")), F.crc32(key) % 20
+    return turns.where(way != 0).select(
+        "conv_id", "turn", F.when(way == 4, "user").otherwise(role).alias("role"),
+        F.when(way == 1, "").when(way == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        F.explode(F.when(way == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("copy")).drop("copy")
