@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from loanbook.functions.scalars import clean_id
 from loanbook.operators.balances import day, with_collected
+from loanbook.operators.nearest import Index
 from loanbook.operators.ordered import number_rows
-from loanbook.session import ensure_checkpoint_dir
+from loanbook.session import written
 
 # Fixed value: first id when the target table is empty.
 FIRST_ID = 10_000_000
@@ -105,23 +106,17 @@ def _deletions(name: Column, most: int) -> Column:
     return out
 
 
-# Partners that one row holds while far names are compared with them.
-BLOCK_PARTNERS = 2_000
-
-
 def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
     """Partner with the smallest edit distance on the name. Ties go to the lowest partner id.
 
     Two names within ``near`` edits share a string after removing as many characters from
     each, so they meet in an equi join on those strings, one distance after the other. Names
-    that are farther from every partner have no key in common with the nearest one; these few
-    distinct names pass all partners in blocks of bounded size, and each comparison stops at the best
-    distance so far. Every row gets a partner unless there is none or its name is null.
+    that are farther from every partner go down an index of bounds (``nearest.Index``), which leaves each few
+    partners to compare. Every row gets a partner unless there is none or its name is null.
     ``rows``: row_id, name.
     """
-    ensure_checkpoint_dir(rows.sparkSession)
-    base = partners.filter(F.col("nombre").isNotNull()).groupBy(F.col("nombre").alias("bp_name")).agg(
-        F.min("c_bpartner_id").alias("c_bpartner_id"))
+    base = written(partners.filter(F.col("nombre").isNotNull()).groupBy(F.col("nombre").alias("bp_name")).agg(
+        F.min("c_bpartner_id").alias("c_bpartner_id")), "partners")
     names = rows.select("name").filter(F.col("name").isNotNull()).distinct()
     same = names.join(base, names.name == base.bp_name).select(
         "name", "c_bpartner_id", F.lit(0).alias("distancia"))
@@ -132,46 +127,18 @@ def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
         right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
         close = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
             "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= most)
-        best = close.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
-            "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia")).checkpoint()
+        best = written(close.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
+            "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia")), "near")
         rest = rest.join(best.select("name"), "name", "left_anti")
         found = found.unionByName(best)
-    found = found.unionByName(_far(rest.checkpoint(), base))
+    found = found.unionByName(_far(written(rest, "far"), base))
     return rows.join(found, "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
 
 
-def _blocks(base) -> DataFrame:
-    """(len, block, members): partners in blocks of one length of the name, of about BLOCK_PARTNERS each."""
-    # By length, since a block's length often rules it out at once; by hash within it, so no task numbers a whole length.
-    sized = base.withColumn("len", F.length("bp_name"))
-    # One row per length.
-    counts = sized.groupBy("len").agg(F.ceil(F.count(F.lit(1)) / BLOCK_PARTNERS).alias("blocks"))
-    return sized.join(F.broadcast(counts), "len").withColumn("block", F.pmod(F.xxhash64("bp_name"), F.col("blocks"))).groupBy(
-        "len", "block").agg(F.array_sort(F.collect_list(F.struct("c_bpartner_id", "bp_name"))).alias("members"))
-
-
 def _far(names, base) -> DataFrame:
-    """(name, c_bpartner_id, distancia) of names against all partners, block by block."""
-    blocks = _blocks(base)
-    # Each name is sent to every block: blocks are numbered, and numbers are what names are joined on.
-    blocks = blocks.withColumn("part", F.pmod(F.xxhash64("len", "block"), F.lit(PARTS)))
-    spread = names.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
-    start = F.struct(F.lit(1 << 30).alias("distancia"), F.lit(None).cast("bigint").alias("c_bpartner_id"))
-
-    def closer(best, member):
-        gap = F.abs(F.length(F.col("name")) - F.length(member.bp_name))
-        open_ = (gap < best.distancia) | ((gap == best.distancia) & (member.c_bpartner_id < best.c_bpartner_id))
-        d = F.when(open_, F.levenshtein(F.col("name"), member.bp_name))
-        new = F.struct(d.alias("distancia"), member.c_bpartner_id.alias("c_bpartner_id"))
-        return F.when(d.isNotNull() & (new < best), new).otherwise(best)
-
-    compared = spread.join(blocks, "part").select("name", F.aggregate("members", start, closer).alias("b"))
-    return compared.groupBy("name").agg(F.min("b").alias("b")).select(
-        "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia"))
-
-
-# Groups of blocks, each met by all far names.
-PARTS = 64
+    """(name, c_bpartner_id, distancia) of distinct names, none of which is a partner's."""
+    index = Index(base.select(F.col("c_bpartner_id").alias("ident"), F.col("bp_name").alias("member")))
+    return index.nearest(names).select("name", F.col("ident").alias("c_bpartner_id"), F.col("distance").alias("distancia"))
 
 
 def opening_payments(loans, collections, record_date, origin: str = "migrated") -> DataFrame:

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from loanbook.session import written
+
 HOT_ROWS = 1_000_000
 
 _B = "_bucket"
@@ -151,27 +153,22 @@ def day_running(df, keys, day, values: dict) -> DataFrame:
         *[F.sum(n).over(w).alias(n) for n in values])
 
 
-def number_rows(df, order: list[str], name: str, start: Column, width: int = 100_000) -> DataFrame:
-    """Dense row numbers by ``order`` without one global window; its first column is an integer.
+def number_rows(df, order: list[str], name: str, start: Column) -> DataFrame:
+    """Dense row numbers by ``order``, nulls first; ids of any kind and however sparse.
 
-    Rows fall into ranges of ``width`` ids, null ids into one of their own before all others;
-    only the counts per range are summed in one place, one row per range that holds data. Rows
-    that tie on all of ``order`` are numbered in any order.
+    Sampled cut points spread the rows over partitions that follow the order; the sorted rows are written with
+    their place in their partition. The counts of the partitions, one row each, say where each
+    begins, and a number is then the sum of both. Rows that tie on all of ``order`` are
+    numbered in any order; a hash of the whole row cuts even very many of them.
     """
-    band = F.floor(F.col(order[0]) / width)
-    banded = df.withColumn("_band", F.coalesce(band, F.lit(-(1 << 62))))
-    counts = banded.groupBy("_band").agg(F.count(F.lit(1)).alias("_c"))
-    # Bands of bands keep every window partitioned.
-    counts = counts.withColumn("_super", F.floor(F.col("_band") / 10_000))
-    supers = counts.groupBy("_super").agg(F.sum("_c").alias("_sc"))
-    ws = W.partitionBy(F.lit(0)).orderBy("_super").rowsBetween(W.unboundedPreceding, -1)
-    supers = supers.select("_super", F.coalesce(F.sum("_sc").over(ws), F.lit(0)).alias("_so"))
-    wb = W.partitionBy("_super").orderBy("_band").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.join(supers, "_super").select(
-        "_band", (F.col("_so") + F.coalesce(F.sum("_c").over(wb), F.lit(0))).alias("_off"))
-    wr = W.partitionBy("_band").orderBy(*order)
-    return (
-        banded.join(offsets, "_band")
-        .withColumn(name, (start + F.col("_off") + F.row_number().over(wr)).cast("bigint"))
-        .drop("_band", "_off")
-    )
+    tie = F.xxhash64(*df.columns)
+    placed = df.withColumn("_tie", tie).repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie").select(
+        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
+    placed = written(placed, "numbered")
+    counts = placed.groupBy("_part").agg(F.min("_place").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    bases, upto = [], 0
+    for r in sorted(counts.collect(), key=lambda r: r["_part"]):  # one row for each partition that holds data
+        bases.append((r["_part"], upto - r["_first"]))
+        upto += r["_n"]
+    base = df.sparkSession.createDataFrame(bases, "_part int, _base long")
+    return placed.join(base, "_part").withColumn(name, (start + F.col("_base") + F.col("_place") + 1).cast("bigint")).drop("_part", "_place", "_base")

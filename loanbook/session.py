@@ -4,7 +4,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def session(app: str = "loanbook", cpus: str | None = None, partitions: int = 8) -> SparkSession:
@@ -29,6 +29,13 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a table in the shared folder: later steps read it, and its lineage ends there."""
+    path = work_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder the cluster names; only local runs get a folder of their own."""
     if spark.conf.get("spark.checkpoint.dir", None):

@@ -79,8 +79,7 @@ def test_nearest_partner(spark):
     assert got == {1: (1, 0), 2: (1, 1), 3: (3, 1), 4: (1, 11), 5: (2, 2)}
 
 
-def test_every_name_gets_its_nearest_partner(spark, monkeypatch):
-    monkeypatch.setattr(migration, "BLOCK_PARTNERS", 3)
+def test_every_name_gets_its_nearest_partner(spark):
     rnd = random.Random(4)
     names = ["".join(rnd.choice("abcd") for _ in range(rnd.randrange(1, 12))) for _ in range(80)]
     p = spark.createDataFrame(list(enumerate(names[:40])), "c_bpartner_id long, nombre string")
