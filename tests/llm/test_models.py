@@ -7,14 +7,12 @@ import re
 import zlib
 
 import numpy as np
-import pyarrow as pa
 import public_tokenizers
 import pytest
 from common import SF, awkward, documents
 from tokenizers import Tokenizer
 
 from loanbook.llm import language_model, packing, preference, warc
-from loanbook.llm.words import blocks
 from pyspark.sql import functions as F
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -107,8 +105,39 @@ def test_encoder_equals_the_tokenizer():
     texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(5000)]
     plain = Tokenizer.from_file(BPE)
     encoder = packing.Encoder(BPE)
-    got = [ids.tolist() for _, _, data, bounds in blocks(pa.array(texts), 3000) for ids in encoder.ids(data, bounds)]
-    assert got == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert encoder.ranked is not None
+    texts += [" " * 50_000 + "x", "\n" * 1_500, "ab " * 20_000, "a" * 100_000, "<|endoftext|>" * 3]
+    assert [encoder.ids(t) for t in texts] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_encoder_takes_every_character_for_the_same_kind():
+    """Each character between letters, digits, signs and blanks, and twice: its kind decides where texts are cut."""
+    plain, encoder = Tokenizer.from_file(BPE), packing.Encoder(BPE)
+    texts = ["".join(f"a{chr(c)}a 1{chr(c)}1 .{chr(c)}. {chr(c)}{chr(c)} " for c in range(k, k + 64) if not 0xD800 <= c < 0xE000)
+             for k in range(0, 0x110000, 64)]
+    assert [encoder.ids(t) for t in texts] == [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_every_token_is_the_encoding_of_itself():
+    """Merging by rank and by the listed pairs can only differ in a token that the pairs do not build."""
+    plain, encoder = Tokenizer.from_file(BPE), packing.Encoder(BPE)
+    whole = 0
+    for raw in encoder.ranked.token_byte_values():
+        try:
+            text = raw.decode()
+        except UnicodeDecodeError:
+            continue
+        got = encoder.ids(text)
+        assert got == plain.encode(text, add_special_tokens=False).ids
+        whole += len(got) == 1
+    assert whole > 49_000
+
+
+def test_encoder_without_ranks():
+    """A file of another form goes to its tokenizer."""
+    other = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
+    assert other.ranked is None
+    assert other.ids("Hello there") == Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode("Hello there", add_special_tokens=False).ids
 
 
 @pytest.mark.parametrize("kind", ["documents", "awkward"])
