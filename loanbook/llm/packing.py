@@ -4,9 +4,11 @@
    its pieces of each length, so global numbers need one small sum over tasks.
 2. The histogram has at most `capacity` rows, whatever the corpus, and goes to the driver.
 3. The linear program chooses how often each configuration (multiset of lengths that fit into a
-   sequence) is used. Multiplicative weights price the lengths: a configuration of best price
-   comes from a knapsack dynamic program, is used by a step, and the prices of the lengths it
-   covers fall. The result is rounded down; what is left is placed best fit, longest first.
+   sequence) is used. Multiplicative weights price the lengths: a knapsack dynamic program finds the
+   configurations of best price that fill a sequence, each is used by a step, and the prices of the lengths it covers
+   fall. As every configuration is full, the total length is a dual bound that the program meets exactly. Steps are whole
+   numbers of sequences. A fair part of each length, more of the short ones, is held back from the program and
+   placed best fit, longest first, with what no full configuration holds any more.
 4. The plan is, for each length, ranges of numbers with sequence and offset. Each piece looks
    its number up.
 """
@@ -26,11 +28,18 @@ from pyspark.sql import DataFrame, Window, functions as F
 from loanbook.llm.shared import keep
 
 CAPACITY = 2048
-#: Part of the scarcest length of a configuration that one step of the program covers.
+#: Part of the scarcest length of a configuration that one step of the program uses.
 STEP = 0.5
-ROUNDS = 1000
-#: Fall of a price, as a power of e, for covering all pieces of a length once.
-RATE = 20
+#: Fall of a price, as a power of e, for covering all pieces of a length.
+RATE = 8
+#: Configurations taken from one knapsack table: those of the lengths that lag most.
+COLUMNS = 16
+#: Part of each length that is held back, that of lengths under capacity / SHORT, and the part of the rest that the program covers.
+HELD, HELD_SHORT, SHORT, COVERED = 0.04, 0.4, 16, 0.95
+#: Parts of the program that rounding tries.
+SCALES = (1, 0.5, 0.25, 0)
+#: Knapsack tables in a row that give no usable configuration before the program ends.
+MISSES = 8
 #: Pieces that best fit places one by one; larger histograms are packed by parts.
 AT_ONCE = 200_000
 #: A longer run of white space is left to the tokenizer itself, whose pattern does not go down a stack.
@@ -157,28 +166,65 @@ def best_configuration(price: np.ndarray, capacity: int) -> np.ndarray:
     return used
 
 
-def fractional(counts: np.ndarray, capacity: int, step: float = STEP, rounds: int = ROUNDS):
-    """[(configuration, times)] that cover the histogram, by multiplicative weights."""
-    weight = np.ones(len(counts))
-    covered = np.zeros(len(counts))
-    lengths = np.arange(len(counts)) / capacity
-    plan = []
-    for _ in range(rounds):
-        open_ = covered < counts * (1 - 1e-9)
-        if not open_.any():
+def _full(price: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each total up to capacity the best price of a multiset of exactly that total, and a length in it."""
+    lengths = np.flatnonzero(price > 0)
+    value = price[lengths]
+    best = np.full(capacity + 1, -np.inf)
+    best[0] = 0
+    taken = np.zeros(capacity + 1, np.int64)
+    usable = np.searchsorted(lengths, np.arange(capacity + 1), "right")
+    for c in range(1, capacity + 1):
+        k = usable[c]
+        if k:
+            gain = best[c - lengths[:k]] + value[:k]
+            j = int(gain.argmax())
+            best[c], taken[c] = gain[j], lengths[j]
+    return best, taken
+
+
+def fractional(counts: np.ndarray, capacity: int, step: float = STEP, rounds: int | None = None):
+    """[(full configuration, times)] within the histogram, by multiplicative weights; times are whole."""
+    lengths = np.arange(len(counts))
+    share = np.where(lengths * SHORT < capacity, 1 - HELD_SHORT, 1 - HELD)
+    target = np.floor(counts * share).astype(np.int64)
+    left, penalty = target.copy(), np.ones(len(counts))
+    enough, placed, misses, plan, tables = COVERED * (target * lengths).sum() / capacity, 0, 0, [], 0
+    while placed < enough and misses < MISSES and (rounds is None or tables < rounds):
+        tables += 1
+        lag = np.divide(left, target, out=np.zeros(len(counts)), where=target > 0)
+        price = np.where(left > 0, lengths / capacity * np.exp(RATE * (lag - lag.max())) * penalty, 0)
+        best, taken = _full(price, capacity)
+        first = np.flatnonzero(left > 0)
+        first = first[np.isfinite(best[capacity - first])]
+        if not len(first):
             break
-        used = best_configuration(np.where(open_, lengths * weight, 0), capacity)
-        own = np.flatnonzero(used)
-        left = (counts[own] - covered[own]) / used[own]
-        times = min(float((counts[own] / used[own]).min()) * step, float(left.min()))
-        times = max(times, min(1.0, float(left.min())))
-        plan.append((used, times))
-        covered[own] += times * used[own]
-        weight[own] *= np.exp(-RATE * times * used[own] / counts[own])
-        weight /= weight.max()
+        misses += 1
+        for length in first[np.lexsort((-first, -lag[first]))][:COLUMNS]:
+            used = np.zeros(len(counts), np.int64)
+            used[length] = 1
+            rest = capacity - length
+            while rest:
+                used[taken[rest]] += 1
+                rest -= taken[rest]
+            own = np.flatnonzero(used)
+            most = int((left[own] // used[own]).min())
+            if not most:  # more of a length than is left
+                penalty[own[used[own] > left[own]]] *= 0.5
+                continue
+            times = max(1, int(most * step))
+            left[own] -= times * used[own]
+            placed, misses = placed + times, 0
+            plan.append((used, times))
     return plan
 
 
+def dual_bound(counts: np.ndarray, price: np.ndarray, capacity: int) -> float:
+    """Sequences that any plan needs: prices, scaled so that no configuration is worth more than 1, times counts."""
+    used = best_configuration(price, capacity)
+    return float((counts * price).sum() / (used * price).sum())
+
+
 def best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     """Best fit, longest first, on a histogram: [(lengths of a sequence, number of such sequences)].
 
@@ -212,16 +258,15 @@ def best_fit(left: np.ndarray, capacity: int) -> list[tuple[list[int], int]]:
     return [(list(k), n) for k, n in out.items()]
 
 
-def _rounded(counts: np.ndarray, plan, capacity: int, scale: float, wasteful: bool) -> list[tuple[list[int], int]]:
+def _rounded(counts: np.ndarray, plan, capacity: int, scale: float) -> list[tuple[list[int], int]]:
     left = counts.astype(np.int64).copy()
     merged: dict[bytes, list] = {}
     for used, times in plan:
-        if wasteful or int((used * np.arange(len(used))).sum()) == capacity:
-            merged.setdefault(used.tobytes(), [used, 0.0])[1] += times * scale
+        merged.setdefault(used.tobytes(), [used, 0])[1] += times
     out = []
-    for used, times in sorted(merged.values(), key=lambda x: -x[1]):
+    for used, times in merged.values():
         own = np.flatnonzero(used)
-        n = min(int(times + 1e-9), int((left[own] // used[own]).min()))
+        n = min(int(times * scale), int((left[own] // used[own]).min()))
         if n:
             left[own] -= n * used[own]
             out.append((np.repeat(own[::-1], used[own[::-1]]).tolist(), n))
@@ -231,11 +276,13 @@ def _rounded(counts: np.ndarray, plan, capacity: int, scale: float, wasteful: bo
 def rounded(counts: np.ndarray, plan, capacity: int) -> list[tuple[list[int], int]]:
     """[(lengths of a sequence, longest first, number of such sequences)] that hold every piece once.
 
-    Configurations are used a whole number of times; the pieces left are placed best fit. Where
-    few lengths complement each other, scaling the program's solution down leaves best fit a fairer
-    mix, so several scales are rounded and the one with fewest sequences is kept.
+    Equal configurations are merged; the pieces left are placed best fit. Where short pieces are scarce the
+    total length is a weak bound, and a program that spends them on full sequences leaves best fit a poor
+    mix: then a part of the program is used, the largest of SCALES that gives the fewest sequences.
+    The list does not grow with the counts: the program has a few tables of COLUMNS each for every halving of what is left, and best
+    fit places at most about AT_ONCE pieces one by one for each halving.
     """
-    tries = [_rounded(counts, plan, capacity, *how) for how in ((1, False), (1, True), (0.5, True), (0.25, True), (0.1, True))]
+    tries = [_rounded(counts, plan, capacity, scale) for scale in SCALES]
     return min(tries, key=lambda x: sum(n for _, n in x))
 
 

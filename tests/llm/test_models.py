@@ -179,6 +179,42 @@ def test_plan_holds_every_piece(times):
     assert sum(n for _, n in plan) <= 1.01 * sum(n for _, n in packing.best_fit(counts, 400)) + 1
 
 
+def _lengths(spark, times):
+    """Histogram of the pieces of the documents, so many times; pieces of full length go alone."""
+    counts = np.zeros(packing.CAPACITY + 1, np.int64)
+    encoder = packing.Encoder(BPE)
+    for r in documents(spark, "/root/testdata/sf0.1").select("text").collect():
+        counts[len(encoder.ids(r.text or "")) % packing.CAPACITY + 1] += times
+    counts[packing.CAPACITY] = 0
+    return counts
+
+
+def test_program_places_nearly_all_pieces(spark):
+    """At 25 times the lengths of sf0.1: the gap between plan and dual bound, what the program places, and best fit alone."""
+    counts, size = _lengths(spark, 25), packing.CAPACITY
+    plan = packing.fractional(counts, size)
+    by_program = sum((used * times for used, times in plan), np.zeros(size + 1, np.int64))
+    assert (by_program <= counts).all() and all((used * np.arange(size + 1)).sum() == size for used, _ in plan)
+    assert by_program.sum() >= 0.9 * counts.sum()
+    sequences = packing.rounded(counts, plan, size)
+    n = sum(n for _, n in sequences)
+    bound = packing.dual_bound(counts, np.arange(size + 1) / size, size)
+    assert bound <= n <= 1.0002 * bound + 1
+    assert n <= sum(n for _, n in packing.best_fit(counts, size))
+    assert sum(len(lengths) for lengths, _ in sequences) < 400_000
+
+
+@pytest.mark.parametrize("lengths", [[700] * 50, [2047] * 9, [1] * 5000, [1025] * 4 + [1023] * 4, []])
+def test_plan_of_few_lengths(lengths):
+    counts = np.bincount(lengths, minlength=2049)[:2049]
+    sequences = packing.rounded(counts, packing.fractional(counts, 2048), 2048)
+    assert sum(n for _, n in sequences) == sum(n for _, n in packing.best_fit(counts, 2048))
+    held = np.zeros(2049, np.int64)
+    for own, n in sequences:
+        np.add.at(held, own, n)
+    assert (held == counts).all()
+
+
 def test_knapsack_is_best():
     rng = np.random.RandomState(4)
     price = np.where(rng.rand(31) < 0.3, 0, rng.rand(31))
