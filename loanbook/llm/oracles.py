@@ -12,16 +12,25 @@ def _split(text: str, separators: str) -> str:
 SPACES = r"\x20\x09-\x0D"
 NOT_ALNUM = r"\x00-\x2F\x3A-\x60\x7B-\x7F"
 
+def _places(words: str, key: str) -> str:
+    """(key, k, len, w1 ... w13): each word of each row with the twelve after it, from windows over unnested words."""
+    following = ", ".join(f"lead(word, {j}) OVER p AS w{j + 1}" for j in range(1, 13))
+    return f"""SELECT {key}, k, count(*) OVER (PARTITION BY {key}) AS len, word AS w1, {following}
+  FROM (SELECT {key}, unnest(w) AS word, generate_subscripts(w, 1) AS k FROM {words}) AS u WINDOW p AS (PARTITION BY {key} ORDER BY k)"""
+
+
+_WINDOW = f"array_to_string([{', '.join(f'w{j}' for j in range(1, 14))}][1:n], ' ') AS x"
+
 OP10 = f"""
-WITH d AS (
+WITH d AS MATERIALIZED (
   SELECT doc_id, row_number() OVER () AS r, {_split(LOWER, NOT_ALNUM)} AS w FROM documents),
-i AS (SELECT coalesce(item_id::VARCHAR, 'null') AS item, {_split(LOWER, NOT_ALNUM)} AS w FROM benchmark),
+i AS MATERIALIZED (SELECT coalesce(item_id::VARCHAR, 'null') AS item, row_number() OVER () AS q, {_split(LOWER, NOT_ALNUM)} AS w FROM benchmark),
+names AS (SELECT q, item FROM i),
 win AS (
-  SELECT DISTINCT item, least(13, len(w)) AS n, array_to_string(w[k:k + 12], ' ') AS x
-  FROM i, unnest(range(1, greatest(1, len(w) - 12) + 1)) AS t(k) WHERE len(w) > 0),
+  SELECT DISTINCT item, n, {_WINDOW} FROM (SELECT *, least(13, len) AS n FROM ({_places('i', 'q')}) AS v WHERE k <= greatest(1, len - 12)) AS v
+  JOIN names USING (q)),
 places AS (
-  SELECT r, k, n, array_to_string(w[k:k + n - 1], ' ') AS x
-  FROM d, (SELECT DISTINCT n FROM win) AS sizes, unnest(range(1, len(w) - n + 2)) AS t(k)),
+  SELECT r, k, n, {_WINDOW} FROM ({_places('d', 'r')}) AS v JOIN (SELECT DISTINCT n FROM win) AS sizes ON k + n - 1 <= len),
 hits AS (SELECT r, k, n, item FROM places JOIN win USING (n, x)),
 words AS (SELECT r, count(DISTINCT k + j) AS n_hit FROM hits, unnest(range(0, n)) AS t(j) GROUP BY r),
 items AS (

@@ -86,10 +86,11 @@ def test_contamination_of_awkward_rows(spark):
     items = spark.createDataFrame(
         [(1, "Line 3 of a PASSAGE that"), (1, "two"), (2, None), (3, ""), (None, "one two"), (5, "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 w12 w13 w14 w15"),
          (6, "nul"), (7, "é中文 é中文")], "item_id long, text string")
+    want = sql(oracles.OP10, documents=docs, benchmark=items)
     for size in (decontaminate.BLOCK_WINDOWS, 3):
         found = decontaminate.contamination(docs, items, block_windows=size)
         view = found.select("row.doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), "items_sha256", "contaminated")
-        assert rows(view) == sql(oracles.OP10, documents=docs, benchmark=items)
+        assert rows(view) == want
         assert found.select("row.*").columns == docs.columns
     spans = {r.row.doc_id: r.spans for r in found.collect()}
     assert [(s.begin, s.end) for s in spans[6]] == [(0, 2)]
