@@ -60,38 +60,44 @@ class Index:
         self.leaf = f"node{len(self.levels)}"
         self.children = [
             written(self.cells.groupBy(f"node{k}", f"node{k + 1}").agg(
-                F.min("ident").alias("least"), *[F.first(f"c{c}").alias(f"c{c}") for c in own]), work)
+                F.min("ident").alias("least"), *[F.first(f"c{c}").alias(f"k{c}") for c in own],
+                F.first(self._upto(k)).alias("kids_sum")), work)
             for k, own in enumerate(self.levels)]
 
+    def _upto(self, level: int) -> Column:
+        """Number of the characters of this level and those above it."""
+        return sum([F.col(f"c{c}") for c in range(self.levels[level].stop)], F.lit(0))
+
     def _counted(self, df: DataFrame, name: str) -> DataFrame:
         return df.select("*", F.length(name).alias("len"), *[_count(name, c).alias(f"c{k}") for k, c in enumerate(self.chars)],
                          *[F.levenshtein(F.col(name), F.lit(p)).alias(f"p{k}") for k, p in enumerate(self.pivots)])
 
     def _at_lengths(self, names: DataFrame) -> DataFrame:
-        """Each name at every length of the index: what it has too much, has too little, and its bound."""
+        """Each name at every length of the index; more is what it has too many of, bound what that says of the distance."""
         out = names.withColumn("at", F.explode(F.array(*[F.lit(x) for x in sorted(self.lengths)]).cast("array<int>")))
-        return out.select("*", F.col("at").cast("string").alias("node"), F.lit(0).alias("more"), F.lit(0).alias("less"),
+        return out.select("*", F.col("at").cast("string").alias("node"), F.lit(0).alias("more"),
                           (F.col("len") - F.col("at")).alias("gap")).withColumn("bound", F.abs("gap")).drop("at")
 
     def _down(self, front: DataFrame, level: int) -> DataFrame:
         """The children of the nodes where names are."""
-        salted = self.children[level].withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-        kids = salted.select(F.col(f"node{level}").alias("node"), F.col(f"node{level + 1}").alias("child"), "salt", "least",
-                             *[F.col(f"c{c}").alias(f"k{c}") for c in self.levels[level]])
-        diffs = [F.col(f"c{c}") - F.col(f"k{c}") for c in self.levels[level]]
-        more = sum([F.greatest(d, F.lit(0)) for d in diffs], F.col("more"))
-        less = sum([F.greatest(-d, F.lit(0)) for d in diffs], F.col("less"))
-        met = front.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALT)).cast("int")).drop(*(["least"] if "least" in front.columns else []))
-        met = met.join(kids, ["node", "salt"]).withColumn("more", more).withColumn("less", less)
-        # In the end more - less is the gap of the lengths, so each is at least the other corrected by it.
-        return met.withColumn("bound", F.greatest("more", "less", F.col("less") + F.col("gap"), F.col("more") - F.col("gap"))).withColumn(
-            "node", F.col("child")).drop("child", "salt", *[f"k{c}" for c in self.levels[level]])
+        own = self.levels[level]
+        kids = self.children[level].select(
+            F.col(f"node{level}").alias("node"), F.col(f"node{level + 1}").alias("child"), "least", "kids_sum", *[f"k{c}" for c in own],
+            F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+        more = sum([F.greatest(F.col(f"c{c}") - F.col(f"k{c}"), F.lit(0)) for c in own], F.col("more"))
+        met = front.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALT)).cast("int")).withColumn("own_sum", self._upto(level))
+        met = met.drop(*[c for c in ("least", "over") if c in front.columns]).join(kids, ["node", "salt"])
+        # What it has too few of is `more` less the surplus so far, and in the end the surplus is the gap of the lengths.
+        over = F.col("own_sum") - F.col("kids_sum")
+        bound = more + F.greatest(F.lit(0), -over, F.col("gap") - over, -F.col("gap"))
+        return met.select(*[c for c in front.columns if c not in ("node", "more", "bound", "least", "over")], F.col("child").alias("node"),
+                          "least", more.alias("more"), bound.alias("bound"), F.abs(over).alias("over"))
 
     def first_guesses(self, names: DataFrame) -> DataFrame:
         """(name, ident, distance) of a near member of each name (name, len, c.., p..), by the branches of least bound."""
         front = self._at_lengths(names)
         # Of equal bounds the branch whose counts differ least.
-        best = Window.partitionBy("name").orderBy("bound", F.col("more") + F.col("less"), "least", "node")
+        best = Window.partitionBy("name").orderBy("bound", F.col("more") * 2 + F.col("over"), "least", "node")
         front = front.withColumn("rank", F.row_number().over(Window.partitionBy("name").orderBy("bound", "node"))).where(F.col("rank") <= BEAM)
         for level in range(len(self.levels)):
             front = self._down(front.drop("rank"), level).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= BEAM)
@@ -104,7 +110,7 @@ class Index:
     def candidates(self, names: DataFrame) -> DataFrame:
         """Pairs (name, member, ident, distance, guess) that the bounds leave over, for names that have a guess (distance, guess)."""
         def open_(bound: Column, least: Column) -> Column:
-            return (bound < F.col("distance")) | ((bound == F.col("distance")) & (least < F.col("guess")))
+            return bound + F.when(least < F.col("guess"), 0).otherwise(1) <= F.col("distance")
 
         front = self._at_lengths(names).where(F.col("bound") <= F.col("distance"))
         for level in range(len(self.levels)):
@@ -116,9 +122,11 @@ class Index:
 
     def nearest(self, names: DataFrame) -> DataFrame:
         """(name, ident, distance) of the member with the least distance to each distinct ``name``; ties go to the least ident."""
-        known = written(self._counted(names, "name"), "far-names")
+        # Few names meet many nodes: they are spread by number, not by bytes.
+        parts = int(names.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        known = written(self._counted(names.repartition(parts, "name"), "name"), "far-names")
         guesses = self.first_guesses(known).withColumnRenamed("ident", "guess")
-        guessed = written(known.join(guesses, "name"), "guesses")
+        guessed = written(known.join(guesses, "name").repartition(parts, "name"), "guesses")
         # A comparison ends as soon as it cannot beat the guess.
         exact = F.expr("levenshtein(name, member, distance)").alias("d")
         found = self.candidates(guessed).select("name", exact, "ident").where("d >= 0").select("name", F.struct("d", "ident").alias("b"))
