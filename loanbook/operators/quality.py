@@ -1,7 +1,10 @@
 """Data-quality detection and set-based repair."""
 
+from itertools import count as count_from
+
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loanbook import config
@@ -9,6 +12,7 @@ from loanbook.functions.scalars import pending
 from loanbook.operators.balances import day, owned, synced_balance, with_collected
 from loanbook.operators.interest import count
 from loanbook.operators.ordered import tie_key
+from loanbook.session import work_folder, written
 
 ZERO = "decimal(18,2)"
 
@@ -107,14 +111,33 @@ class _Rooms:
         return found
 
 
+MOVES = "c_bpartner_id long, legacy_cobro_id string, old_cartera long, id_cartera long"
+MONEY = "decimal(28,2)"
+
+
 def _place(batches):
     """Moves of sorted rows: a partner's bins come first, then its items in order."""
+    for batch in _walked(batches):
+        moves = batch.filter(pc.is_valid(batch.column("legacy_cobro_id")))
+        yield moves.select(["c_bpartner_id", "legacy_cobro_id", "old_cartera", "id_cartera"])
+
+
+def _walked(batches):
+    """The moves, and the room that is left in each of a partner's bins (rows without a collection)."""
+    kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.decimal128(28, 2)]
+    names = ["c_bpartner_id", "legacy_cobro_id", "old_cartera", "id_cartera", "place", "room"]
     partner, bins, rooms, tree = object(), [], [], None
+
+    def left():
+        rest = tree.tree[tree.size:tree.size + len(bins)] if tree else rooms
+        return [(partner, None, None, b, k, r) for k, (b, r) in enumerate(zip(bins, rest))]
+
     for batch in batches:
-        out = [[] for _ in range(4)]
+        out = []
         columns = [batch.column(k).to_pylist() for k in range(5)]
         for owner, kind, ident, loan, amount in zip(*columns):
             if owner != partner:
+                out += left()
                 partner, bins, rooms, tree = owner, [], [], None
             if not kind:
                 bins.append(loan)
@@ -123,33 +146,80 @@ def _place(batches):
             tree = tree or _Rooms(rooms)
             found = tree.take(amount)
             if found is not None:
-                for column, x in zip(out, (owner, ident, loan, bins[found])):
-                    column.append(x)
-        kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, kinds)],
-                                         ["c_bpartner_id", "legacy_cobro_id", "old_cartera", "id_cartera"])
+                out.append((owner, ident, loan, bins[found], None, None))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+    if bins:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*left()), kinds)], names)
+
+
+# Partners with more items hand their rooms on from one part of their items to the next.
+ITEMS_AT_ONCE = 1_000_000
 
 
-def reassign_first_fit(collections, loans) -> DataFrame:
+def _rows(bins, items) -> DataFrame:
+    """Bins (place, bin, room) and items (place, ...) of partners, in order, for one walk."""
+    rows = bins.select(
+        "c_bpartner_id", F.lit(0).alias("kind"), "place", F.lit(None).cast("string").alias("ident"), F.col("bin").alias("loan"),
+        F.col("room").cast(MONEY).alias("amount")).unionByName(items.select(
+            "c_bpartner_id", F.lit(1).alias("kind"), "place", F.col("legacy_cobro_id").alias("ident"), F.col("id_cartera").alias("loan"),
+            F.col("abono").cast(MONEY).alias("amount")))
+    # By the hash of the partner: a repartition by the column itself would be dropped where both parts
+    # of the union already have it, and their partitions are then merged independently.
+    return (rows.repartition(F.xxhash64("c_bpartner_id")).sortWithinPartitions("c_bpartner_id", "kind", "place")
+            .select("c_bpartner_id", "kind", "ident", "loan", "amount"))
+
+
+def reassign_first_fit(collections, loans, items_at_once: int = ITEMS_AT_ONCE) -> DataFrame:
     """Each pending collection, by date, goes to the oldest loan with more room than its amount.
 
     First fit is sequential: what fits depends on all earlier items of the partner. Partners are
     spread over the tasks; a task passes a partner's items by a tree over its loans, so
     memory holds the loans of one partner and each item costs the logarithm of their number.
+    A partner with more than ``items_at_once`` items is walked in parts of at most so many, which follow its order. Each round
+    takes the next part of every such partner in which some item is less than its largest room (parts
+    without one are skipped unread), and hands the rooms on as a written table; a lost task costs a part.
     """
     items, bins = first_fit_inputs(collections, loans)
-    kind = "decimal(28,2)"
-    rows = bins.select(
-        "c_bpartner_id", F.lit(0).alias("kind"), F.col("bin_fecha").alias("dia"), F.col("bin_tie").alias("tie"),
-        F.col("bin").cast("string").alias("ident"), F.col("bin").alias("loan"), F.col("room").cast(kind).alias("amount")
-    ).unionByName(items.select(
-        "c_bpartner_id", F.lit(1).alias("kind"), F.col("operacion").alias("dia"), F.col("_tie").alias("tie"),
-        F.col("legacy_cobro_id").alias("ident"), F.col("id_cartera").alias("loan"), F.col("abono").cast(kind).alias("amount")))
-    # By the hash of the partner: a repartition by the column itself would be dropped where both parts
-    # of the union already have it, and their partitions are then merged independently.
-    return (rows.repartition(F.xxhash64("c_bpartner_id")).sortWithinPartitions("c_bpartner_id", "kind", "dia", "tie", "ident")
-            .select("c_bpartner_id", "kind", "ident", "loan", "amount")
-            .mapInArrow(_place, "c_bpartner_id long, legacy_cobro_id string, old_cartera long, id_cartera long"))
+    order = ["c_bpartner_id", "operacion", "_tie", "legacy_cobro_id"]
+    items = written(items.repartitionByRange(*order).sortWithinPartitions(*order).select(
+        "*", F.monotonically_increasing_id().alias("place")), "items")
+    first = Window.partitionBy("c_bpartner_id").orderBy("bin_fecha", "bin_tie", "bin")
+    bins = written(bins.select("c_bpartner_id", "bin", "room", F.row_number().over(first).cast("long").alias("place")), "bins")
+    sizes = items.groupBy("c_bpartner_id").agg(F.count(F.lit(1)).alias("_n"))
+    hot = written(sizes.filter(F.col("_n") > items_at_once).select("c_bpartner_id"), "hot")
+    if hot.isEmpty():
+        return _rows(bins, items).mapInArrow(_place, MOVES)
+    calm = _rows(*[x.join(hot, "c_bpartner_id", "left_anti") for x in (bins, items)]).mapInArrow(_place, MOVES)
+    return calm.unionByName(_in_parts(*[x.join(hot, "c_bpartner_id", "left_semi") for x in (bins, items)], items_at_once))
+
+
+def _in_parts(bins, items, size: int) -> DataFrame:
+    """First fit of partners with very many items, part by part."""
+    spark = items.sparkSession
+    items = written(items.withColumn("part", F.floor(F.col("place") / size)), "hot-items")
+    parts = written(items.groupBy("c_bpartner_id", "part").agg(F.min("abono").alias("least")), "parts")
+    folder, rooms, done = work_folder(spark, "first-fit"), bins, None
+    for k in count_from(0):
+        largest = rooms.groupBy("c_bpartner_id").agg(F.max("room").alias("largest"))
+        open_ = parts.join(largest, "c_bpartner_id").filter(F.col("least") < F.col("largest"))
+        if done is not None:
+            open_ = open_.join(done, "c_bpartner_id").filter(F.col("part") > F.col("last"))
+        # One row for each partner that goes on.
+        next_ = written(open_.groupBy("c_bpartner_id").agg(F.min("part").alias("part"), F.max("largest").alias("largest")), "next")
+        if next_.isEmpty():
+            break
+        fitting = items.join(next_, ["c_bpartner_id", "part"]).filter(F.col("abono") < F.col("largest"))
+        walked = _rows(rooms.join(next_, "c_bpartner_id", "left_semi"), fitting).mapInArrow(
+            _walked, f"{MOVES}, place long, room {MONEY}")
+        walked.write.parquet(f"{folder}/round={k}")
+        state = spark.read.schema(walked.schema).parquet(f"{folder}/round={k}").filter("legacy_cobro_id is null")
+        rooms = state.select("c_bpartner_id", F.col("id_cartera").alias("bin"), "room", "place")
+        done = next_.select("c_bpartner_id", F.col("part").alias("last"))
+    if not k:
+        return spark.createDataFrame([], MOVES)
+    return spark.read.schema(walked.schema).parquet(folder).filter("legacy_cobro_id is not null").select(
+        "c_bpartner_id", "legacy_cobro_id", "old_cartera", "id_cartera")
 
 
 def duplicate_allocations(allocations) -> DataFrame:

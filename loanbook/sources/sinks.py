@@ -1,6 +1,6 @@
 """Writing results: period partitions, upserts by business key, flat exports."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -8,14 +8,16 @@ def write_period(df: DataFrame, path: str, column: str = "c_period_id", periods:
     """Replace the periods present in the data, and those listed, and leave the others as they are.
 
     A listed period without rows is left empty. Name the periods of a run, so that one whose
-    new result is empty does not keep its old rows.
+    new result is empty does not keep its old rows. The write itself counts the rows of these periods.
     """
-    df.write.partitionBy(column).mode("overwrite").option(
+    seen = Observation()
+    counted = df.observe(seen, *[F.count(F.when(F.col(column) == F.lit(p), 1)).alias(f"p{k}") for k, p in enumerate(periods)]) if periods else df
+    counted.write.partitionBy(column).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic").parquet(path)
-    for period in periods or []:
-        rows = df.filter(F.col(column) == F.lit(period)).drop(column)
-        if rows.isEmpty():
-            rows.write.mode("overwrite").parquet(f"{path}/{column}={period}")
+    for k, period in enumerate(periods or []):
+        if not seen.get[f"p{k}"]:
+            nothing = df.sparkSession.createDataFrame([], df.drop(column).schema)
+            nothing.write.mode("overwrite").parquet(f"{path}/{column}={period}")
 
 
 def upsert(target: DataFrame, updates: DataFrame, keys: list[str], cols: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,8 @@
 
 Each job reads new files only (the stream's checkpoint remembers which), handles them as
 one batch and writes that batch under its own folder. A batch that runs again after a
-failure overwrites its folder, so every row counts once.
+failure overwrites its folder, so every row counts once. What has to be remembered of earlier
+rows is state of the stream, in a store on disk.
 """
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,41 +13,50 @@ from loanbook.operators.balances import invoice_open
 from loanbook.operators.bridges import bridge_collections
 
 
-def _run(stream: DataFrame, each, checkpoint: str) -> None:
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _run(stream: DataFrame, each, checkpoint: str, mode: str = "append") -> None:
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     q = (
-        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).outputMode(mode)
         .trigger(availableNow=True).start()
     )
     q.awaitTermination()
 
 
+def first_seen(stream: DataFrame, key: str) -> DataFrame:
+    """One row for each key of a batch, with whether the key is ``new`` in this batch; to be written in update mode.
+
+    The state of the stream holds the keys, by hash, with the time of the batch that brought them. A
+    batch reads and writes those of its own rows only; one that runs again starts from the state before it and has the
+    same time. Of copies within a batch the smallest row counts.
+    """
+    rest = [c for c in stream.columns if c != key]
+    stamped = stream.withColumn("_at", F.current_timestamp())
+    found = stamped.groupBy(key).agg(
+        F.min(F.struct(*rest)).alias("_row"), F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+    return found.select(key, "_row.*", (F.col("_first") == F.col("_last")).alias("new"))
+
+
 def bridge_collections_stream(stream: DataFrame, loans, partners, users, out: str, checkpoint: str,
                               key: str = "legacy_cobro_id") -> None:
     """Receipts and rejects for newly arrived collections, each collection once.
 
-    However late a copy arrives, it meets the keys of all earlier batches, which are kept beside
-    the results; of copies within a batch the smallest row counts. A row that is no pending native
-    collection gives neither a receipt nor a reject.
+    However late a copy arrives, it meets its key in the state of the stream (``first_seen``). A row that is
+    no pending native collection gives neither a receipt nor a reject. Results and checkpoint belong together: a new
+    checkpoint starts anew, into a folder of its own.
     """
-    spark = loans.sparkSession
     owner = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
-    seen = f"{out}/keys"
-    keys = stream.select(key).schema
-    spark.createDataFrame([], keys).write.mode("ignore").parquet(f"{seen}/batch=-1")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        # A batch that runs again ignores its own keys of the first time.
-        known = spark.read.schema(keys).option("basePath", seen).parquet(seen).where(F.col("batch") != batch_id)
-        rest = [c for c in batch.columns if c != key]
-        one = batch.groupBy(key).agg(F.min(F.struct(*rest)).alias("_x")).select(key, "_x.*")
-        fresh = one.join(known.select(key), key, "left_anti")
+        fresh = batch.where("new").drop("new")
         rows = fresh if "c_bpartner_id" in fresh.columns else fresh.join(owner, "id_cartera", "left")
         made = bridge_collections(rows, partners, users)
         for name in ("payments", "rejects"):
             made[name].write.mode("overwrite").parquet(f"{out}/{name}/batch={batch_id}")
-        fresh.select(key).write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
 
-    _run(stream, each, checkpoint)
+    _run(first_seen(stream, key), each, checkpoint, "update")
 
 
 def invoice_open_stream(stream: DataFrame, allocations, out: str, checkpoint: str) -> None:

@@ -59,6 +59,22 @@ def test_first_fit(spark, seed, partners, loans, rows):
     assert {r.legacy_cobro_id: r.id_cartera for r in got.collect()} == first_fit_walk(ln, cb)
 
 
+@pytest.mark.parametrize("seed,partners,loans,rows,at_once", [(4, 1, 33, 400, 7), (6, 3, 30, 300, 20), (7, 5, 40, 300, 60), (8, 2, 3, 60, 5)])
+def test_first_fit_in_parts(spark, seed, partners, loans, rows, at_once, monkeypatch):
+    """Partners with many items, walked part by part: as the plain loop does, in several rounds."""
+    rounds = []
+    folder = quality.work_folder
+    monkeypatch.setattr(quality, "work_folder", lambda s, name: rounds.append(folder(s, name)) or rounds[-1])
+    ln, cb = first_fit_sample(seed, partners, loans, rows)
+    # One partner has a third of all rows.
+    cb += [(f"h{i}", 0, Decimal(1 + i % 700), date(2025, 1, 1) + timedelta(days=i % 50), "N", "native") for i in range(rows // 2)]
+    got = quality.reassign_first_fit(spark.createDataFrame(cb, COBRO), spark.createDataFrame(ln, CARTERA), items_at_once=at_once)
+    assert {r.legacy_cobro_id: r.id_cartera for r in got.collect()} == first_fit_walk(ln, cb)
+    if seed == 4:
+        done = {r["round"] for r in spark.read.parquet(rounds[0]).select("round").distinct().collect()}
+        assert len(done) > 3
+
+
 def test_collection_without_loan_is_placed(spark):
     """The collection's own partner counts, not that of a loan."""
     ln = spark.createDataFrame([(1, 7, date(2025, 1, 1), Decimal("100"))], CARTERA)
@@ -137,6 +153,42 @@ def test_stream_without_loss(spark, tmp_path):
     assert {r.legacy_cobro_id for r in found.collect()} == set("abcde")
 
 
+def test_stream_of_many_files_reads_its_own_keys(spark, tmp_path):
+    """Three deliveries of many files with late and repeated rows; the state grows, and no batch reads what another wrote."""
+    inbox, out, mark = (str(tmp_path / x) for x in ("in", "out", "mark"))
+    frames = [spark.range(a, b, 1, 6).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), (F.col("id") % 7).alias("v")) for a, b in ((0, 300), (200, 500), (0, 600))]
+    seen = []
+    for df in frames:
+        df.unionByName(df.where("v = 0").withColumn("v", F.lit(-5).cast("long"))).write.mode("append").parquet(inbox)
+        for _ in range(2):
+            raw = jobs.file_stream(spark, inbox, df.schema, "*.parquet")
+            jobs._run(jobs.first_seen(raw, "key"), lambda b, n: b.where("new").drop("new").write.mode("overwrite").parquet(f"{out}/batch={n}"), mark, "update")
+        seen.append(spark.read.parquet(out).count())
+    assert seen == [300, 500, 600]
+    found = spark.read.parquet(out)
+    assert found.select("key").distinct().count() == 600
+    assert found.where("v = -5").count() == sum(k % 7 == 0 for k in range(600))
+
+
+def test_balances_at_many_days(spark):
+    """120 month ends: equal to a sum for each, from a plan that does not grow with them."""
+    days = [str(date(2015 + k // 12, k % 12 + 1, 28)) for k in range(120)]
+    rnd = random.Random(3)
+    ln = [(i, date(2015, 1, 1) + timedelta(days=rnd.randrange(3000)), Decimal(5000)) for i in range(20)]
+    cb = [(rnd.randrange(22), date(2014, 12, 1) + timedelta(days=rnd.randrange(4000)), Decimal(rnd.randrange(1, 50))) for _ in range(900)]
+    loans = spark.createDataFrame(ln, "legacy_cartera_id long, fecha date, montototal decimal(18,2)")
+    cobros = spark.createDataFrame(cb, "id_cartera long, operacion date, abono decimal(18,2)")
+    shuffled = [*days[60:], *days[:60], days[5]]
+    got = {(r.legacy_cartera_id, str(r.corte)): (r.abonos, r.saldo) for r in balances.balances_at(loans, cobros, shuffled).collect()}
+    want = {}
+    for i, start, total in ln:
+        for d in days:
+            if str(start) <= d:
+                paid = sum((a for k, o, a in cb if k == i and str(o) <= d), Decimal("0.00"))
+                want[i, d] = (paid, total - paid)
+    assert got == want
+
+
 def test_parse_files(spark, tmp_path):
     f = tmp_path / "s.csv"
     f.write_text("7;Ana Lopez;2024-01-05;1000;1150.50;x;575;2024-02-04\n8;Bad;nope;1;2;3;4;2024-01-01\n9;Short\n")
