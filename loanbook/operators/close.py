@@ -13,7 +13,7 @@ from loanbook.functions.scalars import birthdate, dec, iif
 from loanbook.operators.balances import collected, day, with_collected
 from loanbook.operators.interest import _elapsed, linear_interest, period_interest
 from loanbook.operators.payments import split_principal_first
-from loanbook.session import ensure_checkpoint_dir
+from loanbook.session import written
 from loanbook.sources.sinks import write_period
 
 CALC = "decimal(28,10)"
@@ -149,14 +149,19 @@ CREDIT_NULLS = ["id_garantia", "id_linea", "id_modalidad_credito", "id_sindicado
 def credit_rows(active, collections, people, owners, period_id: int, start, end,
                 variant: str = "loop") -> DataFrame:
     """The credit table of a period: one row of 75 columns per active loan."""
+    p = people.select("c_bpartner_id", "cv_ruta_id", "id_clasificacion_credito", "id_destino_credito",
+                      "id_municipio", "id_tipo_zona")
+    joined = active.join(p, "c_bpartner_id").join(owners, "cv_ruta_id", "left")
+    return _credit_columns(joined, collections, period_id, start, end, variant)
+
+
+def _credit_columns(joined, collections, period_id: int, start, end, variant: str) -> DataFrame:
+    """The credit table from active loans that already have the columns of their partner and route owner."""
     paid = None
     if variant == "period":
         paid = collected(collections.filter(F.col("operacion") >= day(start)), end).select(
             "legacy_cartera_id", F.col("paid").alias("paid_period"))
-    b = with_balances(active, start, end, variant, paid)
-    p = people.select("c_bpartner_id", "cv_ruta_id", "id_clasificacion_credito", "id_destino_credito",
-                      "id_municipio", "id_tipo_zona")
-    j = b.join(p, "c_bpartner_id").join(owners, "cv_ruta_id", "left")
+    j = with_balances(joined, start, end, variant, paid)
     overdue = F.col("fecha_vencimiento") < day(end)
     total = F.col("saldo_principal") + F.col("saldo_interes")
     settled = total == 0 if variant == "loop" else total <= 0
@@ -187,7 +192,11 @@ def credit_rows(active, collections, people, owners, period_id: int, start, end,
 def person_rows(active, people, period_id: int) -> DataFrame:
     """One person row per partner of an active loan."""
     ids = active.select("c_bpartner_id").distinct()
-    return people.join(ids, "c_bpartner_id", "left_semi").select(
+    return _person_columns(people.join(ids, "c_bpartner_id", "left_semi"), period_id)
+
+
+def _person_columns(people, period_id: int) -> DataFrame:
+    return people.select(
         F.lit(period_id).alias("c_period_id"), "c_bpartner_id",
         F.col("birthday").alias("fecha_nacimiento"),
         F.col("id_destino_credito").alias("id_actividad_economica"), "id_estado_civil", "id_genero",
@@ -199,7 +208,11 @@ def person_rows(active, people, period_id: int) -> DataFrame:
 
 def credit_person_rows(active, people, period_id: int) -> DataFrame:
     """Link from each credit to its person."""
-    return active.join(people.select("c_bpartner_id", "taxid"), "c_bpartner_id").select(
+    return _credit_person_columns(active.join(people.select("c_bpartner_id", "taxid"), "c_bpartner_id"), period_id)
+
+
+def _credit_person_columns(joined, period_id: int) -> DataFrame:
+    return joined.select(
         F.lit(period_id).alias("c_period_id"),
         F.col("legacy_cartera_id").cast("string").alias("id_credito"),
         F.col("taxid").alias("id_persona"), F.lit(1).alias("id_tipo_documento"),
@@ -210,7 +223,10 @@ def analyst_rows(active, people, owners, period_id: int) -> DataFrame:
     """One analyst row per national id; several routes of one owner collapse into one."""
     used = active.join(people.select("c_bpartner_id", "cv_ruta_id"), "c_bpartner_id").select(
         "cv_ruta_id").distinct()
-    rows = used.join(owners, "cv_ruta_id")
+    return _analyst_columns(used.join(owners, "cv_ruta_id"), period_id)
+
+
+def _analyst_columns(rows, period_id: int) -> DataFrame:
     return rows.groupBy("id_analista").agg(
         F.min_by(F.struct("nombre_analista", "genero_analista"), "cv_ruta_id").alias("a")).select(
         F.lit(period_id).alias("c_period_id"), "id_analista",
@@ -250,25 +266,36 @@ def fill_birthdays(partners) -> DataFrame:
     return partners.withColumn("birthday", F.coalesce("birthday", birthdate(F.col("taxid"))))
 
 
+def close_facts(loans, collections, partners, groups, route_codes, lists, owners, start, end) -> DataFrame:
+    """Active loans with their partner (struct ``_p``) and the owner of their route: what four tables of a close are read from."""
+    people = enriched_partners(partners, groups, route_codes, lists)
+    staff = analysts(owners, partners, lists).withColumn("_owned", F.lit(True))
+    own = ["cv_ruta_id", "id_clasificacion_credito", "id_destino_credito", "id_municipio", "id_tipo_zona"]
+    more = ["birthday", "id_estado_civil", "id_genero", "taxid", "nombre"]
+    people = people.select("c_bpartner_id", *own, F.struct(*[F.col(c) for c in more]).alias("_p"))
+    return active_loans(loans, collections, start, end).join(people, "c_bpartner_id").join(staff, "cv_ruta_id", "left")
+
+
 def close_tables(loans, collections, partners, groups, route_codes, lists, owners,
                  period_id: int, start, end, variant: str = "loop", write_once: bool = False) -> dict[str, DataFrame]:
     """All tables of a period close.
 
-    Four of them read the active loans; ``write_once`` writes those first by checkpoint().
+    Four of them are projections, or one aggregate, of the same joined rows (``close_facts``); ``write_once`` writes
+    these first, so that each join runs once whatever number of tables is read.
     """
     if not period_id:
         raise ValueError("a period id is required")
-    people = enriched_partners(partners, groups, route_codes, lists)
-    staff = analysts(owners, partners, lists)
-    active = active_loans(loans, collections, start, end)
+    facts = close_facts(loans, collections, partners, groups, route_codes, lists, owners, start, end)
     if write_once:
-        ensure_checkpoint_dir(loans.sparkSession)
-        active = active.checkpoint()
+        facts = written(facts, "close-facts")
+    one_person = facts.dropDuplicates(["c_bpartner_id"]).select(
+        "c_bpartner_id", "id_destino_credito", "id_municipio", "_p.*")
+    staff = facts.filter("_owned").select("cv_ruta_id", "id_analista", "nombre_analista", "genero_analista")
     return {
-        "credito": credit_rows(active, collections, people, staff, period_id, start, end, variant),
-        "persona": person_rows(active, people, period_id),
-        "credito_persona": credit_person_rows(active, people, period_id),
-        "analista": analyst_rows(active, people, staff, period_id),
+        "credito": _credit_columns(facts, collections, period_id, start, end, variant),
+        "persona": _person_columns(one_person, period_id),
+        "credito_persona": _credit_person_columns(facts.withColumn("taxid", F.col("_p.taxid")), period_id),
+        "analista": _analyst_columns(staff, period_id),
         "colocaciones": placement_rows(loans, period_id, start, end),
         "recuperaciones": recovery_rows(loans, collections, period_id, start, end),
     }

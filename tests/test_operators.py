@@ -267,3 +267,12 @@ def test_close_needs_a_period(spark):
 
 def test_hot_rows_default_is_high():
     assert O.HOT_ROWS >= 100_000
+
+
+def test_close_shares_its_joins(spark):
+    """Four tables are read from rows that are joined once; all six need few exchanges."""
+    from loanbook.plans import q_close
+    tables = q_close.close_frames(spark, "/root/testdata/sf0.001")
+    plan = q_close.close_figures(tables)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") < 20
+    assert all(tables[n]._jdf.queryExecution().executedPlan().toString().count("Exchange") == 0 for n in ("credito", "credito_persona"))
