@@ -1,13 +1,16 @@
 """Near-duplicates, passages and components against plain loops."""
 
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
 import numpy as np
-from common import awkward
+import pytest
+from common import awkward, documents
 
 from loanbook.llm import minhash, substring_dedup
 from loanbook.llm.components import components
+from pyspark.sql import functions as F
 
 
 def _words(rng, n):
@@ -133,7 +136,7 @@ def test_planted_passages(spark):
     every = "\0".join(texts.values()).encode()
     for s in spans:
         piece = texts[s.doc_id].encode()[s.start:s.start + s.length]
-        assert len(piece) >= substring_dedup.LEAST_BYTES and every.count(piece) >= 2
+        assert s.n_words >= substring_dedup.LEAST_WORDS and every.count(piece) >= 2
     assert {s.doc_id for s in spans if not s.removed} >= {3 * k for k in range(60)}
     assert {s.doc_id for s in spans if s.removed} == planted - {3 * k for k in range(60)}
     left = {r.doc_id: r.text for r in substring_dedup.deduplicated(df).collect()}
@@ -147,6 +150,95 @@ def test_planted_passages(spark):
         assert left[i] == (out + raw[at:]).decode()
 
 
+def _plain_units(raw):
+    """(begin, end) of the units of a text, with plain loops."""
+    gear, n, r = substring_dedup._GEAR.tolist(), len(raw), substring_dedup.RADIUS
+    hashes = []
+    for i in range(n):
+        h = sum(gear[raw[i - j]] << j for j in range(min(16, i + 1))) & 0xFFFFFFFF
+        h = ((h ^ h >> 15) * 0x2C1B3C6D) & 0xFFFFFFFF
+        hashes.append(0xFFFFFFFF if i + 1 < n and raw[i + 1] & 0xC0 == 0x80 else h)
+    ends = [i + 1 for i, h in enumerate(hashes) if h < 0xFFFFFFFF and all(h < x for x in hashes[max(0, i - r):i]) and all(h <= x for x in hashes[i + 1:i + 1 + r])]
+    ends = sorted({*ends, n}) if n else []
+    begins = [0, *ends[:-1]]
+    return [(begins[k], ends[min(k + 1, len(ends) - 1)]) for k in range(max(1, len(ends) - 1))] if ends else []
+
+
+def _plain_spans(rows, least):
+    """The whole result: every unit of every document against all others by its bytes."""
+    docs = {(r.doc_id is None, r.doc_id or 0, r.h): (r.text or "").encode() for r in rows}
+    copies = Counter((r.doc_id is None, r.doc_id or 0, r.h) for r in rows)
+    places = defaultdict(list)
+    for key, raw in docs.items():
+        for x, y in _plain_units(raw):
+            places[raw[x:y]] += [(key, x, y)] * copies[key]
+    marked = defaultdict(list)
+    for found in places.values():
+        if len(found) > 1:
+            first = min(k for k, _, _ in found)
+            seen = set()
+            for key, x, y in sorted(set(found)):
+                marked[key, key != first or key in seen].append((x, y))
+                seen.add(key)
+    out = []
+    for (key, removed), units in marked.items():
+        spans = []
+        for x, y in sorted(units):
+            if spans and x <= spans[-1][1]:
+                spans[-1][1] = max(y, spans[-1][1])
+            else:
+                spans.append([x, y])
+        for x, y in spans:
+            begins = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", docs[key])]
+            n = sum(x <= b < y for b in begins)
+            if n >= least:
+                out.append((None if key[0] else key[1], x, y - x, n, removed))
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("kind", ["documents", "awkward", "same ids"])
+def test_spans_equal_a_plain_version(spark, kind):
+    rng = random.Random(3)
+    passage = " ".join(_words(rng, 60))
+    same = [(7, passage + " one"), (7, "two " + passage), (None, passage), (None, passage + " é中 " + passage), (8, None), (7, passage + " one"), (9, "")]
+    df = {"documents": lambda: documents(spark).where("length(text) < 3000").limit(120), "awkward": lambda: awkward(spark).where("length(text) < 9000 or text is null"),
+          "same ids": lambda: spark.createDataFrame(same, "doc_id long, text string")}[kind]()
+    rows = df.select("doc_id", "text", F.xxhash64("text").alias("h")).collect()
+    df = spark.createDataFrame(rows, "doc_id long, text string, h long").withColumn("_id", F.lit("clash")).withColumn("_spans", F.lit("clash"))
+    found = substring_dedup.repeated_spans(df, least_words=12).collect()
+    assert sorted({tuple(r) for r in found}, key=repr) == sorted(set(_plain_spans(rows, 12)), key=repr) and found
+    left = substring_dedup.deduplicated(df, least_words=12)
+    assert left.columns == df.columns and left.count() == len(rows)
+
+
+def test_rows_of_one_id_keep_their_own_bytes(spark):
+    """Two texts under one id, and a copy without an id: the first occurrence stays whole, and cuts fall where the copies are."""
+    rng = random.Random(5)
+    passage, other = " ".join(_words(rng, 90)), " ".join(_words(rng, 90))
+    texts = [passage + "\n" + other, other + "\n" + " ".join(_words(rng, 40))]
+    df = spark.createDataFrame([(7, texts[0]), (7, texts[1]), (None, passage)], "_id long, _spans string")
+    left = [r["_spans"] for r in substring_dedup.deduplicated(df, id_col="_id", text_col="_spans").collect()]
+    whole = "\0".join(left)
+    for part in (passage, other):
+        assert whole.count(part) == 1 and whole.count(part[200:260]) == 1
+
+
+def test_short_words(spark):
+    """Passages of 51 words of one to three letters are found, and lines of 18 words are left alone."""
+    rng = random.Random(9)
+
+    def words(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(1, 4))) for _ in range(n))
+    line = words(18)
+    rows = [(10_000 + k, words(150) + " " + line) for k in range(50)]
+    for k in range(150):
+        passage = words(51)
+        for j in range(2):
+            rows.append((2 * k + j, " ".join([words(70), passage, words(70)])))
+    found = {s.doc_id // 2 for s in substring_dedup.repeated_spans(spark.createDataFrame(rows, "doc_id long, text string")).where("removed").collect()}
+    assert len(found & set(range(150))) >= 135 and not any(i >= 5_000 for i in found)
+
+
 def test_passages_of_awkward_rows(spark):
     df = awkward(spark)
     spans = substring_dedup.repeated_spans(df).collect()
