@@ -2,9 +2,11 @@
 
 Two Arrow functions work on whole batches of loans with numpy. Money is counted in
 ten-thousandths and rates in units of 1e-10, as whole numbers, so every rounding is the
-exact decimal HALF_UP. Everything around them (joins, dates, expansion) is plain Spark.
+exact decimal HALF_UP. The rate search, whose plans are not rounded, takes doubles where they are sure and whole numbers elsewhere. Everything around them (joins, dates, expansion) is plain Spark.
 """
 
+from decimal import Decimal
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -16,6 +18,7 @@ RATE_UNIT = 10_000_000_000
 # Search interval of the daily rate (0.001 to 0.020), tolerance on the interest.
 RATE_LOW, RATE_HIGH = 10_000_000, 200_000_000
 RATE_TOLERANCE = 0.0001
+TOLERANCES = 10_000
 # The interval is below one unit after 28 halvings.
 RATE_STEPS = 40
 
@@ -35,19 +38,49 @@ def plan_interest(principal, level, n, rate):
     return balance - principal + (n - 1) * level + rate * balance
 
 
-def search_rates(principal, level, interest, n):
-    """Bisection for all loans at once; the first trial within tolerance is kept."""
+def interest_error(principal, level, n, rate):
+    """What doubles may be wrong by in plan_interest, with room to spare."""
+    return 8 * np.finfo(float).eps * (n + 8) * np.power(1.0 + rate, n) * (principal + level / rate) + 1e-12
+
+
+def exact_miss(principal: Decimal, level: Decimal, interest: Decimal, n: int, rate: int) -> int:
+    """Interest of the plan, whose steps are not rounded, less the one wanted: below (-1), within the tolerance (0) or above (1).
+
+    The closed form in whole numbers: amounts in 1e-10, powers of 1 + rate over the power of RATE_UNIT.
+    """
+    p, q, want = (int(x.scaleb(10)) for x in (principal, level, interest))
+    one = RATE_UNIT ** (n - 1)
+    growth = (RATE_UNIT + rate) ** (n - 1)
+    balance = p * growth - q * RATE_UNIT * ((growth - one) // rate)  # over `one`; the division leaves no rest
+    miss = (balance - p * one + (n - 1) * q * one) * RATE_UNIT + rate * balance - want * one * RATE_UNIT
+    within = RATE_UNIT * RATE_UNIT * one // TOLERANCES
+    return 0 if abs(miss) < within else -1 if miss < 0 else 1
+
+
+def search_rates(principal, level, interest, n, exact):
+    """Bisection for all loans at once; the first trial within tolerance is kept.
+
+    Doubles decide a trial wherever their error cannot; ``exact`` (row -> the amounts as decimals) decides the rest.
+    """
     lo = np.full(len(n), RATE_LOW, dtype=np.int64)
     hi = np.full(len(n), RATE_HIGH, dtype=np.int64)
     rate = (lo + hi + 1) // 2
+    open_ = np.ones(len(n), bool)
     for _ in range(RATE_STEPS):
-        miss = plan_interest(principal, level, n, rate / RATE_UNIT) - interest
-        again = ~(np.abs(miss) < RATE_TOLERANCE)
-        if not again.any():
+        own = np.flatnonzero(open_)
+        if not len(own):
             break
-        lo = np.where(again & (miss < 0), rate, lo)
-        hi = np.where(again & ~(miss < 0), rate, hi)
-        rate = np.where(again, (lo + hi + 1) // 2, rate)
+        r = rate[own] / RATE_UNIT
+        miss = plan_interest(principal[own], level[own], n[own], r) - interest[own]
+        sign = np.where(np.abs(miss) < RATE_TOLERANCE, 0, np.sign(miss)).astype(np.int64)
+        doubt = ~(np.abs(np.abs(miss) - RATE_TOLERANCE) > interest_error(principal[own], level[own], n[own], r))
+        for k in np.flatnonzero(doubt):
+            sign[k] = exact_miss(*exact(own[k]), int(rate[own[k]]))
+        lo[own[sign < 0]] = rate[own[sign < 0]]
+        hi[own[sign > 0]] = rate[own[sign > 0]]
+        open_[own[sign == 0]] = False
+        again = own[sign != 0]
+        rate[again] = (lo[again] + hi[again] + 1) // 2
     return rate
 
 
@@ -131,11 +164,16 @@ def _floats(a):
 
 @F.arrow_udf(T.LongType())
 def rate_units(principal: pa.Array, level: pa.Array, interest: pa.Array, n: pa.Array) -> pa.Array:
-    """Hidden daily rate in units of 1e-10; 0 where an input is not positive."""
-    p, q, want, k = _floats(principal), _floats(level), _floats(interest), _floats(n)
-    usable = (p > 0) & (want > 0) & (k > 0)
+    """Hidden daily rate of decimal amounts, in units of 1e-10; 0 where an input is not positive."""
+    p, q, want, k = (_floats(x.cast(pa.float64())) for x in (principal, level, interest, n))
+    usable = np.flatnonzero((p > 0) & (want > 0) & (k > 0))
     out = np.zeros(len(p), dtype=np.int64)
-    out[usable] = search_rates(p[usable], q[usable], want[usable], k[usable])
+
+    def exact(row):
+        at = int(usable[row])
+        return principal[at].as_py(), level[at].as_py(), interest[at].as_py(), int(k[at])
+
+    out[usable] = search_rates(p[usable], q[usable], want[usable], k[usable], exact)
     return pa.array(out)
 
 

@@ -1,6 +1,6 @@
 import random
 from datetime import date
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import localcontext, ROUND_HALF_UP, Decimal
 
 from pyspark.sql import functions as F
 
@@ -33,6 +33,54 @@ def test_hidden_rate_examples(spark):
     assert got[3] == (Decimal("0.0010000001"), True)
 
 
+def bisection(monto, interest, n):
+    """The search one trial and one instalment at a time, in decimals without rounding."""
+    with localcontext() as c:
+        c.prec = 5000
+        level = ((monto + interest) / n).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+        low, high = Decimal("0.001"), Decimal("0.020")
+        for _ in range(45):
+            rate = ((low + high) / 2).quantize(Decimal("1e-10"), ROUND_HALF_UP)
+            balance, total = monto, Decimal(0)
+            for k in range(n):
+                own = balance * rate
+                total += own
+                balance -= level - own
+            if abs(total - interest) < Decimal("0.0001"):
+                return rate
+            low, high = (rate, high) if total < interest else (low, rate)
+        return rate
+
+
+def test_hidden_rate_equals_decimal_search(spark):
+    """Amounts to 10^12 and terms to 360, where doubles cannot tell the tolerance."""
+    rnd = random.Random(12)
+    rows = []
+    for i in range(36):
+        m = Decimal(rnd.randrange(10 ** rnd.choice([6, 9, 12, 14]) // 2, 10 ** rnd.choice([14]))) / 100 if i % 3 else Decimal(10 ** 12) - i
+        n = rnd.choice([1, 2, 23, 60, 120, 360] if i % 6 == 0 else [1, 5, 23, 40])
+        rows.append((i, str(m), "0.15", n, str((m * n * rnd.randrange(5, 90) / 10_000).quantize(Decimal("0.01")))))
+    for r in I.with_hidden_rate(loans(spark, rows)).collect():
+        assert r.tasa_oculta == bisection(r.monto, r.montototal - r.monto, r.dias_cre), r
+
+
+def test_exact_miss_is_the_plain_sum():
+    rnd = random.Random(4)
+    with localcontext() as c:
+        c.prec = 3000
+        for _ in range(200):
+            p, q = Decimal(rnd.randrange(1, 10 ** 9)) / 100, Decimal(rnd.randrange(1, 10 ** 15)) / 10 ** 10
+            n, rate = rnd.randrange(1, 40), rnd.randrange(plans.RATE_LOW, plans.RATE_HIGH)
+            balance, total = p, Decimal(0)
+            for _ in range(n):
+                own = balance * rate / 10 ** 10
+                total, balance = total + own, balance - (q - own)
+            for shift in ("0", "0.0001", "0.00009", "-0.0001", "-0.00011"):
+                want = (total + Decimal(shift)).quantize(Decimal("1e-10"))
+                miss = total - want
+                assert plans.exact_miss(p, q, want, n, rate) == (0 if abs(miss) < Decimal("0.0001") else -1 if miss < 0 else 1)
+
+
 def test_declining_example(spark):
     rows = I.schedule_declining(loans(spark, [(1, "10000", "0.15", 23, "1150")])).orderBy("seq").collect()
     interest = [r.interes for r in rows]
