@@ -5,7 +5,7 @@ ten-thousandths and rates in units of 1e-10, as whole numbers, so every rounding
 exact decimal HALF_UP. The rate search, whose plans are not rounded, takes doubles where they are sure and whole numbers elsewhere. Everything around them (joins, dates, expansion) is plain Spark.
 """
 
-from decimal import Decimal
+from decimal import Context, Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +19,7 @@ RATE_UNIT = 10_000_000_000
 RATE_LOW, RATE_HIGH = 10_000_000, 200_000_000
 RATE_TOLERANCE = 0.0001
 TOLERANCES = 10_000
+WIDE = Context(prec=60)
 # The interval is below one unit after 28 halvings.
 RATE_STEPS = 40
 
@@ -46,14 +47,14 @@ def interest_error(principal, level, n, rate):
 def exact_miss(principal: Decimal, level: Decimal, interest: Decimal, n: int, rate: int) -> int:
     """Interest of the plan, whose steps are not rounded, less the one wanted: below (-1), within the tolerance (0) or above (1).
 
-    The closed form in whole numbers: amounts in 1e-10, powers of 1 + rate over the power of RATE_UNIT.
+    The closed form in whole numbers: amounts in 1e-14, powers of 1 + rate over the power of RATE_UNIT.
     """
-    p, q, want = (int(x.scaleb(10)) for x in (principal, level, interest))
+    p, q, want = (int(x.scaleb(14, WIDE)) for x in (principal, level, interest))
     one = RATE_UNIT ** (n - 1)
     growth = (RATE_UNIT + rate) ** (n - 1)
     balance = p * growth - q * RATE_UNIT * ((growth - one) // rate)  # over `one`; the division leaves no rest
     miss = (balance - p * one + (n - 1) * q * one) * RATE_UNIT + rate * balance - want * one * RATE_UNIT
-    within = RATE_UNIT * RATE_UNIT * one // TOLERANCES
+    within = 10 ** 14 * RATE_UNIT * one // TOLERANCES
     return 0 if abs(miss) < within else -1 if miss < 0 else 1
 
 

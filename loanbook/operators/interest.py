@@ -49,8 +49,8 @@ def hidden_rate(principal: Column, interest: Column, n: Column) -> Column:
     The trial points and their 10-digit rounding are part of the result: the first point
     within tolerance is taken, and a root outside the interval pins to its edge.
     """
-    level = F.round((principal + interest).cast("decimal(28,10)") / count(n), 10).cast("decimal(28,10)")
-    units = plans.rate_units(principal.cast("decimal(22,4)"), level, interest.cast("decimal(22,4)"), n.cast("int"))
+    level = F.round((principal + interest) / count(n), 10).cast("decimal(28,10)")
+    units = plans.rate_units(principal.cast("decimal(22,4)"), level, interest.cast("decimal(32,14)"), n.cast("int"))
     return (units.cast("decimal(12,0)") * dec("0.0000000001", "decimal(10,10)")).cast(RATE)
 
 
