@@ -13,6 +13,7 @@ from loanbook.operators.balances import collected, day, owned
 from loanbook.operators.ordered import day_buckets, day_running, running_total, tie_key
 from loanbook.operators.payments import allocated_by_type
 from loanbook import config
+from loanbook.session import written
 
 MON = "decimal(28,4)"
 
@@ -53,7 +54,7 @@ def partner_statement(loans, collections, start, end, partner=None) -> DataFrame
     if partner is not None:
         collections = owned(collections, loans).filter(F.col("c_bpartner_id") == partner)
         loans = loans.filter(F.col("c_bpartner_id") == partner)
-    mov = partner_movements(loans, collections, start, end)
+    mov = written(partner_movements(loans, collections, start, end), "movements")  # read for the days and for the rows
     run = day_running(mov, ["c_bpartner_id"], "fecha", {
         "saldo": F.col("debito") - F.col("credito")}).drop("saldo_day")
     return mov.join(run, ["c_bpartner_id", "fecha"])
@@ -157,7 +158,7 @@ def cash_statement(payments, start, end, account=None, hot_rows=None) -> DataFra
 
     A box may hold very many movements, so the running sum is split by hour when it does.
     """
-    mov = cash_movements_with_opening(payments, start, end, account)
+    mov = written(cash_movements_with_opening(payments, start, end, account), "movements")
     order = [F.col("dateacct"), F.col("created"), F.col("documentno"), F.col("docbasetype")]
     return running_total(mov, ["c_bankaccount_id"], order, {"saldo": F.col("ingresos") - F.col("egresos")},
                          [F.col("dateacct"), F.date_trunc("minute", "created")], hot_rows)
