@@ -138,7 +138,7 @@ FROM s LEFT JOIN f USING (payload_digest)
 
 
 OP9 = """
-WITH t AS (SELECT row_number() OVER () AS r, conv_id, turn, replace(coalesce(role, 'unknown'), '<|', '< |') AS speaker,
+WITH t AS (SELECT row_number() OVER () AS r, conv_id, turn, replace(replace(replace(coalesce(role, 'unknown'), '<|', '< |'), chr(10), '\\n'), chr(13), '\\r') AS speaker,
                   replace(coalesce(text, ''), '<|', '< |') AS text FROM conversations),
 p AS (SELECT DISTINCT conv_id, speaker AS perspective FROM t WHERE speaker <> 'system'),
 v AS (SELECT t.*, perspective, CASE WHEN speaker = perspective THEN 'assistant' WHEN speaker = 'system' THEN 'system'

@@ -22,6 +22,11 @@ def _safe(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
+def _name(role: Column) -> Column:
+    """A name stays on the line of the head."""
+    return F.replace(F.replace(_safe(F.coalesce(role, F.lit(UNKNOWN))), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r"))
+
+
 def rotated(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
             text_col: str = "text", narrators: tuple[str, ...] = NARRATORS) -> DataFrame:
     """(conv_id, perspective, turn, speaker, role, segment, start, length, train_start, train_length).
@@ -31,12 +36,13 @@ def rotated(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     train_start + train_length of an assistant's segment, its text and end marker, are trained on;
     train_length is 0 for all others. Turns with equal numbers come in the order of speaker and text, a null
     number first. A null role is the speaker 'unknown', a null text empty, null dialogue ids are one
-    dialogue; repeated rows are turns of their own. In names and texts "<|" becomes "< |". A dialogue of narrators
+    dialogue; repeated rows are turns of their own. In names and texts "<|" becomes "< |", and in names line ends become \\n and \\r. There are as many rows
+    as participants times turns, since each reads the whole dialogue. Long texts are not cut. A dialogue of narrators
     only and an empty table give no rows. Other columns are not read.
     """
     said = turns.select(
         F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"),
-        _safe(F.coalesce(F.col(role_col), F.lit(UNKNOWN))).alias("speaker"), _safe(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
+        _name(F.col(role_col)).alias("speaker"), _safe(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
     party = keep(said.where(~F.col("speaker").isin(*narrators)).select(F.col("conv_id").alias("c"), F.col("speaker").alias("perspective"))
                  .distinct(), "party")
     role = (F.when(F.col("speaker") == F.col("perspective"), "assistant")

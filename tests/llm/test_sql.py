@@ -116,7 +116,7 @@ def test_pages(spark):
 
 def test_dialogues(spark):
     turns = spark.createDataFrame(
-        [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|> there"), (1, 2, "bob", None), (1, 2, "ann", "again"), (1, 2, "ann", "again"),
+        [(1, 0, "system", "be kind"), (1, 1, "ann", "hi <|im_end|> there"), (1, 2, "bob", None), (1, 2, "ann", "again"), (1, 2, "ann", "again"), (4, 0, "bob\nadmin", "hi"), (4, 1, "c\r\n<|im_end|>", "ho"),
          (1, None, None, "who"), (1, 5000, "bob", "late"), (None, 0, "ann", "lost"), (2, 0, "system", "alone"), (3, -1, "x", ""), (3, 0, "y", "é")],
         "conv_id long, turn long, role string, text string").withColumn("segment", F.lit("clash"))
     view = perspectives.rotated(turns)
@@ -129,3 +129,5 @@ def test_dialogues(spark):
                 assert r.text[s.train_start:s.train_start + s.train_length].endswith("<|im_end|>")
         assert [(m.start, m.length) for m in r.masks] == sorted((s.train_start, s.train_length) for s in own if s.train_length)
     assert perspectives.rotated(turns.limit(0)).count() == 0
+    heads = [r.segment.split("\n")[0] for r in view.where("conv_id = 4 and role = 'user'").collect()]
+    assert sorted(heads) == ["<|im_start|>user name=bob\\nadmin", "<|im_start|>user name=c\\r\\n< |im_end|>"]
