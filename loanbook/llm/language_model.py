@@ -26,9 +26,12 @@ from pyspark.sql import DataFrame, functions as F
 from loanbook.llm.shared import keep
 from loanbook.llm.words import NOT_SPACE, Words, blocks, mix
 
-#: Tokens of a chunk, and entries that one group of questions holds on average.
+#: Tokens of a chunk. A chunk asks each group once, so the rows grow with the chunks alone while the groups stay as many
+#: as LEAST_GROUPS says (by level), which is up to GROUP_ENTRIES entries in a group on average, about 30 GB of text. For
+#: larger corpora take larger chunks.
 CHUNK_TOKENS = 500_000
-GROUP_ENTRIES = 250_000
+LEAST_GROUPS = {1: 128, 2: 1024}
+GROUP_ENTRIES = 8_000_000
 #: Context buckets: never seen, 1, 2-3, 4-7, ... occurrences.
 BUCKETS = 24
 FOLDS, TEST_FOLD, TUNING = 7, 2, 10
@@ -269,7 +272,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     """
     chunks = keep(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_chunks, _CHUNK), "chunks")
     size = chunks.agg(F.sum("n_words"), F.sum("n_pairs")).first()
-    groups = {level: max(1, -(-(size[level - 1] or 0) // GROUP_ENTRIES)) for level in (1, 2)}
+    groups = {level: max(least, -(-(size[level - 1] or 0) // GROUP_ENTRIES)) for level, least in LEAST_GROUPS.items()}
     asked = chunks.mapInArrow(_ask(groups), "level int, part int, chunk long, hashes binary, counted binary, tuned binary")
     answers = keep(asked.groupBy("level", "part").applyInArrow(_answer, _ANSWER), "answers")
     sums = answers.where("chunk = -1 and level = 1").agg(
