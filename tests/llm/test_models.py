@@ -38,6 +38,62 @@ def test_classifier_of_awkward_rows(spark):
     assert preference.ranked(df.limit(0), labels).count() == 0
 
 
+def _plain_features(text):
+    raw = (text or "").encode()
+    out = [sum(c in own for c in raw) / max(1, len(raw)) for own in preference._CLASSES.values()]
+    out.append(sum(c >= 0x80 for c in raw) / max(1, len(raw)))
+    words = re.findall(rb"[^\x20\x09-\x0D]+", raw)
+    n = max(1, len(words))
+    out += [sum(map(len, words)) / n, sum(len(w) <= 3 for w in words) / n, sum(len(w) >= 10 for w in words) / n]
+    words = [bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in w) for w in words]
+    out.append(sum(a == b for a, b in zip(words, words[1:])) / n)
+    for run in (1, 3, 8):
+        own = [tuple(words[k:k + run]) for k in range(len(words) - run + 1)] or ([tuple(words)] if words else [])
+        kinds = len(set(own))
+        out.append(0 if not own else math.log1p(kinds) / math.log1p(len(own)) if run == 1 else 1 - kinds / len(own))
+    return [*out, math.log1p(len(words))]
+
+
+def test_features_equal_a_plain_version(spark):
+    texts = [r.text for r in [*documents(spark).where("length(text) < 4000").limit(80).collect(), *awkward(spark).where("length(text) < 20000 or text is null").collect()]]
+    data = [(t or "").encode() for t in texts]
+    bounds = np.cumsum([0, *map(len, data)])
+    got = preference.features(np.frombuffer(b"".join(data), np.uint8), bounds)
+    assert np.allclose(got, [_plain_features(t) for t in texts], atol=1e-12)
+
+
+def test_ranking_equals_a_plain_fit():
+    """The same pairs, by small gradient steps; the threshold by trying every gap between two worths."""
+    rng = np.random.RandomState(6)
+    good = rng.rand(160) < 0.4
+    rows = rng.randn(160, len(preference.NAMES)) + good[:, None] * rng.rand(len(preference.NAMES)) * 0.6
+    ranking = preference.Ranking(rows, good)
+    z = np.clip((rows - rows.mean(axis=0)) / (rows.std(axis=0) + 1e-6), -6, 6)
+    x = np.hstack([z, np.maximum(0, z - 0.5), np.maximum(0, z - 2), np.maximum(0, -z - 1)])
+    better, worse = np.flatnonzero(good), np.flatnonzero(~good)
+    random_ = np.random.RandomState(5)
+    n = min(preference.PAIRS, len(better) * len(worse))
+    first = random_.choice(better, n)
+    gap = x[first] - x[np.resize(random_.permutation(worse), n)]
+    rate = 1 / (np.linalg.norm(gap, 2) ** 2 / 4 + preference.PENALTY)
+    weights = ahead = np.zeros(x.shape[1])
+    for k in range(20_000):
+        slope = gap.T @ (1 / (1 + np.exp(gap @ ahead))) - preference.PENALTY * ahead
+        before, weights = weights, ahead + rate * slope
+        ahead = weights + k / (k + 3) * (weights - before)
+        if np.abs(slope).max() < 1e-7:
+            break
+    assert np.abs(weights - ranking.weights).max() < 1e-3
+    worth = sorted(x @ weights)
+    value = x @ weights
+    tries = [((good & (value > c)).sum() / good.sum() + (~good & (value <= c)).sum() / (~good).sum()) for c in [(a + b) / 2 for a, b in zip(worth, worth[1:])]]
+    reached = (good & (value > ranking.cut)).sum() / good.sum() + (~good & (value <= ranking.cut)).sum() / (~good).sum()
+    assert math.isclose(reached, max(tries), abs_tol=1e-9)
+    plain = 1 / (1 + np.exp(-(value - ranking.cut + math.log(0.3 / 0.7))))
+    assert np.abs(plain - ranking.scores(rows)).max() < 1e-2
+    assert ((ranking.scores(rows) >= 0.3) == (value >= ranking.cut)).all()
+
+
 def _tokens(text):
     lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
     return [w for w in re.split(r"[\x20\x09-\x0D]+", lower) if w] + ["\uffff"]
