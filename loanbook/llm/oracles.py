@@ -110,20 +110,27 @@ FROM c LEFT JOIN bad USING (r)
 
 def op1(rarity: int) -> str:
     return f"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, md5(text) AS t, string_split(text, chr(10)) AS lines FROM documents),
-h AS (SELECT *, list_transform(lines, lambda x: ('0x' || substr(md5(x), 1, 8))::BIGINT) AS h FROM d),
-e AS (SELECT *, list_filter(range(1, len(lines) + 1), lambda k:
-               k = len(lines) OR xor(CASE WHEN k > 1 THEN h[k - 1] ELSE 0 END << 1, h[k]) % {rarity} = 0) AS ends FROM h),
-c AS (SELECT r, doc_id, t, no, CASE WHEN no > 1 THEN ends[no - 1] ELSE 0 END AS b, ends[no] AS e, lines
-      FROM e, unnest(range(1, len(ends) + 1)) AS u(no)),
-x AS (SELECT r, doc_id, no, b, e, lines[b + 1:e] AS own, e - b >= 2
-             AND len(list_filter(lines[b + 1:e], lambda y: translate(y, {WHITE}, '') <> '')) >= 2 AS long FROM c),
-o AS (SELECT *, row_number() OVER (PARTITION BY long, array_to_string(own, chr(10)) ORDER BY doc_id, no) AS place FROM x),
-k AS (SELECT r, list(own ORDER BY no) FILTER (NOT long OR place = 1) AS stays,
-             sum(CASE WHEN long AND place > 1 THEN e - b ELSE 0 END) AS gone FROM o GROUP BY r)
-SELECT doc_id, CASE WHEN gone > 0 THEN coalesce(array_to_string(flatten(stays), chr(10)), '') ELSE text END AS text,
-       coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(gone, 0)::BIGINT AS n_removed
-FROM d LEFT JOIN k USING (r)
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM d),
+w AS (SELECT *, translate(line, {WHITE}, '') <> '' AS worded, lead(line) OVER p AS after,
+             lead(translate(line, {WHITE}, '') <> '') OVER p AS worded_after FROM l WINDOW p AS (PARTITION BY r ORDER BY i)),
+c AS (SELECT r, doc_id, i, count(*) OVER (PARTITION BY line, after) AS n FROM w
+      WHERE worded AND worded_after AND substr(md5(line || chr(10) || after), 1, 2) >= '{256 // rarity:02x}'),
+b AS (SELECT *, lag(i) OVER q = i - 1 AS touches, lag(n) OVER q AS n_before, lead(i) OVER q = i + 1 AS touched, lead(n) OVER q AS n_after
+      FROM c WHERE n > 1 WINDOW q AS (PARTITION BY r ORDER BY i)),
+g AS (SELECT *, sum(CASE WHEN coalesce(touches, false) AND n_before = n THEN 0 ELSE 1 END) OVER (PARTITION BY r ORDER BY i) AS run,
+             i + CASE WHEN coalesce(touches, false) AND n_before > n THEN 1 ELSE 0 END AS b,
+             i + CASE WHEN coalesce(touched, false) AND n_after > n THEN 0 ELSE 1 END AS e FROM b),
+k AS (SELECT r, doc_id, run, arg_min(b, i) AS b, arg_max(e, i) AS e FROM g GROUP BY r, doc_id, run),
+x AS (SELECT r, doc_id, b, e, string_agg(line, chr(10) ORDER BY i) AS own FROM (SELECT * FROM k WHERE e > b) AS k JOIN l USING (r, doc_id)
+      WHERE i BETWEEN b AND e GROUP BY r, doc_id, b, e),
+o AS (SELECT *, row_number() OVER (PARTITION BY own ORDER BY doc_id, b) AS place FROM x),
+gone AS (SELECT DISTINCT r, unnest(range(b, e + 1)) AS i FROM o WHERE place > 1),
+z AS (SELECT r, string_agg(line, chr(10) ORDER BY i) FILTER (gone.i IS NULL) AS stays, count(gone.i) AS lost
+      FROM l LEFT JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, CASE WHEN lost > 0 THEN coalesce(stays, '') ELSE text END AS text,
+       coalesce(len(lines), 0)::BIGINT AS n_lines, coalesce(lost, 0)::BIGINT AS n_removed
+FROM d LEFT JOIN z USING (r)
 """
 
 

@@ -1,5 +1,7 @@
 """Queries against their SQL, on the small tables and on awkward rows."""
 
+import random
+
 import pytest
 from common import SF, awkward, rows, sql
 
@@ -50,6 +52,47 @@ def test_lines_of_awkward_rows(spark):
     assert len({r.left for r in found if r.doc_id == 1}) == 1
 
 
+def test_planted_passages_of_lines(spark):
+    """Passages of 2 to 20 whole lines, each in two documents amid lines of their own: at least 0.9 of the lines go, from the second only."""
+    rng = random.Random(2)
+
+    def line():
+        return " ".join(f"w{rng.randrange(10**6)}" for _ in range(6))
+
+    docs, planted = [], {}
+    for k in range(2, 21):
+        for _ in range(15):
+            passage = [line() for _ in range(k)]
+            for copy in range(2):
+                planted[len(docs)] = (k, passage, copy)
+                docs.append((len(docs), "\n".join([line() for _ in range(5)] + passage + [line() for _ in range(4)])))
+    docs += [(10_000 + k, "\n".join(line() for _ in range(8)) + "\nshared last line") for k in range(40)]
+    found = line_dedup.deduplicated(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).select("row.*", F.col("text").alias("left"), "n_removed").collect()
+    gone = {}
+    for r in found:
+        k, passage, copy = planted.get(r.doc_id, (0, [], 0))
+        if not copy:
+            assert r.n_removed == 0 and r.left == r.text
+            continue
+        kept = r.left.split("\n")
+        assert all(x in kept for x in r.text.split("\n") if x not in passage)
+        gone.setdefault(k, []).append(r.n_removed / k)
+    assert all(sum(x) / len(x) >= 0.9 for x in gone.values()), {k: sum(x) / len(x) for k, x in gone.items()}
+
+
+def test_passages_of_unlike_extent(spark):
+    """Copies that begin and end elsewhere, a part within one text twice, and one inserted line."""
+    a = [f"line {k} of the whole" for k in range(12)]
+    docs = [(1, a), (2, [*a[:4], "z 1"]), (3, ["y 1", *a[2:6]]), (4, ["x 1", *a[4:8], "x 2", *a[4:8]]), (5, [*a[:6], "inserted here", *a[6:]])]
+    df = spark.createDataFrame([(i, "\n".join(x)) for i, x in docs], "doc_id long, text string")
+    found = line_dedup.deduplicated(df)
+    view = found.select("row.doc_id", "text", "n_lines", "n_removed")
+    assert rows(view) == sql(oracles.op1(line_dedup.RARITY), documents=df)
+    left = {r.doc_id: r.text.split("\n") for r in view.collect()}
+    assert left[1] == a and all(own in left[i] for i, own in ((2, "z 1"), (3, "y 1"), (5, "inserted here")))
+    assert sum(len(x) for i, x in left.items() if i > 1) < 14
+
+
 def test_rules_keep_clean_rows_and_reject_symbols(spark):
     df = awkward(spark)
     kept = {r.doc_id for r in quality_rules.passing(df).collect()}
