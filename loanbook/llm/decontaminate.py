@@ -110,8 +110,10 @@ class Index:
             hit = np.flatnonzero(self.tokens[slot] == s)
             number = np.diff(self.begin)[slot[hit]]
             ends = np.cumsum(number)
-            for lo in range(0, len(hit), CHUNK):
-                hi = min(len(hit), lo + CHUNK)
+            hi = 0
+            while hi < len(hit):
+                # Pairs of a hit and an entry are what takes memory: about CHUNK of them at once.
+                lo, hi = hi, max(hi + 1, int(np.searchsorted(ends, (ends[hi - 1] if hi else 0) + CHUNK, "right")))
                 n = number[lo:hi]
                 step = np.arange(n.sum()) - np.repeat(ends[lo:hi] - n - (ends[lo - 1] if lo else 0), n)
                 entry = np.repeat(self.begin[:-1][slot[hit[lo:hi]]], n) + step
@@ -203,7 +205,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     items the names of the items with a window in the text, sorted as strings. contaminated:
     n_hit > 0 and share * n_hit >= n_words. Null and empty texts have no words and no hits; items
     without words have no window, repeated items count once, an item with null id is named
-    'null'. Repeated rows stay. An empty benchmark hits nothing. Columns of docs cannot clash, since they
+    'null'. Repeated rows stay. Very long texts are passed whole, with memory in proportion to their words. An empty benchmark hits nothing. Columns of docs cannot clash, since they
     stay inside `row`.
     """
     spark = docs.sparkSession

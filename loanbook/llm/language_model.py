@@ -267,7 +267,7 @@ def scored(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
     Tokens are runs without white space, A-Z in lower case, then one end; null counts as an empty
     text. Rows whose crc32 of the id as text leaves 2 divided by 7 are held out; the model learns from
     all others. base_score is the add-one unigram log10 probability, score that of the mixture.
-    Repeated rows count and are scored each. Without training rows every token has the uniform
+    Repeated rows count and are scored each. A very long text is never cut: its chunk grows by it. Without training rows every token has the uniform
     probability. Other columns are not read; an empty table gives no rows.
     """
     chunks = keep(docs.select(F.col(id_col).cast("long"), text_col).mapInArrow(_chunks, _CHUNK), "chunks")

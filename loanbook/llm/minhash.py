@@ -300,7 +300,8 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75,
     linked when 100 * intersection >= percent * union. component_id is the smallest id
     reachable; kept marks the row with that id. Null and empty texts have no shingles, link with
     nothing and are kept. Repeated rows of an id and text give equal rows; a row with null id
-    links nothing, has a null component_id and is kept. Other columns are not read. An empty table gives
+    links nothing, has a null component_id and is kept. Very long texts are sets of all their shingles. An id is taken as a
+    key: where one has several texts, links of the others than the first may be missed. Other columns are not read. An empty table gives
     no rows.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))

@@ -126,7 +126,7 @@ def judged(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
     Columns: row, text_hash, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words,
     base_failed (n_words < 20 or 100 * n_repeat_words > 30 * n_words), rejected_by (measures above
     their fence) and kept. Null and empty texts have zeros and fail the base rule. Null languages
-    and sources are groups like others. Rows of equal text, language and source get equal
+    and sources are groups like others. Very long texts are measured whole, windows included. Rows of equal text, language and source get equal
     verdicts. An empty table gives no rows. Columns of docs stay inside `row` and cannot clash.
     """
     named = {"_lang": lang_col, "_source": source_col}
