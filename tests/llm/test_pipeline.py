@@ -1,11 +1,12 @@
 """Each stage of the pipeline against SQL or a plain loop on what it was given."""
 
 import numpy as np
-from common import SF, documents, rows, sql
+from common import SF, awkward, documents, rows, sql
 from test_near import _truth
 
 import corpus_pipeline as cp
 from loanbook.llm import line_dedup, oracles
+from loanbook.llm.shared import keep
 from test_sql import RULES
 
 
@@ -46,3 +47,18 @@ def test_empty_table(spark):
     for name, stage in cp.STAGES:
         docs = stage(spark, docs, SF)
         assert docs.count() == 0, name
+
+
+def test_awkward_rows(spark):
+    """Nulls in any column, repeated rows and ids, very long texts and clashing columns pass through every stage."""
+    docs, left = awkward(spark), 20
+    for name, stage in cp.STAGES[:-1]:
+        docs = keep(stage(spark, docs, SF), "stage")
+        assert docs.columns == cp.COLUMNS and docs.count() <= left, name
+        left = docs.count()
+    ids = {r.doc_id for r in docs.collect()}
+    # The passage, the prose under its least id and the long rows stay; blank, short and copied rows go.
+    assert 9 in ids and not ids & {3, 4, 5, 6, 8, 14}
+    packed = cp.pack(spark, docs, SF)
+    assert packed.where("piece = 0").count() == left
+    assert packed.groupBy("sequence_id").sum("length").where("`sum(length)` > 2048").count() == 0
