@@ -32,6 +32,10 @@ SCHEMAS = {
 }
 
 
+#: Instalments of a loan by the first character of its priority, and of all other loans.
+TERMS, TERM_OTHERWISE = {"1": 23, "2": 30, "3": 50, "4": 60}, 90
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,13 +48,9 @@ def _interest_total(monto, tasa, n):
 def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    days = (
-        F.when(F.substring("o_orderpriority", 1, 1) == "1", 23)
-        .when(F.substring("o_orderpriority", 1, 1) == "2", 30)
-        .when(F.substring("o_orderpriority", 1, 1) == "3", 50)
-        .when(F.substring("o_orderpriority", 1, 1) == "4", 60)
-        .otherwise(90)
-    )
+    days = F.lit(TERM_OTHERWISE)
+    for first, term in TERMS.items():
+        days = F.when(F.substring("o_orderpriority", 1, 1) == first, term).otherwise(days)
     base = o.select(
         key.alias("legacy_cartera_id"),
         F.col("o_custkey").alias("c_bpartner_id"),
@@ -253,13 +253,14 @@ def charges(spark: SparkSession) -> DataFrame:
 
 
 def schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored schedule: equal interest per instalment, the first ones of synced loans billed."""
-    ln = loans(spark, sf_dir)
-    rows = ln.select(
-        "legacy_cartera_id", "c_bpartner_id", "ad_org_id", "fecha", "monto", "cuota",
-        "valorinteres", "dias_cre", "synced", F.col("local_id").alias("c_invoice_id"),
-        F.explode(F.sequence(F.lit(1), F.col("dias_cre"))).alias("seq"),
-    )
+    """Stored schedule: equal interest per instalment, the first ones of synced loans billed.
+
+    The instalments come from a join with their numbers: Spark takes exploded rows for as few as the loans, and
+    would broadcast them.
+    """
+    numbers = spark.range(1, max(TERM_OTHERWISE, *TERMS.values()) + 1, 1, 1).select(F.col("id").cast("int").alias("seq"))
+    rows = loans(spark, sf_dir).withColumnRenamed("local_id", "c_invoice_id").join(
+        numbers, F.col("seq") <= F.col("dias_cre"))
     lid = F.col("legacy_cartera_id")
     billed = (F.col("synced") == "Y") & (F.col("seq") <= 5 + lid % 7)
     sid = lid * 100 + F.col("seq")
