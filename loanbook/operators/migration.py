@@ -125,7 +125,8 @@ def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
     for most in range(1, near + 1):
         left = rest.select("name", F.explode(_deletions(F.col("name"), most)).alias("_piece"))
         right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
-        close = left.join(right, "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
+        # Spark takes the pieces for as few as the names and would broadcast them: they are dealt out by piece.
+        close = left.join(right.hint("merge"), "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
             "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= most)
         best = written(close.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
             "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia")), "near")

@@ -22,6 +22,8 @@ BEAM, SAMPLE = 4, 256
 PIVOTS = 3
 #: Parts of the children of a node: one node may be met by very many names.
 SALT = 16
+#: Children of a level that may be broadcast in all their parts; Spark takes these for as few as the children.
+FEW_CHILDREN = 20_000
 
 
 def _count(name: str, char: str) -> Column:
@@ -63,6 +65,7 @@ class Index:
                 F.min("ident").alias("least"), *[F.first(f"c{c}").alias(f"k{c}") for c in own],
                 F.first(self._upto(k)).alias("kids_sum")), work)
             for k, own in enumerate(self.levels)]
+        self.many = [c.count() > FEW_CHILDREN for c in self.children]
 
     def _upto(self, level: int) -> Column:
         """Number of the characters of this level and those above it."""
@@ -84,6 +87,7 @@ class Index:
         kids = self.children[level].select(
             F.col(f"node{level}").alias("node"), F.col(f"node{level + 1}").alias("child"), "least", "kids_sum", *[f"k{c}" for c in own],
             F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt"))
+        kids = kids.hint("merge") if self.many[level] else kids
         more = sum([F.greatest(F.col(f"c{c}") - F.col(f"k{c}"), F.lit(0)) for c in own], F.col("more"))
         met = front.withColumn("salt", F.pmod(F.xxhash64("name"), F.lit(SALT)).cast("int")).withColumn("own_sum", self._upto(level))
         met = met.drop(*[c for c in ("least", "over") if c in front.columns]).join(kids, ["node", "salt"])
