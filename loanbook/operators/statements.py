@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import zero_if_null
 from loanbook.operators.balances import collected, day, owned
-from loanbook.operators.ordered import day_buckets, day_running, running_total, tie_key
+from loanbook.operators.ordered import day_buckets, day_running, running_total, tie_key, with_day_running
 from loanbook.operators.payments import allocated_by_type
 from loanbook import config
 from loanbook.session import written
@@ -119,11 +119,10 @@ def loan_statement(loans, collections, schedule, invoices, allocations, loan_id=
     ai, ap = F.coalesce("ai", zero), F.coalesce("ap", zero)
     paid = rows(paid, 999, F.col("operacion"), F.coalesce("local_id", F.concat(F.lit("COBRO-"), F.col("legacy_cobro_id"))),
                 "Pago/Cobro", zero, F.col("abono"), ai, ap, -ap, -ai)
-    mov = capital.unionByName(interest).unionByName(paid)
-    run = day_running(mov, ["legacy_cartera_id"], "fecha_movimiento", {
+    mov = written(capital.unionByName(interest).unionByName(paid), "movements")  # read to find large loans and for the rows
+    return with_day_running(mov, "legacy_cartera_id", "fecha_movimiento", {
         "saldo": F.col("debito") - F.col("credito"), "saldo_capital": F.col("_capital"),
-        "saldo_interes": F.col("_interes")}).drop("saldo_day", "saldo_capital_day", "saldo_interes_day")
-    return mov.drop("_capital", "_interes").join(run, ["legacy_cartera_id", "fecha_movimiento"])
+        "saldo_interes": F.col("_interes")}).drop("_capital", "_interes")
 
 
 def _signed(df):
