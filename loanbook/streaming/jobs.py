@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from loanbook.operators.balances import invoice_open
 from loanbook.operators.bridges import bridge_collections
+from loanbook.session import written
 
 
 STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -50,7 +51,8 @@ def bridge_collections_stream(stream: DataFrame, loans, partners, users, out: st
     owner = loans.select(F.col("legacy_cartera_id").alias("id_cartera"), "c_bpartner_id")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        fresh = batch.where("new").drop("new")
+        # Written once: each result that read the batch itself would go through the files and the state again.
+        fresh = written(batch.where("new").drop("new"), "fresh")
         rows = fresh if "c_bpartner_id" in fresh.columns else fresh.join(owner, "id_cartera", "left")
         made = bridge_collections(rows, partners, users)
         for name in ("payments", "rejects"):
