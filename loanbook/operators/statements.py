@@ -1,7 +1,7 @@
 """Account statements: movements with running balances.
 
-Rows of one day share a running balance in partner and loan statements, so the balance is
-computed on day totals (see ordered.day_running) and joined back to the movements.
+Rows of one day share a running balance in partner and loan statements. That of partners is computed on day totals (see
+ordered.day_running) and joined back to the movements; that of loans so only for very large ones (ordered.with_day_running).
 """
 
 from pyspark.sql import DataFrame
