@@ -264,22 +264,34 @@ def unvalidated_schedule(schedule, loans) -> DataFrame:
         terms, "legacy_cartera_id").select("legacy_schedule_id", "ref_invoice_id", "nuevo_monto")
 
 
+# Target invoices and all invoices that one task compares.
+INVOICES_AT_ONCE = 3_000_000
+
+
 def allocation_cleanup(target_invoices, allocations, payments, invoices) -> dict[str, DataFrame]:
     """What to drop and reopen to rebuild the allocations of some invoices.
 
     ``target_invoices``: c_invoice_id. Dropped: the headers that touch them, with all their
     lines and ledger entries. Reopened: the payments of those headers and the target invoices.
+
+    Semi joins take a target or a header that comes several times as it is. The ids of the targets, of the invoices and of what
+    is touched are written; the rows counted there say into how many tasks the invoices go, so that a
+    task's memory does not grow with them.
     """
-    target = target_invoices.select("c_invoice_id").distinct()
-    touched = allocations.join(target, "c_invoice_id", "left_semi")
-    headers = touched.select("c_allocationhdr_id").distinct()
+    target = written(target_invoices.select("c_invoice_id").filter(F.col("c_invoice_id").isNotNull()), "targets")
+    ids = written(invoices.select("c_invoice_id").filter(F.col("c_invoice_id").isNotNull()), "invoice-ids")
+    touched = written(allocations.join(target, "c_invoice_id", "left_semi").select(
+        "c_allocationhdr_id", "c_payment_id"), "touched")
+    headers = touched.select("c_allocationhdr_id")
+    # The ids follow the targets: no fewer parts than Spark's own joins have, or it deals both anew.
+    parts = max(int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-(ids.count() + target.count()) // INVOICES_AT_ONCE))
     return {
-        "drop_headers": headers,
+        "drop_headers": headers.distinct(),
         "drop_lines": allocations.join(headers, "c_allocationhdr_id", "left_semi"),
         "keep_lines": allocations.join(headers, "c_allocationhdr_id", "left_anti"),
-        "reopen_payments": payments.join(touched.select("c_payment_id").distinct(), "c_payment_id", "left_semi")
+        "reopen_payments": payments.join(touched.select("c_payment_id"), "c_payment_id", "left_semi")
         .select("c_payment_id", F.lit("N").alias("isallocated")),
-        "reopen_invoices": invoices.join(target, "c_invoice_id", "left_semi")
+        "reopen_invoices": ids.join(target.repartition(parts, "c_invoice_id"), "c_invoice_id", "left_semi")
         .select("c_invoice_id", F.lit("N").alias("ispaid")),
     }
 
