@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from loanbook.functions.scalars import clean_id
 from loanbook.operators.balances import day, with_collected
-from loanbook.operators.nearest import Index
 from loanbook.operators.ordered import number_rows
+from loanbook.operators.tries import Blocks
 from loanbook.session import written
 
 # Fixed value: first id when the target table is empty.
@@ -67,7 +67,8 @@ def opening_loans(balances, matched, partners, migrated) -> dict[str, DataFrame]
     without a partner, or whose partner already has a migrated loan, are rejected; of several rows for
     one partner the first counts.
     """
-    j = balances.join(matched.select("row_id", "c_bpartner_id"), "row_id", "left")
+    # Lines are parsed once, for the first of each partner and for the rows.
+    j = written(balances.join(matched.select("row_id", "c_bpartner_id"), "row_id", "left"), "opening")
     taken = migrated.select("c_bpartner_id").distinct().withColumn("_taken", F.lit(True))
     first = j.filter(F.col("c_bpartner_id").isNotNull() & F.col("corrupt").isNull()).groupBy("c_bpartner_id").agg(
         F.min("row_id").alias("_first"))
@@ -106,40 +107,56 @@ def _deletions(name: Column, most: int) -> Column:
     return out
 
 
+def _within(name: str, lengths: list[int], most: int) -> Column:
+    """Whether the length of a name is within ``most`` of one of these."""
+    near = sorted({x + by for x in lengths for by in range(-most, most + 1)})
+    return F.array_contains(F.array(*[F.lit(x) for x in near]).cast("array<int>"), F.length(name))
+
+
+def _lengths(names, name: str) -> list[int]:
+    return [r[0] for r in names.select(F.length(name)).distinct().collect()]  # one for each length of a name
+
+
 def nearest_partner(rows, partners, near: int = 2) -> DataFrame:
     """Partner with the smallest edit distance on the name. Ties go to the lowest partner id.
 
     Two names within ``near`` edits share a string after removing as many characters from
-    each, so they meet in an equi join on those strings, one distance after the other. Names
-    that are farther from every partner go down an index of bounds (``nearest.Index``), which leaves each few
-    partners to compare. Every row gets a partner unless there is none or its name is null.
+    each, so they meet in an equi join on the hash of those strings, one distance after the other; only names whose lengths
+    allow that distance make such strings. Names that are farther from every partner are searched in blocks of partners
+    (``tries.Blocks``), of which each meets few. Every row gets a partner unless there is none or its name is null.
     ``rows``: row_id, name.
     """
+    # Few bytes make very many pieces: names are spread by number.
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     base = written(partners.filter(F.col("nombre").isNotNull()).groupBy(F.col("nombre").alias("bp_name")).agg(
         F.min("c_bpartner_id").alias("c_bpartner_id")), "partners")
-    names = rows.select("name").filter(F.col("name").isNotNull()).distinct()
+    lengths = _lengths(base, "bp_name")
+    names = written(rows.select("name").filter(F.col("name").isNotNull()).distinct(), "names")
     same = names.join(base, names.name == base.bp_name).select(
         "name", "c_bpartner_id", F.lit(0).alias("distancia"))
-    found, rest = same, names.join(same.select("name"), "name", "left_anti")
+    found, rest = same, written(names.join(base, names.name == base.bp_name, "left_anti"), "rest")
     # What is settled near needs no wider search.
     for most in range(1, near + 1):
-        left = rest.select("name", F.explode(_deletions(F.col("name"), most)).alias("_piece"))
-        right = base.select("bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
+        left = rest.filter(_within("name", lengths, most)).repartition(parts, "name").select(
+            "name", F.explode(_deletions(F.col("name"), most)).alias("_piece"))
+        right = base.filter(_within("bp_name", _lengths(rest, "name"), most)).repartition(parts, "bp_name").select(
+            "bp_name", "c_bpartner_id", F.explode(_deletions(F.col("bp_name"), most)).alias("_piece"))
+        left, right = (x.withColumn("_piece", F.xxhash64("_piece")) for x in (left, right))
         # Spark takes the pieces for as few as the names and would broadcast them: they are dealt out by piece.
-        close = left.join(right.hint("merge"), "_piece").select("name", "bp_name", "c_bpartner_id").distinct().withColumn(
-            "distancia", F.levenshtein("name", "bp_name")).filter(F.col("distancia") <= most)
+        close = left.join(right.hint("merge"), "_piece").select(
+            "name", "c_bpartner_id", F.expr(f"levenshtein(name, bp_name, {most})").alias("distancia")).filter(F.col("distancia") >= 0)
         best = written(close.groupBy("name").agg(F.min(F.struct("distancia", "c_bpartner_id")).alias("b")).select(
             "name", F.col("b.c_bpartner_id").alias("c_bpartner_id"), F.col("b.distancia").alias("distancia")), "near")
-        rest = rest.join(best.select("name"), "name", "left_anti")
+        rest = written(rest.join(best.select("name"), "name", "left_anti"), "rest")
         found = found.unionByName(best)
-    found = found.unionByName(_far(written(rest, "far"), base))
+    found = found.unionByName(_far(rest, base))
     return rows.join(found, "name", "left").select("row_id", "name", "c_bpartner_id", "distancia")
 
 
 def _far(names, base) -> DataFrame:
     """(name, c_bpartner_id, distancia) of distinct names, none of which is a partner's."""
-    index = Index(base.select(F.col("c_bpartner_id").alias("ident"), F.col("bp_name").alias("member")))
-    return index.nearest(names).select("name", F.col("ident").alias("c_bpartner_id"), F.col("distance").alias("distancia"))
+    blocks = Blocks(base.select(F.col("c_bpartner_id").alias("ident"), F.col("bp_name").alias("member")))
+    return blocks.nearest(names).select("name", F.col("ident").alias("c_bpartner_id"), F.col("distance").alias("distancia"))
 
 
 def opening_payments(loans, collections, record_date, origin: str = "migrated") -> DataFrame:
