@@ -4,6 +4,8 @@ Money is decimal with explicit HALF_UP rounding at each step. A schedule is comp
 inside its loan row (Arrow batches, see functions.plans) and expanded once: no shuffle.
 """
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -13,9 +15,13 @@ from loanbook.functions import plans
 from loanbook.functions.dates import add_six_day, effective_days
 from loanbook.functions.scalars import dec
 from loanbook.operators.balances import collected, day, invoice_open
+from loanbook.operators.runs import packed, unpacked
+from loanbook.session import written
 
 RATE = "decimal(12,10)"
 D4 = "decimal(18,4)"
+#: Low bits of the ids of instalments that stay together when they meet their invoices, and groups of them for each shuffle partition.
+NEIGHBOURS, BUCKETS = 12, 16
 
 
 def count(n: Column) -> Column:
@@ -251,18 +257,60 @@ def billing_updates(pending, invoices, billed, new_id: Column) -> DataFrame:
                          F.lit("nueva").alias("factura")).unionByName(old)
 
 
-def debt_total(schedule, invoices, allocations) -> DataFrame:
-    """Interest debt per loan: unbilled instalments plus what billed interest is still open."""
+def _matcher(names: list[str]):
+    """Function for a cogroup: rows of packed instalments and of invoices that share the instalment's id."""
+
+    def match(instalments: pa.Table, billed: pa.Table) -> pa.Table:
+        ids = instalments["legacy_schedule_id"].combine_chunks()
+        size = ids.value_lengths().to_numpy()
+        run = np.repeat(np.arange(len(size)), size)
+        place = np.arange(len(run)) - (np.cumsum(size) - size)[run]
+        ids = ids.flatten().to_numpy() + place * instalments["_step"].to_numpy()[run]
+        known = billed["legacy_data"].to_numpy()
+        order = np.argsort(known, kind="stable")
+        low, high = (np.searchsorted(known[order], ids, side) for side in ("left", "right"))
+        hit = np.repeat(np.arange(len(ids)), high - low)
+        nth = np.arange(len(hit)) - np.repeat(np.cumsum(high - low) - (high - low), high - low)
+        rows = instalments.take(pa.array(run[hit]))
+        return pa.table([pa.array(ids[hit]), rows["legacy_cartera_id"], rows["unbilled"],
+                         billed["open"].take(pa.array(order[low[hit] + nth])), pa.array(nth == 0)], names=names)
+
+    return match
+
+
+def billed_instalments(schedule, invoices, allocations) -> DataFrame:
+    """Instalments that an invoice names, whatever their flag: one row for each such invoice, ``first`` marks one for each instalment.
+
+    legacy_schedule_id, legacy_cartera_id, unbilled, open (of unpaid invoices, else null), first. The instalments pass
+    one shuffle, in runs by neighbouring ids, and only those with an invoice leave it.
+    """
+    parts = int(schedule.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64("block"), F.lit(parts * BUCKETS)).cast("int").alias("bucket")
+    rows = schedule.filter(F.col("legacy_schedule_id").isNotNull()).select(
+        F.shiftright("legacy_schedule_id", NEIGHBOURS).alias("block"), "legacy_cartera_id",
+        F.coalesce(unbilled(), F.lit(False)).alias("unbilled"), "legacy_schedule_id")
+    left = packed(rows, ["block", "legacy_cartera_id", "unbilled"]).select("*", bucket).drop("block")
+    known = invoices.filter(F.col("docstatus").isin("CO", "CL") & F.col("legacy_data").isNotNull()).drop("legacy_cartera_id")
+    unpaid = (F.col("ispaid") == "N") & (F.col("docstatus") == "CO")
+    right = invoice_open(known, allocations).select(
+        F.shiftright("legacy_data", NEIGHBOURS).alias("block"), "legacy_data", F.when(unpaid, F.col("open")).alias("open")).select(
+        bucket, "legacy_data", "open")
+    names = ["legacy_schedule_id", "legacy_cartera_id", "unbilled", "open", "first"]
+    kinds = ["long", schedule.schema["legacy_cartera_id"].dataType.simpleString(), "boolean", right.schema["open"].dataType.simpleString(), "boolean"]
+    left, right = (x.repartition(parts, "bucket").groupBy("bucket") for x in (left, right))
+    return written(left.cogroup(right).applyInArrow(_matcher(names), ", ".join(map(" ".join, zip(names, kinds)))), "billed")
+
+
+def debt_total(schedule, invoices, allocations, billed=None) -> DataFrame:
+    """Interest debt per loan: unbilled instalments plus what billed interest is still open.
+
+    ``billed``: billed_instalments of the same tables, where they are there already.
+    """
     future = schedule.filter(unbilled()).groupBy("legacy_cartera_id").agg(
         F.sum("dueamt").alias("futuro"))
-    unpaid = invoices.filter(
-        (F.col("ispaid") == "N") & (F.col("docstatus") == "CO") & F.col("legacy_data").isNotNull()
-    ).drop("legacy_cartera_id")
-    opened = invoice_open(unpaid, allocations).select(
-        F.col("legacy_data").alias("legacy_schedule_id"), "open")
-    billed = opened.join(
-        schedule.select("legacy_schedule_id", "legacy_cartera_id"), "legacy_schedule_id"
-    ).groupBy("legacy_cartera_id").agg(F.sum("open").alias("facturado"))
+    if billed is None:
+        billed = billed_instalments(schedule, invoices, allocations)
+    billed = billed.filter(F.col("open").isNotNull()).groupBy("legacy_cartera_id").agg(F.sum("open").alias("facturado"))
     zero = F.lit(0).cast(D4)
     return future.join(billed, "legacy_cartera_id", "full").select(
         "legacy_cartera_id", F.coalesce("futuro", zero).alias("futuro"),
@@ -270,27 +318,30 @@ def debt_total(schedule, invoices, allocations) -> DataFrame:
         (F.coalesce("futuro", zero) + F.coalesce("facturado", zero)).alias("deuda"))
 
 
-def bill_prepaid(schedule, invoices, allocations, collections, process_date, loan_ids=None):
+def bill_prepaid(schedule, invoices, allocations, collections, process_date, loan_ids=None, billed=None):
     """Bill coming instalments in due order until the pending collections are covered.
 
     Returns (new invoices, rejected loans, accepted loans). A loan is rejected when its interest debt is
-    smaller than the amount to cover. The running sum is per loan, at most its term.
+    smaller than the amount to cover. The running sum is per loan, at most its term. Instalments meet their loan in runs.
+    ``billed``: billed_instalments of the same tables, where they are there already.
     """
+    if billed is None:
+        billed = billed_instalments(schedule, invoices, allocations)
     target = collections.filter(F.col("synced").isNull() | (F.col("synced") == "N")).groupBy(
         F.col("id_cartera").alias("legacy_cartera_id")).agg(F.sum("abono").alias("por_cubrir"))
     target = target.filter(F.col("por_cubrir") > 0)
     if loan_ids is not None:
         target = target.join(loan_ids.select("legacy_cartera_id").distinct(), "legacy_cartera_id", "left_semi")
-    judged = target.join(debt_total(schedule, invoices, allocations), "legacy_cartera_id", "left")
+    judged = target.join(debt_total(schedule, invoices, allocations, billed), "legacy_cartera_id", "left")
     debt = F.coalesce("deuda", F.lit(0).cast(D4))
     rejected = judged.filter(debt < F.col("por_cubrir")).select(
         "legacy_cartera_id", "por_cubrir", debt.alias("deuda"))
     accepted = judged.filter(debt >= F.col("por_cubrir")).select("legacy_cartera_id", "por_cubrir")
-    rows = (
-        schedule.filter(unbilled())
-        .join(_already_billed(invoices), "legacy_schedule_id", "left_anti")
-        .join(accepted, "legacy_cartera_id")
-    )
+    moved, keys = ["legacy_schedule_id", "duedate", "dueamt"], ["legacy_cartera_id", "c_bpartner_id", "ad_org_id"]
+    pending = schedule.filter(unbilled()).select(*keys, *moved)
+    done = billed.filter("unbilled AND first").groupBy("legacy_cartera_id").agg(F.collect_set("legacy_schedule_id").alias("_done"))
+    rows = unpacked(packed(pending, keys).join(accepted, "legacy_cartera_id").join(done, "legacy_cartera_id", "left"), pending, moved).filter(
+        ~F.coalesce(F.array_contains("_done", F.col("legacy_schedule_id")), F.lit(False)))
     w = W.partitionBy("legacy_cartera_id").orderBy("duedate", "legacy_schedule_id").rowsBetween(
         W.unboundedPreceding, -1)
     rows = rows.withColumn("_covered", F.coalesce(F.sum("dueamt").over(w), F.lit(0))).filter(

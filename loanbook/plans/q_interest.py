@@ -275,9 +275,9 @@ PREPAID = f"""
   FROM target LEFT JOIN debt ON legacy_cartera_id = id_cartera)"""
 
 
-def _prepaid(spark, d):
+def _prepaid(spark, d, billed=None):
     return I.bill_prepaid(T.schedule(spark, d), T.invoices(spark, d), T.allocations(spark, d),
-                          T.collections(spark, d), BILL_DAY)
+                          T.collections(spark, d), BILL_DAY, billed=billed)
 
 
 @query("int_bill_prepaid", f"""
@@ -303,8 +303,10 @@ SELECT legacy_schedule_id, 'Y' AS processed, legacy_schedule_id * 10 + 3 AS ref_
 UNION ALL SELECT legacy_schedule_id, 'Y', NULL, 'existente' FROM open JOIN known ON legacy_data = legacy_schedule_id""")
 def int_bill_prepaid_updates(spark, d):
     sch, inv = T.schedule(spark, d), T.invoices(spark, d)
-    made, _, accepted = _prepaid(spark, d)
-    looked = sch.filter(I.unbilled()).join(accepted, "legacy_cartera_id", "left_semi")
+    billed = I.billed_instalments(sch, inv, T.allocations(spark, d))
+    made, _, accepted = _prepaid(spark, d, billed)
+    # Of the instalments looked at only those with an invoice matter here.
+    looked = billed.filter("unbilled AND first").join(accepted, "legacy_cartera_id", "left_semi")
     return I.billing_updates(looked, inv, made, _new_id())
 
 
