@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from loanbook import config
 from loanbook.operators.balances import day, invoice_open
 from loanbook.operators.ordered import (
-    day_buckets, day_running, equal_buckets, neighbours, running_total, tie_key)
-from loanbook.session import ensure_checkpoint_dir
+    any_hot, day_buckets, day_running, equal_buckets, neighbours, plain_window, running_total, tie_key)
+from loanbook.session import written
 
 AMT = "decimal(18,4)"
 POS = "decimal(28,4)"
@@ -145,17 +145,19 @@ def omitted_payments(payments, debts) -> DataFrame:
         "c_payment_id", "c_bpartner_id", "dateacct")
 
 
-def _interest_by_day(payments, interest) -> DataFrame:
+def _interest_by_day(payments, interest, by_partner=False) -> DataFrame:
     """Per (partner, day with payments): how much of the day's money goes to interest.
 
     X is interest billed minus payments so far. The interest backlog after a day is X above
     its running minimum (or above 0), so what a day pays to interest is the backlog before
-    it, plus the day's new interest, minus the backlog after it.
+    it, plus the day's new interest, minus the backlog after it. ``by_partner``: no partner is hot, so one shuffle does.
     """
     zero = F.lit(0).cast(AMT)
     events = interest.select(
         "c_bpartner_id", F.col("dateinvoiced").alias("dia"), F.col("open").alias("owed"), zero.alias("paid")
     ).unionByName(payments.select("c_bpartner_id", "dia", zero.alias("owed"), F.col("payamt").alias("paid")))
+    if by_partner:
+        events = events.repartition("c_bpartner_id")
     per_day = events.groupBy("c_bpartner_id", "dia").agg(
         F.sum("owed").cast(POS).alias("owed"), F.sum("paid").cast(POS).alias("paid"))
     w = W.partitionBy("c_bpartner_id").orderBy("dia")
@@ -183,21 +185,23 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
     payment and the debt whose ends come next. The number of pieces is at most the number of
     payments plus debts. Payments that tie on their date go in the order of tie_key.
 
-    Payments, debts and cut points are each read several times, so they are written once by
-    checkpoint().
+    Payments and debts are read several times, so they are written once. If no partner can have more than ``HOT_ROWS``
+    cut points, each step is one plain window after one shuffle; else keys are split, and the cut points are written too.
     """
-    ensure_checkpoint_dir(payments.sparkSession)
-    p = payments.select(
-        "c_payment_id", "c_bpartner_id", F.col("dateacct").alias("dia"),
-        F.col("payamt").cast(AMT).alias("payamt"), tie_key("c_payment_id").alias("_tie")).checkpoint()
-    debts = debts.select(
-        "c_invoice_id", "c_bpartner_id", "c_doctype_id", "dateinvoiced", F.col("open").cast(AMT).alias("open")
-    ).checkpoint()
-    per_day = _interest_by_day(p, debts.filter(_is_interest()))
-    ran = running_total(
-        p, ["c_bpartner_id", "dia"], [F.col("_tie"), F.col("c_payment_id")],
-        {"after": F.col("payamt")}, [F.substring("_tie", 1, 2)], hot_rows)
-    j = ran.join(per_day, ["c_bpartner_id", "dia"])
+    p = written(payments.select(
+        "c_payment_id", "c_bpartner_id", F.col("dateacct").alias("dia"), F.col("payamt").cast(AMT).alias("payamt")), "payments")
+    debts = written(debts.select(
+        "c_invoice_id", "c_bpartner_id", "c_doctype_id", "dateinvoiced", F.col("open").cast(AMT).alias("open")), "debts")
+    split = any_hot([p, p, debts], "c_bpartner_id", hot_rows)  # a payment has two ends at most
+    per_day = _interest_by_day(p, debts.filter(_is_interest()), not split)
+    keys, order = ["c_bpartner_id", "dia"], [tie_key("c_payment_id"), F.col("c_payment_id")]
+    if split:
+        ran = running_total(p.withColumn("_tie", order[0]), keys, [F.col("_tie"), order[1]],
+                            {"after": F.col("payamt")}, [F.substring("_tie", 1, 2)], hot_rows)
+    else:
+        ran, w, _ = plain_window(p, keys, order)
+        ran = ran.withColumn("after", F.sum("payamt").over(w.rowsBetween(W.unboundedPreceding, 0)).cast("decimal(38,4)"))
+    j = ran.join(per_day, keys)
     before = F.col("after") - F.col("payamt")
     i1, i2 = F.least(before, F.col("int_day")), F.least(F.col("after"), F.col("int_day"))
     ends = F.array(
@@ -207,19 +211,28 @@ def allocate(payments, debts, hot_rows=None) -> DataFrame:
                  (F.col("cap_from") + F.col("after") - i2).cast(POS).alias("pos"),
                  (F.col("payamt") - (i2 - i1)).cast(POS).alias("len")))
     pay_ends = j.select("c_bpartner_id", "c_payment_id", F.inline(ends)).filter(F.col("len") > 0)
-    d = debts.withColumn("_tie", tie_key("c_invoice_id"))
-    debt_ends = running_total(
-        d, ["c_bpartner_id", "c_doctype_id"], [F.col("dateinvoiced"), F.col("_tie")],
-        {"pos": F.col("open")}, day_buckets("dateinvoiced", "c_invoice_id"), hot_rows)
+    keys, order = ["c_bpartner_id", "c_doctype_id"], [F.col("dateinvoiced"), tie_key("c_invoice_id")]
+    if split:
+        debt_ends = running_total(debts.withColumn("_tie", order[1]), keys, [order[0], F.col("_tie")],
+                                  {"pos": F.col("open")}, day_buckets("dateinvoiced", "c_invoice_id"), hot_rows)
+    else:
+        debt_ends, w, _ = plain_window(debts, keys, order)
+        debt_ends = debt_ends.withColumn("pos", F.sum("open").over(w.rowsBetween(W.unboundedPreceding, 0)).cast("decimal(38,4)"))
     points = pay_ends.select(
         "c_bpartner_id", "c_doctype_id", F.col("pos").cast(POS).alias("pos"), "c_payment_id",
         F.lit(None).cast("bigint").alias("c_invoice_id"), F.lit(0).alias("side")
     ).unionByName(debt_ends.select(
         "c_bpartner_id", "c_doctype_id", F.col("pos").cast(POS).alias("pos"),
-        F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side"))).checkpoint()
-    keys, order = ["c_bpartner_id", "c_doctype_id"], [F.col("pos"), F.col("side")]
-    fine, stats = equal_buckets("pos")
-    owned = neighbours(points, keys, order, {"prev": "pos"}, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
+        F.lit(None).cast("string").alias("c_payment_id"), "c_invoice_id", F.lit(1).alias("side")))
+    order = [F.col("pos"), F.col("side")]
+    if split:
+        fine, stats = equal_buckets("pos")
+        owned = neighbours(written(points, "points"), keys, order, {"prev": "pos"}, ["c_payment_id", "c_invoice_id"], fine, hot_rows, stats)
+    else:
+        owned, w, _ = plain_window(points, keys, order)
+        owned = owned.withColumns({
+            "prev": F.lag("pos").over(w),
+            **{c: F.first(c, ignorenulls=True).over(w.rowsBetween(0, W.unboundedFollowing)) for c in ("c_payment_id", "c_invoice_id")}})
     amount = (F.col("pos") - F.coalesce("prev", F.lit(0).cast(POS))).cast(AMT)
     return owned.filter(F.col("c_payment_id").isNotNull() & F.col("c_invoice_id").isNotNull()
                         & (amount > 0)).select(
