@@ -1,16 +1,17 @@
 """Account statements: movements with running balances.
 
 Rows of one day share a running balance in partner and loan statements. That of partners is computed on day totals (see
-ordered.day_running) and joined back to the movements; that of loans so only for very large ones (ordered.with_day_running).
+ordered.day_running) and joined back to the movements; that of loans so only where one is very large (ordered.with_day_running).
 """
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loanbook.functions.dates import add_six_day
 from loanbook.functions.scalars import zero_if_null
 from loanbook.operators.balances import collected, day, owned
-from loanbook.operators.ordered import day_buckets, day_running, running_total, tie_key, with_day_running
+from loanbook.operators.ordered import any_hot, day_buckets, day_running, running_total, tie_key, with_day_running
 from loanbook.operators.payments import allocated_by_type
 from loanbook import config
 from loanbook.session import written
@@ -79,50 +80,70 @@ def partner_history(loans, collections, branches, partner=None, hot_rows=None) -
     return out.drop("_tie").withColumn("rownumber", F.col("rownumber").cast("bigint"))
 
 
-def loan_statement(loans, collections, schedule, invoices, allocations, loan_id=None) -> DataFrame:
-    """Capital, interest and payment movements of a loan with three running balances."""
+def loan_statement(loans, collections, schedule, invoices, allocations, loan_id=None, hot_rows=None) -> DataFrame:
+    """Capital, interest and payment movements of a loan with three running balances.
+
+    If a loan has more than ``HOT_ROWS`` instalments and payments, large loans go by day totals (ordered.with_day_running).
+    """
     if loan_id is not None:
         loans = loans.filter(F.col("legacy_cartera_id") == loan_id)
         collections = collections.filter(F.col("id_cartera") == loan_id)
         schedule = schedule.filter(F.col("legacy_cartera_id") == loan_id)
-    zero = F.lit(0).cast(MON)
+    zero, key = F.lit(0).cast(MON), "legacy_cartera_id"
     inv = invoices.select("c_invoice_id", "dateinvoiced", "grandtotal", "c_doctype_id")
-    head = loans.join(inv.withColumnRenamed("c_invoice_id", "local_id"), "local_id", "left")
-
-    def rows(df, order, on, doc, concept, debit, credit, a_int, a_pri, capital, interest):
-        return df.select(
-            F.lit(order).alias("ordenpresentacion"), "legacy_cartera_id", on.alias("fecha_movimiento"),
-            doc.alias("documento"), F.lit(concept).alias("concepto"), debit.cast(MON).alias("debito"),
-            credit.cast(MON).alias("credito"), a_int.cast(MON).alias("asignado_interes"),
-            a_pri.cast(MON).alias("asignado_principal"), capital.cast(MON).alias("_capital"),
-            interest.cast(MON).alias("_interes"))
-
-    total = F.coalesce("grandtotal", F.col("montototal"))
-    capital = rows(head, 0, F.coalesce("dateinvoiced", F.col("fecha")),
-                   F.coalesce(F.col("local_id").cast("string"), F.concat(F.lit("CAPITAL-"), F.col("legacy_cartera_id").cast("string"))),
-                   "CxC Capital", total, zero, zero, zero, total, zero)
+    # Loans and billed instalments meet their invoices in one join. Narrow rows go to their loan; the rest is made there.
     billed = schedule.filter(F.col("ref_invoice_id").isNotNull() & (F.col("processed") == "Y")).select(
-        "legacy_cartera_id", F.col("ref_invoice_id").alias("c_invoice_id"))
-    interest = billed.join(inv.filter(F.col("c_doctype_id") == config.DOC_INTEREST), "c_invoice_id")
-    interest = rows(interest, 100, F.col("dateinvoiced"), F.col("c_invoice_id").cast("string"),
-                    "CxC Interés", F.col("grandtotal"), zero, zero, zero, zero, F.col("grandtotal"))
+        key, F.col("ref_invoice_id").alias("c_invoice_id"))
+    total = F.col("montototal")
+    asked = loans.select(key, F.col("local_id").alias("c_invoice_id"), F.lit(0).alias("orden"), "fecha", total.alias("total")).unionByName(
+        billed.select(key, "c_invoice_id", F.lit(100).alias("orden"), F.lit(None).cast("date").alias("fecha"),
+                      F.lit(None).cast(loans.schema["montototal"].dataType).alias("total")))
+    met = asked.join(inv, "c_invoice_id", "left").filter((F.col("orden") == 0) | (F.col("c_doctype_id") == config.DOC_INTEREST))
+    owed = met.select(
+        key, "orden", F.coalesce("dateinvoiced", "fecha").alias("fecha_movimiento"), F.col("c_invoice_id").cast("string").alias("local"),
+        F.lit(None).cast("string").alias("cobro"), F.coalesce("grandtotal", "total").alias("importe"),
+        F.lit(None).cast(MON).alias("ai"), F.lit(None).cast(MON).alias("ap"))
     by_type = allocated_by_type(loans, schedule, allocations)
     amount = F.col("monto_asignado")
-    split = by_type.groupBy(F.col("c_payment_id").alias("local_id"), "legacy_cartera_id").agg(
-        F.sum(F.when(F.col("c_doctype_id") == config.DOC_INTEREST, amount)).alias("ai"),
-        F.sum(F.when(F.col("c_doctype_id") == config.DOC_CAPITAL, amount)).alias("ap"))
-    known = loans.select("legacy_cartera_id")
-    paid = (
-        collections.filter(F.col("abono") > 0).withColumnRenamed("id_cartera", "legacy_cartera_id")
-        .join(known, "legacy_cartera_id", "left_semi")
-        .join(split, ["local_id", "legacy_cartera_id"], "left"))
-    ai, ap = F.coalesce("ai", zero), F.coalesce("ap", zero)
-    paid = rows(paid, 999, F.col("operacion"), F.coalesce("local_id", F.concat(F.lit("COBRO-"), F.col("legacy_cobro_id"))),
-                "Pago/Cobro", zero, F.col("abono"), ai, ap, -ap, -ai)
-    mov = written(capital.unionByName(interest).unionByName(paid), "movements")  # read to find large loans and for the rows
-    return with_day_running(mov, "legacy_cartera_id", "fecha_movimiento", {
-        "saldo": F.col("debito") - F.col("credito"), "saldo_capital": F.col("_capital"),
-        "saldo_interes": F.col("_interes")}).drop("_capital", "_interes")
+    split = by_type.groupBy(F.col("c_payment_id").alias("local_id"), key).agg(
+        F.sum(F.when(F.col("c_doctype_id") == config.DOC_INTEREST, amount)).cast(MON).alias("ai"),
+        F.sum(F.when(F.col("c_doctype_id") == config.DOC_CAPITAL, amount)).cast(MON).alias("ap"))
+    paid = collections.filter(F.col("abono") > 0).select(
+        F.col("id_cartera").alias(key), F.lit(999).alias("orden"), F.col("operacion").alias("fecha_movimiento"), F.col("local_id").alias("local"),
+        F.when(F.col("local_id").isNull(), F.col("legacy_cobro_id")).alias("cobro"), F.col("abono").alias("importe"), F.lit(None).cast(MON).alias("ai"), F.lit(None).cast(MON).alias("ap"))
+    values = {"saldo": F.col("debito") - F.col("credito"), "saldo_capital": F.col("_capital"), "saldo_interes": F.col("_interes")}
+
+    def shown(df):
+        first, last = F.col("orden") == 0, F.col("orden") == 999
+        ai, ap = F.coalesce("ai", zero), F.coalesce("ap", zero)
+        debit = F.when(last, zero).otherwise(F.col("importe").cast(MON))
+        document = F.when(first, F.coalesce("local", F.concat(F.lit("CAPITAL-"), F.col(key).cast("string")))).when(
+            last, F.coalesce("local", F.concat(F.lit("COBRO-"), F.col("cobro")))).otherwise(F.col("local"))
+        return df.select(
+            key, "fecha_movimiento", F.col("orden").alias("ordenpresentacion"), document.alias("documento"),
+            F.when(first, "CxC Capital").when(last, "Pago/Cobro").otherwise("CxC Interés").alias("concepto"), debit.alias("debito"),
+            F.when(last, F.col("importe").cast(MON)).otherwise(zero).alias("credito"), ai.alias("asignado_interes"), ap.alias("asignado_principal"),
+            F.when(last, -ap).when(first, debit).otherwise(zero).cast(MON).alias("_capital"),
+            F.when(last, -ai).when(first, zero).otherwise(debit).cast(MON).alias("_interes"))
+
+    if any_hot([paid, billed], key, hot_rows):
+        own = paid.drop("ai", "ap").join(loans.select(key), key, "left_semi").join(
+            split.withColumnRenamed("local_id", "local"), ["local", key], "left")
+        mov = written(shown(owed.unionByName(own)), "movements")  # read to find large loans and for the rows
+        out = with_day_running(mov, key, "fecha_movimiento", values, hot_rows)
+    else:
+        # What was allocated goes along as rows of its own, so that one shuffle by loan does for everything.
+        parts = split.filter(F.col("local_id").isNotNull()).select(
+            key, F.lit(1000).alias("orden"), F.lit(None).cast("date").alias("fecha_movimiento"), F.col("local_id").alias("local"),
+            F.lit(None).cast("string").alias("cobro"), F.lit(None).cast("decimal(18,2)").alias("importe"), "ai", "ap")
+        every = owed.unionByName(paid).unionByName(parts).filter(F.col(key).isNotNull()).repartition(key)
+        own, same = W.partitionBy(key), W.partitionBy(key, "local")
+        every = every.withColumn("_known", F.max(F.col("orden") == 0).over(own)).withColumns({
+            c: F.when(F.col("orden") == 999, F.max(F.when(F.col("orden") == 1000, F.col(c))).over(same)) for c in ("ai", "ap")})
+        upto = W.partitionBy(key).orderBy("fecha_movimiento").rangeBetween(W.unboundedPreceding, W.currentRow)
+        out = shown(every.filter((F.col("orden") < 999) | ((F.col("orden") == 999) & F.col("_known")))).withColumns(
+            {n: F.sum(c).over(upto) for n, c in values.items()}).filter(F.col("fecha_movimiento").isNotNull())
+    return out.drop("_capital", "_interes")
 
 
 def _signed(df):
