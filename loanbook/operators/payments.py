@@ -156,8 +156,8 @@ def _interest_by_day(payments, interest, by_partner=False) -> DataFrame:
     events = interest.select(
         "c_bpartner_id", F.col("dateinvoiced").alias("dia"), F.col("open").alias("owed"), zero.alias("paid")
     ).unionByName(payments.select("c_bpartner_id", "dia", zero.alias("owed"), F.col("payamt").alias("paid")))
-    if by_partner:
-        events = events.repartition("c_bpartner_id")
+    if by_partner:  # dealt by number: Spark would merge parts by their few bytes
+        events = events.repartition(int(events.sparkSession.conf.get("spark.sql.shuffle.partitions")), "c_bpartner_id")
     per_day = events.groupBy("c_bpartner_id", "dia").agg(
         F.sum("owed").cast(POS).alias("owed"), F.sum("paid").cast(POS).alias("paid"))
     w = W.partitionBy("c_bpartner_id").orderBy("dia")

@@ -101,47 +101,49 @@ def loan_statement(loans, collections, schedule, invoices, allocations, loan_id=
     met = asked.join(inv, "c_invoice_id", "left").filter((F.col("orden") == 0) | (F.col("c_doctype_id") == config.DOC_INTEREST))
     owed = met.select(
         key, "orden", F.coalesce("dateinvoiced", "fecha").alias("fecha_movimiento"), F.col("c_invoice_id").cast("string").alias("local"),
-        F.lit(None).cast("string").alias("cobro"), F.coalesce("grandtotal", "total").alias("importe"),
-        F.lit(None).cast(MON).alias("ai"), F.lit(None).cast(MON).alias("ap"))
+        F.coalesce("grandtotal", "total").alias("importe"))
     by_type = allocated_by_type(loans, schedule, allocations)
     amount = F.col("monto_asignado")
     split = by_type.groupBy(F.col("c_payment_id").alias("local_id"), key).agg(
         F.sum(F.when(F.col("c_doctype_id") == config.DOC_INTEREST, amount)).cast(MON).alias("ai"),
         F.sum(F.when(F.col("c_doctype_id") == config.DOC_CAPITAL, amount)).cast(MON).alias("ap"))
+    # 998 are payments without an id of their own, which nothing is allocated from.
     paid = collections.filter(F.col("abono") > 0).select(
-        F.col("id_cartera").alias(key), F.lit(999).alias("orden"), F.col("operacion").alias("fecha_movimiento"), F.col("local_id").alias("local"),
-        F.when(F.col("local_id").isNull(), F.col("legacy_cobro_id")).alias("cobro"), F.col("abono").alias("importe"), F.lit(None).cast(MON).alias("ai"), F.lit(None).cast(MON).alias("ap"))
+        F.col("id_cartera").alias(key), F.when(F.col("local_id").isNull(), 998).otherwise(999).alias("orden"), F.col("operacion").alias("fecha_movimiento"),
+        F.coalesce("local_id", "legacy_cobro_id").alias("local"), F.col("abono").alias("importe"))
     values = {"saldo": F.col("debito") - F.col("credito"), "saldo_capital": F.col("_capital"), "saldo_interes": F.col("_interes")}
 
     def shown(df):
-        first, last = F.col("orden") == 0, F.col("orden") == 999
-        ai, ap = F.coalesce("ai", zero), F.coalesce("ap", zero)
+        first, last = F.col("orden") == 0, F.col("orden") >= 998
+        ai, ap = F.coalesce("part.ai", zero), F.coalesce("part.ap", zero)
         debit = F.when(last, zero).otherwise(F.col("importe").cast(MON))
         document = F.when(first, F.coalesce("local", F.concat(F.lit("CAPITAL-"), F.col(key).cast("string")))).when(
-            last, F.coalesce("local", F.concat(F.lit("COBRO-"), F.col("cobro")))).otherwise(F.col("local"))
+            F.col("orden") == 998, F.concat(F.lit("COBRO-"), F.col("local"))).otherwise(F.col("local"))
         return df.select(
-            key, "fecha_movimiento", F.col("orden").alias("ordenpresentacion"), document.alias("documento"),
+            key, "fecha_movimiento", F.when(last, 999).otherwise(F.col("orden")).alias("ordenpresentacion"), document.alias("documento"),
             F.when(first, "CxC Capital").when(last, "Pago/Cobro").otherwise("CxC Interés").alias("concepto"), debit.alias("debito"),
             F.when(last, F.col("importe").cast(MON)).otherwise(zero).alias("credito"), ai.alias("asignado_interes"), ap.alias("asignado_principal"),
             F.when(last, -ap).when(first, debit).otherwise(zero).cast(MON).alias("_capital"),
             F.when(last, -ai).when(first, zero).otherwise(debit).cast(MON).alias("_interes"))
 
+    part = F.struct("ai", "ap").alias("part")
+    nothing = F.lit(None).cast(split.select(part).schema["part"].dataType).alias("part")
     if any_hot([paid, billed], key, hot_rows):
-        own = paid.drop("ai", "ap").join(loans.select(key), key, "left_semi").join(
-            split.withColumnRenamed("local_id", "local"), ["local", key], "left")
-        mov = written(shown(owed.unionByName(own)), "movements")  # read to find large loans and for the rows
+        own = paid.join(loans.select(key), key, "left_semi").join(
+            split.select(F.col("local_id").alias("local"), key, F.lit(999).alias("orden"), part), ["local", key, "orden"], "left")
+        mov = written(shown(owed.select("*", nothing).unionByName(own)), "movements")  # read to find large loans and for the rows
         out = with_day_running(mov, key, "fecha_movimiento", values, hot_rows)
     else:
         # What was allocated goes along as rows of its own, so that one shuffle by loan does for everything.
         parts = split.filter(F.col("local_id").isNotNull()).select(
             key, F.lit(1000).alias("orden"), F.lit(None).cast("date").alias("fecha_movimiento"), F.col("local_id").alias("local"),
-            F.lit(None).cast("string").alias("cobro"), F.lit(None).cast("decimal(18,2)").alias("importe"), "ai", "ap")
-        every = owed.unionByName(paid).unionByName(parts).filter(F.col(key).isNotNull()).repartition(key)
+            F.lit(None).cast("decimal(18,2)").alias("importe"), part)
+        every = owed.unionByName(paid).select("*", nothing).unionByName(parts).filter(F.col(key).isNotNull()).repartition(key)
         own, same = W.partitionBy(key), W.partitionBy(key, "local")
-        every = every.withColumn("_known", F.max(F.col("orden") == 0).over(own)).withColumns({
-            c: F.when(F.col("orden") == 999, F.max(F.when(F.col("orden") == 1000, F.col(c))).over(same)) for c in ("ai", "ap")})
+        every = every.withColumn("_known", F.max(F.col("orden") == 0).over(own)).withColumn(
+            "part", F.when(F.col("orden") == 999, F.max(F.when(F.col("orden") == 1000, F.col("part"))).over(same)))
         upto = W.partitionBy(key).orderBy("fecha_movimiento").rangeBetween(W.unboundedPreceding, W.currentRow)
-        out = shown(every.filter((F.col("orden") < 999) | ((F.col("orden") == 999) & F.col("_known")))).withColumns(
+        out = shown(every.filter((F.col("orden") < 998) | ((F.col("orden") < 1000) & F.col("_known")))).withColumns(
             {n: F.sum(c).over(upto) for n, c in values.items()}).filter(F.col("fecha_movimiento").isNotNull())
     return out.drop("_capital", "_interes")
 
